@@ -62,9 +62,9 @@ class Study:
         visits = ed_visits(self.tables, self.sites, self.windows.emergency)
         return stage(stays.unionByName(visits, allowMissingColumns=True), "candidates")
 
-    @property
+    @cached_property
     def emergency(self) -> DataFrame:
-        return emergency_from_candidates(self.candidates, self.tables)
+        return stage(emergency_from_candidates(self.candidates, self.tables), "emergency")
 
     @property
     def included(self) -> DataFrame:

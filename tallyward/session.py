@@ -26,6 +26,7 @@ def local_session(cpus: int = 8, app: str = "tallyward") -> SparkSession:
         .config("spark.ui.enabled", "false")
         .config("spark.driver.memory", "8g")
     )
+    builder = builder.config("spark.python.sql.dataFrameDebugging.enabled", "false")
     for key, value in RECOMMENDED.items():
         builder = builder.config(key, value)
     spark = builder.getOrCreate()
