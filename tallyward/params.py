@@ -38,7 +38,10 @@ class Windows(NamedTuple):
 
 
 def params_df(spark: SparkSession, params: StudyParams) -> DataFrame:
-    return spark.createDataFrame([astuple(params)], STUDY_PARAMS)
+    values = zip(astuple(params), STUDY_PARAMS, strict=True)
+    return spark.range(1).select(
+        *(F.lit(value).cast(field.dataType).alias(field.name) for value, field in values)
+    )
 
 
 def windows(params: StudyParams, start: Column | None = None) -> Windows:

@@ -8,9 +8,10 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tallyward.functions.predicates import (
-    any_column_prefix, any_flag, ci, contains_any, fold, prefix_any,
+    any_column_prefix, ci, contains_any, fold, prefix_any,
 )
-from tallyward.operators.joins import with_dims
+from tallyward.operators.projections import tag
+from tallyward.operators.setops import union_events
 
 SITE_COLUMNS = ("SitegpX", "ICDOSite", "PrimarysiteX")
 
@@ -48,13 +49,19 @@ def coded_hits(
 ) -> DataFrame:
     """Distinct ids of events with a matching code in either coding system.
 
-    The patterns run on the small dimensions, not on the bridge; the bridge is
-    scanned once, its hits are deduplicated before they are shuffled.
+    A bridge row has a key in one system or the other. Its keys become
+    (system, key) pairs, the missing one is dropped, and one semi join against
+    the matching codes of both systems settles the OR. The patterns run on the
+    dimensions, the bridge is scanned once, no NULL key is ever shuffled, and
+    the hits are deduplicated before they travel.
     """
-    is10 = dim_icd10.filter(cond.icd10("ICD10Code")).withColumn("in10", F.lit(True))
-    is9 = dim_icd9.filter(cond.icd9("ICD9Code")).withColumn("in9", F.lit(True))
-    looked_up = with_dims(
-        bridge.select(event, "ICD10SID", "ICD9SID"),
-        [(is10, "ICD10SID", ["in10"]), (is9, "ICD9SID", ["in9"])],
+    codes = union_events(
+        tag(dim_icd10.filter(cond.icd10("ICD10Code")), system=10).select("system", F.col("ICD10SID").alias("sid")),
+        tag(dim_icd9.filter(cond.icd9("ICD9Code")), system=9).select("system", F.col("ICD9SID").alias("sid")),
     )
-    return looked_up.filter(any_flag("in10", "in9")).select(event).distinct()
+    keys = F.array(
+        F.struct(F.lit(10).alias("system"), F.col("ICD10SID").alias("sid")),
+        F.struct(F.lit(9).alias("system"), F.col("ICD9SID").alias("sid")),
+    )
+    pairs = bridge.select(event, F.inline(keys)).filter(F.col("sid").isNotNull())
+    return pairs.join(codes, ["system", "sid"], "left_semi").select(event).distinct()

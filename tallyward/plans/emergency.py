@@ -69,9 +69,10 @@ def planned_events(stays: DataFrame, t: SourceTables) -> DataFrame:
 
     def listed(bridge: DataFrame, dim: DataFrame, key: str, code: str, codes: DataFrame) -> DataFrame:
         wanted = semi_code(dim, _folded(codes), ci(strip_dots(code))).select(key)
-        return ids.join(bridge.select("InpatientSID", key), "InpatientSID", "inner").join(
-            wanted, key, "left_semi"
-        ).select("PatientSSN", F.col("InpatientSID").alias("ECEventSID"))
+        hits = bridge.join(wanted, key, "left_semi").select("InpatientSID")
+        return hits.join(ids, "InpatientSID", "inner").select(
+            "PatientSSN", F.col("InpatientSID").alias("ECEventSID")
+        )
 
     by_diagnosis = listed(
         t.inpat_inpatient_diagnosis, t.dim_icd10, "ICD10SID", "ICD10Code",

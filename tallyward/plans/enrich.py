@@ -13,70 +13,97 @@ from tallyward.operators.joins import inner_enrich, places
 from tallyward.operators.setops import union_events
 from tallyward.plans.ascertain import INPATIENT, OUTPATIENT, REGISTRY
 from tallyward.plans.emergency import STAY, TREAT_AND_RELEASE
-from tallyward.sources.staging import conform
+from tallyward.sources.staging import conform, stage
 from tallyward.sources.tables import SourceTables
 
 
-def event_places(
-    df: DataFrame, t: SourceTables, type_col: str, id_col: str, sources: dict[str, tuple], out: str
+# Which fact an event's type tag says it came from, per role.
+DIAGNOSIS_SOURCES = {REGISTRY: "registry", INPATIENT: "stay", OUTPATIENT: "visit"}
+EMERGENCY_SOURCES = {STAY: "stay", TREAT_AND_RELEASE: "ed"}
+
+
+def _role(df: DataFrame, type_col: str, id_col: str, sources: dict[str, str]) -> DataFrame:
+    return df.replace(sources, subset=type_col).select(
+        F.col(type_col).alias("_source"), F.col(id_col).alias("_id")
+    )
+
+
+def event_places(t: SourceTables, wanted: DataFrame) -> DataFrame:
+    """Where the wanted (source, id) events took place.
+
+    Every fact is cut to the wanted ids by a semi join while it is scanned, once
+    for all roles. Registry entries keep site and time, which are part of their
+    key; other sources have NULL there.
+    """
+
+    def hits(source: str, fact: DataFrame, fact_id: str) -> DataFrame:
+        ids = wanted.filter(F.col("_source") == source).select(F.col("_id").alias(fact_id)).distinct()
+        registry = source == "registry"
+        return fact.join(ids, fact_id, "left_semi").select(
+            F.lit(source).alias("_source"), F.col(fact_id).alias("_id"), "Sta3n",
+            (F.col("PatientSID") if registry else F.lit(None).cast("bigint")).alias("_site"),
+            (F.col("DateDX") if registry else F.lit(None).cast("timestamp_ntz")).alias("_time"),
+        )
+
+    registry = hits("registry", t.oncology_primary, "OncologyPrimaryIEN")
+    found = union_events(
+        registry.filter(F.col("_site").isNotNull() & F.col("_time").isNotNull()),
+        hits("stay", t.inpat_inpatient, "InpatientSID"),
+        hits("visit", t.outpat_workload, "VisitSID"),
+        hits("ed", t.edis_edislog, "VisitSID"),
+    )
+    return (
+        found.join(places(t.dim_sta3n, t.dim_state), "Sta3n", "left").drop("Sta3n").distinct()
+    )
+
+
+def _attach(
+    df: DataFrame, placed: DataFrame, type_col: str, id_col: str, sources: dict[str, str], out: str
 ) -> DataFrame:
-    """Attach the place of an event whose type says which fact it is in.
+    """One outer join for all types of a role instead of one pass per type.
 
-    ``sources`` maps a type to (fact, id column, further equal columns). The
-    hits of all types form one relation, so there is one outer join instead of
-    one pass per type. Types differ in their keys: unused key parts are NULL on
-    both sides and compared null-safe.
+    Only registry entries compare site and time; for the others these key parts
+    are NULL on both sides and compared null-safe.
     """
-    extra = sorted({name for _, _, pairs in sources.values() for name in pairs})
-    hits, keyed = [], {name: F.lit(None) for name in extra}
-    for kind, (fact, fact_id, pairs) in sources.items():
-        wanted = df.filter(F.col(type_col) == kind).select(F.col(id_col).alias(fact_id)).distinct()
-        rows = fact.join(wanted, fact_id, "left_semi")
-        for own in pairs.values():
-            rows = rows.filter(F.col(own).isNotNull())
-        key = {name: F.col(pairs[name]) if name in pairs else F.lit(None) for name in extra}
-        hits.append(rows.select(
-            F.lit(kind).alias("_type"), F.col(fact_id).alias("_id"), "Sta3n",
-            *(expr.cast(df.schema[name].dataType).alias(f"_{name}") for name, expr in key.items()),
-        ))
-        for name in pairs:
-            keyed[name] = F.when(F.col(type_col) == kind, F.col(name)).otherwise(keyed[name])
-    placed = (
-        union_events(*hits)
-        .join(places(t.dim_sta3n, t.dim_state), "Sta3n", "left")
-        .drop("Sta3n")
-        .distinct()
+    is_registry = F.col(type_col) == REGISTRY
+    source = F.lit(None)
+    for kind, name in sources.items():
+        source = F.when(F.col(type_col) == kind, name).otherwise(source)
+    probe = df.withColumns({
+        "_own_source": source,
+        "_own_site": F.when(is_registry, F.col("PatientSID")),
+        "_own_time": F.when(is_registry, F.col("DiagnosisEventDateTime")),
+    })
+    same = (
+        (F.col("_own_source") == F.col("_source")) & (F.col(id_col) == F.col("_id"))
+        & F.col("_own_site").eqNullSafe(F.col("_site")) & F.col("_own_time").eqNullSafe(F.col("_time"))
     )
-    same = (F.col(type_col) == F.col("_type")) & (F.col(id_col) == F.col("_id"))
-    for name in extra:
-        same = same & F.col(f"_own_{name}").eqNullSafe(F.col(f"_{name}"))
-    probe = df.withColumns({f"_own_{name}": expr for name, expr in keyed.items()})
     nowhere = location_label(F.lit(None), F.lit(None))
     return probe.join(placed, same, "left").select(
         *df.columns, F.coalesce("Location", nowhere).alias(out)
     )
 
 
-def diagnosis_place(df: DataFrame, t: SourceTables, type_col: str = "DiagnosisTypeOfEvent") -> DataFrame:
-    """Registry entries are found by id, site and time, encounters by id alone."""
-    exact = {"PatientSID": "PatientSID", "DiagnosisEventDateTime": "DateDX"}
-    return event_places(df, t, type_col, "DiagnosisEventSID", {
-        REGISTRY: (t.oncology_primary, "OncologyPrimaryIEN", exact),
-        INPATIENT: (t.inpat_inpatient, "InpatientSID", {}),
-        OUTPATIENT: (t.outpat_workload, "VisitSID", {}),
-    }, "DiagnosisEventLocation")
-
-
-def emergency_place(df: DataFrame, t: SourceTables) -> DataFrame:
-    return event_places(df, t, "ECTypeOfEvent", "ECEventSID", {
-        STAY: (t.inpat_inpatient, "InpatientSID", {}),
-        TREAT_AND_RELEASE: (t.edis_edislog, "VisitSID", {}),
-    }, "EmergencyEventLocation")
+def with_locations(df: DataFrame, t: SourceTables, emergency: bool) -> DataFrame:
+    """Attach the place of the diagnosis and, in a second role, of the emergency event."""
+    diagnosis = ("DiagnosisTypeOfEvent", "DiagnosisEventSID", DIAGNOSIS_SOURCES)
+    roles = {"DiagnosisEventLocation": diagnosis}
+    if emergency:
+        roles["EmergencyEventLocation"] = ("ECTypeOfEvent", "ECEventSID", EMERGENCY_SOURCES)
+    wanted = union_events(*(_role(df, *role) for role in roles.values()))
+    placed = event_places(t, wanted)
+    if len(roles) > 1:
+        placed = stage(placed, "places")
+    for out, role in roles.items():
+        df = _attach(df, placed, *role, out)
+    return df
 
 
-def with_demographics(df: DataFrame, t: SourceTables) -> DataFrame:
+def with_demographics(df: DataFrame, t: SourceTables, persons: DataFrame | None = None) -> DataFrame:
     """Person attributes plus one row per distinct race label of the person.
 
+    The person tables are cut to ``persons`` (default ``df``) while scanned.
+
     Persons without a race or ethnicity row vanish. Several rows multiply, but
     only through what the label depends on (race group, Hispanic or not), so a
     person with many copies of either adds at most a few rows.
@@ -84,9 +111,9 @@ def with_demographics(df: DataFrame, t: SourceTables) -> DataFrame:
     person = t.spatient.select("PatientSID", "DeathDateTime", "Gender", "BirthDateTime")
     race = t.patient_race.select("PatientSID", race_group("Race").alias("_race"))
     ethnicity = t.patient_ethnicity.select("PatientSID", is_hispanic("Ethnicity").alias("_hispanic"))
-    ids = df.select("PatientSID").distinct()
-    cut = [r.join(ids, "PatientSID", "left_semi") for r in (person, race, ethnicity)]
     label = F.when(F.col("_hispanic"), HISPANIC).otherwise(F.col("_race"))
+    ids = (persons or df).select("PatientSID").distinct()
+    cut = [r.join(ids, "PatientSID", "left_semi") for r in (person, race, ethnicity)]
     return inner_enrich(df, "PatientSID", *cut).withColumn("PatientRace", label)
 
 
@@ -112,10 +139,10 @@ def _layout(df: DataFrame, emergency: bool) -> DataFrame:
 
 
 def enrich_denominator(active: DataFrame, t: SourceTables) -> DataFrame:
-    return _layout(with_demographics(diagnosis_place(active, t), t), emergency=False)
+    """The denominator output; ``active`` is read several times and should be staged."""
+    return _layout(with_demographics(with_locations(active, t, emergency=False), t, active), emergency=False)
 
 
 def enrich_numerator(active: DataFrame, t: SourceTables) -> DataFrame:
-    placed = emergency_place(diagnosis_place(active, t), t)
-    return _layout(with_demographics(placed, t), emergency=True)
-
+    """The numerator output; ``active`` is read several times and should be staged."""
+    return _layout(with_demographics(with_locations(active, t, emergency=True), t, active), emergency=True)
