@@ -12,7 +12,7 @@ from tallyward.catalog.registry import query, table
 from tallyward.operators.setops import prefer_source
 from tallyward.params import StudyParams
 from tallyward.plans import ascertain, emergency, enrich, history
-from tallyward.plans.cohort import Study
+from tallyward.plans.cohort import Study, count_persons
 from tallyward.plans.conditions import COLORECTAL, ConditionSpec, coded_hits
 from tallyward.sources.roles import role_views
 from tallyward.sources.staging import stage
@@ -193,31 +193,31 @@ def active_patients(spark, d):
 @query(cohort_sql("SELECT * FROM den_output"))
 def enrich_denominator(spark, d):
     s = study(spark, d)
-    flagged = history.care_flags(s.included, s.bounds, PARAMS.carehx_length_months)
-    return enrich.enrich_denominator(stage(history.active_only(flagged), "active"), s.tables)
+    active = stage(s.active(s.included), "active")
+    return enrich.enrich_denominator(active, s.tables)
 
 
-@query(cohort_sql("""
-    SELECT DISTINCT * FROM num_output"""))
+@query(cohort_sql("SELECT * FROM num_output"))
 def enrich_numerator(spark, d):
     s = study(spark, d)
     active = stage(s.active(s.included_emergency), "active")
     return enrich.enrich_numerator(active, s.tables)
 
 
-@query(cohort_sql("SELECT *, (SELECT count(DISTINCT PatientSSN) FROM den_output) AS persons FROM den_output"))
+@query(cohort_sql("SELECT * FROM den_output"))
 def denominator_cohort(spark, d):
-    """The denominator output, with its number of distinct persons."""
-    return _with_persons(study(spark, d).denominator())
+    return study(spark, d).denominator()
 
 
-@query(cohort_sql("SELECT *, (SELECT count(DISTINCT PatientSSN) FROM num_output) AS persons FROM num_output"))
+@query(cohort_sql("SELECT * FROM num_output"))
 def numerator_cohort(spark, d):
-    """The numerator output, with its number of distinct persons."""
-    return _with_persons(study(spark, d).numerator())
+    return study(spark, d).numerator()
 
 
-def _with_persons(output: DataFrame) -> DataFrame:
-    saved = stage(output, "output")
-    persons = saved.agg(F.count_distinct("PatientSSN").alias("persons"))
-    return saved.select("*", persons.scalar().alias("persons"))
+@query(cohort_sql("""
+    SELECT 'denominator' AS cohort, count(DISTINCT PatientSSN) AS persons FROM den_output
+    UNION ALL SELECT 'numerator', count(DISTINCT PatientSSN) FROM num_output"""))
+def cohort_person_counts(spark, d):
+    s = study(spark, d)
+    return count_persons(s.denominator()).withColumn("cohort", F.lit("denominator")).unionByName(
+        count_persons(s.numerator()).withColumn("cohort", F.lit("numerator")))

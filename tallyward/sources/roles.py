@@ -136,10 +136,15 @@ ROLES: dict[str, list[tuple[str, str, tuple[str, ...]]]] = {
 
 def role_views(spark: SparkSession, directory: str) -> SourceTables:
     """The role views as lazy DataFrames over the parquet tables of a directory."""
+    # each table is opened once, since opening reads file footers
+    tables = {
+        name: spark.read.parquet(f"{directory}/{name}.parquet")
+        for name in {table for legs in ROLES.values() for table, _, _ in legs}
+    }
 
     def leg(table: str, condition: str, columns: tuple[str, ...]) -> DataFrame:
-        source = spark.read.parquet(f"{directory}/{table}.parquet").where(condition)
-        return source.selectExpr(*(c.replace("{TS}", "TIMESTAMP_NTZ") for c in columns))
+        rows = tables[table] if condition == "TRUE" else tables[table].where(condition)
+        return rows.selectExpr(*(c.replace("{TS}", "TIMESTAMP_NTZ") for c in columns))
 
     return SourceTables(**{
         name: union_events(*(leg(*parts) for parts in legs)) for name, legs in ROLES.items()
