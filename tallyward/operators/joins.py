@@ -115,8 +115,8 @@ def semi(df: DataFrame, other: DataFrame, key: str) -> DataFrame:
 
 
 def semi_code(df: DataFrame, codes: DataFrame, code: Column, code_col: str = "code") -> DataFrame:
-    """Keep the rows whose normalised code is in the code set."""
-    listed = codes.select(F.col(code_col).alias("_code")).distinct()
+    """Keep the rows whose normalised code is in the code set (which may repeat codes)."""
+    listed = codes.select(F.col(code_col).alias("_code"))
     return df.join(listed, code == F.col("_code"), "left_semi")
 
 

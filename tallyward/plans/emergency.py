@@ -24,9 +24,8 @@ EVENT_COLUMNS = ("PatientSSN", "PatientSID", "ECEventSID", "ECEventDateTime", "T
 
 def cohort_sites(cohort: DataFrame, spatient: DataFrame) -> DataFrame:
     """Every site id of every cohort person."""
-    persons = cohort.select("PatientSSN").distinct()
     return spatient.select("PatientSSN", "PatientSID").join(
-        persons, "PatientSSN", "left_semi"
+        cohort.select("PatientSSN"), "PatientSSN", "left_semi"
     ).distinct()
 
 
@@ -65,7 +64,7 @@ def followup_stays(stays: DataFrame) -> DataFrame:
 
 def planned_events(stays: DataFrame, t: SourceTables) -> DataFrame:
     """Stays with a diagnosis or procedure that implies a planned admission."""
-    ids = stays.select("PatientSSN", F.col("ECEventSID").alias("InpatientSID")).distinct()
+    ids = stays.select("PatientSSN", F.col("ECEventSID").alias("InpatientSID"))
 
     def listed(bridge: DataFrame, dim: DataFrame, key: str, code: str, codes: DataFrame) -> DataFrame:
         wanted = semi_code(dim, _folded(codes), ci(strip_dots(code))).select(key)

@@ -37,7 +37,7 @@ def event_places(t: SourceTables, wanted: DataFrame) -> DataFrame:
     """
 
     def hits(source: str, fact: DataFrame, fact_id: str) -> DataFrame:
-        ids = wanted.filter(F.col("_source") == source).select(F.col("_id").alias(fact_id)).distinct()
+        ids = wanted.filter(F.col("_source") == source).select(F.col("_id").alias(fact_id))
         registry = source == "registry"
         return fact.join(ids, fact_id, "left_semi").select(
             F.lit(source).alias("_source"), F.col(fact_id).alias("_id"), "Sta3n",
@@ -112,7 +112,7 @@ def with_demographics(df: DataFrame, t: SourceTables, persons: DataFrame | None
     race = t.patient_race.select("PatientSID", race_group("Race").alias("_race"))
     ethnicity = t.patient_ethnicity.select("PatientSID", is_hispanic("Ethnicity").alias("_hispanic"))
     label = F.when(F.col("_hispanic"), HISPANIC).otherwise(F.col("_race"))
-    ids = (persons or df).select("PatientSID").distinct()
+    ids = (persons or df).select("PatientSID")
     cut = [r.join(ids, "PatientSID", "left_semi") for r in (person, race, ethnicity)]
     return inner_enrich(df, "PatientSID", *cut).withColumn("PatientRace", label)
 
