@@ -178,12 +178,13 @@ def route(df: DataFrame, tags: Sequence[str], branches: dict[tuple, Column], nam
     The branches are disjoint, so one CASE over one scan replaces one pass per
     branch.
     """
-    condition = lambda values: reduce(
-        lambda a, b: a & b, (F.col(t) == v for t, v in zip(tags, values, strict=True))
-    )
-    chosen = F.lit(None)
-    known = F.lit(False)
+
+    def tagged(values: tuple) -> Column:
+        equal = (F.col(t) == v for t, v in zip(tags, values, strict=True))
+        return reduce(lambda a, b: a & b, equal)
+
+    chosen, known = F.lit(None), F.lit(False)
     for values, expr in branches.items():
-        chosen = F.when(condition(values), expr).otherwise(chosen)
-        known = known | condition(values)
+        chosen = F.when(tagged(values), expr).otherwise(chosen)
+        known = known | tagged(values)
     return df.filter(known).withColumn(name, chosen)

@@ -77,8 +77,13 @@ class Study:
         return latest_dyads(self.index, self.emergency, -self.params.lookback_length_days)
 
     def active(self, included: DataFrame) -> DataFrame:
-        flagged = care_flags(included, self.bounds, self.params.carehx_length_months)
-        return active_only(flagged)
+        """Included rows of recently seen persons.
+
+        All index events of a person share one time, so the index gives each
+        included event the times its flags are made from.
+        """
+        months = self.params.carehx_length_months
+        return active_only(care_flags(included, self.bounds, months, diagnoses=self.index))
 
     def denominator(self) -> DataFrame:
         return enrich_denominator(stage(self.active(self.included), "active"), self.tables)

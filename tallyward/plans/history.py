@@ -6,9 +6,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tallyward.functions.dates import datediff_boundary
-from tallyward.functions.labels import flag_threshold
+from tallyward.functions.labels import flag_threshold, null_default
 from tallyward.functions.predicates import flag_on, in_list, not_in_default, not_sentinel
-from tallyward.functions.labels import null_default
 from tallyward.operators.firstlast import earliest_per_key, latest_per_key, time_bounds
 from tallyward.operators.joins import expand_identity, rejoin, role_dim
 from tallyward.operators.projections import tag, with_star
@@ -88,18 +87,21 @@ def care_bounds(sites: DataFrame, t: SourceTables, second_key: str | None = None
     )
 
 
-def care_flags(cohort: DataFrame, bounds: DataFrame, months: int) -> DataFrame:
+def care_flags(
+    cohort: DataFrame, bounds: DataFrame, months: int, diagnoses: DataFrame | None = None
+) -> DataFrame:
     """Attach the two flags: first visit long enough ago, last visit recent enough.
 
     Flags rejoin on person and event id. Should one event id stand for several
     diagnosis times, it carries the flags of each, in all combinations; the sets
-    hold 0 and 1 at most.
+    hold 0 and 1 at most. ``diagnoses`` may name a staged relation with the same
+    times per event, so that an unstaged cohort is evaluated once only.
     """
     dx = F.col("DiagnosisEventDateTime")
     before = flag_threshold(datediff_boundary("MONTH", F.col("first_visit"), dx), ">", months)
     after = flag_threshold(datediff_boundary("MONTH", F.col("last_visit"), dx), "<", months)
     flags = (
-        cohort.select(*FLAG_KEYS, "DiagnosisEventDateTime")
+        (diagnoses or cohort).select(*FLAG_KEYS, "DiagnosisEventDateTime")
         .join(bounds.filter(F.col("first_visit").isNotNull()), "PatientSSN", "inner")
         .groupBy(*FLAG_KEYS)
         .agg(F.collect_set(before).alias("_before"), F.collect_set(after).alias("_after"))
@@ -121,5 +123,8 @@ def flag_from_delta(cohort: DataFrame, delta: DataFrame, name: str, op: str, mon
 
 
 def active_only(flagged: DataFrame) -> DataFrame:
-    """Persons seen recently; the other flag is carried along but filters nothing."""
-    return flagged.filter(flag_on("HasPCPAfterCutOff")).distinct()
+    """Persons seen recently; the other flag is carried along but filters nothing.
+
+    Flagged rows are distinct already.
+    """
+    return flagged.filter(flag_on("HasPCPAfterCutOff"))

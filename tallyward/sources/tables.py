@@ -62,6 +62,10 @@ COLUMNS = {
 }
 
 
+def _is_dim(name: str) -> bool:
+    return name.startswith("dim_")
+
+
 @dataclass(frozen=True)
 class SourceTables:
     outpat_workload: DataFrame
@@ -89,9 +93,9 @@ class SourceTables:
         cls, spark: SparkSession, facts: str, dims: str | None = None
     ) -> SourceTables:
         """All relations as parquet; dimensions may live in a second directory."""
-        place = lambda name: (dims or facts) if name.startswith("dim_") else facts
         return cls(**{
-            name: read_source(spark, place(name), name, cols) for name, cols in COLUMNS.items()
+            name: read_source(spark, (dims or facts) if _is_dim(name) else facts, name, cols)
+            for name, cols in COLUMNS.items()
         })
 
     @classmethod
@@ -99,8 +103,8 @@ class SourceTables:
         cls, spark: SparkSession, schema: str, dim_schema: str | None = None
     ) -> SourceTables:
         """All relations as catalog tables; dimensions may live in a second schema."""
-        place = lambda name: (dim_schema or schema) if name.startswith("dim_") else schema
+        homes = {True: dim_schema or schema, False: schema}
         return cls(**{
-            name: spark.table(f"{place(name)}.{name}").select(*cols)
+            name: spark.table(f"{homes[_is_dim(name)]}.{name}").select(*cols)
             for name, cols in COLUMNS.items()
         })
