@@ -359,6 +359,20 @@ def test_sources_and_outputs(spark, tmp_path):
     assert values(lists, "code") == ["a", "a"]
 
 
+def test_catalog_tables_and_table_output(spark, tmp_path):
+    for schema in ("facts", "dims"):
+        spark.sql(f"CREATE DATABASE IF NOT EXISTS test_{schema} LOCATION '{tmp_path}/{schema}'")
+    try:
+        for name, df in vars(to_spark(spark, random_warehouse(3, False))).items():
+            write_output(df, f"test_{'dims' if name.startswith('dim_') else 'facts'}.{name}", table=True)
+        tables = SourceTables.from_catalog(spark, "test_facts", "test_dims")
+        assert {n: tuple(df.columns) for n, df in vars(tables).items()} == COLUMNS
+        assert tables.dim_icd10.count() == 7
+    finally:
+        for schema in ("facts", "dims"):
+            spark.sql(f"DROP DATABASE test_{schema} CASCADE")
+
+
 def test_report_lines(spark):
     summary = spark.createDataFrame([(5, 2, 1, 1, 0, 0, 3)], "denominator long, ep_numerator long, stage_i long, stage_ii long, stage_iii long, stage_iv long, stage_other long")
     summary = aggregates.add_sums(summary, {"ls_late": ["stage_iii", "stage_iv"]})
