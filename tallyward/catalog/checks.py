@@ -182,7 +182,7 @@ def cohort_sql(select: str, *, roles: bool = True, start: str = "2000-01-01") ->
 
 SUMMARY = """
     SELECT *, stage_i + stage_ii AS ls_early, stage_iii + stage_iv AS ls_late FROM (SELECT (SELECT count(DISTINCT PatientSSN) FROM den_output WHERE {reg}) AS denominator,
-      (SELECT count(DISTINCT PatientSSN) FROM num_output WHERE {reg}) AS ep_numerator,
+      (SELECT count(DISTINCT PatientSSN) FROM num_output WHERE {reg}) AS ep_cases,
       (SELECT count(DISTINCT PatientSSN) FROM den_output WHERE {reg} AND {stage} = 'I') AS stage_i,
       (SELECT count(DISTINCT PatientSSN) FROM den_output WHERE {reg} AND {stage} = 'II') AS stage_ii,
       (SELECT count(DISTINCT PatientSSN) FROM den_output WHERE {reg} AND {stage} = 'III') AS stage_iii,

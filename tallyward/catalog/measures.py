@@ -26,7 +26,7 @@ def measure_summary(spark, d):
     , summary AS ({SUMMARY})
     SELECT metric, value, metric || ': ' || value AS line FROM (
       SELECT 'Total Cancer Diagnoses' AS metric, denominator AS value FROM summary
-      UNION ALL SELECT 'EP Numerator', ep_numerator FROM summary
+      UNION ALL SELECT 'EP Numerator', ep_cases FROM summary
       UNION ALL SELECT 'LS Numerator (Stage III and IV presentations)', ls_late FROM summary
       UNION ALL SELECT 'Stage I Presentations', stage_i FROM summary
       UNION ALL SELECT 'Stage II Presentations', stage_ii FROM summary

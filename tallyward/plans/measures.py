@@ -32,7 +32,7 @@ COLON_EXCLUSIONS = (
 )
 REPORT_LABELS = {
     "denominator": "Total Cancer Diagnoses",
-    "ep_numerator": "EP Numerator",
+    "ep_cases": "EP Numerator",
     "ls_late": "LS Numerator (Stage III and IV presentations)",
     "stage_i": "Stage I Presentations",
     "stage_ii": "Stage II Presentations",
@@ -60,12 +60,12 @@ def measure_summary(denominator: DataFrame, numerator: DataFrame) -> DataFrame:
     deduplicated and counted together. Early and late are sums of stage counts.
     """
     of_denominator = {"denominator": F.lit(True), **stage_strata()}
-    of_numerator = {"ep_numerator": F.lit(True)}
+    of_numerator = {"ep_cases": F.lit(True)}
     pairs = union_events(
         tagged_distinct(registry_rows(denominator), "PatientSSN", of_denominator),
         tagged_distinct(registry_rows(numerator), "PatientSSN", of_numerator),
     )
-    counts = count_strata(pairs, ["denominator", "ep_numerator", *stage_strata()])
+    counts = count_strata(pairs, ["denominator", "ep_cases", *stage_strata()])
     return add_sums(counts, {
         "ls_early": ["stage_i", "stage_ii"], "ls_late": ["stage_iii", "stage_iv"],
     })

@@ -374,7 +374,7 @@ def test_catalog_tables_and_table_output(spark, tmp_path):
 
 
 def test_report_lines(spark):
-    summary = spark.createDataFrame([(5, 2, 1, 1, 0, 0, 3)], "denominator long, ep_numerator long, stage_i long, stage_ii long, stage_iii long, stage_iv long, stage_other long")
+    summary = spark.createDataFrame([(5, 2, 1, 1, 0, 0, 3)], "denominator long, ep_cases long, stage_i long, stage_ii long, stage_iii long, stage_iv long, stage_other long")
     summary = aggregates.add_sums(summary, {"ls_late": ["stage_iii", "stage_iv"]})
     lines = [r["line"] for r in measures.measure_report(summary).collect()]
     assert lines[0] == "Total Cancer Diagnoses: 5" and lines[-1] == 'Stage "Other" Presentations: 3' and len(lines) == 8
