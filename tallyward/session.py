@@ -1,11 +1,14 @@
 """Session settings the library is tuned for.
 
 On a cluster the session is the caller's; these are the settings we
-recommend. Nothing in the library changes a session it is given.
+recommend. Nothing in the library changes the settings of a session it is given.
 """
 
 from __future__ import annotations
 
+import os
+import tempfile
+
 from pyspark.sql import SparkSession
 
 RECOMMENDED = {
@@ -19,12 +22,15 @@ RECOMMENDED = {
 
 
 def local_session(cpus: int = 8, app: str = "tallyward") -> SparkSession:
+    """A session on this machine, for tests and the bench, with a stage folder of its own."""
     builder = (
         SparkSession.builder.master(f"local[{cpus}]")
         .appName(app)
         .config("spark.sql.shuffle.partitions", str(cpus))
         .config("spark.ui.enabled", "false")
         .config("spark.driver.memory", "8g")
+        .config("spark.checkpoint.dir",
+                os.environ.get("TALLYWARD_STAGES") or tempfile.mkdtemp(prefix="tallyward-"))
     )
     builder = builder.config("spark.python.sql.dataFrameDebugging.enabled", "false")
     for key, value in RECOMMENDED.items():

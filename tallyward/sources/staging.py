@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -11,28 +10,27 @@ from pyspark.sql import types as T
 
 
 def stage_root(spark: SparkSession) -> str:
-    """The shared folder stages go to: the session's ``spark.checkpoint.dir``.
+    """The shared folder stages go to: the session's checkpoint folder.
 
-    Only a local session without the setting gets a temporary folder; a cluster
-    must name shared storage, or a lost machine would take its stages with it.
+    That is ``spark.checkpoint.dir`` or what the caller gave to
+    ``setCheckpointDir``. The library chooses none: a session without one is an
+    error, whatever its master.
     """
-    context = spark.sparkContext
-    folder = spark.conf.get("spark.checkpoint.dir", None) or context.getCheckpointDir()
+    folder = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if not folder:
-        if not context.master.startswith("local"):
-            raise ValueError("set spark.checkpoint.dir to a folder all executors share")
-        context.setCheckpointDir(tempfile.mkdtemp(prefix="tallyward-"))
-        folder = context.getCheckpointDir()
+        raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
     return f"{folder.rstrip('/')}/tallyward"
 
 
-def stage(df: DataFrame, name: str) -> DataFrame:
+def stage(df: DataFrame, name: str, folder: str | None = None) -> DataFrame:
     """Write a result used several times and read it back.
 
     Cuts the lineage on storage that outlives executors. Since the written size
-    is known, Spark broadcasts a stage exactly when it is small.
+    is known, Spark broadcasts a stage exactly when it is small. ``folder``
+    overrides the session's.
     """
-    path = f"{stage_root(df.sparkSession)}/{name}-{uuid.uuid4().hex}"
+    root = folder.rstrip("/") if folder else stage_root(df.sparkSession)
+    path = f"{root}/{name}-{uuid.uuid4().hex}"
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
