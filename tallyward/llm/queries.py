@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tallyward.llm import bpe, langid, packing
+from tallyward.llm import bpe, chunks, langid, notices, packing, simhash, toxicity
 from tallyward.llm.common import fold, table
 
 Build = Callable[[SparkSession, str], DataFrame]
@@ -28,6 +28,38 @@ def op2_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.round_trip(table(spark, sf_dir, "documents"), path, public_tokenizers.PATTERN)
 
 
+@query
+def op3_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Toxicity, learned from the labelled documents of two folds in three."""
+    docs = table(spark, sf_dir, "documents")
+    held_out = fold(F.col("doc_id"), 3) == 1
+    model = toxicity.fit(docs.where(~held_out), table(spark, sf_dir, "labels"))
+    return toxicity.score(docs, model).select(
+        "doc_id", held_out.alias("held_out"), "score", (F.col("score") >= 0.7).cast("int").alias("predicted"),
+        F.size("passages").alias("n_passages"))
+
+
+@query
+def op5_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Texts without passages that another document keeps."""
+    found = chunks.deduplicate(table(spark, sf_dir, "documents"))
+    gone = F.aggregate("removed", F.lit(0).cast("long"), lambda n, s: n + s["end"] - s["start"])
+    return found.select("doc_id", "text", F.size("removed").alias("n_removed"), gone.alias("removed_bytes"))
+
+
+@query
+def op6_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Exact base phrases and notices with small errors."""
+    return notices.scan(table(spark, sf_dir, "documents"))
+
+
+@query
+def op7_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Components of documents whose fingerprints differ in 4 bits at most."""
+    found = simhash.near_duplicates(table(spark, sf_dir, "documents"), size=4, radius=4)
+    return found.select("doc_id", F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"), "component_id")
+
+
 @query
 def op8_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Languages, learned from the documents of three folds in four."""
