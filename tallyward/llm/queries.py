@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tallyward.llm import bpe, chunks, langid, notices, packing, simhash, toxicity
+from tallyward.llm import bpe, chunks, langid, lm, notices, packing, simhash, toxicity
 from tallyward.llm.common import fold, table
 
 Build = Callable[[SparkSession, str], DataFrame]
@@ -39,6 +39,15 @@ def op3_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.size("passages").alias("n_passages"))
 
 
+@query
+def op4_ngram_lm(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Unigram and n-gram scores, learned from the documents of six folds in seven."""
+    docs = table(spark, sf_dir, "documents")
+    held_out = fold(F.col("doc_id"), 7) == 2
+    found = lm.score(docs, lm.fit(docs.where(~held_out)))
+    return found.withColumn("held_out", held_out)
+
+
 @query
 def op5_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Texts without passages that another document keeps."""
