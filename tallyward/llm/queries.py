@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tallyward.llm import bpe, chunks, langid, lm, notices, packing, simhash, toxicity
+from tallyward.llm import bpe, chunks, langid, lm, notices, packing, rarity, simhash, topk, toxicity
 from tallyward.llm.common import fold, table
 
 Build = Callable[[SparkSession, str], DataFrame]
@@ -83,3 +83,32 @@ def op9_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Pieces of all documents in sequences of at most 2048 ids."""
     path = public_tokenizers.path("word_bpe_49k.json")
     return packing.pack(table(spark, sf_dir, "documents"), path, with_ids=False)
+
+
+@query
+def op10_fingerprint(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Fingerprints of texts and edited texts, and how alike they and the next text's are."""
+    return rarity.with_next(table(spark, sf_dir, "documents"))
+
+
+@query
+def op1_topk_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The 20 highest inner products of each vector whose id is divisible by 20."""
+    vectors = topk.integral(table(spark, sf_dir, "embeddings"), key="vec_id", vector="embedding", scale=64)
+    return topk.search(vectors.where(F.col("vec_id") % 20 == 0), vectors, 20)
+
+
+ORACLE_SQL["op1_topk_search"] = """
+WITH valid AS (
+    SELECT DISTINCT vec_id, list_transform(embedding, lambda x : floor(64 * x::DOUBLE)) AS v
+    FROM embeddings
+    WHERE embedding IS NOT NULL AND vec_id IS NOT NULL
+      AND len(list_filter(embedding, lambda x : x IS NULL OR NOT isfinite(x))) = 0
+), scored AS (
+    SELECT q.vec_id AS query_id, c.vec_id, CAST(list_inner_product(q.v, c.v) AS BIGINT) AS score
+    FROM valid q, valid c WHERE q.vec_id % 20 = 0 AND q.vec_id <> c.vec_id
+), ranked AS (
+    SELECT *, CAST(row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS INTEGER) AS rank FROM scored
+)
+SELECT query_id, rank, vec_id, score FROM ranked WHERE rank <= 20
+"""
