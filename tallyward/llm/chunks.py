@@ -25,7 +25,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tallyward.llm.common import blocks
+from tallyward.llm.common import blocks, unused
 from tallyward.sources.staging import stage
 
 WORD_BITS = 2
@@ -135,15 +135,16 @@ def remove_runs(text: str, places: list[int], least_words: int) -> tuple[str, li
 
 
 def deduplicate(
-    docs: DataFrame, *, text: str = "text", key: str = "doc_id", least_words: int = LEAST_WORDS,
+    docs: DataFrame, *, text: str = "text", key: str = "doc_id", least_words: int = LEAST_WORDS, removed: str = "removed",
 ) -> DataFrame:
     """All rows and columns of ``docs`` with the text cut, and ``removed``: the spans, in bytes of the old text.
 
     A column of that name in ``docs`` is replaced.
     """
-    places = repeated_places(docs, text=text, key=key).withColumnRenamed("doc_id", "_doc")
-    columns = [c for c in docs.columns if c != "removed"]
-    joined = docs.select(*columns).join(places, F.col(key).cast("long") == F.col("_doc"), "left")
+    columns = [c for c in docs.columns if c.lower() != removed.lower()]
+    own, marks = unused(docs, "cut_doc"), unused(docs, "places")
+    places = repeated_places(docs, text=text, key=key).withColumnsRenamed({"doc_id": own, "places": marks})
+    joined = docs.select(*columns).join(places, docs[key].cast("long") == F.col(own), "left")
     at = {c: i for i, c in enumerate(columns)}
     spans = "array<struct<start:bigint,end:bigint>>"
 
@@ -153,12 +154,12 @@ def deduplicate(
             null = batch.column(text).is_null().to_pylist()
             done = [
                 remove_runs(t, p, least_words) if p else (t, [])
-                for t, p in zip(texts, batch.column("places").to_pylist(), strict=True)
+                for t, p in zip(texts, batch.column(marks).to_pylist(), strict=True)
             ]
             arrays = [batch.column(c) for c in columns]
             arrays[at[text]] = pa.array([None if n else d[0] for n, d in zip(null, done, strict=True)], pa.string())
             arrays.append(pa.array([[{"start": a, "end": b} for a, b in d[1]] for d in done], kind))
-            yield pa.RecordBatch.from_arrays(arrays, names=[*columns, "removed"])
+            yield pa.RecordBatch.from_arrays(arrays, names=[*columns, removed])
 
     fields = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in docs.select(*columns).schema)
-    return joined.select(*columns, "places").mapInArrow(run, f"{fields}, removed {spans}")
+    return joined.select(*columns, marks).mapInArrow(run, f"{fields}, `{removed}` {spans}")

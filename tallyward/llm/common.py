@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import zlib
-from collections.abc import Iterable, Iterator
+from collections.abc import Callable, Iterable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -53,3 +53,34 @@ def lower_bytes(text: str) -> bytes:
 
 def crc32(data: bytes) -> int:
     return zlib.crc32(data)
+
+
+def unused(df: DataFrame, name: str) -> str:
+    """A column name that ``df`` does not have, whatever the case of its names."""
+    taken = {c.lower() for c in df.columns}
+    while name.lower() in taken:
+        name = f"_{name}"
+    return name
+
+
+def with_columns(
+    docs: DataFrame, text: str, prepare: Callable[[], Callable[[str], tuple]], fields: pa.Schema, types: str,
+) -> DataFrame:
+    """All columns of ``docs`` and those that a function of the text gives.
+
+    ``prepare`` runs once in a task and returns the function. A column of ``docs``
+    with the name of a new one is replaced.
+    """
+    new = {f.name.lower() for f in fields}
+    kept = [c for c in docs.columns if c.lower() not in new or c == text]
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        function = prepare()
+        for batch, texts in blocks(batches, text):
+            columns = list(zip(*map(function, texts), strict=True))
+            yield pa.RecordBatch.from_arrays(
+                [batch.column(c) for c in kept] + [pa.array(c, f.type) for c, f in zip(columns, fields, strict=True)],
+                names=[*kept, *fields.names])
+
+    own = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in docs.select(*kept).schema)
+    return docs.select(*kept).mapInArrow(run, f"{own}, {types}")

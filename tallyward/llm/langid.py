@@ -21,7 +21,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from tallyward.llm.common import blocks, record_batch
+from tallyward.llm.common import blocks, record_batch, with_columns
 
 UNKNOWN = "und"
 WORD = re.compile(r"[^\W\d_]+")
@@ -155,18 +155,10 @@ def fit(
     return LanguageModel(languages, index, logs)
 
 
-def identify(docs: DataFrame, model: LanguageModel, *, text: str = "text", key: str = "doc_id") -> DataFrame:
-    """``key``, lang_pred and score of each row, over whole texts."""
+def identify(
+    docs: DataFrame, model: LanguageModel, *, text: str = "text", names: tuple[str, str] = ("lang_pred", "score"),
+) -> DataFrame:
+    """``docs`` with the language of each whole text and the score, under ``names``."""
     shared = docs.sparkSession.sparkContext.broadcast(model)
-    source = docs.select(F.col(key).alias("key"), F.col(text).cast("string").alias("text"))
-    key_type = source.schema["key"].dataType.simpleString()
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        own = shared.value
-        for batch, texts in blocks(batches):
-            found = [own.predict(t) for t in texts]
-            yield pa.RecordBatch.from_arrays(
-                [batch.column("key"), pa.array([f[0] for f in found], pa.string()), pa.array([f[1] for f in found], pa.float64())],
-                names=["key", "lang_pred", "score"])
-
-    return source.mapInArrow(run, f"key {key_type}, lang_pred string, score double").withColumnRenamed("key", key)
+    fields = pa.schema([(names[0], pa.string()), (names[1], pa.float64())])
+    return with_columns(docs, text, lambda: shared.value.predict, fields, f"`{names[0]}` string, `{names[1]}` double")

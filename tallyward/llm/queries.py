@@ -8,6 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+import corpus_pipeline
 from tallyward.llm import bpe, chunks, langid, lm, notices, packing, rarity, simhash, topk, toxicity
 from tallyward.llm.common import fold, table
 
@@ -34,7 +35,7 @@ def op3_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     held_out = fold(F.col("doc_id"), 3) == 1
     model = toxicity.fit(docs.where(~held_out), table(spark, sf_dir, "labels"))
-    return toxicity.score(docs, model).select(
+    return toxicity.score(docs.select("doc_id", "text"), model).select(
         "doc_id", held_out.alias("held_out"), "score", (F.col("score") >= 0.7).cast("int").alias("predicted"),
         F.size("passages").alias("n_passages"))
 
@@ -66,7 +67,7 @@ def op6_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op7_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Components of documents whose fingerprints differ in 4 bits at most."""
     found = simhash.near_duplicates(table(spark, sf_dir, "documents"), size=4, radius=4)
-    return found.select("doc_id", F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"), "component_id")
+    return found.select("doc_id", F.lpad(F.lower(F.hex("node")), 16, "0").alias("fingerprint"), "component_id")
 
 
 @query
@@ -75,7 +76,7 @@ def op8_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     held_out = fold(F.col("doc_id"), 4) == 2
     model = langid.fit(docs.where(~held_out))
-    return langid.identify(docs, model).select("doc_id", held_out.alias("held_out"), "lang_pred", "score")
+    return langid.identify(docs.select("doc_id", "text"), model).select("doc_id", held_out.alias("held_out"), "lang_pred", "score")
 
 
 @query
@@ -112,3 +113,9 @@ WITH valid AS (
 )
 SELECT query_id, rank, vec_id, score FROM ranked WHERE rank <= 20
 """
+
+
+@query
+def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All stages of the corpus pipeline."""
+    return corpus_pipeline.run(spark, sf_dir)

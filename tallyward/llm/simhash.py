@@ -1,11 +1,15 @@
 """Near-duplicates by SimHash: exact comparison of fingerprints tile by tile.
 
-A fingerprint sums the bits of the 64-bit hashes of a text's word shingles.
-Distinct fingerprints are laid in tiles by the bit counts of their two halves;
-fingerprints whose counts differ by more than the radius cannot be near, so only
-tiles within it meet. Two tiles are compared whole, by exclusive-or and bit
-counts, and give a forest of their links instead of all pairs: copies by the
-thousand cost no more rows than fingerprints. Components join the forests.
+A fingerprint sums the bits of the 64-bit hashes of a text's word shingles; wider
+ones take several hashes of each shingle. Distinct fingerprints are laid in tiles
+by the bit counts of the two halves of their first word; fingerprints whose counts
+differ by more than the radius cannot be near, so only tiles within it meet. Two
+tiles are compared whole, by exclusive-or and bit counts, and give a forest of
+their nearest links instead of all pairs: copies by the thousand cost no more rows
+than fingerprints. Components join the forests.
+
+With ``similarity``, the links of the forests are verified by the Jaccard
+similarity of the shingle sets before they join anything.
 
 Defined results: NULL, empty and blank texts have fingerprint zero and are linked
 like others; texts with fewer words than a shingle hash their whole sequence.
@@ -23,7 +27,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tallyward.llm.common import blocks, lower_bytes
+from tallyward.llm.common import blocks, lower_bytes, record_batch
 from tallyward.llm.components import components
 from tallyward.sources.staging import stage
 
@@ -44,32 +48,40 @@ def shingles(words: list[bytes], size: int) -> list[bytes]:
     return [joined[a:b] for a, b in zip(starts, (ends[size - 1:] - 1).tolist() or [len(joined)], strict=False)]
 
 
-def fingerprint(text: str, size: int) -> int:
-    """Unsigned: each bit is set that more than half of the shingle hashes have."""
+def fingerprint(text: str, size: int, words: int = 1) -> np.ndarray:
+    """Unsigned words: each bit is set that more than half of the shingle hashes have."""
     parts = shingles(lower_bytes(text).split(), size)
     if not parts:
-        return 0
+        return np.zeros(words, dtype=np.uint64)
     digest = xxhash.xxh64_intdigest
-    hashes = np.array([digest(p, SEED) for p in parts], dtype="<u8")
-    counts = np.unpackbits(hashes.view(np.uint8).reshape(-1, 8), axis=1, bitorder="little").sum(axis=0, dtype=np.int64)
-    return int(np.packbits(2 * counts > len(parts), bitorder="little").view("<u8")[0])
+    found = []
+    for seed in range(SEED, SEED + words):
+        hashes = np.array([digest(p, seed) for p in parts], dtype="<u8")
+        counts = np.unpackbits(hashes.view(np.uint8).reshape(-1, 8), axis=1, bitorder="little").sum(axis=0, dtype=np.int64)
+        found.append(np.packbits(2 * counts > len(parts), bitorder="little").view("<u8")[0])
+    return np.array(found, dtype=np.uint64)
+
 
+def fingerprints(docs: DataFrame, *, text: str = "text", key: str = "doc_id", size: int = 4, words: int = 1) -> DataFrame:
+    """doc_id, fp (64 bits to a long) and node, a long that names the fingerprint, of each whole text.
 
-def fingerprints(docs: DataFrame, *, text: str = "text", key: str = "doc_id", size: int = 4) -> DataFrame:
-    """doc_id and fp, the fingerprint's 64 bits as a long, of each whole text."""
+    The node of a one-word fingerprint is that word, of a wider one its hash.
+    """
     source = docs.select(F.col(key).cast("long").alias("doc_id"), F.col(text).cast("string").alias("text"))
+    schema = pa.schema([("doc_id", pa.int64()), ("fp", pa.list_(pa.int64())), ("node", pa.int64())])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch, texts in blocks(batches):
-            found = np.array([fingerprint(t, size) for t in texts], dtype=np.uint64)
-            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array(found.view(np.int64))], names=["doc_id", "fp"])
+            found = [fingerprint(t, size, words).view(np.int64) for t in texts]
+            nodes = [f[0] for f in found] if words == 1 else [
+                np.uint64(xxhash.xxh3_64_intdigest(f.tobytes())).view(np.int64) for f in found]
+            yield record_batch(schema, [batch.column("doc_id"), found, np.array(nodes, dtype=np.int64)])
 
-    return source.mapInArrow(run, "doc_id long, fp long")
+    return source.mapInArrow(run, "doc_id long, fp array<long>, node long")
 
 
-def roots(count: int, a: np.ndarray, b: np.ndarray, root: np.ndarray | None = None) -> np.ndarray:
-    """The least node of each node's component, of links a-b among ``count`` nodes."""
-    root = np.arange(count) if root is None else root
+def roots(a: np.ndarray, b: np.ndarray, root: np.ndarray) -> np.ndarray:
+    """``root``, each node's least known companion, after the links a-b."""
     while len(a):
         ra, rb = root[a], root[b]
         differ = ra != rb
@@ -85,86 +97,144 @@ def roots(count: int, a: np.ndarray, b: np.ndarray, root: np.ndarray | None = No
     return root
 
 
-def forest(left: np.ndarray, right: np.ndarray | None, radius: int) -> tuple[np.ndarray, np.ndarray]:
-    """Links that span all pairs within ``radius``: of one tile, or between two."""
-    both = left if right is None else np.concatenate([left, right])
+def spanning(count: int, a: np.ndarray, b: np.ndarray, apart: np.ndarray) -> np.ndarray:
+    """Numbers of the links of a forest of least distances: each tree takes its nearest link, until none is left."""
+    order = np.argsort(apart, kind="stable")
+    root, chosen = np.arange(count), []
+    while len(order):
+        ra, rb = root[a[order]], root[b[order]]
+        differ = ra != rb
+        order, ra, rb = order[differ], ra[differ], rb[differ]
+        if not len(order):
+            break
+        first = np.full(count, len(order))
+        place = np.arange(len(order))
+        np.minimum.at(first, ra, place)
+        np.minimum.at(first, rb, place)
+        picked = order[np.unique(first[first < len(order)])]
+        chosen.append(picked)
+        root = roots(a[picked], b[picked], root)
+    return np.concatenate(chosen) if chosen else np.zeros(0, dtype=np.int64)
+
+
+def forest(left: np.ndarray, right: np.ndarray | None, radius: int, first_radius: int) -> tuple[np.ndarray, np.ndarray]:
+    """Row pairs (a, b) that span all links within ``radius``; b counts on from the left tile's rows.
+
+    Tiles are rows of words; pairs whose first words differ in more than
+    ``first_radius`` bits are passed over.
+    """
     other, shift = (left, 0) if right is None else (right, len(left))
-    root, a, b, held = None, [], [], 0
+    count = len(left) + (0 if right is None else len(right))
+    a, b, d = (np.zeros(0, dtype=np.int64) for _ in range(3))
+    held: list[tuple] = []
     for start in range(0, len(left), ROWS_AT_ONCE):
         rows = left[start:start + ROWS_AT_ONCE]
         first = start if right is None else 0
-        near = np.bitwise_count(rows[:, None] ^ other[None, first:]) <= radius
-        i, j = np.nonzero(near)
-        a.append(i + start)
-        b.append(j + first + shift)
-        held += len(i)
-        if held > MOST_LINKS:  # a large group: fold what is known
-            root = roots(len(both), np.concatenate(a), np.concatenate(b), root)
-            a, b, held = [], [], 0
-    root = roots(len(both), np.concatenate(a), np.concatenate(b), root) if a or root is None and len(both) else root
-    if root is None:
-        return both[:0], both[:0]
-    tied = np.flatnonzero(root != np.arange(len(both)))
-    return both[tied], both[root[tied]]
-
-
-def links(distinct: DataFrame, radius: int, tile: int = TILE) -> DataFrame:
-    """u and v: links among distinct fingerprints (column fp) that span their components."""
+        apart = np.bitwise_count(rows[:, None, 0] ^ other[None, first:, 0])
+        i, j = np.nonzero(apart <= first_radius)
+        apart = apart[i, j].astype(np.int64)
+        for word in range(1, left.shape[1]):
+            apart += np.bitwise_count(rows[i, word] ^ other[first + j, word])
+        near = (apart <= radius) & ((right is not None) | (i + start < j + first))
+        held.append((i[near] + start, j[near] + first + shift, apart[near]))
+        if sum(len(h[0]) for h in held) > MOST_LINKS or start + ROWS_AT_ONCE >= len(left):
+            a, b, d = (np.concatenate([x, *(h[k] for h in held)]) for k, x in enumerate((a, b, d)))
+            kept = spanning(count, a, b, d)
+            a, b, d, held = a[kept], b[kept], d[kept], []
+    return a, b
+
+
+def links(distinct: DataFrame, radius: int, first_radius: int | None = None, tile: int = TILE) -> DataFrame:
+    """u and v: links among distinct fingerprints (fp, node) that span their components."""
     spark = distinct.sparkSession
-    placed = distinct.select("fp", high().alias("hi"), low().alias("lo"))
+    reach = radius if first_radius is None else first_radius
+    # cells of the counts of both halves; wide radii take wide cells, or all would meet all
+    step = max(1, reach - 3)
+    word = F.element_at("fp", 1)
+    high = F.bit_count(F.shiftrightunsigned(word, 32)).cast("int")
+    low = F.bit_count(word.bitwiseAND(F.lit((1 << 32) - 1))).cast("int")
+    placed = distinct.select(
+        "fp", "node", F.floor(high / step).cast("int").alias("hi"), F.floor(low / step).cast("int").alias("lo"))
     # at most 33 x 33 cells, whatever the number of fingerprints
     cells = placed.groupBy("hi", "lo").agg(F.count("*").alias("n")).collect()
     sizes = spark.createDataFrame(
         [(r["hi"], r["lo"], -(-r["n"] // tile)) for r in cells], "hi int, lo int, tiles int")
     numbered = placed.join(F.broadcast(sizes), ["hi", "lo"]).withColumn(
-        "part", F.pmod(F.xxhash64("fp"), F.col("tiles")).cast("int"))
-    tiles = stage(numbered.groupBy("hi", "lo", "part").agg(F.collect_list("fp").alias("fps")).withColumn(
+        "part", F.pmod(F.xxhash64("node"), F.col("tiles")).cast("int"))
+    tiles = stage(numbered.groupBy("hi", "lo", "part").agg(F.collect_list(F.struct("node", "fp")).alias("rows")).withColumn(
         "tile", tile_id(F.col("hi"), F.col("lo"), F.col("part"))), "simhash-tiles")
-    steps = [(dh, dl) for dh in range(-radius, radius + 1) for dl in range(-radius, radius + 1) if abs(dh) + abs(dl) <= radius]
+
+    def least(cells_apart: int) -> int:
+        return max(0, abs(cells_apart) * step - (step - 1))
+
+    span = range(-33, 34)
+    steps = [(dh, dl) for dh in span for dl in span if least(dh) + least(dl) <= reach]
     near = F.explode(F.array(*(F.struct(F.lit(dh).alias("dh"), F.lit(dl).alias("dl")) for dh, dl in steps)))
-    reach = tiles.select(F.col("tile").alias("a"), "hi", "lo", near.alias("step")).select(
+    around = tiles.select(F.col("tile").alias("a"), "hi", "lo", near.alias("step")).select(
         "a", (F.col("hi") + F.col("step.dh")).alias("hi"), (F.col("lo") + F.col("step.dl")).alias("lo"))
-    pairs = reach.join(F.broadcast(sizes), ["hi", "lo"]).select(
+    pairs = around.join(F.broadcast(sizes), ["hi", "lo"]).select(
         "a", "hi", "lo", F.explode(F.sequence(F.lit(0), F.col("tiles") - 1)).alias("part")).select(
         "a", tile_id(F.col("hi"), F.col("lo"), F.col("part")).alias("b")).where("a <= b")
-    met = pairs.join(tiles.select(F.col("tile").alias("a"), F.col("fps").alias("left_fps")), "a").join(
-        tiles.select(F.col("tile").alias("b"), F.col("fps").alias("right_fps")), "b").select(
-        (F.col("a") == F.col("b")).alias("same"), "left_fps", "right_fps")
+    met = pairs.join(tiles.select(F.col("tile").alias("a"), F.col("rows").alias("left_rows")), "a").join(
+        tiles.select(F.col("tile").alias("b"), F.col("rows").alias("right_rows")), "b").select(
+        (F.col("a") == F.col("b")).alias("same"), "left_rows", "right_rows")
+
+    def words(rows: pa.StructScalar) -> tuple[np.ndarray, np.ndarray]:
+        nodes, fps = rows.values.field("node").to_numpy(), rows.values.field("fp").flatten().to_numpy()
+        return nodes, fps.view(np.uint64).reshape(len(nodes), -1)
 
     def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            same = batch.column("same").to_pylist()
-            sides = batch.column("left_fps"), batch.column("right_fps")
-            for i, one in enumerate(same):
-                left, right = (s[i].values.to_numpy().view(np.uint64) for s in sides)
-                u, v = forest(left, None if one else right, radius)
-                if len(u):
-                    yield pa.RecordBatch.from_arrays([pa.array(u.view(np.int64)), pa.array(v.view(np.int64))], names=["u", "v"])
+            for i, one in enumerate(batch.column("same").to_pylist()):
+                nodes, left = words(batch.column("left_rows")[i])
+                theirs, right = words(batch.column("right_rows")[i])
+                a, b = forest(left, None if one else right, radius, reach)
+                if not one:
+                    nodes = np.concatenate([nodes, theirs])
+                if len(a):
+                    yield pa.RecordBatch.from_arrays([pa.array(nodes[a]), pa.array(nodes[b])], names=["u", "v"])
 
     return met.mapInArrow(compare, "u long, v long")
 
 
-def high() -> Column:
-    return F.bit_count(F.shiftrightunsigned("fp", 32)).cast("int")
+def tile_id(hi: Column, lo: Column, part: Column) -> Column:
+    return (hi * 33 + lo).cast("long") * F.lit(1 << 32) + part
 
 
-def low() -> Column:
-    return F.bit_count(F.col("fp").bitwiseAND(F.lit((1 << 32) - 1))).cast("int")
+def verified(found: DataFrame, distinct: DataFrame, docs: DataFrame, similarity: float, size: int, text: str, key: str) -> DataFrame:
+    """The links whose documents' shingle sets are as similar as asked."""
+    ends = found.select(F.col("u").alias("node")).unionByName(found.select(F.col("v").alias("node"))).distinct()
+    wanted = distinct.join(ends, "node").select("node", F.col("least").alias("doc_id"))
+    texts = docs.select(F.col(key).cast("long").alias("doc_id"), F.col(text).cast("string").alias("text")).join(wanted, "doc_id")
+    schema = pa.schema([("node", pa.int64()), ("set", pa.list_(pa.int64()))])
 
+    def sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        digest = xxhash.xxh3_64_intdigest
+        for batch, values in blocks(batches):
+            rows = [np.array(sorted({digest(p) for p in shingles(lower_bytes(t).split(), size)}), dtype=np.uint64) for t in values]
+            yield record_batch(schema, [batch.column("node"), [r.view(np.int64) for r in rows]])
 
-def tile_id(hi: Column, lo: Column, part: Column) -> Column:
-    return (hi * 33 + lo).cast("long") * F.lit(1 << 32) + part
+    by_node = stage(texts.select("node", "text").mapInArrow(sets, "node long, set array<long>").dropDuplicates(["node"]), "simhash-sets")
+    both = found.join(by_node.withColumnsRenamed({"node": "u", "set": "one"}), "u").join(
+        by_node.withColumnsRenamed({"node": "v", "set": "two"}), "v")
+    common = F.size(F.array_intersect("one", "two"))
+    union = F.size("one") + F.size("two") - common
+    return both.where((union == 0) | (common >= F.lit(similarity) * union)).select("u", "v")
 
 
 def near_duplicates(
-    docs: DataFrame, *, text: str = "text", key: str = "doc_id", size: int = 4, radius: int = 4, tile: int = TILE,
+    docs: DataFrame, *, text: str = "text", key: str = "doc_id", size: int = 4, radius: int = 4, words: int = 1,
+    first_radius: int | None = None, similarity: float | None = None, tile: int = TILE,
 ) -> DataFrame:
-    """doc_id, fp and component_id, the least doc_id reachable over links, of each document."""
-    prints = stage(fingerprints(docs, text=text, key=key, size=size), "simhash-prints")
-    distinct = stage(prints.groupBy("fp").agg(F.min("doc_id").alias("least")), "simhash-distinct")
-    found = components(links(distinct, radius, tile), "simhash-components")
-    rooted = stage(distinct.join(found.withColumnRenamed("node", "fp"), "fp", "left").select(
-        "fp", "least", F.coalesce("root", "fp").alias("root")), "simhash-roots")
+    """doc_id, fp, node and component_id, the least doc_id reachable over links, of each document."""
+    prints = stage(fingerprints(docs, text=text, key=key, size=size, words=words), "simhash-prints")
+    distinct = stage(prints.groupBy("node").agg(F.min("fp").alias("fp"), F.min("doc_id").alias("least")), "simhash-distinct")
+    found = links(distinct, radius, first_radius, tile)
+    if similarity is not None:
+        found = verified(stage(found, "simhash-links"), distinct, docs, similarity, size, text, key)
+    joined = components(found, "simhash-components")
+    rooted = stage(distinct.join(joined, "node", "left").select(
+        "node", "least", F.coalesce("root", "node").alias("root")), "simhash-roots")
     least = rooted.groupBy("root").agg(F.min("least").alias("component_id"))
-    classes = stage(rooted.join(least, "root").select("fp", "component_id"), "simhash-classes")
-    return prints.join(classes, "fp").select("doc_id", "fp", "component_id")
+    classes = stage(rooted.join(least, "root").select("node", "component_id"), "simhash-classes")
+    return prints.join(classes, "node").select("doc_id", "fp", "node", "component_id")

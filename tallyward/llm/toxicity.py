@@ -21,7 +21,7 @@ from __future__ import annotations
 import math
 import re
 from collections import Counter
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from dataclasses import dataclass, field
 
 import numpy as np
@@ -29,7 +29,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tallyward.llm.common import blocks, record_batch
+from tallyward.llm.common import blocks, with_columns
 
 TOKENS = re.compile(r"[^\W\d_]+").findall
 FLAT_PRIOR = 0.5
@@ -224,23 +224,23 @@ def fit(
     return model
 
 
-def score(docs: DataFrame, model: ToxicityModel, *, text: str = "text", key: str = "doc_id") -> DataFrame:
-    """``key``, score, and the significant passages (first token, tokens, excess) of each whole text."""
+def score(
+    docs: DataFrame, model: ToxicityModel, *, text: str = "text", names: tuple[str, str] = ("score", "passages"),
+) -> DataFrame:
+    """``docs`` with the score and the significant passages (first token, tokens, excess) of each whole text."""
     shared = docs.sparkSession.sparkContext.broadcast(model)
-    source = docs.select(F.col(key).alias("key"), F.col(text).cast("string").alias("text"))
-    kind = source.schema["key"].dataType.simpleString()
     passage = pa.struct([("first_token", pa.int64()), ("tokens", pa.int64()), ("excess", pa.float64())])
+    fields = pa.schema([(names[0], pa.float64()), (names[1], pa.list_(passage))])
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def prepare() -> Callable[[str], tuple]:
         own = shared.value
-        for batch, texts in blocks(batches):
-            found = [own.passages(t)[1] for t in texts]
-            schema = pa.schema([("key", batch.schema.field("key").type), ("score", pa.float64()), ("passages", pa.list_(passage))])
-            yield record_batch(schema, [
-                batch.column("key"), [own.calibrated(math.log1p(sum(x for _, _, x in f))) for f in found],
-                [[{"first_token": s, "tokens": e - s, "excess": x} for s, e, x in f] for f in found],
-            ])
-
-    return source.mapInArrow(run, (
-        f"key {kind}, score double, passages array<struct<first_token long, tokens long, excess double>>"
-    )).withColumnRenamed("key", key)
+
+        def of(value: str) -> tuple:
+            found = own.passages(value)[1]
+            return own.calibrated(math.log1p(sum(x for _, _, x in found))), [
+                {"first_token": s, "tokens": e - s, "excess": x} for s, e, x in found]
+
+        return of
+
+    return with_columns(docs, text, prepare, fields, (
+        f"`{names[0]}` double, `{names[1]}` array<struct<first_token:bigint,tokens:bigint,excess:double>>"))
