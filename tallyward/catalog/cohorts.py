@@ -29,7 +29,7 @@ def study(spark: SparkSession, d: str) -> Study:
 
 
 def _cases(s: Study) -> DataFrame:
-    return ascertain.find_cases(s.tables, s.condition, s.windows.search)
+    return ascertain.diagnosis_events(s.tables, s.condition, s.windows.search)
 
 
 def _incident(s: Study) -> DataFrame:

@@ -45,7 +45,7 @@ def left_join_dims(spark, d):
 @query("""
     WITH dx AS (
       SELECT l_orderkey AS event_id, o_custkey AS site, l_shipdate AS t
-        FROM lineitem JOIN orders ON o_orderkey = l_orderkey WHERE l_quantity > 45
+        FROM lineitem JOIN orders ON o_orderkey = l_orderkey
       UNION ALL SELECT o_orderkey, o_custkey, o_orderdate FROM orders WHERE o_orderstatus = 'P')
     SELECT dx.event_id, dx.site, dx.t, o_orderpriority FROM dx LEFT JOIN orders
       ON o_orderkey = dx.event_id AND o_custkey = dx.site AND o_orderdate = dx.t""")
@@ -54,7 +54,7 @@ def left_join_multikey(spark, d):
         F.col("o_orderkey").alias("event_id"), F.col("o_custkey").alias("site"),
         F.col("o_orderdate").alias("t"), "o_orderpriority", "o_orderstatus",
     )
-    shipped = table(spark, d, "lineitem").filter("l_quantity > 45").select(
+    shipped = table(spark, d, "lineitem").select(
         F.col("l_orderkey").alias("event_id"), F.col("l_shipdate").alias("t"))
     dx = (
         shipped.join(registry.select("event_id", "site"), "event_id").select("event_id", "site", "t")
@@ -208,10 +208,11 @@ _PROBE = "SELECT event_id, nullif(user_id, 5) AS user_id FROM events WHERE event
 
 @query(f"""
     SELECT event_id, user_id FROM ({_PROBE}) AS probe WHERE user_id NOT IN (
-      SELECT user_id FROM events WHERE event_type = 'error' AND ts < TIMESTAMP '2024-01-02')""")
+      SELECT o_custkey FROM orders WHERE o_orderpriority = '1-URGENT')""")
 def null_aware_anti(spark, d):
-    probe, listed = _probe_and_list(spark, d, "ts < TIMESTAMP_NTZ '2024-01-02'")
-    return J.not_in(probe, listed.select("user_id"), "user_id")
+    probe, _ = _probe_and_list(spark, d, "TRUE")
+    urgent = table(spark, d, "orders").filter("o_orderpriority = '1-URGENT'")
+    return J.not_in(probe, urgent.select(F.col("o_custkey").alias("user_id")), "user_id")
 
 
 @query(f"""
@@ -243,24 +244,23 @@ def semi_join_normalized_code(spark, d):
 
 
 @query("""
-    SELECT user_id FROM events WHERE event_type = 'error' AND ts < TIMESTAMP '2024-01-03'
-    INTERSECT SELECT user_id FROM events WHERE event_type = 'view' AND ts < TIMESTAMP '2024-01-03'""")
+    SELECT o_custkey FROM orders WHERE o_orderpriority = '1-URGENT'
+    INTERSECT SELECT o_custkey FROM orders WHERE o_orderstatus = 'P'""")
 def common_keys(spark, d):
-    early = table(spark, d, "events").filter("ts < TIMESTAMP_NTZ '2024-01-03'")
+    orders = table(spark, d, "orders")
     return J.common_keys(
-        early.filter("event_type = 'error'").select("user_id"),
-        early.filter("event_type = 'view'").select("user_id"), "user_id",
+        orders.filter("o_orderpriority = '1-URGENT'").select("o_custkey"),
+        orders.filter("o_orderstatus = 'P'").select("o_custkey"), "o_custkey",
     )
 
 
 @query("""
     SELECT DISTINCT c_custkey, c_name, race.value AS race, eth.value AS ethnicity
     FROM customer JOIN events race ON race.user_id = c_custkey JOIN events eth ON eth.user_id = c_custkey
-    WHERE race.event_type = 'error' AND race.ts < TIMESTAMP '2024-01-04'
-      AND eth.event_type = 'view' AND eth.ts < TIMESTAMP '2024-01-04'""")
+    WHERE race.event_type = 'error' AND eth.event_type = 'view'""")
 def inner_enrich_fanout(spark, d):
-    early = table(spark, d, "events").filter("ts < TIMESTAMP_NTZ '2024-01-04'")
-    attribute = lambda kind, name: early.filter(F.col("event_type") == kind).select(
+    events = table(spark, d, "events")
+    attribute = lambda kind, name: events.filter(F.col("event_type") == kind).select(
         F.col("user_id").alias("c_custkey"), F.col("value").alias(name))
     persons = table(spark, d, "customer").select("c_custkey", "c_name")
     return J.inner_enrich(persons, "c_custkey", attribute("error", "race"), attribute("view", "ethnicity"))

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from tallyward.catalog.checks import SUMMARY, cohort_sql
 from tallyward.catalog.cohorts import study
 from tallyward.catalog.registry import query, table
+from tallyward.params import StudyParams, params_df
 from tallyward.plans import measures as M
 from tallyward.plans.conditions import ConditionSpec
 from tallyward.sources.staging import stage
@@ -24,19 +25,38 @@ def measure_summary(spark, d):
 
 @query(cohort_sql(f"""
     , summary AS ({SUMMARY})
-    SELECT metric, value, metric || ': ' || value AS line FROM (
-      SELECT 'Total Cancer Diagnoses' AS metric, denominator AS value FROM summary
-      UNION ALL SELECT 'EP Numerator', ep_cases FROM summary
-      UNION ALL SELECT 'LS Numerator (Stage III and IV presentations)', ls_late FROM summary
-      UNION ALL SELECT 'Stage I Presentations', stage_i FROM summary
-      UNION ALL SELECT 'Stage II Presentations', stage_ii FROM summary
-      UNION ALL SELECT 'Stage III Presentations', stage_iii FROM summary
-      UNION ALL SELECT 'Stage IV Presentations', stage_iv FROM summary
-      UNION ALL SELECT 'Stage "Other" Presentations', stage_other FROM summary) AS report"""))
+    SELECT metric, value, opening || metric || ': ' || value AS line FROM (
+      SELECT '' AS opening, 'Total Cancer Diagnoses' AS metric, denominator AS value FROM summary
+      UNION ALL SELECT chr(13) || chr(10), 'EP Numerator', ep_cases FROM summary
+      UNION ALL SELECT chr(13) || chr(10), 'LS Numerator (Stage III and IV presentations)', ls_late FROM summary
+      UNION ALL SELECT chr(13) || chr(10), 'Stage I Presentations', stage_i FROM summary
+      UNION ALL SELECT '', 'Stage II Presentations', stage_ii FROM summary
+      UNION ALL SELECT '', 'Stage III Presentations', stage_iii FROM summary
+      UNION ALL SELECT '', 'Stage IV Presentations', stage_iv FROM summary
+      UNION ALL SELECT '', 'Stage "Other" Presentations', stage_other FROM summary) AS report"""))
 def measure_report(spark, d):
     return M.measure_report(M.measure_summary(*_outputs(spark, d)))
 
 
+@query("""
+    WITH p AS (SELECT date_trunc('year', min(o_orderdate)) AS s FROM orders), line AS (
+      SELECT 'Step 01 - Search Period Start' AS metric, s AS t, true AS opens FROM p
+      UNION ALL SELECT 'Step 01 - Search Period End', s + INTERVAL 12 MONTH, false FROM p
+      UNION ALL SELECT 'Step 02 - Exclusion Period Start', s - INTERVAL 50 YEAR, true FROM p
+      UNION ALL SELECT 'Step 02 - Exclusion Period End', s, false FROM p
+      UNION ALL SELECT 'Step 05 - Emergency Care Search Period Start', s - INTERVAL 30 DAY, true FROM p
+      UNION ALL SELECT 'Step 05 - Emergency Care Search Period End', s + INTERVAL 12 MONTH, false FROM p),
+    printed AS (
+      SELECT metric, strftime(t, '%Y-%m-%d %H:%M:%S') || '.0000000' AS value, opens FROM line
+      UNION ALL SELECT 'eStep 02 - Minimum Care History Threshold', '24', true)
+    SELECT metric, value, CASE WHEN opens THEN chr(13) || chr(10) ELSE '' END || metric || ': ' || value AS line
+    FROM printed""")
+def study_report(spark, d):
+    """The bounds of a study starting in the first year on record."""
+    start = table(spark, d, "orders").agg(F.date_trunc("year", F.min("o_orderdate")).cast("timestamp_ntz").alias("start"))
+    return M.study_report(params_df(spark, StudyParams(), start.scalar()))
+
+
 @query(cohort_sql("""
     SELECT DISTINCT PatientSSN, 'EP' AS TypeOfEvaluation, '_LCa_' AS StudyDescField1,
       'Registry' AS StudyDescField2, StageOfCancer AS StudyDescField3,

@@ -58,7 +58,7 @@ def cast_date(spark, d):
 
 @query("""
     SELECT event_id, CAST(user_id AS VARCHAR) AS user_text,
-      left(event_type || ' of user ' || props || ' in the log', 30) AS event_text FROM events""")
+      event_type || ' of user ' || props || ' in the log' AS event_text FROM events""")
 def cast_string(spark, d):
     long_text = F.concat("event_type", F.lit(" of user "), "props", F.lit(" in the log"))
     return table(spark, d, "events").select(

@@ -13,7 +13,7 @@ from tallyward.functions.predicates import eq_tag
 from tallyward.operators.joins import with_dims
 from tallyward.operators.projections import distinct_project, project, tag, with_star
 from tallyward.operators.setops import union_events
-from tallyward.params import StudyParams, windows
+from tallyward.params import StudyParams, params_df, windows
 from tallyward.sources.staging import conform, stage, stage_root, write_output
 from tallyward.sources.tables import code_set, cohort_slice, read_dim, read_source
 
@@ -52,14 +52,10 @@ def code_set_union(spark, d):
     FROM orders""")
 def study_params(spark, d):
     """The parameter row of a study starting in the first year on record."""
-    params = StudyParams()
     first_year = F.year(F.min("o_orderdate"))
-    start = F.make_date(first_year, F.lit(1), F.lit(1)).cast("timestamp_ntz")
-    row = table(spark, d, "orders").agg(
-        start, F.lit(params.search_length_months), F.lit(params.exclude_length_years),
-        F.lit(params.lookback_length_days), F.lit(params.carehx_length_months),
-    )
-    return conform(row, schemas.STUDY_PARAMS)
+    start = table(spark, d, "orders").agg(
+        F.make_date(first_year, F.lit(1), F.lit(1)).cast("timestamp_ntz").alias("start"))
+    return conform(params_df(spark, StudyParams(), start.scalar()), schemas.STUDY_PARAMS)
 
 
 @query("""

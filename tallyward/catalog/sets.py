@@ -68,10 +68,10 @@ def difference_by_key(spark, d):
 
 
 @query("""
-    SELECT DISTINCT user_id, event_type, event_id FROM events
-    WHERE ts < TIMESTAMP '2024-01-03' AND (event_type = 'purchase' OR user_id NOT IN (
-      SELECT user_id FROM events WHERE event_type = 'purchase' AND ts < TIMESTAMP '2024-01-03'))""",
+    SELECT DISTINCT o_custkey, o_orderpriority, o_orderkey FROM orders
+    WHERE o_orderpriority = '1-URGENT' OR o_custkey NOT IN (
+      SELECT o_custkey FROM orders WHERE o_orderpriority = '1-URGENT')""",
     name="prefer_source")
-def prefer_source_events(spark, d):
-    early = table(spark, d, "events").filter("ts < TIMESTAMP_NTZ '2024-01-03'")
-    return setops.prefer_source(early.select("user_id", "event_type", "event_id"), "user_id", "event_type", "purchase")
+def prefer_source_orders(spark, d):
+    orders = table(spark, d, "orders").select("o_custkey", "o_orderpriority", "o_orderkey")
+    return setops.prefer_source(orders, "o_custkey", "o_orderpriority", "1-URGENT")

@@ -6,7 +6,6 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 QUOTE = "'"
-DEFAULT_TEXT_LENGTH = 30
 CRLF = "\r\n"
 
 
@@ -34,9 +33,13 @@ def strip_dots(c: Column | str) -> Column:
     return F.replace(_col(c), F.lit("."), F.lit(""))
 
 
-def cast_text(c: Column | str, length: int = DEFAULT_TEXT_LENGTH) -> Column:
-    """Cast to text of the dialect's default length."""
-    return F.substring(_col(c).cast("string"), 1, length)
+def cast_text(c: Column | str, length: int | None = None) -> Column:
+    """Cast to text, whole; a text longer than ``length``, if one is given, is an error."""
+    text = _col(c).cast("string")
+    if length is None:
+        return text
+    too_long = F.raise_error(F.concat(F.lit(f"text longer than {length}: "), text))
+    return F.when(F.char_length(text) > length, too_long).otherwise(text)
 
 
 def _col(c: Column | str) -> Column:

@@ -1,14 +1,14 @@
 """First or last rows per key, ties kept.
 
-The extreme time per key is a plain aggregate, combined on the map side. The
-rows are then fetched by (key, time). That join hashes on both columns, so a key
-with a large share of the rows is spread by its times; a window over the key
-would sort all its rows in one task.
+Rows are ranked by time within their key, and only the first rank is wanted:
+Spark then drops the others in each task before the shuffle, so a key with a large
+share of the rows sends its ties and no more, and the input is read once. Where
+the times alone are wanted, an aggregate gives them.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 
@@ -30,15 +30,15 @@ def time_bounds(df: DataFrame, key: str, time: str, first: str = "first", last:
 
 
 def earliest_per_key(df: DataFrame, key: str, time: str) -> DataFrame:
-    return _at_bound(df, key, time, "first")
+    """A NULL time comes first, and leaves its key without an earliest row."""
+    return _first_ranked(df, key, time, F.col(time).asc_nulls_first())
 
 
 def latest_per_key(df: DataFrame, key: str, time: str) -> DataFrame:
-    return _at_bound(df, key, time, "last")
+    return _first_ranked(df, key, time, F.col(time).desc_nulls_last())
 
 
-def _at_bound(df: DataFrame, key: str, time: str, bound: str) -> DataFrame:
-    wanted = time_bounds(df.select(key, time), key, time).select(
-        F.col(key), F.col(bound).alias(time)
-    )
-    return df.join(wanted, [key, time], "left_semi")
+def _first_ranked(df: DataFrame, key: str, time: str, order: Column) -> DataFrame:
+    rank = F.rank().over(Window.partitionBy(key).orderBy(order))
+    ranked = df.filter(F.col(key).isNotNull()).withColumn("_rank", rank)
+    return ranked.filter(F.col("_rank") == 1).filter(F.col(time).isNotNull()).drop("_rank")

@@ -3,7 +3,7 @@
 All add a time bucket to the equality key. A bucket is as wide as the span, so
 a partner lies in the row's own bucket or the next one, and a key that owns a
 large share of the rows is spread over its buckets instead of meeting itself in
-one task.
+one task. A span of zero asks for equal times, a span below zero for none.
 """
 
 from __future__ import annotations
@@ -25,6 +25,10 @@ def followed_within(
     bucket's first time decide. Those two numbers per bucket are aggregated
     before anything is shuffled.
     """
+    if hours <= 0:
+        times = b.select(F.col(key).alias("_key"), F.col(b_time).alias("_t")).distinct()
+        equal = (F.col(key) == F.col("_key")) & (F.col(a_end) == F.col("_t"))
+        return a.join(times, equal & F.lit(hours == 0), "left_semi")
     seconds = hours * 3600
     bucket = time_bucket(F.col(b_time), seconds)
     is_own = F.col("_shift") == 0
@@ -52,7 +56,7 @@ def preceded_within(
     ``b`` contributes its own columns except the key. Full timestamps are
     compared. Each pair meets in exactly one bucket.
     """
-    seconds = days * 86400
+    seconds = max(1, days * 86400)
     probe = a.withColumn("_own", time_bucket(F.col(a_time), seconds)).withColumn(
         "_bucket", F.explode(F.array(F.col("_own"), F.col("_own") - 1))
     ).drop("_own")

@@ -88,13 +88,17 @@ def role_dim(
 ) -> DataFrame:
     """Join one dimension in two roles as ``<col>1`` and ``<col>2``.
 
-    Both roles use ``key`` unless a ``second_key`` is named.
+    Both roles use ``key`` unless a ``second_key`` is named. With one key the
+    roles are paired on the dimension, and ``df`` is joined once.
     """
     first = dim.select(F.col(dim_key).alias("_role1"), F.col(col).alias(f"{col}1"))
     second = dim.select(F.col(dim_key).alias("_role2"), F.col(col).alias(f"{col}2"))
+    if second_key is None:
+        both = first.join(second, F.col("_role1") == F.col("_role2"), "inner")
+        return df.join(both, F.col(key) == F.col("_role1"), "inner").drop("_role1", "_role2")
     return (
         df.join(first, F.col(key) == F.col("_role1"), "inner")
-        .join(second, F.col(second_key or key) == F.col("_role2"), "inner")
+        .join(second, F.col(second_key) == F.col("_role2"), "inner")
         .drop("_role1", "_role2")
     )
 
@@ -155,14 +159,16 @@ def rejoin(df: DataFrame, flags: DataFrame, keys: Sequence[str]) -> DataFrame:
 
 
 def inner_enrich(df: DataFrame, key: str, *attributes: DataFrame) -> DataFrame:
-    """Attach attribute relations that may drop or multiply rows, then dedupe.
+    """Attach attribute relations that may drop or multiply rows; the result is distinct.
 
-    Each relation is reduced to its distinct rows first, so copies of an
-    attribute row never multiply with each other.
+    All sides are reduced to their distinct rows first, which leaves nothing to
+    dedupe after the joins: copies never multiply, and AQE may split the joins on
+    a hot key, as it may not where a later step relies on their partitioning.
     """
+    df = df.distinct()
     for attribute in attributes:
         df = df.join(attribute.distinct(), key, "inner")
-    return df.distinct()
+    return df
 
 
 def eligible(

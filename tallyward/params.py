@@ -37,10 +37,24 @@ class Windows(NamedTuple):
     emergency: Window
 
 
-def params_df(spark: SparkSession, params: StudyParams) -> DataFrame:
-    values = zip(astuple(params), STUDY_PARAMS, strict=True)
+def params_df(spark: SparkSession, params: StudyParams, start: Column | None = None) -> DataFrame:
+    """The parameter row; ``start``, such as a scalar subquery, replaces the search start."""
+    values = [F.lit(value) for value in astuple(params)]
+    if start is not None:
+        values[0] = start
     return spark.range(1).select(
-        *(F.lit(value).cast(field.dataType).alias(field.name) for value, field in values)
+        *(value.cast(field.dataType).alias(field.name) for value, field in zip(values, STUDY_PARAMS, strict=True))
+    )
+
+
+def windows_of_row() -> Windows:
+    """The windows as expressions over the columns of a parameter row."""
+    start = F.col("Search_Start")
+    end = dateadd("MONTH", F.col("Search_Length_Months"), start)
+    return Windows(
+        search=Window(start, end),
+        washout=Window(dateadd("YEAR", F.col("Exclude_Length_Years"), start), start),
+        emergency=Window(dateadd("DAY", F.col("Lookback_Length_Days"), start), end),
     )
 
 

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tallyward.functions.predicates import between_closed
@@ -58,11 +58,8 @@ def diagnosis_events(t: SourceTables, cond: ConditionSpec, window: Window) -> Da
         coded(t.inpat_inpatient, t.inpat_inpatient_diagnosis, "InpatientSID", "AdmitDateTime", INPATIENT),
         tag(registry, TypeOfEvent=REGISTRY),
     )
-    return found.join(person, "PatientSID", "inner").select(*CASE_COLUMNS).distinct()
-
-
-def find_cases(t: SourceTables, cond: ConditionSpec, window: Window) -> DataFrame:
-    return diagnosis_events(t, cond, window)
+    # distinct sides make a distinct join, which AQE can split on a hot site id
+    return found.distinct().join(person.distinct(), "PatientSID", "inner").select(*CASE_COLUMNS)
 
 
 def find_prior(
@@ -116,18 +113,18 @@ def index_events(events: DataFrame, windows: Windows) -> DataFrame:
         F.coalesce("registry_time", "coded_time").alias(time),
         F.col("registry_time").isNotNull().alias("from_registry"),
     )
-    if _coded_cases_rejected(events, per_person, in_search & is_registry):
-        index = index.filter("from_registry")
+    rejected = _coded_cases_rejected(events, per_person, in_search & is_registry)
+    index = index.filter(F.col("from_registry") | ~rejected)
     cases = events.filter(in_search).withColumn("from_registry", is_registry)
     return cases.join(index, [person, time, "from_registry"], "left_semi").select(*CASE_COLUMNS)
 
 
-def _coded_cases_rejected(events: DataFrame, per_person: DataFrame, registry_case) -> bool:
+def _coded_cases_rejected(events: DataFrame, per_person: DataFrame, registry_case: Column) -> Column:
     """Whether a registry case without person voids the list that coded cases are tested against.
 
     NOT IN over a list with a NULL keeps nothing. Such a case survives washout
-    only when nobody was washed out. Both checks stop at the first row found,
-    and the second is made only when the first finds one.
+    only when nobody was washed out. Both numbers are scalar subqueries of the plan.
     """
-    unknown_person = events.filter(registry_case & F.col("PatientSSN").isNull())
-    return not unknown_person.isEmpty() and per_person.filter("seen_before").isEmpty()
+    unknown_person = events.filter(registry_case & F.col("PatientSSN").isNull()).agg(F.count("*").alias("n"))
+    washed_out = per_person.filter("seen_before").agg(F.count("*").alias("n"))
+    return (unknown_person.scalar() > 0) & (washed_out.scalar() == 0)

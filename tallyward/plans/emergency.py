@@ -29,15 +29,25 @@ def cohort_sites(cohort: DataFrame, spatient: DataFrame) -> DataFrame:
     ).distinct()
 
 
+def _at_sites(events: DataFrame, sites: DataFrame, kind: str, *extra: str) -> DataFrame:
+    """Events at the sites, distinct.
+
+    Both sides are deduplicated before they meet: the join of distinct rows is
+    distinct, and AQE can split it on a hot site id.
+    """
+    known = sites.select("PatientSSN", "PatientSID").distinct()
+    return tag(events.distinct().join(known, "PatientSID", "inner"), TypeOfEvent=kind).select(
+        *EVENT_COLUMNS, *extra
+    )
+
+
 def inpatient_candidates(t: SourceTables, sites: DataFrame, window: Window) -> DataFrame:
     stays = t.inpat_inpatient.filter(between_closed("AdmitDateTime", *window)).select(
         "PatientSID",
         F.col("InpatientSID").alias("ECEventSID"),
         F.col("AdmitDateTime").alias("ECEventDateTime"),
     )
-    return tag(stays.join(sites, "PatientSID", "inner"), TypeOfEvent=STAY).select(
-        *EVENT_COLUMNS
-    ).distinct()
+    return _at_sites(stays, sites, STAY)
 
 
 def ed_visits(t: SourceTables, sites: DataFrame, window: Window) -> DataFrame:
@@ -49,9 +59,7 @@ def ed_visits(t: SourceTables, sites: DataFrame, window: Window) -> DataFrame:
         F.col("PatientArrivalDateTime").alias("ECEventDateTime"),
         F.col("DispositionDateTime").alias("ECEventEndDateTime"),
     )
-    return tag(visits.join(sites, "PatientSID", "inner"), TypeOfEvent=TREAT_AND_RELEASE).select(
-        *EVENT_COLUMNS, "ECEventEndDateTime"
-    ).distinct()
+    return _at_sites(visits, sites, TREAT_AND_RELEASE, "ECEventEndDateTime")
 
 
 def followup_stays(stays: DataFrame) -> DataFrame:
@@ -63,15 +71,15 @@ def followup_stays(stays: DataFrame) -> DataFrame:
 
 
 def planned_events(stays: DataFrame, t: SourceTables) -> DataFrame:
-    """Stays with a diagnosis or procedure that implies a planned admission."""
-    ids = stays.select("PatientSSN", F.col("ECEventSID").alias("InpatientSID"))
+    """Stays with a diagnosis or procedure that implies a planned admission.
+
+    The bridges are cut to ids, and these meet the stays in a semi join: no pairs
+    form on an id that many bridge rows and stays share, like the sentinel.
+    """
 
     def listed(bridge: DataFrame, dim: DataFrame, key: str, code: str, codes: DataFrame) -> DataFrame:
         wanted = semi_code(dim, _folded(codes), ci(strip_dots(code))).select(key)
-        hits = bridge.join(wanted, key, "left_semi").select("InpatientSID")
-        return hits.join(ids, "InpatientSID", "inner").select(
-            "PatientSSN", F.col("InpatientSID").alias("ECEventSID")
-        )
+        return bridge.join(wanted, key, "left_semi").select(F.col("InpatientSID").alias("ECEventSID"))
 
     by_diagnosis = listed(
         t.inpat_inpatient_diagnosis, t.dim_icd10, "ICD10SID", "ICD10Code",
@@ -82,7 +90,8 @@ def planned_events(stays: DataFrame, t: SourceTables) -> DataFrame:
         "ICD10ProcedureSID", "ICD10ProcedureCode",
         code_set(t.planned_procedures_always, t.planned_procedures_sometimes),
     )
-    return union_events(by_diagnosis, by_procedure).distinct()
+    ids = union_events(by_diagnosis, by_procedure).distinct()
+    return stays.select("PatientSSN", "ECEventSID").distinct().join(ids, "ECEventSID", "left_semi")
 
 
 def _folded(codes: DataFrame) -> DataFrame:
@@ -117,15 +126,12 @@ def emergency_events(
 def emergency_from_candidates(candidates: DataFrame, t: SourceTables) -> DataFrame:
     """All emergency steps over one staged relation of candidate stays and visits.
 
-    The id lists hold no NULL (they come from joins on the id). Whether the
-    staged candidates do is looked up, so that the usual case needs no second
-    evaluation of the lists.
+    The id lists hold no NULL, since they come from joins on the id.
     """
-    null_probes = not candidates.filter(F.col("ECEventSID").isNull()).isEmpty()
     stays = candidates.filter(F.col("TypeOfEvent") == STAY)
     visits = candidates.filter(F.col("TypeOfEvent") == TREAT_AND_RELEASE)
-    released = treat_and_release(visits, ed_admitted(visits, followup_stays(stays)), null_probes)
-    return emergency_events(stays, planned_events(stays, t), released, null_probes)
+    released = treat_and_release(visits, ed_admitted(visits, followup_stays(stays)))
+    return emergency_events(stays, planned_events(stays, t), released)
 
 
 def _as_dyad_sides(dx: DataFrame, ec: DataFrame) -> tuple[DataFrame, DataFrame]:

@@ -112,7 +112,7 @@ def with_demographics(df: DataFrame, t: SourceTables, persons: DataFrame | None
     race = t.patient_race.select("PatientSID", race_group("Race").alias("_race"))
     ethnicity = t.patient_ethnicity.select("PatientSID", is_hispanic("Ethnicity").alias("_hispanic"))
     label = F.when(F.col("_hispanic"), HISPANIC).otherwise(F.col("_race"))
-    ids = (persons or df).select("PatientSID")
+    ids = (df if persons is None else persons).select("PatientSID")
     cut = [r.join(ids, "PatientSID", "left_semi") for r in (person, race, ethnicity)]
     return inner_enrich(df, "PatientSID", *cut).withColumn("PatientRace", label)
 

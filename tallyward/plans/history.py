@@ -101,7 +101,7 @@ def care_flags(
     before = flag_threshold(datediff_boundary("MONTH", F.col("first_visit"), dx), ">", months)
     after = flag_threshold(datediff_boundary("MONTH", F.col("last_visit"), dx), "<", months)
     flags = (
-        (diagnoses or cohort).select(*FLAG_KEYS, "DiagnosisEventDateTime")
+        (cohort if diagnoses is None else diagnoses).select(*FLAG_KEYS, "DiagnosisEventDateTime")
         .join(bounds.filter(F.col("first_visit").isNotNull()), "PatientSSN", "inner")
         .groupBy(*FLAG_KEYS)
         .agg(F.collect_set(before).alias("_before"), F.collect_set(after).alias("_after"))

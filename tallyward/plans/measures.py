@@ -16,6 +16,7 @@ from tallyward.operators.aggregates import (
 )
 from tallyward.operators.projections import distinct_project
 from tallyward.operators.setops import union_events
+from tallyward.params import windows_of_row
 from tallyward.plans.ascertain import REGISTRY
 from tallyward.plans.conditions import ConditionSpec
 from tallyward.sources.tables import cohort_slice
@@ -41,6 +42,16 @@ REPORT_LABELS = {
     "stage_other": 'Stage "Other" Presentations',
 }
 
+# Report lines that begin with a line break.
+BREAK_BEFORE = ("ep_cases", "ls_late", "stage_i")
+WINDOW_LABELS = {
+    "search": ("Step 01 - Search Period Start", "Step 01 - Search Period End"),
+    "washout": ("Step 02 - Exclusion Period Start", "Step 02 - Exclusion Period End"),
+    "emergency": ("Step 05 - Emergency Care Search Period Start", "Step 05 - Emergency Care Search Period End"),
+}
+THRESHOLD_LABEL = "eStep 02 - Minimum Care History Threshold"
+TIME_TEXT = "yyyy-MM-dd HH:mm:ss.SSSSSSS"
+
 STAGE_COLUMN = "StageOfCancer"
 
 
@@ -77,38 +88,57 @@ def measure_report(summary: DataFrame) -> DataFrame:
         F.struct(
             F.lit(label).alias("metric"),
             F.col(name).alias("value"),
-            report_line(label, F.col(name)).alias("line"),
+            report_line(label, F.col(name), name in BREAK_BEFORE).alias("line"),
         )
         for name, label in REPORT_LABELS.items()
     ))
     return summary.select(F.inline(rows))
 
 
-def export_ep(numerator: DataFrame) -> DataFrame:
-    """Distinct emergency-to-diagnosis rows of the registry cases."""
+def study_report(params: DataFrame) -> DataFrame:
+    """The windows' bounds and the care threshold of a parameter row, as (metric, value, line).
+
+    Times are printed with seven decimals; the first line of each step begins
+    with a line break.
+    """
+    found = windows_of_row()
+    entries = []
+    for name, labels in WINDOW_LABELS.items():
+        for label, bound in zip(labels, getattr(found, name), strict=True):
+            entries.append((label, F.date_format(bound, TIME_TEXT), bound is getattr(found, name).start))
+    entries.append((THRESHOLD_LABEL, F.col("CareHx_Length_Months").cast("string"), True))
+    rows = F.array(*(
+        F.struct(F.lit(label).alias("metric"), value.alias("value"), report_line(label, value, first).alias("line"))
+        for label, value, first in entries
+    ))
+    return params.select(F.inline(rows))
+
+
+def export_ep(numerator: DataFrame, study: str = STUDY_FIELD) -> DataFrame:
+    """Distinct emergency-to-diagnosis rows of the registry cases, under the study's label."""
     return distinct_project(
         registry_rows(numerator),
-        "PatientSSN", *_export_fields(EP),
+        "PatientSSN", *_export_fields(EP, study),
         F.col("EmergencyEventDate").alias("AntecedentEventStartDateTime"),
         F.col("EmergencyEventLocation").alias("AntecedentEventLocation"),
         *_subsequent(),
     )
 
 
-def export_ls(denominator: DataFrame) -> DataFrame:
-    """Distinct late-stage registry rows."""
+def export_ls(denominator: DataFrame, study: str = STUDY_FIELD) -> DataFrame:
+    """Distinct late-stage registry rows, under the study's label."""
     late = cohort_slice(registry_rows(denominator), in_bucket(STAGE_COLUMN, LATE))
-    return distinct_project(late, "PatientSSN", *_export_fields(LS), *_subsequent())
+    return distinct_project(late, "PatientSSN", *_export_fields(LS, study), *_subsequent())
 
 
 def early_slice(denominator: DataFrame) -> DataFrame:
     return cohort_slice(registry_rows(denominator), in_bucket(STAGE_COLUMN, EARLY))
 
 
-def _export_fields(evaluation: str) -> list[Column]:
+def _export_fields(evaluation: str, study: str) -> list[Column]:
     return [
         F.lit(evaluation).alias("TypeOfEvaluation"),
-        F.lit(STUDY_FIELD).alias("StudyDescField1"),
+        F.lit(study).alias("StudyDescField1"),
         F.lit(SOURCE_FIELD).alias("StudyDescField2"),
         F.col(STAGE_COLUMN).alias("StudyDescField3"),
     ]

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import random
+from types import SimpleNamespace
 from datetime import date, datetime, timedelta
 
 import pytest
@@ -40,7 +41,6 @@ def test_concat_counts_null_as_empty(spark):
     assert one(spark, text.location_label(F.lit(None), F.lit(None))) == "', '"
     assert one(spark, text.quote_wrap(F.lit(7))) == "'7'"
     assert one(spark, text.report_line("n", F.lit(None).cast("int"))) is None
-    assert one(spark, text.cast_text(F.lit("x" * 40))) == "x" * 30
     assert one(spark, text.strip_dots(F.lit("Z51.1.1"))) == "Z5111"
 
 
@@ -378,6 +378,44 @@ def test_report_lines(spark):
     summary = aggregates.add_sums(summary, {"ls_late": ["stage_iii", "stage_iv"]})
     lines = [r["line"] for r in measures.measure_report(summary).collect()]
     assert lines[0] == "Total Cancer Diagnoses: 5" and lines[-1] == 'Stage "Other" Presentations: 3' and len(lines) == 8
+    assert [i for i, line in enumerate(lines) if line.startswith("\r\n")] == [1, 2, 3]
+
+
+def test_study_report_prints_bounds_and_threshold(spark):
+    lines = [r["line"] for r in measures.study_report(params_df(spark, StudyParams())).collect()]
+    assert lines[0] == "\r\nStep 01 - Search Period Start: 2019-01-01 00:00:00.0000000"
+    assert lines[2] == "\r\nStep 02 - Exclusion Period Start: 1969-01-01 00:00:00.0000000"
+    assert lines[4] == "\r\nStep 05 - Emergency Care Search Period Start: 2018-12-02 00:00:00.0000000"
+    assert lines[-1] == "\r\neStep 02 - Minimum Care History Threshold: 24" and len(lines) == 7
+
+
+def test_text_is_cast_whole(spark):
+    assert one(spark, text.cast_text(F.lit("x" * 40))) == "x" * 40
+    with pytest.raises(Exception, match="longer than 30"):
+        one(spark, text.cast_text(F.lit("x" * 40), 30))
+
+
+@pytest.mark.parametrize("span", [0, -1])
+def test_spans_of_zero_and_less(spark, span):
+    rows = [(1, "2024-01-01 00:00:00.2"), (1, "2024-01-01 00:00:00.7"), (1, "2024-01-01 00:00:01"), (2, None), (None, "2024-01-01 00:00:01")]
+    a = spark.createDataFrame(rows, "k int, t string").select("k", F.col("t").cast("timestamp_ntz").alias("t"))
+    b = spark.createDataFrame(rows[1:], "k int, t string").select("k", F.col("t").cast("timestamp_ntz").alias("u"))
+    equal = 2 if span == 0 else 0
+    assert intervals.followed_within(a, b, "k", "t", "u", span).count() == equal
+    assert intervals.preceded_within(a, b, "k", "t", "u", span).count() == equal
+
+
+def test_a_session_without_a_stage_folder_is_an_error():
+    session = SimpleNamespace(
+        conf=SimpleNamespace(get=lambda name, default: default),
+        sparkContext=SimpleNamespace(getCheckpointDir=lambda: None, master="local[8]"))
+    with pytest.raises(ValueError, match="spark.checkpoint.dir"):
+        stage_root(session)
+
+
+def test_a_stage_may_name_its_folder(spark, tmp_path):
+    assert stage(spark.range(3), "numbers", str(tmp_path)).count() == 3
+    assert any(p.name.startswith("numbers-") for p in tmp_path.iterdir())
 
 
 def test_output_dates_have_no_time(spark):

@@ -3,14 +3,18 @@
 from __future__ import annotations
 
 import re
+from types import SimpleNamespace
 
 import pytest
+from pyspark.sql import functions as F
 
 from tallyward.catalog import cohorts
 from tallyward.catalog.registry import table
 from tallyward.operators.firstlast import earliest_per_key
 from tallyward.operators.intervals import followed_within, preceded_within
-from tallyward.plans.ascertain import diagnosis_events
+from tallyward.operators.joins import inner_enrich
+from tallyward.plans.ascertain import diagnosis_events, index_events
+from tallyward.plans.emergency import ed_visits, emergency_from_candidates, inpatient_candidates
 from tallyward.plans.history import care_bounds
 from tallyward.params import Window
 from test_queries import plan
@@ -57,11 +61,66 @@ def test_interval_joins_are_hashed_on_key_and_bucket(spark, sf_small):
     assert re.search(r"hashpartitioning\(user_id#\d+L, _bucket#\d+L", pairs)
     assert re.search(r"hashpartitioning\(user_id#\d+L, _end_bucket#\d+L", exists)
     assert "partial_max" in exists and "partial_min" in exists
-    # rows are fetched by key and time, so that one key does not mean one task
-    assert re.search(r"hashpartitioning\(user_id#\d+L, ts#\d+", first)
-    assert "Window" not in first
+    # one scan, and each task keeps its first rows only before the shuffle
+    assert first.count("Scan parquet") == 2  # in the plan and in its details
+    below = first.index("Exchange")
+    assert "WindowGroupLimit" in first[below:first.index("Scan parquet")]
 
 
 def test_history_is_folded_before_the_shuffle(study):
     text = plan(care_bounds(study.sites, study.tables))
     assert "partial_max" in text and "partial_min" in text
+
+
+def _hot(spark, columns):
+    """Rows of which nine in ten share site 7."""
+    n = F.col("id")
+    site = F.when(n % 10 < 9, 7).otherwise(n).cast("bigint").alias("PatientSID")
+    return spark.range(0, 200_000, 1, 4).select(site, *columns)
+
+
+@pytest.fixture
+def split_joins(spark):
+    """Settings under which AQE splits what it may split."""
+    settings = {
+        "spark.sql.autoBroadcastJoinThreshold": "-1", "spark.sql.shuffle.partitions": "16",
+        "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "64k",
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": "64k",
+        "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "2",
+    }
+    before = {k: spark.conf.get(k, None) for k in settings}
+    for k, v in settings.items():
+        spark.conf.set(k, v)
+    yield
+    for k, v in before.items():
+        spark.conf.unset(k) if v is None else spark.conf.set(k, v)
+
+
+def _final_plan(df):
+    df.write.format("noop").mode("overwrite").save()
+    df.collect()
+    return df._jdf.queryExecution().executedPlan().toString()
+
+
+def test_hot_sites_are_split(spark, split_joins):
+    span = Window(F.lit("2000-01-01").cast("timestamp_ntz"), F.lit("2030-01-01").cast("timestamp_ntz"))
+    time = F.timestamp_add("SECOND", F.col("id").cast("int"), F.lit("2020-01-01").cast("timestamp_ntz"))
+    sites = spark.range(0, 200_000, 1, 4).select(F.col("id").cast("string").alias("PatientSSN"), F.col("id").alias("PatientSID"))
+    stays = _hot(spark, [F.col("id").alias("InpatientSID"), time.alias("AdmitDateTime")])
+    visits = _hot(spark, [F.col("id").alias("VisitSID"), time.alias("PatientArrivalDateTime"), time.alias("DispositionDateTime")])
+    tables = SimpleNamespace(inpat_inpatient=stays, edis_edislog=visits)
+    assert "skew=true" in _final_plan(inpatient_candidates(tables, sites, span))
+    assert "skew=true" in _final_plan(ed_visits(tables, sites, span))
+    people = _hot(spark, [F.col("id").alias("x")])
+    assert "skew=true" in _final_plan(inner_enrich(people, "PatientSID", sites))
+
+
+def test_building_plans_starts_no_jobs(study):
+    """Stages aside, a plan is only described: scalar subqueries decide within it."""
+    tracker = study.events.sparkSession.sparkContext.statusTracker()
+    events, candidates = study.events, study.candidates
+    before = len(tracker.getJobIdsForGroup(None))
+    index_events(events, study.windows)
+    emergency_from_candidates(candidates, study.tables)
+    assert len(tracker.getJobIdsForGroup(None)) == before

@@ -34,7 +34,7 @@ def check(df, con, select):
 
 def test_ascertainment(case):
     study, con = case
-    cases = stage(ascertain.find_cases(study.tables, study.condition, study.windows.search), "cases")
+    cases = stage(ascertain.diagnosis_events(study.tables, study.condition, study.windows.search), "cases")
     prior = ascertain.find_prior(study.tables, study.condition, study.windows.washout, cases)
     assert check(cases, con, f"SELECT {DX} FROM cases") > 20
     check(prior, con, "SELECT PatientSSN, PatientSID, DiagnosisEventSID, DiagnosisEventDateTime, TypeOfEvent FROM prior")
