@@ -206,15 +206,16 @@ def verified(found: DataFrame, distinct: DataFrame, docs: DataFrame, similarity:
     ends = found.select(F.col("u").alias("node")).unionByName(found.select(F.col("v").alias("node"))).distinct()
     wanted = distinct.join(ends, "node").select("node", F.col("least").alias("doc_id"))
     texts = docs.select(F.col(key).cast("long").alias("doc_id"), F.col(text).cast("string").alias("text")).join(wanted, "doc_id")
-    schema = pa.schema([("node", pa.int64()), ("set", pa.list_(pa.int64()))])
+    schema = pa.schema([("node", pa.int64()), ("set", pa.list_(pa.int32()))])
 
     def sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         digest = xxhash.xxh3_64_intdigest
         for batch, values in blocks(batches):
-            rows = [np.array(sorted({digest(p) for p in shingles(lower_bytes(t).split(), size)}), dtype=np.uint64) for t in values]
-            yield record_batch(schema, [batch.column("node"), [r.view(np.int64) for r in rows]])
+            # 32 bits of hash: in sets of thousands, collisions change no similarity to speak of
+            rows = [np.unique(np.array([digest(p) for p in shingles(lower_bytes(t).split(), size)], dtype=np.uint64).astype(np.uint32)) for t in values]
+            yield record_batch(schema, [batch.column("node"), [r.view(np.int32) for r in rows]])
 
-    by_node = stage(texts.select("node", "text").mapInArrow(sets, "node long, set array<long>").dropDuplicates(["node"]), "simhash-sets")
+    by_node = stage(texts.select("node", "text").mapInArrow(sets, "node long, set array<int>").dropDuplicates(["node"]), "simhash-sets")
     both = found.join(by_node.withColumnsRenamed({"node": "u", "set": "one"}), "u").join(
         by_node.withColumnsRenamed({"node": "v", "set": "two"}), "v")
     common = F.size(F.array_intersect("one", "two"))

@@ -30,6 +30,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tallyward.llm.common import blocks, with_columns
+from tallyward.sources.staging import stage
 
 TOKENS = re.compile(r"[^\W\d_]+").findall
 FLAT_PRIOR = 0.5
@@ -125,15 +126,20 @@ class ToxicityModel:
         return 1 / (1 + math.exp(-max(-50.0, min(50.0, self.slope * (evidence - self.middle)))))
 
 
-def token_weights(counts: dict[str, tuple[int, int]]) -> tuple[dict[str, float], float]:
-    """Weights of tokens with evidence, and the scale of clean text.
+def token_weights(
+    counts: dict[str, tuple[int, int]], others: int = 0, others_clean: int = 0,
+) -> tuple[dict[str, float], float]:
+    """Weights of features with evidence, and the scale of clean text.
+
+    ``counts``: toxic and clean documents by feature; ``others`` more features were
+    seen in clean documents only, ``others_clean`` times in all.
 
     The scale solves sum of p(t) * exp(scale * w(t)) = 1 over clean tokens t.
     """
     toxic = sum(a for a, _ in counts.values())
-    clean = sum(b for _, b in counts.values())
+    clean = sum(b for _, b in counts.values()) + others_clean
     total = toxic + clean
-    prior_sum = FLAT_PRIOR * len(counts) + PRIOR_STRENGTH
+    prior_sum = FLAT_PRIOR * (len(counts) + others) + PRIOR_STRENGTH
     weights = {}
     background = Counter()
     for token, (a, b) in counts.items():
@@ -169,55 +175,60 @@ def logistic(x: np.ndarray, y: np.ndarray) -> tuple[float, float]:
 
 def fit(
     docs: DataFrame, labels: DataFrame, *, text: str = "text", key: str = "doc_id", label: str = "toxic",
-    rows_per_label: int = 40_000, share_of_weights: float = 0.75,
+    rows_per_label: int = 20_000, share_of_weights: float = 0.75,
 ) -> ToxicityModel:
     """Learn from the documents that ``labels`` marks 0 or 1.
 
-    ``rows_per_label`` bounds the rows read of each label (about; drawn by a hash of
-    the text), and with them the model. Copies of a text are one row.
+    ``rows_per_label`` bounds the labels drawn of each kind (about; by a hash of the
+    key), and with them the model and what is broadcast. Copies of a text are one
+    row, that with the least key.
     """
     marked = labels.select(F.col(key).alias("key"), F.col(label).cast("int").alias("y")).where("y IN (0, 1)")
-    known = docs.select(F.col(key).alias("key"), F.col(text).cast("string").alias("text")).where(
-        "text IS NOT NULL").join(marked, "key").select("text", "y", F.xxhash64("text").alias("draw"))
     sizes = {r["y"]: r["n"] for r in marked.groupBy("y").agg(F.count("*").alias("n")).collect()}
     share = F.when(F.col("y") == 1, min(1.0, rows_per_label / max(1, sizes.get(1, 0)))).otherwise(
         min(1.0, rows_per_label / max(1, sizes.get(0, 0))))
-    drawn = known.where(F.pmod("draw", F.lit(1_000_000)) < share * 1_000_000)
-    part = F.pmod(F.shiftright("draw", 24), F.lit(1000)) < int(share_of_weights * 1000)
+    drawn = marked.where(F.pmod(F.xxhash64("key"), F.lit(1_000_000)) < share * 1_000_000)
+    texts = docs.select(F.col(key).alias("key"), F.col(text).cast("string").alias("text")).where("text IS NOT NULL")
+    # the labels drawn have a bound, so they go to the texts; no text is shuffled
+    hashed = texts.join(F.broadcast(drawn), "key").select("key", "y", F.xxhash64("text").alias("hash"))
+    single = stage(hashed.groupBy("hash").agg(F.min(F.struct("key", "y")).alias("row")).select(
+        "row.key", "row.y", F.pmod("hash", F.lit(1000)).alias("draw")), "toxicity-rows")
+    part = F.col("draw") < int(share_of_weights * 1000)
+
+    def chosen(rows: DataFrame) -> DataFrame:
+        return texts.join(F.broadcast(rows), "key").select("text", "y")
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch, texts in blocks(batches):
+        for batch, values in blocks(batches):
             seen: tuple[Counter, Counter] = Counter(), Counter()
-            for value, y in zip(texts, batch.column("y").to_pylist(), strict=True):
+            for value, y in zip(values, batch.column("y").to_pylist(), strict=True):
                 seen[y].update({f for t in set(TOKENS(value.lower())) for f in features(t)})
-            tokens = list(seen[0].keys() | seen[1].keys())
+            found = list(seen[0].keys() | seen[1].keys())
             yield pa.RecordBatch.from_arrays([
-                pa.array(tokens, pa.string()), pa.array([seen[1][t] for t in tokens], pa.int64()),
-                pa.array([seen[0][t] for t in tokens], pa.int64()),
-            ], names=["token", "a", "b"])
+                pa.array(found, pa.string()), pa.array([seen[1][f] for f in found], pa.int64()),
+                pa.array([seen[0][f] for f in found], pa.int64()),
+            ], names=["feature", "a", "b"])
 
-    counts = drawn.where(part).dropDuplicates(["draw"]).mapInArrow(
-        count, "token string, a long, b long").groupBy("token").agg(F.sum("a").alias("a"), F.sum("b").alias("b"))
-    # what the weights need of tokens seen in no toxic document is their number alone
+    counts = stage(chosen(single.where(part)).mapInArrow(count, "feature string, a long, b long").groupBy("feature").agg(
+        F.sum("a").alias("a"), F.sum("b").alias("b")), "toxicity-counts")
+    # of features seen in no toxic document, the weights need the number and the sum alone
     rows = counts.where("a > 0").toPandas()
-    rest = counts.where("a = 0").agg(F.count("*").alias("n"), F.sum("b").alias("b")).first()
-    table = dict(zip(rows["token"], zip(rows["a"].tolist(), rows["b"].tolist(), strict=True), strict=True))
-    if not table or not (sum(b for _, b in table.values()) + (rest["b"] or 0)):
+    rest = counts.where("a = 0").agg(F.count("*").alias("n"), F.coalesce(F.sum("b"), F.lit(0)).alias("b")).first()
+    found = dict(zip(rows["feature"], zip(rows["a"].tolist(), rows["b"].tolist(), strict=True), strict=True))
+    if not found or not (rest["b"] or rows["b"].sum()):
         return ToxicityModel({}, 1.0, 1.0, 0.0, constant=0.0)
-    mean = (rest["b"] or 0) / max(1, rest["n"])
-    table |= {f"\x00{i}": (0, mean) for i in range(rest["n"])} if rest["n"] else {}
-    weights, scale = token_weights(table)
+    weights, scale = token_weights(found, rest["n"], rest["b"])
     model = ToxicityModel(weights, scale, 1.0, 0.0)
     shared = docs.sparkSession.sparkContext.broadcast(model)
 
     def measure(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch, texts in blocks(batches):
+        for batch, values in blocks(batches):
             yield pa.RecordBatch.from_arrays(
-                [pa.array([shared.value.evidence(t) for t in texts], pa.float64()), batch.column("y")], names=["x", "y"])
+                [pa.array([shared.value.evidence(t) for t in values], pa.float64()), batch.column("y")], names=["x", "y"])
 
-    held = drawn.where(~part).dropDuplicates(["draw"]).mapInArrow(measure, "x double, y int").toPandas()
+    held = chosen(single.where(~part)).mapInArrow(measure, "x double, y int").toPandas()
     if held["y"].nunique() < 2:  # too few rows to hold any back
-        held = drawn.dropDuplicates(["draw"]).mapInArrow(measure, "x double, y int").toPandas()
+        held = chosen(single).mapInArrow(measure, "x double, y int").toPandas()
     if held["y"].nunique() < 2:
         return ToxicityModel({}, 1.0, 1.0, 0.0, constant=0.0)
     model.slope, model.middle = logistic(held["x"].to_numpy(), held["y"].to_numpy(dtype=float))
