@@ -14,13 +14,13 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tallyward.params import StudyParams, Window, Windows, windows
-from tallyward.plans.ascertain import diagnosis_events, index_events
+from tallyward.plans.ascertain import OUTPATIENT, diagnosis_events, index_events
 from tallyward.plans.conditions import COLORECTAL, ConditionSpec
 from tallyward.plans.emergency import (
     cohort_sites, ed_visits, emergency_from_candidates, inpatient_candidates, latest_dyads,
 )
 from tallyward.plans.enrich import enrich_denominator, enrich_numerator
-from tallyward.plans.history import active_only, care_bounds, care_flags
+from tallyward.plans.history import active_only, care_bounds, care_flags, cohort_visits
 from tallyward.sources.staging import stage
 from tallyward.sources.tables import SourceTables
 
@@ -51,9 +51,16 @@ class Study:
     def sites(self) -> DataFrame:
         return stage(cohort_sites(self.index, self.tables.spatient), "sites")
 
+    @cached_property
+    def visits(self) -> DataFrame:
+        """The cohort's primary-care visits and the visits that are index events, in one pass."""
+        by_visit = self.index.filter(F.col("TypeOfEvent") == OUTPATIENT)
+        ids = by_visit.select(F.col("DiagnosisEventSID").alias("VisitSID"))
+        return stage(cohort_visits(self.tables, self.sites, ids), "visits")
+
     @cached_property
     def bounds(self) -> DataFrame:
-        return stage(care_bounds(self.sites, self.tables), "bounds")
+        return stage(care_bounds(self.sites, self.tables, visits=self.visits), "bounds")
 
     @cached_property
     def candidates(self) -> DataFrame:
@@ -86,11 +93,11 @@ class Study:
         return active_only(care_flags(included, self.bounds, months, diagnoses=self.index))
 
     def denominator(self) -> DataFrame:
-        return enrich_denominator(stage(self.active(self.included), "active"), self.tables)
+        return enrich_denominator(stage(self.active(self.included), "active"), self.tables, self.visits)
 
     def numerator(self) -> DataFrame:
         active = stage(self.active(self.included_emergency), "active_emergency")
-        return enrich_numerator(active, self.tables)
+        return enrich_numerator(active, self.tables, self.visits)
 
 
 def build_denominator(

@@ -28,12 +28,12 @@ def _role(df: DataFrame, type_col: str, id_col: str, sources: dict[str, str]) ->
     )
 
 
-def event_places(t: SourceTables, wanted: DataFrame) -> DataFrame:
+def event_places(t: SourceTables, wanted: DataFrame, visits: DataFrame | None = None) -> DataFrame:
     """Where the wanted (source, id) events took place.
 
     Every fact is cut to the wanted ids by a semi join while it is scanned, once
     for all roles. Registry entries keep site and time, which are part of their
-    key; other sources have NULL there.
+    key; other sources have NULL there. ``visits`` may hold the visits of the ids.
     """
 
     def hits(source: str, fact: DataFrame, fact_id: str) -> DataFrame:
@@ -49,7 +49,7 @@ def event_places(t: SourceTables, wanted: DataFrame) -> DataFrame:
     found = union_events(
         registry.filter(F.col("_site").isNotNull() & F.col("_time").isNotNull()),
         hits("stay", t.inpat_inpatient, "InpatientSID"),
-        hits("visit", t.outpat_workload, "VisitSID"),
+        hits("visit", t.outpat_workload if visits is None else visits, "VisitSID"),
         hits("ed", t.edis_edislog, "VisitSID"),
     )
     return (
@@ -84,14 +84,16 @@ def _attach(
     )
 
 
-def with_locations(df: DataFrame, t: SourceTables, emergency: bool) -> DataFrame:
+def with_locations(
+    df: DataFrame, t: SourceTables, emergency: bool, visits: DataFrame | None = None,
+) -> DataFrame:
     """Attach the place of the diagnosis and, in a second role, of the emergency event."""
     diagnosis = ("DiagnosisTypeOfEvent", "DiagnosisEventSID", DIAGNOSIS_SOURCES)
     roles = {"DiagnosisEventLocation": diagnosis}
     if emergency:
         roles["EmergencyEventLocation"] = ("ECTypeOfEvent", "ECEventSID", EMERGENCY_SOURCES)
     wanted = union_events(*(_role(df, *role) for role in roles.values()))
-    placed = event_places(t, wanted)
+    placed = event_places(t, wanted, visits)
     if len(roles) > 1:
         placed = stage(placed, "places")
     for out, role in roles.items():
@@ -138,11 +140,13 @@ def _layout(df: DataFrame, emergency: bool) -> DataFrame:
     return conform(laid_out.distinct(), contract)
 
 
-def enrich_denominator(active: DataFrame, t: SourceTables) -> DataFrame:
+def enrich_denominator(active: DataFrame, t: SourceTables, visits: DataFrame | None = None) -> DataFrame:
     """The denominator output; ``active`` is read several times and should be staged."""
-    return _layout(with_demographics(with_locations(active, t, emergency=False), t, active), emergency=False)
+    placed = with_locations(active, t, False, visits)
+    return _layout(with_demographics(placed, t, active), emergency=False)
 
 
-def enrich_numerator(active: DataFrame, t: SourceTables) -> DataFrame:
+def enrich_numerator(active: DataFrame, t: SourceTables, visits: DataFrame | None = None) -> DataFrame:
     """The numerator output; ``active`` is read several times and should be staged."""
-    return _layout(with_demographics(with_locations(active, t, emergency=True), t, active), emergency=True)
+    placed = with_locations(active, t, True, visits)
+    return _layout(with_demographics(placed, t, active), emergency=True)

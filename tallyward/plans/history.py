@@ -26,6 +26,37 @@ def is_primary_care(first: Column | str, second: Column | str) -> Column:
     return primary & not_in_default(second, EXCLUDED_STOPS)
 
 
+def care_stops(t: SourceTables) -> DataFrame:
+    """Stop-code keys that are primary care when both roles read the same key."""
+    stops = role_dim(
+        t.dim_stopcode.select(F.col("StopCodeSID").alias("PrimaryStopCodeSID")),
+        t.dim_stopcode, "PrimaryStopCodeSID", "StopCodeSID", "StopCode",
+    )
+    return stops.filter(is_primary_care("StopCode1", "StopCode2")).select("PrimaryStopCodeSID")
+
+
+def cohort_visits(t: SourceTables, sites: DataFrame, event_ids: DataFrame) -> DataFrame:
+    """One pass over the visits for all that the cohort needs of them.
+
+    Keeps visits to primary care at the cohort's sites (``is_care``) and visits by
+    the ids of index events, of any time (``is_event``). The three lists are
+    looked up by outer joins, so that one scan serves both.
+    """
+    found = F.lit(True)
+    stops = care_stops(t).distinct().withColumn("_care", found)
+    here = sites.filter(not_sentinel("PatientSID")).select("PatientSID").distinct().withColumn("_here", found)
+    events = event_ids.select("VisitSID").distinct().withColumn("is_event", found)
+    visits = t.outpat_workload.select("VisitSID", "PatientSID", "VisitDateTime", "PrimaryStopCodeSID", "Sta3n")
+    marked = (
+        visits.join(stops, "PrimaryStopCodeSID", "left").join(here, "PatientSID", "left")
+        .join(events, "VisitSID", "left")
+        .withColumn("is_care", F.coalesce(F.col("_care") & F.col("_here"), F.lit(False)))
+        .withColumn("is_event", F.coalesce("is_event", F.lit(False)))
+    )
+    return marked.filter("is_care OR is_event").select(
+        "VisitSID", "PatientSID", "VisitDateTime", "Sta3n", "is_care", "is_event")
+
+
 def primary_care_visits(t: SourceTables, second_key: str | None = None) -> DataFrame:
     """Visits at real site ids to primary care, without bound in time.
 
@@ -34,16 +65,11 @@ def primary_care_visits(t: SourceTables, second_key: str | None = None) -> DataF
     the visits; a second key needs the dimension joined twice.
     """
     visits = t.outpat_workload.filter(not_sentinel("PatientSID"))
-    roles = ("StopCodeSID", "StopCode")
     if second_key is None:
-        stops = role_dim(
-            t.dim_stopcode.select(F.col("StopCodeSID").alias("PrimaryStopCodeSID")),
-            t.dim_stopcode, "PrimaryStopCodeSID", *roles,
-        )
-        eligible = stops.filter(is_primary_care("StopCode1", "StopCode2")).select("PrimaryStopCodeSID")
-        visits = visits.join(eligible, "PrimaryStopCodeSID", "left_semi")
+        visits = visits.join(care_stops(t), "PrimaryStopCodeSID", "left_semi")
     else:
-        visits = role_dim(visits, t.dim_stopcode, "PrimaryStopCodeSID", *roles, second_key)
+        visits = role_dim(
+            visits, t.dim_stopcode, "PrimaryStopCodeSID", "StopCodeSID", "StopCode", second_key)
         visits = visits.filter(is_primary_care("StopCode1", "StopCode2"))
     return visits.select("PatientSID", "VisitSID", "VisitDateTime")
 
@@ -74,13 +100,17 @@ def history_delta(history: DataFrame, *, first: bool) -> DataFrame:
     return with_star(pick(history, "PatientSSN", "HistoricalEventDateTime"), DxHxDelta=months).distinct()
 
 
-def care_bounds(sites: DataFrame, t: SourceTables, second_key: str | None = None) -> DataFrame:
+def care_bounds(
+    sites: DataFrame, t: SourceTables, second_key: str | None = None, visits: DataFrame | None = None,
+) -> DataFrame:
     """First and last primary-care visit time per person.
 
     The flags need these two times only, so the visit rows are never carried:
-    they are folded into one row per person before the shuffle.
+    they are folded into one row per person before the shuffle. ``visits`` may
+    hold the :func:`cohort_visits`.
     """
-    visits = primary_care_visits(t, second_key).select("PatientSID", "VisitDateTime")
+    found = primary_care_visits(t, second_key) if visits is None else visits.filter("is_care")
+    visits = found.select("PatientSID", "VisitDateTime")
     return time_bounds(
         visits.join(sites, "PatientSID", "inner"), "PatientSSN", "VisitDateTime",
         "first_visit", "last_visit",

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import re
+from dataclasses import replace
 from types import SimpleNamespace
 
 import pytest
@@ -15,7 +16,9 @@ from tallyward.operators.intervals import followed_within, preceded_within
 from tallyward.operators.joins import inner_enrich
 from tallyward.plans.ascertain import diagnosis_events, index_events
 from tallyward.plans.emergency import ed_visits, emergency_from_candidates, inpatient_candidates
+from tallyward.plans import cohort, enrich
 from tallyward.plans.history import care_bounds
+from tallyward.sources.staging import stage
 from tallyward.params import Window
 from test_queries import plan
 
@@ -124,3 +127,23 @@ def test_building_plans_starts_no_jobs(study):
     index_events(events, study.windows)
     emergency_from_candidates(candidates, study.tables)
     assert len(tracker.getJobIdsForGroup(None)) == before
+
+
+def test_plans_behind_the_stages(study, monkeypatch):
+    """The visits are read twice in all, and no plan joins everything with everything."""
+    plans = []
+
+    def recorded(df, name, folder=None):
+        plans.append(plan(df))
+        return stage(df, name, folder)
+
+    monkeypatch.setattr(cohort, "stage", recorded)
+    monkeypatch.setattr(enrich, "stage", recorded)
+    visits = stage(study.tables.outpat_workload, "seen-visits")
+    marker = visits.inputFiles()[0].rsplit("/", 2)[1]
+    fresh = cohort.Study(replace(study.tables, outpat_workload=visits), study.params, study.condition)
+    results = [plan(fresh.denominator()), plan(fresh.numerator())]
+    for text in plans + results:
+        assert "CartesianProduct" not in text and "NestedLoopJoin" not in text
+    scans = sum(len(re.findall(rf"Location: InMemoryFileIndex \[.*{marker}", text)) for text in plans + results)
+    assert len(plans) >= 8 and scans == 2, "once for the condition's events, once for history and places"
