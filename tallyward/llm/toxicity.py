@@ -3,7 +3,8 @@
 Each token weighs its log-odds of standing in toxic rather than clean documents,
 under a Dirichlet prior from the pooled counts, less its own uncertainty. Beginnings
 of tokens have log-odds too, since insults are inflected: a token weighs what the
-strongest of its beginnings or itself does. Tokens without clear evidence weigh
+strongest of its beginnings or itself does, the first time that a text has it: words
+repeat, so their repetition tells little. Tokens without clear evidence weigh
 slightly below zero. A linear scan finds all maximal
 segments of positive weight. Their scores follow an extreme-value law in clean
 text, whose scale comes from the token distribution of clean documents: a
@@ -35,7 +36,7 @@ from tallyward.sources.staging import stage
 TOKENS = re.compile(r"[^\W\d_]+").findall
 FLAT_PRIOR = 0.5
 PRIOR_STRENGTH = 1000.0
-DOUBT = 2.5
+DOUBT = 1.5
 """Standard errors that are taken off a token's log-odds."""
 DRIFT = 0.5
 """What a token without evidence weighs below zero."""
@@ -110,6 +111,11 @@ class ToxicityModel:
         weights = [w if (w := known(t)) is not None else self._weight(t) for t in tokens]
         if max(weights, default=-1.0) <= 0:
             return len(tokens), []
+        seen = set()
+        for place in [i for i, w in enumerate(weights) if w > 0]:
+            if tokens[place] in seen:
+                weights[place] = 0.0
+            seen.add(tokens[place])
         noise = math.log(len(tokens) + 1)
         found = [(s, e, self.scale * score - noise) for s, e, score in maximal_segments(weights)]
         return len(tokens), [f for f in found if f[2] > 0]
