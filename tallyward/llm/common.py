@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import zlib
 from collections.abc import Callable, Iterable, Iterator
 
 import numpy as np
@@ -51,10 +50,6 @@ def lower_bytes(text: str) -> bytes:
     return text.encode("utf-8", "surrogatepass").lower()
 
 
-def crc32(data: bytes) -> int:
-    return zlib.crc32(data)
-
-
 def unused(df: DataFrame, name: str) -> str:
     """A column name that ``df`` does not have, whatever the case of its names."""
     taken = {c.lower() for c in df.columns}

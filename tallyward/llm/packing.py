@@ -22,6 +22,7 @@ from __future__ import annotations
 import functools
 import heapq
 import re
+import zlib
 from collections.abc import Iterator
 
 import numpy as np
@@ -31,7 +32,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
-from tallyward.llm.common import blocks, crc32, record_batch
+from tallyward.llm.common import blocks, record_batch
 
 CAPACITY = 2048
 MEMO_WORDS = 250_000
@@ -186,7 +187,7 @@ def pack(
                 offset = 0
                 for i in items:
                     doc, start, ids, tokens = rests[i]
-                    pieces.append((doc, start, int(sizes[i]), crc32(ids), tokens, number, offset, ids))
+                    pieces.append((doc, start, int(sizes[i]), zlib.crc32(ids), tokens, number, offset, ids))
                     offset += int(sizes[i])
                 number += 1
             rests, held = [], 0
@@ -201,7 +202,7 @@ def pack(
                 cut = tokens // capacity * capacity
                 for start in range(0, cut, capacity):
                     piece = ids[4 * start:4 * (start + capacity)]
-                    whole.append((doc, start, capacity, crc32(piece), tokens, number, 0, piece))
+                    whole.append((doc, start, capacity, zlib.crc32(piece), tokens, number, 0, piece))
                     number += 1
                 for start in range(cut, tokens, piece_ids):
                     rests.append((doc, start, ids[4 * start:4 * (start + piece_ids)], tokens))

@@ -53,7 +53,7 @@ def test_tiles_lose_no_link(engine, tile):
     rng = random.Random(tile)
     base = [rng.getrandbits(64) for _ in range(30)]
     words = list({b ^ sum(1 << rng.randrange(64) for _ in range(rng.randint(0, 6))) for b in base for _ in range(6)} | {0, 15, 31, 2**64 - 1})
-    signed = [int(np.uint64(w).view(np.int64)) if False else w - (w >> 63 << 64) for w in words]
+    signed = [w - (w >> 63 << 64) for w in words]
     df = engine.createDataFrame([([w], w) for w in signed], "fp array<long>, node long")
     edges = simhash.links(df, 4, tile=tile)
     found = classes(signed, [(r.u, r.v) for r in edges.collect()])
