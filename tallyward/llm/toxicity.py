@@ -36,7 +36,7 @@ from tallyward.sources.staging import stage
 TOKENS = re.compile(r"[^\W\d_]+").findall
 FLAT_PRIOR = 0.5
 PRIOR_STRENGTH = 1000.0
-DOUBT = 1.5
+DOUBT = 2.0
 """Standard errors that are taken off a token's log-odds."""
 DRIFT = 0.5
 """What a token without evidence weighs below zero."""
@@ -132,37 +132,33 @@ class ToxicityModel:
         return 1 / (1 + math.exp(-max(-50.0, min(50.0, self.slope * (evidence - self.middle)))))
 
 
-def token_weights(
-    counts: dict[str, tuple[int, int]], others: int = 0, others_clean: int = 0,
-) -> tuple[dict[str, float], float]:
+def token_weights(counts: DataFrame) -> tuple[dict[str, float], float]:
     """Weights of features with evidence, and the scale of clean text.
 
-    ``counts``: toxic and clean documents by feature; ``others`` more features were
-    seen in clean documents only, ``others_clean`` times in all.
-
-    The scale solves sum of p(t) * exp(scale * w(t)) = 1 over clean tokens t.
+    ``counts``: feature, and the toxic (a) and clean (b) documents it is in. Only
+    features that weigh something come to the driver. The scale solves the sum of
+    p(t) * exp(scale * w(t)) = 1 over what clean text holds.
     """
-    toxic = sum(a for a, _ in counts.values())
-    clean = sum(b for _, b in counts.values()) + others_clean
-    total = toxic + clean
-    prior_sum = FLAT_PRIOR * (len(counts) + others) + PRIOR_STRENGTH
-    weights = {}
-    background = Counter()
-    for token, (a, b) in counts.items():
-        prior = FLAT_PRIOR + PRIOR_STRENGTH * (a + b) / total
-        odds_toxic = (a + prior) / (toxic + prior_sum - a - prior)
-        odds_clean = (b + prior) / (clean + prior_sum - b - prior)
-        sure = math.log(odds_toxic / odds_clean) - DOUBT * math.sqrt(1 / (a + prior) + 1 / (b + prior))
-        if sure > 0:
-            weights[token] = sure
-            background[sure] += (b + FLAT_PRIOR) / (clean + prior_sum)
-    rest = 1 - sum(background.values())
+    sums = counts.agg(F.sum("a").alias("toxic"), F.sum("b").alias("clean"), F.count("*").alias("n")).first()
+    toxic, clean = sums["toxic"] or 0, sums["clean"] or 0
+    if not toxic or not clean:
+        return {}, 1.0
+    prior_sum = FLAT_PRIOR * sums["n"] + PRIOR_STRENGTH
+    a, b = F.col("a"), F.col("b")
+    prior = F.lit(FLAT_PRIOR) + (a + b) * (PRIOR_STRENGTH / (toxic + clean))
+    odds_toxic = (a + prior) / (F.lit(toxic + prior_sum) - a - prior)
+    odds_clean = (b + prior) / (F.lit(clean + prior_sum) - b - prior)
+    sure = F.log(odds_toxic / odds_clean) - F.sqrt(1 / (a + prior) + 1 / (b + prior)) * DOUBT
+    rows = counts.where("a > 0").withColumn("sure", sure).where("sure > 0").select("feature", "sure", "b").toPandas()
+    weights = rows["sure"].to_numpy()
+    share = (rows["b"].to_numpy() + FLAT_PRIOR) / (clean + prior_sum)
+    rest = 1 - share.sum()
     low, high = 1e-3, 50.0
     for _ in range(60):
         middle = (low + high) / 2
-        value = rest * math.exp(-DRIFT * middle) + sum(p * math.exp(min(700.0, w * middle)) for w, p in background.items())
+        value = rest * math.exp(-DRIFT * middle) + (share * np.exp(np.minimum(700.0, weights * middle))).sum()
         low, high = (middle, high) if value < 1 else (low, middle)
-    return weights, low
+    return dict(zip(rows["feature"], weights.tolist(), strict=True)), low
 
 
 def logistic(x: np.ndarray, y: np.ndarray) -> tuple[float, float]:
@@ -217,13 +213,7 @@ def fit(
 
     counts = stage(chosen(single.where(part)).mapInArrow(count, "feature string, a long, b long").groupBy("feature").agg(
         F.sum("a").alias("a"), F.sum("b").alias("b")), "toxicity-counts")
-    # of features seen in no toxic document, the weights need the number and the sum alone
-    rows = counts.where("a > 0").toPandas()
-    rest = counts.where("a = 0").agg(F.count("*").alias("n"), F.coalesce(F.sum("b"), F.lit(0)).alias("b")).first()
-    found = dict(zip(rows["feature"], zip(rows["a"].tolist(), rows["b"].tolist(), strict=True), strict=True))
-    if not found or not (rest["b"] or rows["b"].sum()):
-        return ToxicityModel({}, 1.0, 1.0, 0.0, constant=0.0)
-    weights, scale = token_weights(found, rest["n"], rest["b"])
+    weights, scale = token_weights(counts)
     model = ToxicityModel(weights, scale, 1.0, 0.0)
     shared = docs.sparkSession.sparkContext.broadcast(model)
 
