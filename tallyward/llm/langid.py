@@ -21,12 +21,14 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from tallyward.llm.common import blocks, record_batch, with_columns
+from tallyward.llm.common import blocks, record_batch, slices, with_columns
 
 UNKNOWN = "und"
 WORD = re.compile(r"[^\W\d_]+")
 LONGEST_GRAM = 5
-MEMO_ROWS = 100_000
+MEMO_ROWS = 50_000
+WORDS_AT_ONCE = 1000
+"""Distinct words whose n-grams are counted together in a task."""
 EVIDENCE = 20
 """Words of evidence that a score counts at most; more of them only average better."""
 
@@ -123,7 +125,7 @@ def fit(
                 yield record_batch(word_schema, [[lang] * len(seen), list(seen), list(seen.values())])
 
     def count_grams(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in slices(batches, WORDS_AT_ONCE):
             found: Counter = Counter()
             for lang, word, n in zip(*(batch.column(c).to_pylist() for c in ("lang", "gram", "n")), strict=True):
                 found[lang, 0, word] += n
