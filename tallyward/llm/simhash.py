@@ -8,8 +8,11 @@ tiles are compared whole, by exclusive-or and bit counts, and give a forest of
 their nearest links instead of all pairs: copies by the thousand cost no more rows
 than fingerprints. Components join the forests.
 
-With ``similarity``, the links of the forests are verified by the Jaccard
-similarity of the shingle sets before they join anything.
+With ``similarity``, fingerprints are of shingle sets, and equal sets, not equal
+fingerprints, are one. Links are verified by the Jaccard similarity of the sets
+before they join anything, round after round until none between two components is
+left. Pairs beyond the radius are never seen: sets of a few shingles may differ in
+more bits than the radius at the similarity.
 
 Defined results: NULL, empty and blank texts have fingerprint zero and are linked
 like others; texts with fewer words than a shingle hash their whole sequence.
@@ -48,9 +51,18 @@ def shingles(words: list[bytes], size: int) -> list[bytes]:
     return [joined[a:b] for a, b in zip(starts, (ends[size - 1:] - 1).tolist() or [len(joined)], strict=False)]
 
 
+def set_node(parts: list[bytes]) -> np.int64:
+    """The hash that names a set of shingles."""
+    hashes = np.unique(np.array([xxhash.xxh3_64_intdigest(p) for p in parts], dtype=np.uint64))
+    return np.uint64(xxhash.xxh3_64_intdigest(hashes.tobytes())).view(np.int64)
+
+
 def fingerprint(text: str, size: int, words: int = 1) -> np.ndarray:
     """Unsigned words: each bit is set that more than half of the shingle hashes have."""
-    parts = shingles(lower_bytes(text).split(), size)
+    return hashed(shingles(lower_bytes(text).split(), size), words)
+
+
+def hashed(parts: list[bytes], words: int) -> np.ndarray:
     if not parts:
         return np.zeros(words, dtype=np.uint64)
     digest = xxhash.xxh64_intdigest
@@ -62,16 +74,27 @@ def fingerprint(text: str, size: int, words: int = 1) -> np.ndarray:
     return np.array(found, dtype=np.uint64)
 
 
-def fingerprints(docs: DataFrame, *, text: str = "text", key: str = "doc_id", size: int = 4, words: int = 1) -> DataFrame:
+def fingerprints(
+    docs: DataFrame, *, text: str = "text", key: str = "doc_id", size: int = 4, words: int = 1, sets: bool = False,
+) -> DataFrame:
     """doc_id, fp (64 bits to a long) and node, a long that names the fingerprint, of each whole text.
 
-    The node of a one-word fingerprint is that word, of a wider one its hash.
+    The node of a one-word fingerprint is that word, of a wider one its hash. With
+    ``sets``, each shingle of a text counts once, and the node names their set.
     """
     source = docs.select(F.col(key).cast("long").alias("doc_id"), F.col(text).cast("string").alias("text"))
     schema = pa.schema([("doc_id", pa.int64()), ("fp", pa.list_(pa.int64())), ("node", pa.int64())])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch, texts in blocks(batches):
+            if sets:
+                found, nodes = [], []
+                for t in texts:
+                    parts = list(set(shingles(lower_bytes(t).split(), size)))
+                    found.append(hashed(parts, words).view(np.int64))
+                    nodes.append(set_node(parts))
+                yield record_batch(schema, [batch.column("doc_id"), found, np.array(nodes, dtype=np.int64)])
+                continue
             found = [fingerprint(t, size, words).view(np.int64) for t in texts]
             nodes = [f[0] for f in found] if words == 1 else [
                 np.uint64(xxhash.xxh3_64_intdigest(f.tobytes())).view(np.int64) for f in found]
@@ -97,10 +120,13 @@ def roots(a: np.ndarray, b: np.ndarray, root: np.ndarray) -> np.ndarray:
     return root
 
 
-def spanning(count: int, a: np.ndarray, b: np.ndarray, apart: np.ndarray) -> np.ndarray:
-    """Numbers of the links of a forest of least distances: each tree takes its nearest link, until none is left."""
+def spanning(count: int, a: np.ndarray, b: np.ndarray, apart: np.ndarray, joined: np.ndarray | None = None) -> np.ndarray:
+    """Numbers of the links of a forest of least distances: each tree takes its nearest link, until none is left.
+
+    ``joined``: each node's least companion among those that are already together.
+    """
     order = np.argsort(apart, kind="stable")
-    root, chosen = np.arange(count), []
+    root, chosen = np.arange(count) if joined is None else joined.copy(), []
     while len(order):
         ra, rb = root[a[order]], root[b[order]]
         differ = ra != rb
@@ -117,11 +143,16 @@ def spanning(count: int, a: np.ndarray, b: np.ndarray, apart: np.ndarray) -> np.
     return np.concatenate(chosen) if chosen else np.zeros(0, dtype=np.int64)
 
 
-def forest(left: np.ndarray, right: np.ndarray | None, radius: int, first_radius: int) -> tuple[np.ndarray, np.ndarray]:
+def forest(
+    left: np.ndarray, right: np.ndarray | None, radius: int, first_radius: int, joined: np.ndarray | None = None,
+    refused: np.ndarray | None = None, forests: int = 1,
+) -> tuple[np.ndarray, np.ndarray]:
     """Row pairs (a, b) that span all links within ``radius``; b counts on from the left tile's rows.
 
     Tiles are rows of words; pairs whose first words differ in more than
-    ``first_radius`` bits are passed over.
+    ``first_radius`` bits are passed over, as are those of rows that are ``joined``
+    (each row's least companion) and those ``refused`` (sorted: a * all rows + b).
+    ``forests`` of them share no link.
     """
     other, shift = (left, 0) if right is None else (right, len(left))
     count = len(left) + (0 if right is None else len(right))
@@ -136,16 +167,36 @@ def forest(left: np.ndarray, right: np.ndarray | None, radius: int, first_radius
         for word in range(1, left.shape[1]):
             apart += np.bitwise_count(rows[i, word] ^ other[first + j, word])
         near = (apart <= radius) & ((right is not None) | (i + start < j + first))
-        held.append((i[near] + start, j[near] + first + shift, apart[near]))
+        i, j, apart = i[near] + start, j[near] + first + shift, apart[near]
+        if joined is not None:
+            open_ = joined[i] != joined[j]
+            i, j, apart = i[open_], j[open_], apart[open_]
+        if refused is not None and len(refused):
+            keys = i * count + j
+            open_ = refused[np.minimum(np.searchsorted(refused, keys), len(refused) - 1)] != keys
+            i, j, apart = i[open_], j[open_], apart[open_]
+        held.append((i, j, apart))
         if sum(len(h[0]) for h in held) > MOST_LINKS or start + ROWS_AT_ONCE >= len(left):
             a, b, d = (np.concatenate([x, *(h[k] for h in held)]) for k, x in enumerate((a, b, d)))
-            kept = spanning(count, a, b, d)
+            rest, kept = np.arange(len(a)), []
+            for _ in range(forests):
+                if not len(rest):
+                    break
+                kept.append(rest[spanning(count, a[rest], b[rest], d[rest], joined)])
+                rest = np.setdiff1d(rest, kept[-1], assume_unique=True)
+            kept = np.concatenate([np.zeros(0, dtype=np.int64), *kept])
             a, b, d, held = a[kept], b[kept], d[kept], []
     return a, b
 
 
 def links(distinct: DataFrame, radius: int, first_radius: int | None = None, tile: int = TILE) -> DataFrame:
     """u and v: links among distinct fingerprints (fp, node) that span their components."""
+    members, pairs = tiled(distinct, radius, first_radius, tile)
+    return compared(members, pairs, radius, first_radius).select("u", "v")
+
+
+def tiled(distinct: DataFrame, radius: int, first_radius: int | None, tile: int) -> tuple[DataFrame, DataFrame]:
+    """The tile of each fingerprint, and the pairs of tiles (a, b) that may hold near ones."""
     spark = distinct.sparkSession
     reach = radius if first_radius is None else first_radius
     # cells of the counts of both halves; wide radii take wide cells, or all would meet all
@@ -161,8 +212,9 @@ def links(distinct: DataFrame, radius: int, first_radius: int | None = None, til
         [(r["hi"], r["lo"], -(-r["n"] // tile)) for r in cells], "hi int, lo int, tiles int")
     numbered = placed.join(F.broadcast(sizes), ["hi", "lo"]).withColumn(
         "part", F.pmod(F.xxhash64("node"), F.col("tiles")).cast("int"))
-    tiles = stage(numbered.groupBy("hi", "lo", "part").agg(F.collect_list(F.struct("node", "fp")).alias("rows")).withColumn(
-        "tile", tile_id(F.col("hi"), F.col("lo"), F.col("part"))), "simhash-tiles")
+    members = stage(numbered.select(
+        "node", "fp", "hi", "lo", tile_id(F.col("hi"), F.col("lo"), F.col("part")).alias("tile")), "simhash-members")
+    tiles = members.select("tile", "hi", "lo").distinct()
 
     def least(cells_apart: int) -> int:
         return max(0, abs(cells_apart) * step - (step - 1))
@@ -175,26 +227,61 @@ def links(distinct: DataFrame, radius: int, first_radius: int | None = None, til
     pairs = around.join(F.broadcast(sizes), ["hi", "lo"]).select(
         "a", "hi", "lo", F.explode(F.sequence(F.lit(0), F.col("tiles") - 1)).alias("part")).select(
         "a", tile_id(F.col("hi"), F.col("lo"), F.col("part")).alias("b")).where("a <= b")
+    return members.select("tile", "node", "fp"), pairs
+
+
+def compared(
+    members: DataFrame, pairs: DataFrame, radius: int, first_radius: int | None = None, roots: DataFrame | None = None,
+    refused: DataFrame | None = None, forests: int = 1,
+) -> DataFrame:
+    """a, b, u and v: the tiles and nodes of links that span what is near and not yet together.
+
+    ``roots``: node and root of those that are together with others; ``refused``: u
+    and v of links that count no more.
+    """
+    reach = radius if first_radius is None else first_radius
+    root, gone = F.col("node"), F.array().cast("array<long>")
+    if roots is not None:
+        members, root = members.join(roots, "node", "left"), F.coalesce("root", "node")
+    if refused is not None:
+        lists = refused.groupBy(F.col("u").alias("node")).agg(F.collect_set("v").alias("gone"))
+        members, gone = members.join(lists, "node", "left"), F.coalesce("gone", gone)
+    row = F.struct("node", "fp", root.alias("root"), gone.alias("gone"))
+    tiles = stage(members.groupBy("tile").agg(F.collect_list(row).alias("rows")), "simhash-tiles")
     met = pairs.join(tiles.select(F.col("tile").alias("a"), F.col("rows").alias("left_rows")), "a").join(
         tiles.select(F.col("tile").alias("b"), F.col("rows").alias("right_rows")), "b").select(
-        (F.col("a") == F.col("b")).alias("same"), "left_rows", "right_rows")
+        "a", "b", "left_rows", "right_rows")
 
-    def words(rows: pa.StructScalar) -> tuple[np.ndarray, np.ndarray]:
+    def words(rows: pa.StructScalar) -> tuple[np.ndarray, ...]:
         nodes, fps = rows.values.field("node").to_numpy(), rows.values.field("fp").flatten().to_numpy()
-        return nodes, fps.view(np.uint64).reshape(len(nodes), -1)
+        gone = rows.values.field("gone")
+        sizes = np.array([len(g) for g in gone.to_pylist()] if gone.flatten().__len__() else np.zeros(len(nodes)), dtype=np.int64)
+        return nodes, fps.view(np.uint64).reshape(len(nodes), -1), rows.values.field("root").to_numpy(), \
+            np.repeat(nodes, sizes), gone.flatten().to_numpy()
 
     def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for i, one in enumerate(batch.column("same").to_pylist()):
-                nodes, left = words(batch.column("left_rows")[i])
-                theirs, right = words(batch.column("right_rows")[i])
-                a, b = forest(left, None if one else right, radius, reach)
-                if not one:
-                    nodes = np.concatenate([nodes, theirs])
+            ends = zip(batch.column("a").to_pylist(), batch.column("b").to_pylist(), strict=True)
+            for i, (first, second) in enumerate(ends):
+                nodes, left, root, u, v = words(batch.column("left_rows")[i])
+                right = None
+                if first != second:
+                    theirs, right, other, u2, v2 = words(batch.column("right_rows")[i])
+                    nodes, root, u, v = (np.concatenate(x) for x in ((nodes, theirs), (root, other), (u, u2), (v, v2)))
+                _, at, of = np.unique(root, return_index=True, return_inverse=True)
+                least = np.full(len(at), len(nodes))
+                np.minimum.at(least, of, np.arange(len(nodes)))
+                order = np.argsort(nodes)
+                known = np.isin(v, nodes)
+                x, y = (order[np.searchsorted(nodes, z[known], sorter=order)] for z in (u, v))
+                bars = np.unique(np.minimum(x, y) * len(nodes) + np.maximum(x, y))
+                a, b = forest(left, right, radius, reach, least[of], bars, forests)
                 if len(a):
-                    yield pa.RecordBatch.from_arrays([pa.array(nodes[a]), pa.array(nodes[b])], names=["u", "v"])
+                    yield pa.RecordBatch.from_arrays([
+                        pa.array(np.full(len(a), first)), pa.array(np.full(len(a), second)), pa.array(nodes[a]),
+                        pa.array(nodes[b])], names=["a", "b", "u", "v"])
 
-    return met.mapInArrow(compare, "u long, v long")
+    return met.mapInArrow(compare, "a long, b long, u long, v long")
 
 
 def tile_id(hi: Column, lo: Column, part: Column) -> Column:
@@ -206,16 +293,20 @@ def verified(found: DataFrame, distinct: DataFrame, docs: DataFrame, similarity:
     ends = found.select(F.col("u").alias("node")).unionByName(found.select(F.col("v").alias("node"))).distinct()
     wanted = distinct.join(ends, "node").select("node", F.col("least").alias("doc_id"))
     texts = docs.select(F.col(key).cast("long").alias("doc_id"), F.col(text).cast("string").alias("text")).join(wanted, "doc_id")
-    schema = pa.schema([("node", pa.int64()), ("set", pa.list_(pa.int32()))])
+    schema = pa.schema([("node", pa.int64()), ("set", pa.list_(pa.int32())), ("own", pa.int64())])
 
     def sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         digest = xxhash.xxh3_64_intdigest
         for batch, values in blocks(batches):
+            parts = [shingles(lower_bytes(t).split(), size) for t in values]
             # 32 bits of hash: in sets of thousands, collisions change no similarity to speak of
-            rows = [np.unique(np.array([digest(p) for p in shingles(lower_bytes(t).split(), size)], dtype=np.uint64).astype(np.uint32)) for t in values]
-            yield record_batch(schema, [batch.column("node"), [r.view(np.int32) for r in rows]])
+            rows = [np.unique(np.array([digest(p) for p in x], dtype=np.uint64).astype(np.uint32)) for x in parts]
+            own = np.array([set_node(x) for x in parts], dtype=np.int64)
+            yield record_batch(schema, [batch.column("node"), [r.view(np.int32) for r in rows], own])
 
-    by_node = stage(texts.select("node", "text").mapInArrow(sets, "node long, set array<int>").dropDuplicates(["node"]), "simhash-sets")
+    # of several texts with one id, only those that the node names
+    by_node = stage(texts.select("node", "text").mapInArrow(sets, "node long, set array<int>, own long").where(
+        "node = own").drop("own").dropDuplicates(["node"]), "simhash-sets")
     both = found.join(by_node.withColumnsRenamed({"node": "u", "set": "one"}), "u").join(
         by_node.withColumnsRenamed({"node": "v", "set": "two"}), "v")
     common = F.size(F.array_intersect("one", "two"))
@@ -223,17 +314,45 @@ def verified(found: DataFrame, distinct: DataFrame, docs: DataFrame, similarity:
     return both.where((union == 0) | (common >= F.lit(similarity) * union)).select("u", "v")
 
 
+def verified_components(
+    distinct: DataFrame, docs: DataFrame, similarity: float, size: int, text: str, key: str, radius: int,
+    first_radius: int | None, tile: int,
+) -> DataFrame:
+    """node and root over the links that are near and as similar as asked.
+
+    In rounds: the links of forests are verified, what passes is joined, what fails
+    is refused, and tiles that gave links are compared again, until no link is left
+    between two components. Each round takes four times as many forests as the last,
+    so that many refused links are few rounds.
+    """
+    members, pairs = tiled(distinct, radius, first_radius, tile)
+    passed, joined, refused, forests = None, None, None, 1
+    while True:
+        found = stage(compared(members, pairs, radius, first_radius, joined, refused, forests), "simhash-links")
+        if found.isEmpty():
+            break
+        asked = found.select("u", "v").distinct()
+        good = stage(verified(asked, distinct, docs, similarity, size, text, key), "simhash-verified")
+        failed = asked.join(good, ["u", "v"], "left_anti")
+        refused = stage(failed if refused is None else refused.unionByName(failed), "simhash-refused")
+        passed = good if passed is None else passed.unionByName(good)
+        joined = stage(components(passed, "simhash-components"), "simhash-joined")
+        pairs, forests = found.select("a", "b").distinct(), forests * 4
+    return joined if joined is not None else components(found.select("u", "v"), "simhash-components")
+
+
 def near_duplicates(
     docs: DataFrame, *, text: str = "text", key: str = "doc_id", size: int = 4, radius: int = 4, words: int = 1,
     first_radius: int | None = None, similarity: float | None = None, tile: int = TILE,
 ) -> DataFrame:
     """doc_id, fp, node and component_id, the least doc_id reachable over links, of each document."""
-    prints = stage(fingerprints(docs, text=text, key=key, size=size, words=words), "simhash-prints")
+    exact = similarity is not None
+    prints = stage(fingerprints(docs, text=text, key=key, size=size, words=words, sets=exact), "simhash-prints")
     distinct = stage(prints.groupBy("node").agg(F.min("fp").alias("fp"), F.min("doc_id").alias("least")), "simhash-distinct")
-    found = links(distinct, radius, first_radius, tile)
-    if similarity is not None:
-        found = verified(stage(found, "simhash-links"), distinct, docs, similarity, size, text, key)
-    joined = components(found, "simhash-components")
+    if not exact:
+        joined = components(links(distinct, radius, first_radius, tile), "simhash-components")
+    else:
+        joined = verified_components(distinct, docs, similarity, size, text, key, radius, first_radius, tile)
     rooted = stage(distinct.join(joined, "node", "left").select(
         "node", "least", F.coalesce("root", "node").alias("root")), "simhash-roots")
     least = rooted.groupBy("root").agg(F.min("least").alias("component_id"))

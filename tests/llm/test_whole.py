@@ -8,7 +8,7 @@ from collections import Counter, defaultdict
 
 import pytest
 
-from tallyward.llm import lm
+from tallyward.llm import lm, simhash
 
 
 def words_of(text):
@@ -71,3 +71,45 @@ def test_rare_words_and_n_grams_count(engine, monkeypatch, shard):
     # values have codes of eight bits, so that single ones are a little off
     assert max(abs(x) / found[i].n_tokens for i, x in enumerate(wrong)) < 0.1
     assert abs(sum(wrong)) < 0.02 * sum(r.n_tokens for r in found.values()), sum(wrong)
+
+
+def jaccard(a, b, size=5):
+    x, y = ({tuple(t.split()[i:i + size]) for i in range(len(t.split()) - size + 1)} for t in (a, b))
+    return len(x & y) / len(x | y)
+
+
+def test_refused_links_hide_no_others(engine):
+    """Variants of templates: all links that are similar enough join, whatever the false ones between them."""
+    rng = random.Random(3)
+    rows = []
+    for _ in range(2):
+        base = [f"w{rng.randrange(5000)}" for _ in range(200)]
+        for _ in range(30):
+            words = base.copy()
+            for at in rng.sample(range(200), 3):
+                words[at] = f"x{rng.randrange(10**6)}"
+            rows.append((len(rows), " ".join(words)))
+    docs = engine.createDataFrame(rows, "doc_id long, text string")
+    found = {r.doc_id: r.component_id for r in simhash.near_duplicates(
+        docs, size=5, words=4, radius=56, first_radius=22, similarity=0.8).collect()}
+    root = list(range(len(rows)))
+    for j in range(len(rows)):
+        for i in range(j):
+            near = [simhash.fingerprint(" ".join(rows[k][1].split()), 5, 4) for k in (i, j)] if i // 30 == j // 30 else None
+            if near is None or jaccard(rows[i][1], rows[j][1]) < 0.8:
+                continue
+            apart = [(int(x) ^ int(y)).bit_count() for x, y in zip(*near)]
+            if sum(apart) <= 56 and apart[0] <= 22:
+                a, b = sorted((root[i], root[j]))
+                root = [a if r == b else r for r in root]
+    assert len(set(root)) < len(rows) and found == dict(enumerate(root))
+
+
+def test_sets_decide_not_repeated_shingles(engine):
+    rng = random.Random(5)
+    body = [" ".join(f"w{rng.randrange(5000)}" for _ in range(200)) for _ in range(3)]
+    footer = " all the news from our town"
+    rows = [(0, body[0] + " filler" * 260), (1, body[1] + " filler" * 260), (2, body[2] + footer), (3, body[2] + footer * 60)]
+    docs = engine.createDataFrame(rows, "doc_id long, text string")
+    found = simhash.near_duplicates(docs, size=5, words=4, radius=56, first_radius=22, similarity=0.8)
+    assert {r.doc_id: r.component_id for r in found.collect()} == {0: 0, 1: 1, 2: 2, 3: 2}
