@@ -3,11 +3,11 @@
 A gear rolling hash over a text's bytes sets the borders of chunks, only after
 white space, so that chunks hold whole words; where white space is missing for
 long, borders may fall between any characters. A border depends on the few bytes
-before it alone: an insertion moves the chunks around it and no others. Chunks are
-deduplicated by digest: of each, the first place (least document, then position)
-is kept. 64 bits are enough, since a lone collision is never acted upon: a run of
-chunks that are kept elsewhere is removed only if it holds at least
-``least_words`` words, so that common phrases stay, too.
+before it alone: an insertion moves the chunks around it and no others. Sequences
+of consecutive chunks that just reach ``least_words`` words are deduplicated by a
+rolling digest: of each, the first place (least document, then position) is kept,
+and chunks within a sequence that is kept elsewhere are removed. Common phrases
+stay, since chunks that repeat one by one make no repeated sequence.
 
 Defined results: NULL texts stay NULL and have no chunks; empty texts have none
 either. Of repeated rows of a document the first place is the same, so nothing is
@@ -36,6 +36,8 @@ FAR_BITS = 8
 LONGEST = 1024
 """Bytes of a chunk beyond which borders may also fall within words."""
 LEAST_WORDS = 16
+FACTOR = np.uint64(0x9E3779B97F4A7C15)
+INVERSE = np.uint64(pow(int(FACTOR), -1, 1 << 64))
 GEAR = np.random.Generator(np.random.PCG64(20)).integers(0, 1 << 32, 256, dtype=np.uint64).astype(np.uint32)
 SPACES = np.zeros(256, dtype=bool)
 SPACES[[9, 10, 11, 12, 13, 32]] = True
@@ -76,43 +78,60 @@ def cut(text: str) -> tuple[bytes, list[int]]:
     return data, borders(np.frombuffer(data, dtype=np.uint8)).tolist()
 
 
-def chunk_table(docs: DataFrame, *, text: str = "text", key: str = "doc_id") -> DataFrame:
-    """doc_id, place and digest of every chunk."""
+def windows(data: bytes, ends: list[int], least_words: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """First chunk, chunk after the last, and digest of the sequences that just reach ``least_words``, from either end."""
+    borders = np.array([0, *ends])
+    words = np.cumsum([0, *(len(data[x:y].split()) for x, y in zip(borders[:-1].tolist(), ends, strict=True))])
+    count = len(ends)
+    first = np.arange(count)
+    after = np.searchsorted(words, words[:-1] + least_words)
+    last = np.arange(1, count + 1)
+    before = np.searchsorted(words, words[1:] - least_words, side="right") - 1
+    keys = np.unique(np.concatenate([
+        (first * (count + 1) + after)[after <= count], (before * (count + 1) + last)[before >= 0]]))
+    i, j = np.divmod(keys, count + 1)
+    digests = np.array([0, *(xxhash.xxh3_64_intdigest(data[x:y]) for x, y in zip(borders[:-1].tolist(), ends, strict=True))], dtype=np.uint64)
+    up = np.cumprod(np.append(np.uint64(1), np.full(count, FACTOR)), dtype=np.uint64)
+    down = np.cumprod(np.append(np.uint64(1), np.full(count, INVERSE)), dtype=np.uint64)
+    sums = np.cumsum(digests * up, dtype=np.uint64)
+    return i, j, (sums[j] - sums[i]) * down[i]
+
+
+def window_table(docs: DataFrame, *, text: str = "text", key: str = "doc_id", least_words: int = LEAST_WORDS) -> DataFrame:
+    """doc_id, place, after and digest of every sequence of chunks that just reaches ``least_words``."""
     source = docs.select(F.col(key).cast("long").alias("doc_id"), F.col(text).cast("string").alias("text")).where(
         "doc_id IS NOT NULL AND text IS NOT NULL")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        digest = xxhash.xxh3_64_intdigest
         for batch, texts in blocks(batches):
-            digests, counts = [], []
-            for value in texts:
-                data, ends = cut(value)
-                digests += [digest(data[a:b]) for a, b in zip([0, *ends], ends, strict=False)]
-                counts.append(len(ends))
-            counts = np.array(counts, dtype=np.int64)
-            place = np.arange(counts.sum()) - np.repeat(np.cumsum(counts) - counts, counts)
-            ids = np.repeat(batch.column("doc_id").to_numpy(), counts)
+            found = [windows(*cut(value), least_words) for value in texts]
+            ids = np.repeat(batch.column("doc_id").to_numpy(), [len(f[0]) for f in found])
+            i, j, digests = (np.concatenate([f[k] for f in found]) for k in range(3))
             yield pa.RecordBatch.from_arrays(
-                [pa.array(ids), pa.array(place.astype(np.int32)), pa.array(np.array(digests, dtype=np.uint64).view(np.int64))],
-                names=["doc_id", "place", "digest"])
+                [pa.array(ids), pa.array(i.astype(np.int32)), pa.array(j.astype(np.int32)), pa.array(digests.view(np.int64))],
+                names=["doc_id", "place", "after", "digest"])
 
-    return source.mapInArrow(run, "doc_id long, place int, digest long")
+    return source.mapInArrow(run, "doc_id long, place int, after int, digest long")
 
 
-def repeated_places(docs: DataFrame, *, text: str = "text", key: str = "doc_id") -> DataFrame:
-    """doc_id and its chunk places that are kept elsewhere, as a sorted list.
+def repeated_places(docs: DataFrame, *, text: str = "text", key: str = "doc_id", least_words: int = LEAST_WORDS) -> DataFrame:
+    """doc_id and its chunk places within sequences that are kept elsewhere, as a sorted list.
 
-    Chunks are counted before the shuffle, so that a chunk that every document has
-    is a few rows; the list of a document is bounded by its own length.
+    Sequences are counted before the shuffle, so that one that every document has
+    is a few rows; the list of a document is bounded by its own length. A sequence
+    that overlaps the kept one is no repeat of it.
     """
-    chunks = chunk_table(docs, text=text, key=key)
-    first = F.min(F.struct("doc_id", "place"))
-    shared = stage(chunks.groupBy("digest").agg(F.count("*").alias("n"), first.alias("kept")).where("n > 1").select(
-        "digest", F.col("kept.doc_id").alias("kept_doc"), F.col("kept.place").alias("kept_place")), "chunks-shared")
+    found = window_table(docs, text=text, key=key, least_words=least_words)
+    first = F.min(F.struct("doc_id", "place", "after"))
+    shared = stage(found.groupBy("digest").agg(F.count("*").alias("n"), first.alias("kept")).where("n > 1").select(
+        "digest", F.col("kept.doc_id").alias("kept_doc"), F.col("kept.after").alias("kept_after"),
+        F.col("kept.place").alias("kept_place")), "chunks-shared")
     # staged between: a hot digest's rows are split by the join, then dealt by document
-    later = stage(chunks.join(shared, "digest").where(
-        "doc_id <> kept_doc OR place <> kept_place").select("doc_id", "place"), "chunks-later")
-    return later.groupBy("doc_id").agg(F.array_sort(F.collect_set("place")).alias("places"))
+    later = stage(found.join(shared, "digest").where(
+        "doc_id <> kept_doc OR place >= kept_after").select("doc_id", "place", "after"), "chunks-later")
+    spans = later.groupBy("doc_id", "place").agg(F.max("after").alias("after"))
+    return spans.select("doc_id", F.explode(F.sequence("place", F.col("after") - 1)).alias("place")).groupBy("doc_id").agg(
+        F.array_sort(F.collect_set("place")).alias("places"))
 
 
 def remove_runs(text: str, places: list[int], least_words: int) -> tuple[str, list[tuple[int, int]]]:
@@ -143,7 +162,7 @@ def deduplicate(
     """
     columns = [c for c in docs.columns if c.lower() != removed.lower()]
     own, marks = unused(docs, "cut_doc"), unused(docs, "places")
-    places = repeated_places(docs, text=text, key=key).withColumnsRenamed({"doc_id": own, "places": marks})
+    places = repeated_places(docs, text=text, key=key, least_words=least_words).withColumnsRenamed({"doc_id": own, "places": marks})
     joined = docs.select(*columns).join(places, docs[key].cast("long") == F.col(own), "left")
     at = {c: i for i, c in enumerate(columns)}
     spans = "array<struct<start:bigint,end:bigint>>"

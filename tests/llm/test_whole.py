@@ -8,7 +8,7 @@ from collections import Counter, defaultdict
 
 import pytest
 
-from tallyward.llm import lm, simhash
+from tallyward.llm import chunks, lm, simhash
 
 
 def words_of(text):
@@ -113,3 +113,23 @@ def test_sets_decide_not_repeated_shingles(engine):
     docs = engine.createDataFrame(rows, "doc_id long, text string")
     found = simhash.near_duplicates(docs, size=5, words=4, radius=56, first_radius=22, similarity=0.8)
     assert {r.doc_id: r.component_id for r in found.collect()} == {0: 0, 1: 1, 2: 2, 3: 2}
+
+
+def test_chunks_that_repeat_one_by_one_stay(engine):
+    """A text of common pieces from many documents repeats nowhere; a passage does."""
+    rng = random.Random(9)
+    word = lambda: "".join(rng.choice("aeioustrnlm") for _ in range(6))
+    common, ends = [], chunks.cut(" ".join(word() for _ in range(400)))
+    for a, b in zip([0, *ends[1]], ends[1][:-1], strict=False):
+        common.append(ends[0][a:b].decode())
+    rows = [(i, " ".join(rng.choices(common, k=60)).replace("  ", " ")) for i in range(40)]
+    passage = " ".join(word() for _ in range(60))
+    rows += [(100, passage + " " + word()), (101, word() + " " + passage)]
+    found = {r.doc_id: r for r in chunks.deduplicate(engine.createDataFrame(rows, "doc_id long, text string")).collect()}
+    texts = {i: t.split() for i, t in rows}
+    grams = lambda i: {tuple(texts[i][k:k + 10]) for k in range(len(texts[i]) - 9)}
+    for i, text in rows[:40]:
+        others = set().union(*(grams(j) for j, _ in rows if j != i))
+        if not grams(i) & others:
+            assert found[i].text == text
+    assert found[100].text == rows[-2][1] and len(found[101].text) < 60 + len(rows[-1][1]) - 6 * 40
