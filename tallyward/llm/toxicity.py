@@ -3,7 +3,7 @@
 Each token weighs its log-odds of standing in toxic rather than clean documents,
 under a Dirichlet prior from the pooled counts, less its own uncertainty. Beginnings
 of tokens have log-odds too, since insults are inflected: a token weighs what the
-strongest of its beginnings or itself does, the first time that a text has it: words
+strongest of its beginnings or itself does, and once within a segment: words
 repeat, so their repetition tells little. Tokens without clear evidence weigh
 slightly below zero. A linear scan finds all maximal
 segments of positive weight. Their scores follow an extreme-value law in clean
@@ -111,14 +111,38 @@ class ToxicityModel:
         weights = [w if (w := known(t)) is not None else self._weight(t) for t in tokens]
         if max(weights, default=-1.0) <= 0:
             return len(tokens), []
-        seen = set()
-        for place in [i for i, w in enumerate(weights) if w > 0]:
-            if tokens[place] in seen:
-                weights[place] = 0.0
-            seen.add(tokens[place])
         noise = math.log(len(tokens) + 1)
-        found = [(s, e, self.scale * score - noise) for s, e, score in maximal_segments(weights)]
-        return len(tokens), [f for f in found if f[2] > 0]
+        found = []
+        for start, end, score in maximal_segments(weights):
+            if self.scale * score > noise:
+                found += self._damped(tokens, weights, start, end, noise)
+        return len(tokens), sorted(found)
+
+    def _damped(self, tokens: list[str], weights: list[float], start: int, end: int, noise: float) -> list[tuple[int, int, float]]:
+        """The significant segments within one, each token weighing once; if there are none, those within its parts.
+
+        Parts lie on either side of the widest gap, of equal ones that nearest the middle.
+        """
+        found, open_ = [], [(start, end)]
+        while open_:
+            lo, hi = open_.pop()
+            positive = [i for i in range(lo, hi) if weights[i] > 0]
+            if self.scale * sum({tokens[i]: weights[i] for i in positive}.values()) <= noise:
+                continue
+            part, seen = weights[lo:hi], set()
+            for i in positive:
+                if tokens[i] in seen:
+                    part[i - lo] = 0.0
+                seen.add(tokens[i])
+            kept = [(lo + s, lo + e, self.scale * score - noise) for s, e, score in maximal_segments(part)]
+            kept = [f for f in kept if f[2] > 0]
+            if kept or len(positive) < 2:
+                found += kept
+                continue
+            gaps = list(zip(positive[:-1], positive[1:], strict=True))
+            x, y = max(gaps, key=lambda g: (g[1] - g[0], -abs(g[0] + g[1] - lo - hi)))
+            open_ += [(lo, x + 1), (y, hi)]
+        return found
 
     def evidence(self, text: str) -> float:
         return math.log1p(sum(excess for _, _, excess in self.passages(text)[1]))

@@ -8,7 +8,7 @@ from collections import Counter, defaultdict
 
 import pytest
 
-from tallyward.llm import chunks, lm, simhash
+from tallyward.llm import chunks, lm, simhash, toxicity
 
 
 def words_of(text):
@@ -133,3 +133,18 @@ def test_chunks_that_repeat_one_by_one_stay(engine):
         if not grams(i) & others:
             assert found[i].text == text
     assert found[100].text == rows[-2][1] and len(found[101].text) < 60 + len(rows[-1][1]) - 6 * 40
+
+
+def test_a_repeated_insult_is_found_each_time():
+    words = dict.fromkeys(["grumble", "scoundrel", "villain", "wretch"], 3.0)
+    model = toxicity.ToxicityModel(words, 1.0, 1.0, 0.0)
+    clean, insult = ["fine"] * 400, list(words)
+    spans = lambda t: [f[:2] for f in model.passages(" ".join(t))[1]]
+    assert spans([*clean, *insult, *clean, *insult, *clean]) == [(400, 404), (804, 808)]
+    # scattered words, each below what a text of that length shows, do not hide the passage after them
+    scattered = [w for x in insult for w in [x, *clean]]
+    assert spans([*scattered, *insult]) == [(len(scattered), len(scattered) + 4)]
+    # within a segment, repetition adds nothing
+    once, often = (model.passages(" ".join(t))[1] for t in ([*insult, *clean], [*insult * 3, *clean[8:]]))
+    assert len(once) == len(often) == 1 and abs(once[0][2] - often[0][2]) < 1e-9
+    assert spans([*["villain"] * 50, *clean]) == []
