@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 import corpus_pipeline
-from tallyward.llm import bpe, chunks, langid, lm, notices, packing, rarity, simhash, topk, toxicity
+from tallyward.llm import bpe, chunks, decontamination, langid, lm, notices, packing, rarity, simhash, topk, toxicity
 from tallyward.llm.common import fold, table
 
 Build = Callable[[SparkSession, str], DataFrame]
@@ -115,6 +115,52 @@ SELECT query_id, rank, vec_id, score FROM ranked WHERE rank <= 20
 """
 
 
+@query
+def op12_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Words of documents within windows of ten words that benchmark items hold."""
+    found = decontamination.find(table(spark, sf_dir, "documents").select("doc_id", "text"), table(spark, sf_dir, "benchmark"))
+    return found.select(
+        "doc_id", "n_words", "n_hit", F.size("item_ids").cast("long").alias("n_items"),
+        F.sha2(F.concat_ws(",", "item_ids"), 256).alias("items_sha256"), (F.col("n_hit") > 0).alias("contaminated"))
+
+
+ORACLE_SQL["op12_decontamination"] = r"""
+WITH doc_words AS (
+    SELECT doc_id, row_number() OVER () AS doc, regexp_extract_all(
+        translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+        '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS words
+    FROM documents
+), item_words AS (
+    SELECT coalesce(CAST(item_id AS VARCHAR), '') AS item_id, regexp_extract_all(
+        translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+        '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS words
+    FROM benchmark
+), item_places AS (
+    SELECT item_id, words, unnest(range(1, greatest(len(words) - 9, 1) + 1)) AS place FROM item_words WHERE len(words) > 0
+), item_windows AS (
+    SELECT DISTINCT item_id, array_to_string(words[place:place + 9], ' ') AS window_text, least(len(words), 10) AS size
+    FROM item_places
+), sizes AS (
+    SELECT DISTINCT size FROM item_windows
+), places AS (
+    SELECT doc, words, size, unnest(range(1, len(words) - size + 2)) AS place FROM doc_words, sizes WHERE len(words) >= size
+), hits AS (
+    SELECT doc, place, p.size, item_id
+    FROM places p JOIN item_windows w ON w.size = p.size AND array_to_string(words[place:place + p.size - 1], ' ') = window_text
+), hit_words AS (
+    SELECT doc, count(DISTINCT word) AS n_hit
+    FROM (SELECT DISTINCT doc, unnest(range(place, place + size)) AS word FROM hits) GROUP BY doc
+), hit_items AS (
+    SELECT doc, count(*) AS n_items, string_agg(item_id, ',' ORDER BY item_id) AS listed
+    FROM (SELECT DISTINCT doc, item_id FROM hits) GROUP BY doc
+)
+SELECT doc_id, CAST(len(words) AS BIGINT) AS n_words, CAST(coalesce(n_hit, 0) AS BIGINT) AS n_hit,
+    CAST(coalesce(n_items, 0) AS BIGINT) AS n_items, sha256(coalesce(listed, '')) AS items_sha256,
+    coalesce(n_hit, 0) > 0 AS contaminated
+FROM doc_words LEFT JOIN hit_words USING (doc) LEFT JOIN hit_items USING (doc)
+"""
+
+
 @query
 def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All stages of the corpus pipeline."""
