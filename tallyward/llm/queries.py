@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 import corpus_pipeline
-from tallyward.llm import bpe, chunks, decontamination, langid, lm, notices, packing, rarity, simhash, topk, toxicity
+from tallyward.llm import bpe, chunks, decontamination, langid, lm, notices, packing, prefixtrie, rarity, simhash, topk, toxicity
 from tallyward.llm.common import fold, table
 
 Build = Callable[[SparkSession, str], DataFrame]
@@ -161,6 +161,51 @@ FROM doc_words LEFT JOIN hit_words USING (doc) LEFT JOIN hit_items USING (doc)
 """
 
 
+@query
+def op13_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The trie of conversations that share beginnings, with subtree totals."""
+    return prefixtrie.trie(prefixtrie.branched(prefixtrie.ordered_turns(table(spark, sf_dir, "conversations"))))
+
+
+ORACLE_SQL["op13_prefix_trie"] = """
+WITH own AS (
+    SELECT conv_id, list(struct_pack(role := coalesce(role, ''), text := coalesce(text, '')) ORDER BY turn NULLS FIRST) AS turns
+    FROM conversations WHERE conv_id IS NOT NULL GROUP BY conv_id
+), shares AS (
+    SELECT conv_id, turns, xor(4294967295, list_reduce(
+        list_prepend(CAST(4294967295 AS BIGINT), list_transform(string_split(CAST(conv_id AS VARCHAR), ''), lambda c : CAST(ascii(c) AS BIGINT))),
+        lambda crc, byte : list_reduce(
+            list_prepend(xor(crc, byte), CAST([0, 0, 0, 0, 0, 0, 0, 0] AS BIGINT[])),
+            lambda v, bit : CASE WHEN (v & 1) = 1 THEN xor(v >> 1, 3988292384) ELSE v >> 1 END))) % 6 AS shared
+    FROM own
+), rebuilt AS (
+    SELECT s.conv_id, list_concat(coalesce(b.turns[1:s.shared], []), s.turns[s.shared + 1:]) AS turns
+    FROM shares s LEFT JOIN own b ON b.conv_id = s.conv_id - s.conv_id % 100
+), members AS (
+    SELECT conv_id, depth, turns[1:depth] AS path, depth = len(turns) AS at_end
+    FROM (SELECT conv_id, turns, unnest(range(0, len(turns) + 1)) AS depth FROM rebuilt)
+), nodes AS (
+    SELECT path, depth, min(conv_id) AS conv_id, count(*) AS n_convs,
+        (count(*) - 1) * CASE WHEN depth = 0 THEN 0 ELSE length(path[depth].text) END AS saved,
+        sha256(coalesce(string_agg(CAST(conv_id AS VARCHAR), ',' ORDER BY conv_id) FILTER (WHERE at_end), '')) AS ends_sha256
+    FROM members GROUP BY path, depth
+), children AS (
+    SELECT path[1:depth - 1] AS path, count(*) AS n_children FROM nodes WHERE depth > 0 GROUP BY 1
+), counted AS (
+    SELECT n.*, coalesce(n_children, 0) AS n_children FROM nodes n LEFT JOIN children c ON n.path = c.path
+), above AS (
+    SELECT path[1:up] AS path, n_children, saved
+    FROM (SELECT path, n_children, saved, unnest(range(0, depth + 1)) AS up FROM counted)
+), totals AS (
+    SELECT path, count(*) FILTER (WHERE n_children = 0) AS n_leaves, CAST(sum(saved) AS BIGINT) AS saved_tokens
+    FROM above GROUP BY path
+)
+SELECT n.conv_id, n.depth, p.conv_id AS parent_conv_id, n.n_convs, n.n_children, t.n_leaves, t.saved_tokens, n.ends_sha256
+FROM counted n JOIN totals t ON t.path = n.path
+LEFT JOIN nodes p ON n.depth > 0 AND p.depth = n.depth - 1 AND p.path = n.path[1:n.depth - 1]
+"""
+
+
 @query
 def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All stages of the corpus pipeline."""
