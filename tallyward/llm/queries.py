@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 import corpus_pipeline
-from tallyward.llm import bpe, chunks, decontamination, langid, lm, notices, packing, prefixtrie, rarity, simhash, topk, toxicity
+from tallyward.llm import alignment, bpe, chunks, decontamination, langid, lm, notices, packing, prefixtrie, rarity, simhash, topk, toxicity
 from tallyward.llm.common import fold, table
 
 Build = Callable[[SparkSession, str], DataFrame]
@@ -115,6 +115,13 @@ SELECT query_id, rank, vec_id, score FROM ranked WHERE rank <= 20
 """
 
 
+@query
+def op11_token_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Groups of tokens between shared cuts of two tokenizers, and how common their links are."""
+    path_a, path_b = public_tokenizers.path("byte_bpe_50k.json"), public_tokenizers.path("piece_bpe_32k.model")
+    return alignment.linked(table(spark, sf_dir, "documents"), path_a, path_b).withColumnRenamed("groups", "groups_sha256")
+
+
 @query
 def op12_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Words of documents within windows of ten words that benchmark items hold."""
