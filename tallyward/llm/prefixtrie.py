@@ -121,14 +121,18 @@ def paths_of(turns: DataFrame, block_turns: int = BLOCK_TURNS) -> DataFrame:
 
 
 def nodes_of(paths: DataFrame) -> DataFrame:
-    """One row per node: least member, depth, parent, members, weight, and what is rolled up (leaf, saved)."""
+    """One row per node: least member, depth, parent, members, weight, and what is rolled up (leaf, saved).
+
+    All nodes are in one component, the root's, and nothing has been added to them yet.
+    """
     found = paths.groupBy(*NODE).agg(
         F.min("conv").alias("conv"), F.min("place").alias("depth"), F.count("*").alias("n_convs"),
         F.min("chars").alias("chars"), F.max("total").alias("reach"),
         F.sum(F.col("total") - F.col("place") + 1).alias("weight"), *(F.min(p).alias(p) for p in PARENT))
     return found.select(
         *NODE, *PARENT, "conv", "depth", "n_convs", "weight", (F.col("reach") == F.col("depth")).cast("long").alias("leaf"),
-        ((F.col("n_convs") - 1) * F.col("chars")).alias("saved"))
+        ((F.col("n_convs") - 1) * F.col("chars")).alias("saved"),
+        *(F.lit(0).cast("long").alias(c) for c in (*TOP, "add_leaf", "add_saved")))
 
 
 def _same(left: list[str], right: list[str]) -> Column:
@@ -140,9 +144,7 @@ def split_large(nodes: DataFrame, paths: DataFrame, local_nodes: int = LOCAL_NOD
 
     A centroid ends as a component of its own.
     """
-    zero = F.lit(0).cast("long")
-    live = nodes.withColumns({"t1": zero, "t2": zero, "add_leaf": zero, "add_saved": zero})
-    ready = []
+    live, ready = nodes, []
     while True:
         large = stage(live.groupBy(*TOP).agg(
             F.count("*").alias("n"), F.max("weight").alias("whole"), F.min("depth").alias("top_depth")).where(
