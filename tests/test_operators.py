@@ -213,6 +213,23 @@ def test_first_and_last_keep_ties_and_treat_null_as_first(spark):
     ], "id int, k string, t timestamp_ntz")
     assert values(firstlast.earliest_per_key(df, "k", "t"), "id") == [1, 2]
     assert values(firstlast.latest_per_key(df, "k", "t"), "id") == [3, 5]
+    assert values(firstlast.ranked_first(df, "k", "t"), "id") == [1, 2]
+    assert values(firstlast.ranked_first(df, "k", "t", last=True), "id") == [3, 5]
+    assert firstlast.earliest_per_key(df, "k", "t").columns == df.columns
+
+
+def test_first_and_last_equal_brute_force(spark):
+    rng = random.Random(11)
+    base = datetime(2000, 1, 1)
+    rows = [(i, rng.choice([1, 1, 1, 1, 2, 3, 4, None]), None if rng.random() < 0.02 else base + timedelta(days=rng.randint(0, 20)))
+            for i in range(300)]
+    rows += rows[:5]
+    df = spark.createDataFrame(rows, "id int, k int, t timestamp_ntz").repartition(4)
+    by_key = {k: [t for _, k2, t in rows if k2 == k] for _, k, _ in rows if k is not None}
+    first = {k: None if None in times else min(times) for k, times in by_key.items()}
+    last = {k: max((t for t in times if t), default=None) for k, times in by_key.items()}
+    for pick, want in ((firstlast.earliest_per_key, first), (firstlast.latest_per_key, last)):
+        assert values(pick(df, "k", "t"), "id") == sorted((i for i, k, t in rows if k and t and t == want[k]), key=repr)
 
 
 # --- sets and counts -------------------------------------------------------

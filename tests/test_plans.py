@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 
 from tallyward.catalog import cohorts
 from tallyward.catalog.registry import table
-from tallyward.operators.firstlast import earliest_per_key
+from tallyward.operators.firstlast import earliest_per_key, latest_per_key, ranked_first
 from tallyward.operators.intervals import followed_within, preceded_within
 from tallyward.operators.joins import inner_enrich
 from tallyward.plans.ascertain import diagnosis_events, index_events
@@ -58,16 +58,41 @@ def test_interval_joins_are_hashed_on_key_and_bucket(spark, sf_small):
     try:
         pairs = plan(preceded_within(events, other, "user_id", "ts", "other_ts", 3))
         exists = plan(followed_within(events, other, "user_id", "ts", "other_ts", 24))
-        first = plan(earliest_per_key(events, "user_id", "ts"))
     finally:
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
     assert re.search(r"hashpartitioning\(user_id#\d+L, _bucket#\d+L", pairs)
     assert re.search(r"hashpartitioning\(user_id#\d+L, _end_bucket#\d+L", exists)
     assert "partial_max" in exists and "partial_min" in exists
-    # one scan, and each task keeps its first rows only before the shuffle
-    assert first.count("Scan parquet") == 2  # in the plan and in its details
-    below = first.index("Exchange")
-    assert "WindowGroupLimit" in first[below:first.index("Scan parquet")]
+
+
+def test_first_per_key_sorts_nothing_before_the_shuffle(spark, sf_small, tmp_path):
+    """Times are aggregated by hash and fetched by a join; sorted tables are ranked without a sort or shuffle."""
+    lines = table(spark, sf_small, "lineitem").select("l_suppkey", "l_orderkey", "l_shipdate")
+    for pick in (earliest_per_key, latest_per_key):
+        text = plan(pick(lines, "l_suppkey", "l_shipdate"))
+        assert "HashAggregate" in text and "BroadcastHashJoin" in text and "Sort" not in text and "Window" not in text
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        text = plan(earliest_per_key(lines, "l_suppkey", "l_shipdate"))
+        spark.sql(f"CREATE DATABASE IF NOT EXISTS test_sorted LOCATION '{tmp_path}'")
+        lines.write.bucketBy(4, "l_suppkey").sortBy("l_suppkey", "l_shipdate").saveAsTable("test_sorted.lines")
+        ranked = ranked_first(spark.table("test_sorted.lines"), "l_suppkey", "l_shipdate")
+        assert "Exchange" not in plan(ranked)
+        assert sorted(ranked.collect()) == sorted(earliest_per_key(lines, "l_suppkey", "l_shipdate").collect())
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+        spark.sql("DROP DATABASE IF EXISTS test_sorted CASCADE")
+    below = [part.split("Scan parquet")[0] for part in text.split("Exchange")[1:] if "Scan parquet" in part]
+    assert below and all("Sort" not in part for part in below[:2])
+
+
+def test_a_hot_key_is_split_when_its_first_rows_are_fetched(spark, split_joins):
+    """Nine rows in ten have one key, and all of its rows the same time."""
+    visits = _hot(spark, [F.col("id"), F.timestamp_add("SECOND", (F.col("id") % 10 - 9).cast("int"), F.lit("2020-01-01").cast("timestamp_ntz")).alias("t")])
+    visits = visits.withColumn("t", F.when(F.col("PatientSID") == 7, F.lit("2020-01-01").cast("timestamp_ntz")).otherwise(F.col("t")))
+    found = earliest_per_key(visits, "PatientSID", "t")
+    assert "skew=true" in _final_plan(found)
+    assert found.count() == 200_000
 
 
 def test_history_is_folded_before_the_shuffle(study):
