@@ -20,7 +20,7 @@ from tallyward.plans.emergency import (
     cohort_sites, ed_visits, emergency_from_candidates, inpatient_candidates, latest_dyads,
 )
 from tallyward.plans.enrich import enrich_denominator, enrich_numerator
-from tallyward.plans.history import active_only, care_bounds, care_flags, cohort_visits
+from tallyward.plans.history import active_only, bounds_of, care_flags, cohort_visits, event_visits
 from tallyward.sources.staging import stage
 from tallyward.sources.tables import SourceTables
 
@@ -53,14 +53,14 @@ class Study:
 
     @cached_property
     def visits(self) -> DataFrame:
-        """The cohort's primary-care visits and the visits that are index events, in one pass."""
+        """The cohort's times of primary care and the visits that are index events, in one pass."""
         by_visit = self.index.filter(F.col("TypeOfEvent") == OUTPATIENT)
         ids = by_visit.select(F.col("DiagnosisEventSID").alias("VisitSID"))
         return stage(cohort_visits(self.tables, self.sites, ids), "visits")
 
-    @cached_property
+    @property
     def bounds(self) -> DataFrame:
-        return stage(care_bounds(self.sites, self.tables, visits=self.visits), "bounds")
+        return bounds_of(self.visits)
 
     @cached_property
     def candidates(self) -> DataFrame:
@@ -93,11 +93,11 @@ class Study:
         return active_only(care_flags(included, self.bounds, months, diagnoses=self.index))
 
     def denominator(self) -> DataFrame:
-        return enrich_denominator(stage(self.active(self.included), "active"), self.tables, self.visits)
+        return enrich_denominator(stage(self.active(self.included), "active"), self.tables, event_visits(self.visits))
 
     def numerator(self) -> DataFrame:
         active = stage(self.active(self.included_emergency), "active_emergency")
-        return enrich_numerator(active, self.tables, self.visits)
+        return enrich_numerator(active, self.tables, event_visits(self.visits))
 
 
 def build_denominator(

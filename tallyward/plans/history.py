@@ -35,26 +35,58 @@ def care_stops(t: SourceTables) -> DataFrame:
     return stops.filter(is_primary_care("StopCode1", "StopCode2")).select("PrimaryStopCodeSID")
 
 
-def cohort_visits(t: SourceTables, sites: DataFrame, event_ids: DataFrame) -> DataFrame:
-    """One pass over the visits for all that the cohort needs of them.
+CARE, EVENT = "care", "event"
+"""Why a visit is wanted: primary care at a site of the cohort, or by its id."""
+
 
-    Keeps visits to primary care at the cohort's sites (``is_care``) and visits by
-    the ids of index events, of any time (``is_event``). The three lists are
-    looked up by outer joins, so that one scan serves both.
+def cohort_visits(t: SourceTables, sites: DataFrame, event_ids: DataFrame) -> DataFrame:
+    """One reduced pass over the visits for all that the cohort needs of them.
+
+    ``kind`` CARE: the first and last time of primary care of each person at the
+    cohort's sites (``PatientSSN``, ``first_visit``, ``last_visit``). ``kind``
+    EVENT: the stations of the visits by the ids of index events, of any time
+    (``VisitSID``, ``Sta3n``).
+
+    A visit's site and id become (kind, key) pairs, which meet the wanted pairs in
+    one join, as the codes of a bridge do: the fact is cut to the cohort before
+    anything else is asked, NULL and sentinel sites are never shuffled, and a hot
+    site may be split. What is left is folded before it travels: care visits
+    become two times per person, whatever their number.
     """
-    found = F.lit(True)
-    stops = care_stops(t).distinct().withColumn("_care", found)
-    here = sites.filter(not_sentinel("PatientSID")).select("PatientSID").distinct().withColumn("_here", found)
-    events = event_ids.select("VisitSID").distinct().withColumn("is_event", found)
-    visits = t.outpat_workload.select("VisitSID", "PatientSID", "VisitDateTime", "PrimaryStopCodeSID", "Sta3n")
-    marked = (
-        visits.join(stops, "PrimaryStopCodeSID", "left").join(here, "PatientSID", "left")
-        .join(events, "VisitSID", "left")
-        .withColumn("is_care", F.coalesce(F.col("_care") & F.col("_here"), F.lit(False)))
-        .withColumn("is_event", F.coalesce("is_event", F.lit(False)))
-    )
-    return marked.filter("is_care OR is_event").select(
-        "VisitSID", "PatientSID", "VisitDateTime", "Sta3n", "is_care", "is_event")
+    fact = t.outpat_workload.select("VisitSID", "PatientSID", "VisitDateTime", "PrimaryStopCodeSID", "Sta3n")
+    nothing = {f.name: F.lit(None).cast(f.dataType) for f in fact.schema}
+    no_person = F.lit(None).cast(sites.schema["PatientSSN"].dataType)
+    here = sites.filter(not_sentinel("PatientSID")).select(
+        F.lit(CARE).alias("kind"), F.col("PatientSID").alias("key"), "PatientSSN")
+    asked = event_ids.select(F.lit(EVENT).alias("kind"), F.col("VisitSID").alias("key"), no_person.alias("PatientSSN"))
+    wanted = here.unionByName(asked).filter(F.col("key").isNotNull()).distinct()
+    keys = F.array(
+        F.struct(F.lit(CARE).alias("kind"), F.when(not_sentinel("PatientSID"), F.col("PatientSID")).alias("key"),
+                 F.col("PrimaryStopCodeSID").alias("stop"), nothing["VisitSID"].alias("VisitSID"), nothing["Sta3n"].alias("Sta3n")),
+        F.struct(F.lit(EVENT).alias("kind"), F.col("VisitSID").alias("key"),
+                 nothing["PrimaryStopCodeSID"].alias("stop"), F.col("VisitSID"), F.col("Sta3n")))
+    pairs = fact.select("VisitDateTime", F.inline(keys)).filter(F.col("key").isNotNull())
+    found = pairs.join(wanted, ["kind", "key"], "inner")
+    # care needs a primary-care stop, events none
+    stops = care_stops(t).select(F.lit(CARE).alias("for_kind"), F.col("PrimaryStopCodeSID").alias("for_stop"))
+    stops = stops.unionByName(
+        fact.sparkSession.range(1).select(F.lit(EVENT).alias("for_kind"), nothing["PrimaryStopCodeSID"].alias("for_stop")))
+    allowed = (F.col("kind") == F.col("for_kind")) & F.col("stop").eqNullSafe(F.col("for_stop"))
+    kept = found.join(stops, allowed, "left_semi")
+    has_null = F.bool_or(F.col("VisitDateTime").isNull())
+    return kept.groupBy("kind", "PatientSSN", "VisitSID", "Sta3n").agg(
+        F.when(~has_null, F.min("VisitDateTime")).alias("first_visit"), F.max("VisitDateTime").alias("last_visit"))
+
+
+def bounds_of(visits: DataFrame) -> DataFrame:
+    """First and last primary-care time per person, out of the :func:`cohort_visits`."""
+    care = visits.filter((F.col("kind") == CARE) & F.col("PatientSSN").isNotNull())
+    return care.select("PatientSSN", "first_visit", "last_visit")
+
+
+def event_visits(visits: DataFrame) -> DataFrame:
+    """The visits that are index events, out of the :func:`cohort_visits`."""
+    return visits.filter(F.col("kind") == EVENT).select("VisitSID", "Sta3n")
 
 
 def primary_care_visits(t: SourceTables, second_key: str | None = None) -> DataFrame:
@@ -100,17 +132,13 @@ def history_delta(history: DataFrame, *, first: bool) -> DataFrame:
     return with_star(pick(history, "PatientSSN", "HistoricalEventDateTime"), DxHxDelta=months).distinct()
 
 
-def care_bounds(
-    sites: DataFrame, t: SourceTables, second_key: str | None = None, visits: DataFrame | None = None,
-) -> DataFrame:
+def care_bounds(sites: DataFrame, t: SourceTables, second_key: str | None = None) -> DataFrame:
     """First and last primary-care visit time per person.
 
     The flags need these two times only, so the visit rows are never carried:
-    they are folded into one row per person before the shuffle. ``visits`` may
-    hold the :func:`cohort_visits`.
+    they are folded into one row per person before the shuffle.
     """
-    found = primary_care_visits(t, second_key) if visits is None else visits.filter("is_care")
-    visits = found.select("PatientSID", "VisitDateTime")
+    visits = primary_care_visits(t, second_key).select("PatientSID", "VisitDateTime")
     return time_bounds(
         visits.join(sites, "PatientSID", "inner"), "PatientSSN", "VisitDateTime",
         "first_visit", "last_visit",

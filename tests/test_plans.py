@@ -17,7 +17,7 @@ from tallyward.operators.joins import inner_enrich
 from tallyward.plans.ascertain import diagnosis_events, index_events
 from tallyward.plans.emergency import ed_visits, emergency_from_candidates, inpatient_candidates
 from tallyward.plans import cohort, enrich
-from tallyward.plans.history import care_bounds
+from tallyward.plans.history import care_bounds, cohort_visits
 from tallyward.sources.staging import stage
 from tallyward.params import Window
 from test_queries import plan
@@ -100,6 +100,23 @@ def test_history_is_folded_before_the_shuffle(study):
     assert "partial_max" in text and "partial_min" in text
 
 
+def test_visits_are_cut_by_an_inner_join_and_folded_before_they_are_written(spark, study, split_joins):
+    """No outer join reads the fact; a hot site is split; a person is one care row."""
+    ids = study.index.select(F.col("DiagnosisEventSID").alias("VisitSID"))
+    text = plan(cohort_visits(study.tables, study.sites, ids))
+    assert "LeftOuter" not in text and "FullOuter" not in text and "RightOuter" not in text
+    assert "partial_max" in text and "partial_min" in text
+    care = study.visits.filter("kind = 'care'")
+    assert care.count() == care.select("PatientSSN").distinct().count() > 0
+    time = F.lit("2020-01-01").cast("timestamp_ntz")
+    visits = _hot(spark, [F.col("id").alias("VisitSID"), time.alias("VisitDateTime"),
+                          (F.col("id") % 4).alias("PrimaryStopCodeSID"), F.lit(1).alias("Sta3n")])
+    sites = spark.range(0, 200_000, 1, 4).select(F.col("id").cast("string").alias("PatientSSN"), F.col("id").alias("PatientSID"))
+    tables = SimpleNamespace(outpat_workload=visits, dim_stopcode=study.tables.dim_stopcode)
+    ids = spark.range(0, 200_000, 1, 4).select(F.col("id").alias("VisitSID"))
+    assert "skew=true" in _final_plan(cohort_visits(tables, sites, ids))
+
+
 def _hot(spark, columns):
     """Rows of which nine in ten share site 7."""
     n = F.col("id")
