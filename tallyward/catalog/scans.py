@@ -14,7 +14,8 @@ from tallyward.operators.joins import with_dims
 from tallyward.operators.projections import distinct_project, project, tag, with_star
 from tallyward.operators.setops import union_events
 from tallyward.params import StudyParams, params_df, windows
-from tallyward.sources.staging import conform, stage, stage_root, write_output
+from tallyward.sources.outputs import read_output, replace_output, write_output
+from tallyward.sources.staging import conform, finished, stage, stage_root
 from tallyward.sources.tables import code_set, cohort_slice, read_dim, read_source
 
 
@@ -110,6 +111,30 @@ def write_cohort(spark, d):
     return spark.read.schema(rows.schema).parquet(target)
 
 
+@query("""
+    SELECT c_custkey, c_name, c_mktsegment FROM customer WHERE c_mktsegment = 'BUILDING'
+    UNION ALL SELECT c_custkey, c_name, c_mktsegment FROM customer""")
+def replace_cohort(spark, d):
+    """Replace an output while its old version is being read; the new version then reads the old one."""
+    rows = table(spark, d, "customer").select("c_custkey", "c_name", "c_mktsegment")
+    target = f"{stage_root(spark)}/output-{uuid.uuid4().hex}"
+    replace_output(rows.filter("c_mktsegment = 'BUILDING'"), target)
+    old = read_output(spark, target)
+    replace_output(rows, target)
+    replace_output(old.unionByName(read_output(spark, target)), target)
+    return read_output(spark, target)
+
+
+@query("SELECT o_custkey, count(*) AS n FROM orders GROUP BY o_custkey")
+def finished_stage(spark, d):
+    """A stage whose own stages are gone."""
+    def build():
+        orders = stage(table(spark, d, "orders").select("o_custkey"), "orders")
+        return orders.groupBy("o_custkey").agg(F.count("*").alias("n"))
+
+    return finished(build, "counted")
+
+
 @query("""
     SELECT o_orderkey, o_custkey, o_orderstatus FROM orders
     WHERE o_orderstatus = 'F' AND o_orderpriority IN ('1-URGENT', '2-HIGH')""", name="cohort_slice")

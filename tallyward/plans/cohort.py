@@ -7,8 +7,9 @@ storage. What follows works on stages.
 
 from __future__ import annotations
 
-from dataclasses import dataclass
-from functools import cached_property
+from collections.abc import Callable
+from dataclasses import dataclass, field
+from functools import cached_property, wraps
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -21,37 +22,57 @@ from tallyward.plans.emergency import (
 )
 from tallyward.plans.enrich import enrich_denominator, enrich_numerator
 from tallyward.plans.history import active_only, bounds_of, care_flags, cohort_visits, event_visits
-from tallyward.sources.staging import stage
+from tallyward.sources.outputs import replace_output
+from tallyward.sources.staging import Stages, stage
 from tallyward.sources.tables import SourceTables
 
 
+def _held(build: Callable[[Study], DataFrame]) -> Callable[[Study], DataFrame]:
+    """The stages that a step writes belong to its study."""
+    @wraps(build)
+    def run(study: Study) -> DataFrame:
+        with study.stages.open():
+            return build(study)
+
+    return run
+
+
 @dataclass(frozen=True)
 class Study:
-    """The steps of one study; each staged step is computed once and shared."""
+    """The steps of one study; each staged step is computed once and shared.
+
+    ``stages.release()`` deletes the files of all steps, once the outputs have been
+    written elsewhere; :func:`write_cohorts` does both.
+    """
 
     tables: SourceTables
     params: StudyParams = StudyParams()
     condition: ConditionSpec = COLORECTAL
+    stages: Stages = field(default_factory=Stages, compare=False)
 
     @cached_property
     def windows(self) -> Windows:
         return windows(self.params)
 
     @cached_property
+    @_held
     def events(self) -> DataFrame:
         """Events of the condition from the start of washout to the end of search."""
         span = Window(self.windows.washout.start, self.windows.search.end)
         return stage(diagnosis_events(self.tables, self.condition, span), "events")
 
     @cached_property
+    @_held
     def index(self) -> DataFrame:
         return stage(index_events(self.events, self.windows), "index")
 
     @cached_property
+    @_held
     def sites(self) -> DataFrame:
         return stage(cohort_sites(self.index, self.tables.spatient), "sites")
 
     @cached_property
+    @_held
     def visits(self) -> DataFrame:
         """The cohort's times of primary care and the visits that are index events, in one pass."""
         by_visit = self.index.filter(F.col("TypeOfEvent") == OUTPATIENT)
@@ -63,6 +84,7 @@ class Study:
         return bounds_of(self.visits)
 
     @cached_property
+    @_held
     def candidates(self) -> DataFrame:
         """Stays and emergency visits of the cohort in the emergency window."""
         stays = inpatient_candidates(self.tables, self.sites, self.windows.emergency)
@@ -70,6 +92,7 @@ class Study:
         return stage(stays.unionByName(visits, allowMissingColumns=True), "candidates")
 
     @cached_property
+    @_held
     def emergency(self) -> DataFrame:
         return stage(emergency_from_candidates(self.candidates, self.tables), "emergency")
 
@@ -92,9 +115,11 @@ class Study:
         months = self.params.carehx_length_months
         return active_only(care_flags(included, self.bounds, months, diagnoses=self.index))
 
+    @_held
     def denominator(self) -> DataFrame:
         return enrich_denominator(stage(self.active(self.included), "active"), self.tables, event_visits(self.visits))
 
+    @_held
     def numerator(self) -> DataFrame:
         active = stage(self.active(self.included_emergency), "active_emergency")
         return enrich_numerator(active, self.tables, event_visits(self.visits))
@@ -120,5 +145,18 @@ def build_cohorts(
     return study.denominator(), study.numerator()
 
 
+def write_cohorts(
+    tables: SourceTables, denominator: str, numerator: str,
+    params: StudyParams = StudyParams(), condition: ConditionSpec = COLORECTAL,
+) -> None:
+    """Replace both output folders as wholes, and release every stage, also if a step fails."""
+    study = Study(tables, params, condition)
+    try:
+        replace_output(study.denominator(), denominator)
+        replace_output(study.numerator(), numerator)
+    finally:
+        study.stages.release()
+
+
 def count_persons(output: DataFrame) -> DataFrame:
     return output.agg(F.count_distinct("PatientSSN").alias("persons"))

@@ -1,8 +1,11 @@
-"""Stages written to shared storage, declared contracts, and outputs."""
+"""Stages written to shared storage and their release, declared contracts, and outputs."""
 
 from __future__ import annotations
 
 import uuid
+from collections.abc import Callable, Iterator
+from contextlib import contextmanager
+from contextvars import ContextVar
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -22,19 +25,71 @@ def stage_root(spark: SparkSession) -> str:
     return f"{folder.rstrip('/')}/tallyward"
 
 
+class Stages:
+    """A handle on the stages written while it is open; releasing it deletes their files.
+
+    Stages written where no handle is open are nobody's and stay. What reads a
+    released stage later fails, so release a handle when all that is wanted of its
+    stages has been written elsewhere. Handles may be opened within one another:
+    a stage belongs to the innermost.
+    """
+
+    _open: ContextVar[Stages | None] = ContextVar("open_stages", default=None)
+
+    def __init__(self) -> None:
+        self._held: list[tuple[SparkSession, str]] = []
+
+    @contextmanager
+    def open(self) -> Iterator[Stages]:
+        before = Stages._open.set(self)
+        try:
+            yield self
+        finally:
+            Stages._open.reset(before)
+
+    @property
+    def paths(self) -> list[str]:
+        return [path for _, path in self._held]
+
+    def release(self) -> None:
+        while self._held:
+            delete_path(*self._held.pop())
+
+
 def stage(df: DataFrame, name: str, folder: str | None = None) -> DataFrame:
     """Write a result used several times and read it back.
 
     Cuts the lineage on storage that outlives executors. Since the written size
     is known, Spark broadcasts a stage exactly when it is small. ``folder``
-    overrides the session's.
+    overrides the session's. The open :class:`Stages`, if any, holds the files; a
+    stage whose writing failed is held too.
     """
     root = folder.rstrip("/") if folder else stage_root(df.sparkSession)
     path = f"{root}/{name}-{uuid.uuid4().hex}"
+    holder = Stages._open.get()
+    if holder is not None:
+        holder._held.append((df.sparkSession, path))
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def finished(build: Callable[[], DataFrame], name: str, folder: str | None = None) -> DataFrame:
+    """The result of ``build`` as a stage; the stages that ``build`` wrote are released, also if it fails."""
+    inner = Stages()
+    try:
+        with inner.open():
+            df = build()
+        return stage(df, name, folder)
+    finally:
+        inner.release()
+
+
+def delete_path(spark: SparkSession, path: str) -> None:
+    """Delete a folder or file of any storage that Spark reaches; a missing one is no error."""
+    location = spark._jvm.org.apache.hadoop.fs.Path(path)
+    location.getFileSystem(spark._jsc.hadoopConfiguration()).delete(location, True)
+
+
 def conform(df: DataFrame, contract: T.StructType) -> DataFrame:
     """Bind columns by position to a declared contract.
 
@@ -55,12 +110,3 @@ def _bound(c: Column, field: T.StructField) -> Column:
     text = c.cast("string")
     too_long = F.raise_error(F.concat(F.lit(f"{field.name} longer than {limit}: "), text))
     return F.when(F.char_length(text) > limit, too_long).otherwise(text).alias(field.name)
-
-
-def write_output(df: DataFrame, target: str, *, table: bool = False) -> None:
-    """Replace an output, as a parquet folder or as a catalog table."""
-    writer = df.write.mode("overwrite").format("parquet")
-    if table:
-        writer.saveAsTable(target)
-    else:
-        writer.save(target)

@@ -16,7 +16,8 @@ from tallyward.operators import aggregates, firstlast, intervals, joins, setops
 from tallyward.params import params_df
 from tallyward.plans import ascertain, emergency, history, measures
 from tallyward.plans.conditions import COLORECTAL, LUNG, PROSTATE
-from tallyward.sources.staging import conform, stage, stage_root, write_output
+from tallyward.sources.outputs import write_output
+from tallyward.sources.staging import conform, stage, stage_root
 from tallyward.sources.tables import COLUMNS, SourceTables, code_set
 from warehouse import random_warehouse, to_spark
 
