@@ -5,12 +5,14 @@ byte ends. An interval of both lists is divided at a common end near its middle,
 which is looked for outwards from the middle of one list by bisecting the other,
 and both halves are treated alike; an interval without a common end inside is a
 leaf, one group. A stretch without cuts is searched three times at most: by the
-searches that find its two borders, and as a leaf. So the work is n log n.
+searches that find its two borders, and as a leaf. So the work is n log n. All
+intervals of a round, over a block of texts, are searched at once.
 
-Where both tokenizers are known to end tokens before a single space, a text is cut
-there first, and the alignment of a short unit is remembered. Links of tokens whose
-bytes overlap are counted over the corpus by Spark; the counts go back to the
-documents by a broadcast of checked size, and by a shuffle beyond it.
+Where both tokenizers are known to end tokens before a single space, a text is
+tokenized in units that begin there, and the ids of short units are remembered.
+Links of tokens whose bytes overlap are counted over the corpus by Spark; the
+counts go back to the documents by a broadcast of checked size, and by a shuffle
+beyond it.
 
 Defined results: texts that are NULL or empty, or whose tokens of either kind do
 not spell a space and the text (such as texts that hold U+2581), have no tokens:
@@ -25,9 +27,9 @@ import functools
 import hashlib
 import json
 import re
-from bisect import bisect_left
 from collections.abc import Iterator
-from itertools import accumulate
+from itertools import chain
+from typing import NamedTuple
 
 import numpy as np
 import pyarrow as pa
@@ -39,8 +41,12 @@ from tokenizers import Tokenizer
 from tallyward.llm.common import blocks
 from tallyward.sources.staging import stage
 
-MEMO_UNITS = 150_000
+MEMO_UNITS = 200_000
+"""Units that are remembered, twice over: the recent ones and those before."""
 MEMO_LENGTH = 48
+UNITS_PER_CALL = 200
+FEW = 8
+"""So few intervals are searched on their own."""
 BROADCAST_PAIRS = 1 << 21
 """Linked pairs of ids that are broadcast at most (some 100 MB); more are joined by a shuffle."""
 MARK = "▁"
@@ -59,48 +65,76 @@ def byte_of_letter() -> dict[str, int]:
     return letters
 
 
-def shared_groups(ends_a: list[int], ends_b: list[int]) -> list[tuple[int, int, int, int]]:
-    """Groups in order: (first token of A, token after the last, first of B, after the last).
+def shared_cuts(ends_a: np.ndarray, ends_b: np.ndarray, last_a: np.ndarray, last_b: np.ndarray) -> np.ndarray:
+    """Whether each token of A ends where one of B does.
 
-    Both lists rise and end alike.
+    Ends rise over all texts; ``last_a`` and ``last_b`` are the last tokens of each
+    text, which end alike.
     """
-    leaves = []
-    stack = [(0, len(ends_a), 0, len(ends_b))] if ends_a else []
-    while stack:
-        a0, a1, b0, b1 = stack.pop()
-        last_a, last_b = a1 - 1, b1 - 1
-        if a0 < last_a and b0 < last_b:
-            middle = (a0 + last_a) // 2
-            for step in range(max(middle - a0 + 1, last_a - middle)):
-                for i in (middle - step, middle + 1 + step):
-                    if a0 <= i < last_a:
-                        j = bisect_left(ends_b, ends_a[i], b0, last_b)
-                        if j < last_b and ends_b[j] == ends_a[i]:
-                            break
-                else:
-                    continue
-                stack.append((i + 1, a1, j + 1, b1))
-                stack.append((a0, i + 1, b0, j + 1))
-                break
-            else:
-                leaves.append((a0, a1, b0, b1))
-        else:
-            leaves.append((a0, a1, b0, b1))
-    return leaves
-
-
-def overlaps(ends_a: list[int], ends_b: list[int], group: tuple[int, int, int, int]) -> list[tuple[int, int]]:
-    """Places of the tokens of a group whose bytes overlap."""
-    a0, a1, b0, b1 = group
-    i, j, found = a0, b0, []
-    while i < a1 and j < b1:
-        found.append((i, j))
-        ahead = ends_a[i] - ends_b[j]
-        i += ahead <= 0
-        j += ahead >= 0
+    cut = np.zeros(len(ends_a), dtype=bool)
+    cut[last_a] = True
+    # intervals by their first and last tokens; the last ones end alike
+    a0, a1 = np.append(0, last_a[:-1] + 1), last_a
+    b0, b1 = np.append(0, last_b[:-1] + 1), last_b
+    while True:
+        open_ = (a0 < a1) & (b0 < b1)
+        a0, a1, b0, b1 = a0[open_], a1[open_], b0[open_], b1[open_]
+        if not len(a0):
+            return cut
+        at = _near_middle(ends_a, ends_b, a0, a1)
+        divided = at >= 0
+        at, a0, a1, b0, b1 = at[divided], a0[divided], a1[divided], b0[divided], b1[divided]
+        cut[at] = True
+        partner = np.searchsorted(ends_b, ends_a[at])
+        # both halves side by side, so that the searches of a round go up through the lists
+        a0, a1 = np.column_stack([a0, at + 1]).ravel(), np.column_stack([at, a1]).ravel()
+        b0, b1 = np.column_stack([b0, partner + 1]).ravel(), np.column_stack([partner, b1]).ravel()
+
+
+def _shared(ends_a: np.ndarray, ends_b: np.ndarray, tokens: np.ndarray) -> np.ndarray:
+    """Whether the given tokens of A end where one of B does, by bisecting B."""
+    ends = ends_a[tokens]
+    return ends_b[np.searchsorted(ends_b, ends)] == ends
+
+
+def _near_middle(ends_a: np.ndarray, ends_b: np.ndarray, a0: np.ndarray, a1: np.ndarray) -> np.ndarray:
+    """The token of each interval that ends at a shared cut nearest to its middle; -1 if only the last one does."""
+    found = np.full(len(a0), -1)
+    left = (a0 + a1 - 1) // 2
+    right = left + 1
+    pending = np.arange(len(a0))
+    while len(pending) > FEW:
+        for side in (left, right):
+            i = side[pending]
+            inside = (a0[pending] <= i) & (i < a1[pending])
+            here, i = pending[inside], i[inside]
+            hit = _shared(ends_a, ends_b, i) & (found[here] < 0)
+            found[here[hit]] = i[hit]
+        left, right = left - 1, right + 1
+        pending = pending[(found[pending] < 0) & ((left[pending] >= a0[pending]) | (right[pending] < a1[pending]))]
+    for p in pending.tolist():  # the few that are left may be long: ever larger steps
+        low, high, step = int(left[p]), int(right[p]), 64
+        while found[p] < 0 and (low >= a0[p] or high < a1[p]):
+            below = np.arange(max(int(a0[p]), low - step + 1), low + 1)
+            above = np.arange(high, min(int(a1[p]), high + step))
+            near = [x[_shared(ends_a, ends_b, x)] for x in (below, above)]
+            either = [*near[0][-1:].tolist(), *near[1][:1].tolist()]
+            if either:
+                found[p] = min(either, key=lambda x: (low - x if x <= low else x - high, x))
+            low, high, step = low - step, high + step, 2 * step
     return found
 
 
+def overlaps(ends_a: np.ndarray, ends_b: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Tokens of A and of B whose bytes overlap, pair by pair; both lists end alike."""
+    starts = np.append(0, ends_a[:-1])
+    first = np.searchsorted(ends_b, starts, side="right")
+    count = np.searchsorted(ends_b, ends_a) - first + 1
+    a = np.repeat(np.arange(len(ends_a)), count)
+    before = np.cumsum(count) - count
+    return a, np.arange(len(a)) - np.repeat(before - first, count)
+
+
 class Aligner:
     """Aligns tokens of a byte-level BPE file (A) with those of a sentencepiece model (B)."""
 
@@ -109,11 +143,11 @@ class Aligner:
         self.a.encode_special_tokens = True
         self.b = sentencepiece.SentencePieceProcessor(model_file=path_b)
         letters = byte_of_letter()
-        self.bytes_a = {
+        bytes_a = {
             i: bytes(map(letters.__getitem__, token)) if set(token) <= letters.keys() else token.encode()
             for token, i in self.a.get_vocab().items()}
         pieces = [self.b.id_to_piece(i) for i in range(self.b.get_piece_size())]
-        self.bytes_b = [
+        bytes_b = [
             bytes([int(p[3:5], 16)]) if self.b.is_byte(i) else p.replace(MARK, " ").encode() for i, p in enumerate(pieces)]
         made = json.loads(self.a.to_str())
         first = made["pre_tokenizer"] or {}
@@ -122,29 +156,16 @@ class Aligner:
             and not first.get("add_prefix_space") and made["post_processor"] is None
             and not any(re.search(f"[^{MARK}]{MARK}", p) for p in pieces)
             and sentencepiece.SentencePieceNormalizer(model_file=path_b).normalize(PROBE) == MARK + PROBE.replace(" ", MARK))
-        self.known: dict[str, tuple | None] = {}
-
-    def ids(self, units: list[str]) -> Iterator[tuple[list[int], list[int]]]:
-        """Ids of each unit, which begins with the space that B adds."""
-        found = self.a.encode_batch_fast(units, add_special_tokens=False)
-        return zip((e.ids for e in found), self.b.encode([u[1:] for u in units], num_threads=1), strict=True)
-
-    def aligned(self, unit: str, ids_a: list[int], ids_b: list[int]) -> tuple | None:
-        """Numbers of tokens of A, of B, and of groups; the groups as text; the links as packed pairs of ids."""
-        parts_a = [self.bytes_a[i] for i in ids_a]
-        parts_b = [self.bytes_b[i] for i in ids_b]
-        data = b"".join(parts_a)
-        if data != unit.encode("utf-8", "surrogatepass") or data != b"".join(parts_b):
-            return None
-        ends_a, ends_b = list(accumulate(map(len, parts_a))), list(accumulate(map(len, parts_b)))
-        groups = shared_groups(ends_a, ends_b)
-        links: list[int] = []
-        texts = []
-        for group in groups:
-            a0, a1, b0, b1 = group
-            texts.append(f"{','.join(map(str, ids_a[a0:a1]))}|{','.join(map(str, ids_b[b0:b1]))}")
-            links += [ids_a[i] << 32 | ids_b[j] for i, j in overlaps(ends_a, ends_b, group)]
-        return len(ids_a), len(ids_b), len(groups), ";".join(texts).encode(), np.array(links, dtype="<i8").tobytes()
+        # bytes of an id of A and of B, and their number
+        self.spellings = [np.array(side, dtype=object) for side in (
+            [bytes_a.get(i, b"") for i in range(max(bytes_a) + 1)], bytes_b)]
+        self.sizes = [np.array([len(x) for x in side], dtype=np.int64) for side in self.spellings]
+        # text of an id within a group, and as the last of its side
+        self.shown = [
+            np.array([b"%d%s" % (i, mark) for mark in (b",", last) for i in range(len(side))], dtype=object)
+            for side, last in zip(self.sizes, (b"|", b";"), strict=True)]
+        self.recent: dict[str, tuple[bytes, bytes] | None] = {}
+        self.older: dict[str, tuple[bytes, bytes] | None] = {}
 
     def units(self, text: str) -> list[str]:
         whole = f" {text}"
@@ -154,30 +175,104 @@ class Aligner:
             return BEFORE_SPACE(whole)
         return [f" {word}" for word in text.split(" ")]
 
-    def align(self, texts: list[str]) -> list[tuple | None]:
-        """As :meth:`aligned` for each text; None for one without tokens."""
-        split = [self.units(t) if t else [] for t in texts]
-        missing = list({u for units in split for u in units}.difference(self.known))
-        new = {u: self.aligned(u, *ids) for u, ids in zip(missing, self.ids(missing), strict=True)} if missing else {}
-        known = self.known | new if len(new) > len(self.known) else self.known
-        if known is self.known:
-            known.update(new)
-        found = [self._joined([known[u] for u in units]) for units in split]
-        short = {u: new[u] for u in missing if len(u) <= MEMO_LENGTH}
-        for u in missing:
-            known.pop(u)
-        if len(known) + len(short) > MEMO_UNITS:
-            known = {}
-        known.update(short)
-        self.known = known
-        return found
+    def _tokenized(self, units: list[str]) -> Iterator[tuple[bytes, bytes] | None]:
+        """Packed ids of each unit, which begins with the space that B adds; None if they do not spell it."""
+        data = [u.encode("utf-8", "surrogatepass") for u in units]
+        both = self._ids_a(units, data), self._flat(self.b.encode([u[1:] for u in units], num_threads=1))
+        lengths = np.array([len(d) for d in data])
+        whole = b"".join(data)
+        spelled = np.ones(len(units), dtype=bool)
+        packed = []
+        for (ids, bounds), sizes, table in zip(both, self.sizes, self.spellings, strict=True):
+            reached = np.append(0, np.cumsum(sizes[ids]))[bounds]
+            alike = np.diff(reached) == lengths
+            if not alike.all() or b"".join(table[ids].tolist()) != whole:  # rare: unit by unit
+                each = zip(bounds.tolist(), bounds[1:].tolist(), data, strict=False)
+                alike = np.array([b"".join(table[ids[x:y]].tolist()) == d for x, y, d in each], dtype=bool)
+            spelled &= alike
+            raw, edges = ids.astype(np.uint32).tobytes(), (4 * bounds).tolist()
+            packed.append([raw[x:y] for x, y in zip(edges, edges[1:], strict=False)])
+        return (ids if ok else None for *ids, ok in zip(*packed, spelled.tolist(), strict=True))
 
     @staticmethod
-    def _joined(parts: list[tuple | None]) -> tuple | None:
-        if not parts or None in parts:
-            return None
-        n_a, n_b, n_groups, texts, links = zip(*parts, strict=True)
-        return sum(n_a), sum(n_b), sum(n_groups), b";".join(texts), b"".join(links)
+    def _flat(ids: list[list[int]]) -> tuple[np.ndarray, np.ndarray]:
+        """All ids in a row, and the bounds of each list."""
+        bounds = np.cumsum([0, *map(len, ids)])
+        return np.fromiter(chain.from_iterable(ids), dtype=np.int64, count=int(bounds[-1])), bounds
+
+    def _ids_a(self, units: list[str], data: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+        """A's ids; many units without inner blanks make one call, told apart by their bytes."""
+        plain = [self.in_units and u[1:].split() == [u[1:]] for u in units]
+        order = [i for i, p in enumerate(plain) if p]
+        calls = [order[i:i + UNITS_PER_CALL] for i in range(0, len(order), UNITS_PER_CALL)]
+        calls += [[i] for i, p in enumerate(plain) if not p]
+        found = self.a.encode_batch_fast(["".join([units[i] for i in call]) for call in calls], add_special_tokens=False)
+        places = [i for call in calls for i in call]
+        ids, _ = self._flat([e.ids for e in found])
+        ends = np.cumsum(self.sizes[0][ids])
+        bounds = np.append(0, np.searchsorted(ends, np.cumsum([len(data[i]) for i in places]), side="right"))
+        if places == list(range(len(units))):
+            return ids, bounds
+        counts = np.empty(len(units), dtype=np.int64)
+        counts[places] = np.diff(bounds)
+        begins = np.empty(len(units), dtype=np.int64)
+        begins[places] = bounds[:-1]
+        upto = np.cumsum(counts)
+        return ids[np.repeat(begins - (upto - counts), counts) + np.arange(len(ids))], np.append(0, upto)
+
+    def ids(self, texts: list[str]) -> tuple[list[bytes], list[bytes]]:
+        """Packed ids of each text by A and by B; both empty for a text without tokens."""
+        split = [self.units(t) if t else [] for t in texts]
+        wanted = set().union(*split)
+        known = {u: self.recent[u] for u in wanted if u in self.recent}
+        for u in wanted.difference(known):
+            if u in self.older:
+                known[u] = self.older[u]
+        missing = list(wanted.difference(known))
+        if missing:
+            known.update(zip(missing, self._tokenized(missing), strict=True))
+        if len(self.recent) + len(missing) > MEMO_UNITS:
+            self.older, self.recent = self.recent, {}
+        self.recent.update((u, ids) for u, ids in known.items() if len(u) <= MEMO_LENGTH)
+        bad = {u for u, ids in known.items() if ids is None}
+        spelled = [units if bad.isdisjoint(units) else [] for units in split]
+        sides = [{u: ids[side] for u, ids in known.items() if ids} for side in (0, 1)]
+        return tuple([b"".join(map(side.__getitem__, units)) for units in spelled] for side in sides)
+
+    def align(self, texts: list[str]) -> Aligned:
+        packed = self.ids(texts)
+        ids_a, ids_b = (np.frombuffer(b"".join(side), dtype=np.uint32).astype(np.int64) for side in packed)
+        counts = [np.array([len(x) // 4 for x in side], dtype=np.int64) for side in packed]
+        upto = [np.cumsum(c) for c in counts]
+        ends_a, ends_b = np.cumsum(self.sizes[0][ids_a]), np.cumsum(self.sizes[1][ids_b])
+        some = counts[0] > 0
+        cut = shared_cuts(ends_a, ends_b, upto[0][some] - 1, upto[1][some] - 1)
+        # a token's group: cuts before it
+        group_a = np.cumsum(cut) - cut
+        group_b = np.searchsorted(ends_a[cut], ends_b)
+        last_b = np.append(group_b[1:] != group_b[:-1], True)[:len(group_b)]
+        # in a row: A's tokens of a group, then B's
+        row = np.empty(len(ids_a) + len(ids_b), dtype=object)
+        row[np.arange(len(ids_a)) + np.searchsorted(group_b, group_a)] = self.shown[0][ids_a + cut * len(self.sizes[0])]
+        row[np.arange(len(ids_b)) + np.searchsorted(group_a, group_b, side="right")] = self.shown[1][ids_b + last_b * len(self.sizes[1])]
+        bounds = np.append(0, upto[0] + upto[1]).tolist()
+        groups = [b"".join(row[x:y].tolist())[:-1] for x, y in zip(bounds, bounds[1:], strict=False)]
+        a, b = overlaps(ends_a, ends_b)
+        pairs = ids_a[a] << 32 | ids_b[b]
+        edges = np.searchsorted(a, np.append(0, upto[0])).tolist()
+        links = [pairs[x:y] for x, y in zip(edges, edges[1:], strict=False)]
+        n_groups = np.diff(np.append(0, np.append(0, np.cumsum(cut))[upto[0]]))
+        return Aligned(counts[0], counts[1], n_groups, groups, links)
+
+
+class Aligned(NamedTuple):
+    """By text: numbers of tokens of A and B and of groups, the groups as text, the links as pairs of ids."""
+
+    n_a: np.ndarray
+    n_b: np.ndarray
+    n_groups: np.ndarray
+    groups: list[bytes]
+    links: list[np.ndarray]
 
 
 @functools.cache
@@ -186,9 +281,6 @@ def load(path_a: str, path_b: str) -> Aligner:
     return Aligner(path_a, path_b)
 
 
-NOTHING = (0, 0, 0, b"", b"")
-
-
 def align(
     docs: DataFrame, path_a: str, path_b: str, *, text: str = "text", key: str = "doc_id", digest: bool = False,
 ) -> DataFrame:
@@ -209,13 +301,12 @@ def align(
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         aligner = load(path_a, path_b)
         for batch, texts in blocks(batches):
-            found = [f or NOTHING for f in aligner.align(texts)]
-            counts = [[f[k] for f in found] for k in range(3)]
-            links = [np.frombuffer(f[4], dtype="<i8") for f in found]
-            pairs, times = zip(*(np.unique(x, return_counts=True) for x in links), strict=True)
-            shown = [hashlib.sha256(f[3]).hexdigest() if digest and f[3] else f[3].decode() for f in found]
+            found = aligner.align(texts)
+            pairs, times = zip(*(np.unique(x, return_counts=True) for x in found.links), strict=True)
+            shown = [hashlib.sha256(g).hexdigest() if digest and g else g.decode() for g in found.groups]
             yield pa.RecordBatch.from_arrays(
-                [batch.column("key"), *(pa.array(c, pa.int64()) for c in counts), pa.array([len(x) for x in links], pa.int64()),
+                [batch.column("key"), *(pa.array(c, pa.int64()) for c in found[:3]),
+                 pa.array([len(x) for x in found.links], pa.int64()),
                  pa.array(shown, pa.string()), lists(pairs, pa.int64()), lists(times, pa.int64())],
                 names=["key", "n_a", "n_b", "n_groups", "n_links", "groups", "pairs", "times"])
 

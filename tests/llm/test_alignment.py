@@ -7,6 +7,7 @@ import time
 from bisect import bisect_left
 from collections import Counter, defaultdict
 
+import numpy as np
 import public_tokenizers as P
 import pytest
 import sentencepiece
@@ -83,17 +84,34 @@ def rising(size):
     return st.sets(st.integers(1, size - 1)).map(lambda s: [*sorted(s), size])
 
 
-@settings(max_examples=300, deadline=None)
-@given(rising(60), rising(60))
-def test_groups_are_the_intervals_between_common_ends(a, b):
-    common = sorted(set(a) & set(b))
-    groups = alignment.shared_groups(a, b)
-    assert [a[g[1] - 1] for g in groups] == common == [b[g[3] - 1] for g in groups]
-    assert [g[0] for g in groups] == [0, *(g[1] for g in groups[:-1])] and [g[2] for g in groups] == [0, *(g[3] for g in groups[:-1])]
-    starts_a, starts_b = [0, *a[:-1]], [0, *b[:-1]]
-    links = {(i, j) for i in range(len(a)) for j in range(len(b)) if starts_a[i] < b[j] and starts_b[j] < a[i]}
-    found = [x for g in groups for x in alignment.overlaps(a, b, g)]
-    assert set(found) == links and len(found) == len(links) == len(a) + len(b) - len(groups)
+def cuts(pairs):
+    """The shared ends of each text, found over all of them at once."""
+    shift, a, b, last_a, last_b = 0, [], [], [], []
+    for x, y in pairs:
+        a += [shift + e for e in x]
+        b += [shift + e for e in y]
+        shift += x[-1]
+        last_a.append(len(a) - 1)
+        last_b.append(len(b) - 1)
+    a, b = np.array(a, dtype=np.int64), np.array(b, dtype=np.int64)
+    return a, b, a[alignment.shared_cuts(a, b, np.array(last_a, dtype=np.int64), np.array(last_b, dtype=np.int64))].tolist()
+
+
+@pytest.mark.parametrize("few", [0, 8])
+def test_cuts_are_the_common_ends(few, monkeypatch):
+    monkeypatch.setattr(alignment, "FEW", few)
+
+    @settings(max_examples=300, deadline=None)
+    @given(st.lists(st.tuples(rising(60), rising(60)) | st.tuples(rising(700), rising(700)), max_size=5))
+    def check(pairs):
+        a, b, found = cuts(pairs)
+        assert found == sorted(set(a.tolist()) & set(b.tolist()))
+        starts_a, starts_b = np.append(0, a[:-1]), np.append(0, b[:-1])
+        links = {(i, j) for i in range(len(a)) for j in np.flatnonzero((starts_a[i] < b) & (starts_b < a[i])).tolist()}
+        i, j = alignment.overlaps(a, b)
+        assert set(zip(i.tolist(), j.tolist())) == links and len(i) == len(links) == len(a) + len(b) - len(found)
+
+    check()
 
 
 def test_long_stretches_without_cuts_stay_cheap():
@@ -101,9 +119,9 @@ def test_long_stretches_without_cuts_stay_cheap():
     size = 200_000
     began = time.perf_counter()
     a, b = list(range(2, size, 2)), list(range(1, size, 2))
-    assert len(alignment.shared_groups([*a, size], [*b, size])) == 1
-    many = [*range(-size, 0), *a, size], [*range(-size, 0), *b, size]
-    assert len(alignment.shared_groups(*many)) == size + 1
+    assert len(cuts([([*a, size], [*b, size])])[2]) == 1
+    shifted = [size + x for x in a], [size + x for x in b]
+    assert len(cuts([([*range(1, size), *shifted[0], 2 * size], [*range(1, size), *shifted[1], 2 * size])])[2]) == size
     assert time.perf_counter() - began < 20
 
 
@@ -115,11 +133,11 @@ TEXTS = st.text(max_size=40) | st.text(alphabet="ab é▁漢\n\t '　\xa0\x1c
 def test_units_give_the_tokens_of_whole_texts(texts):
     aligner = alignment.load(A, B)
     assert aligner.in_units
-    for text, found in zip(texts, aligner.align(texts), strict=True):
+    found = aligner.align(texts)
+    for k, text in enumerate(texts):
         n_a, n_b, n_groups, n_links, _, _, digest = brute([text])[0]
-        found = found or alignment.NOTHING
-        assert found[:3] == (n_a, n_b, n_groups) and len(found[4]) == 8 * n_links
-        assert (hashlib.sha256(found[3]).hexdigest() if found[3] else "") == digest
+        assert (found.n_a[k], found.n_b[k], found.n_groups[k], len(found.links[k])) == (n_a, n_b, n_groups, n_links)
+        assert (hashlib.sha256(found.groups[k]).hexdigest() if found.groups[k] else "") == digest
 
 
 @pytest.mark.parametrize("broadcast_pairs", [1 << 20, 0])
