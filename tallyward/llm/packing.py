@@ -21,6 +21,7 @@ from __future__ import annotations
 
 import functools
 import heapq
+import json
 import re
 import zlib
 from collections.abc import Iterator
@@ -46,44 +47,91 @@ MARK = "\x01"
 WORDS_PER_CALL = 200
 
 
+KNOWN_RULES = {
+    "normalizer": {"type": "Sequence", "normalizers": [
+        {"type": "NFC"}, {"type": "Replace", "pattern": {"Regex": r"\s+"}, "content": " "}, {"type": "Lowercase"}]},
+    "pre_tokenizer": {"type": "Sequence", "pretokenizers": [
+        {"type": "Split", "pattern": {"Regex": r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"},
+         "behavior": "Removed", "invert": True},
+        {"type": "ByteLevel", "add_prefix_space": False, "trim_offsets": True, "use_regex": False}]},
+    "post_processor": None,
+}
+"""The public rules for which texts may be split into words."""
+
+
+def _united(sums: np.ndarray, roots: np.ndarray, other: np.ndarray, theirs: np.ndarray, windows: int,
+            trees: list[tuple[int, int]], count: int) -> tuple[np.ndarray, np.ndarray]:
+    """Two partitions as one: fullest windows against emptiest, side by side where windows are left."""
+    if len(sums) < len(other):
+        sums, roots, other, theirs = other, theirs, sums, roots
+    meet = max(0, len(sums) + len(other) - windows)
+    total, joined = sums.copy(), roots.copy()
+    if meet:
+        total[-meet:] += other[:meet][::-1]
+        new = np.arange(count + len(trees), count + len(trees) + meet)
+        trees.extend(zip(roots[-meet:].tolist(), theirs[:meet][::-1].tolist(), strict=True))
+        joined[-meet:] = new
+    if meet == 1 and len(other) == 1:  # one window has grown: it moves up
+        value, root = total[-1], joined[-1]
+        at = int(np.searchsorted(-total[:-1], -value, side="right"))
+        total[at + 1:], joined[at + 1:] = total[at:-1].copy(), joined[at:-1].copy()
+        total[at], joined[at] = value, root
+        return total, joined
+    total, joined = np.concatenate([total, other[meet:]]), np.concatenate([joined, theirs[meet:]])
+    order = np.argsort(-total, kind="stable")
+    return total[order], joined[order]
+
+
 def spread(sizes: np.ndarray, windows: int) -> list[list[int]]:
-    """Item numbers by window, by largest differencing; at most one list per window."""
-    # a partition: (window sums, roots of item trees), windows in falling order, empty ones left out
-    trees: list[tuple[int, int]] = []
+    """Item numbers by window, by largest differencing; at most one list per window.
+
+    A partition is its window sums in falling order, empty ones left out, with the
+    roots of item trees. Items wait in falling order beside the heap of partitions:
+    the imbalance of an item is its size, and that of a partition with empty
+    windows its fullest one, so it takes all the items that come next at once.
+    """
     count = len(sizes)
-    heap = [(-int(n), i, np.array([n], dtype=np.int64), np.array([i])) for i, n in enumerate(sizes)]
-    heapq.heapify(heap)
-    turn = count
-    while len(heap) > 1:
-        _, _, sums, roots = heapq.heappop(heap)
-        _, _, other, theirs = heapq.heappop(heap)
-        if len(sums) < len(other):
-            sums, roots, other, theirs = other, theirs, sums, roots
-        meet = max(0, len(sums) + len(other) - windows)
-        total = sums.copy()
-        joined = roots.copy()
-        if meet:  # our emptiest windows against their fullest, as many as don't fit side by side
-            total[-meet:] += other[:meet][::-1]
-            new = np.arange(count + len(trees), count + len(trees) + meet)
-            trees.extend(zip(roots[-meet:].tolist(), theirs[:meet][::-1].tolist(), strict=True))
-            joined[-meet:] = new
-        total = np.concatenate([total, other[meet:]])
-        joined = np.concatenate([joined, theirs[meet:]])
-        order = np.argsort(-total, kind="stable")
-        total, joined = total[order], joined[order]
-        least = total[-1] if len(total) == windows else 0
-        heapq.heappush(heap, (int(least - total[0]), turn, total, joined))
+    order = np.argsort(-sizes, kind="stable")
+    items = sizes[order].astype(np.int64)
+    trees: list[tuple[int, int]] = []
+    heap: list[tuple[int, int, np.ndarray, np.ndarray]] = []
+    at = turn = 0
+
+    def push(sums: np.ndarray, roots: np.ndarray) -> None:
+        nonlocal turn
+        least = sums[-1] if len(sums) == windows else 0
+        heapq.heappush(heap, (int(least - sums[0]), turn, sums, roots))
         turn += 1
+
+    while count - at + len(heap) > 1:
+        if at < count and (not heap or items[at] >= -heap[0][0]):
+            sums, roots = items[at:at + 1], order[at:at + 1]
+            at += 1
+        else:
+            _, _, sums, roots = heapq.heappop(heap)
+        second = -heap[0][0] if heap else -1
+        if at == count or items[at] < second:
+            _, _, other, theirs = heapq.heappop(heap)
+            push(*_united(sums, roots, other, theirs, windows, trees, count))
+        elif len(sums) < windows:  # items no smaller than any other imbalance, as many as have a window
+            upto = min(count, at + windows - len(sums), int(np.searchsorted(-items, -second, side="right")) if heap else count)
+            push(*_united(sums, roots, items[at:upto], order[at:upto], windows, trees, count))
+            at = upto
+        else:
+            push(*_united(sums, roots, items[at:at + 1], order[at:at + 1], windows, trees, count))
+            at += 1
+    if at < count:
+        push(items[at:at + 1], order[at:at + 1])
     found = []
     for root in heap[0][3].tolist() if heap else []:
-        items, stack = [], [root]
+        members, stack = [], [root]
         while stack:
             node = stack.pop()
             if node < count:
-                items.append(node)
+                members.append(node)
             else:
                 stack.extend(trees[node - count])
-        found.append(sorted(items))
+        found.append(sorted(members))
     return found
 
 
@@ -98,9 +146,11 @@ def windows_of(sizes: np.ndarray, capacity: int) -> list[list[int]]:
 
 
 class WordTokenizer:
-    """A tokenizer whose words are encoded once and remembered.
+    """A tokenizer whose words are encoded once and remembered, as without special tokens added.
 
-    Splits where its pattern always does: at blanks, tabs and line ends, which it
+    Added tokens that stand in a text are themselves, as the library has it; a
+    text with one is encoded whole, and so is every text if the file's rules are
+    not those of ``KNOWN_RULES``. Otherwise splits where its pattern always does: at blanks, tabs and line ends, which it
     drops, and in Latin-1 texts between letters and other characters, except in
     words with an apostrophe. A text's ids are those of its parts one after another.
     Latin-1 texts are put in lower case before, as the tokenizer would.
@@ -108,7 +158,9 @@ class WordTokenizer:
 
     def __init__(self, path: str) -> None:
         self.tokenizer = Tokenizer.from_file(path)
-        self.tokenizer.encode_special_tokens = True
+        rules = json.loads(self.tokenizer.to_str())
+        self.in_words = all(rules[k] == v for k, v in KNOWN_RULES.items()) and rules["model"]["type"] == "BPE"
+        self.added = [t["content"] for t in rules["added_tokens"]]
         self.words: dict[str, bytes] = {"": b""}
         mark = self.tokenizer.encode(MARK, add_special_tokens=False).ids
         self.mark = mark[0] if len(mark) == 1 else None
@@ -131,14 +183,19 @@ class WordTokenizer:
 
     def encode_bytes(self, texts: list[str]) -> list[bytes]:
         """Ids of each text as little-endian unsigned 32-bit integers."""
-        split = [PARTS(t.lower()) if LATIN(t) else BETWEEN_WORDS(t) for t in texts]
+        whole = {i for i, t in enumerate(texts) if not self.in_words or any(a in t for a in self.added)}
+        split = [[] if i in whole else PARTS(t.lower()) if LATIN(t) else BETWEEN_WORDS(t) for i, t in enumerate(texts)]
         missing = {w for words in split for w in words}.difference(self.words)
         if missing:
             new = self._encoded(list(missing))
             if len(self.words) + len(new) > MEMO_WORDS:
                 self.words = {"": b"", **{w: self.words[w] for words in split for w in words if w in self.words}}
             self.words.update(new)
-        return [b"".join(map(self.words.__getitem__, words)) for words in split]
+        found = [b"".join(map(self.words.__getitem__, words)) for words in split]
+        encoded = self.tokenizer.encode_batch_fast([texts[i] for i in whole], add_special_tokens=False) if whole else []
+        for i, e in zip(whole, encoded, strict=True):
+            found[i] = np.array(e.ids, dtype="<u4").tobytes()
+        return found
 
 
 @functools.cache

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import json
 import zlib
 from collections import defaultdict
 
@@ -16,9 +17,8 @@ PATH = P.path("word_bpe_49k.json")
 
 
 def tokenizer():
-    own = Tokenizer.from_file(PATH)
-    own.encode_special_tokens = True
-    return own
+    """The library as it is: an added token in a text stands for itself."""
+    return Tokenizer.from_file(PATH)
 
 
 @settings(max_examples=200, deadline=None)
@@ -29,6 +29,48 @@ def test_words_give_the_ids_of_the_whole_text(texts):
         e.ids for e in tokenizer().encode_batch(texts, add_special_tokens=False)]
 
 
+def test_added_tokens_in_a_text_are_themselves():
+    texts = ["hello <|endoftext|> world", "<|startoftext|><|endoftext|>", "é<|endoftext|>'s x", "<|ENDOFTEXT|> <|endoftext", "hello world"]
+    found = [np.frombuffer(f, "<u4").tolist() for f in packing.load(PATH).encode_bytes(texts)]
+    assert found[0] == [3306, 49407, 1002]
+    assert found == [e.ids for e in tokenizer().encode_batch(texts, add_special_tokens=False)]
+
+
+def test_other_rules_are_left_to_the_library(tmp_path):
+    rules = json.load(open(PATH))
+    rules["normalizer"] = None
+    other = tmp_path / "other.json"
+    other.write_text(json.dumps(rules))
+    texts = ["Hello World", "it's\tß A1"]
+    coder = packing.WordTokenizer(str(other))
+    assert not coder.in_words and packing.load(PATH).in_words
+    assert [np.frombuffer(f, "<u4").tolist() for f in coder.encode_bytes(texts)] == [
+        e.ids for e in Tokenizer.from_file(str(other)).encode_batch(texts, add_special_tokens=False)]
+
+
+def plain_differencing(sizes, windows):
+    """Window sums, one merge at a time over whole lists."""
+    parts = sorted(([n] + [0] * (windows - 1) for n in sizes), key=lambda p: p[-1] - p[0])
+    while len(parts) > 1:
+        a, b = parts[0], parts[1]
+        parts = parts[2:] + [sorted((x + y for x, y in zip(a, b[::-1])), reverse=True)]
+        parts.sort(key=lambda p: p[-1] - p[0])
+    return parts[0]
+
+
+@settings(max_examples=200, deadline=None)
+@given(st.lists(st.integers(1, 100_000), min_size=1, max_size=40, unique=True), st.integers(1, 6))
+def test_taking_many_items_at_once_changes_no_merge(sizes, windows):
+    """Distinct sizes leave few ties; the spread of sums is that of plain differencing or as good."""
+    found = packing.spread(np.array(sizes), windows)
+    sums = sorted((sum(sizes[i] for i in items) for items in found), reverse=True)
+    sums += [0] * (windows - len(sums))
+    plain = plain_differencing(sizes, windows)
+    assert sorted(i for items in found for i in items) == list(range(len(sizes)))
+    assert sum(sums) == sum(plain)
+    assert sums[0] - sums[-1] == plain[0] - plain[-1] or sums[0] <= sum(plain) / windows + max(sizes)
+
+
 @settings(max_examples=200, deadline=None)
 @given(st.lists(st.integers(1, 2048), min_size=1, max_size=60))
 def test_windows_hold_all_items_once_and_no_more_than_fits(sizes):
