@@ -9,7 +9,8 @@ Words are runs of digits, letters and all characters beyond ASCII, with A-Z in
 lower case; notices are matched on the words joined by single blanks, at word
 borders. Defined results: NULL is read as the empty text, which has no words and
 no notice. Overlapping places of a phrase all count. Repeated rows get repeated
-results; other columns are not touched.
+results; other columns are not read. The work grows with the text and with what is
+found in it: words are counted on from place to place.
 """
 
 from __future__ import annotations
@@ -91,35 +92,53 @@ class NoticeFinder:
         """Places of exact phrases in blank-separated words: (label, first word, words)."""
         found = []
         for phrase, (label, words) in self.exact.items():
+            place, counted = 0, 0
             at = joined.find(phrase)
             while at >= 0:
-                found.append((label, joined.count(" ", 0, at), words))
+                place, counted = place + joined.count(" ", counted, at), at
+                found.append((label, place, words))
                 at = joined.find(phrase, at + 1)
         return found, sorted(f[1] for f in found)
 
     def fuzzy(self, joined: str) -> list[Match]:
         """Verified notices, each place once, with the fewest errors."""
-        spans: dict[int, list[tuple[int, int]]] = {}
+        begins: dict[int, set[int]] = {}
         for end, (size, uses) in self.automaton.iter(joined):
             for number, offset in uses:
-                phrase, _, errors, _ = self.notices[number]
-                start = end + 1 - size - offset
-                spans.setdefault(number, []).append((start - errors - 1, start + len(phrase) + errors + 1))
-        found: dict[tuple[str, int], Match] = {}
-        for number, windows in spans.items():
-            phrase, label, _, pattern = self.notices[number]
-            for lo, hi in windows:
-                match = pattern.search(joined, max(0, lo), min(len(joined), hi + 1))
-                if match is None:
+                begins.setdefault(number, set()).add(end + 1 - size - offset)
+        spans: list[tuple[int, int, int, str]] = []
+        for number, starts in begins.items():
+            phrase, label, allowed, pattern = self.notices[number]
+            framed = f" {phrase} "
+            for start in starts:
+                if start > 0 and joined.startswith(framed, start - 1):  # as it stands: nothing fits better
+                    spans.append((start, start + len(phrase), 0, label))
                     continue
-                place = joined.count(" ", 0, match.start()) - 1
-                errors = sum(match.fuzzy_counts)
-                known = found.get((label, place))
-                if known is None or errors < known.errors:
-                    found[label, place] = Match(label, place, match.group().count(" ") + 1, errors)
+                match = pattern.search(joined, max(0, start - allowed - 1), min(len(joined), start + len(phrase) + allowed + 2))
+                if match:
+                    spans.append((match.start(), match.end(), sum(match.fuzzy_counts), label))
+        found: dict[tuple[str, int], Match] = {}
+        place, counted = -1, 0  # words before, counted on from place to place
+        for start, end, errors, label in sorted(spans):
+            place, counted = place + joined.count(" ", counted, start), start
+            known = found.get((label, place))
+            if known is None or errors < known.errors:
+                found[label, place] = Match(label, place, joined.count(" ", start, end) + 1, errors)
         return sorted(found.values(), key=lambda m: (m.first_word, m.label))
 
 
+def finder_of(notices: DataFrame, *, phrase: str = "phrase", label: str = "label", most: int = 10_000) -> NoticeFinder:
+    """A finder for a table of notices, whose words are joined by single blanks; more than ``most`` are refused.
+
+    A phrase without words, or without a label, is left out; of equal phrases the least label counts.
+    """
+    rows = notices.select(F.col(phrase).cast("string"), F.col(label).cast("string")).limit(most + 1).collect()
+    if len(rows) > most:
+        raise ValueError(f"more than {most} notices")
+    own = sorted(((b" ".join(WORDS(lower_bytes(p))).decode("utf-8", "surrogatepass"), name) for p, name in rows if p and name), reverse=True)
+    return NoticeFinder({p: name for p, name in own if p})
+
+
 SCHEMA = pa.schema([
     ("doc_id", pa.int64()), ("n_words", pa.int64()), ("n_base", pa.int64()), ("first_word", pa.int64()),
     ("last_word", pa.int64()), ("base_labels", pa.string()), ("labels", pa.string()), ("score", pa.float64()),

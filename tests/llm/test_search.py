@@ -6,6 +6,7 @@ import hashlib
 import math
 import random
 import re
+import time
 import zlib
 from collections import Counter
 
@@ -157,6 +158,52 @@ def apart(a, b):
     return row[-1]
 
 
+def test_long_texts_of_notices_are_scanned_in_proportion():
+    finder = notices.NoticeFinder()
+    block = " ".join(notices.NOTICES) + " words between them and all rights resrved "
+    seconds = []
+    for copies in (500, 1000, 2000):
+        joined = " " + block * copies
+        began = time.perf_counter()
+        places, starts = finder.base(joined)
+        found = finder.fuzzy(joined)
+        seconds.append(time.perf_counter() - began)
+        assert len(starts) == copies * sum(" ".join(["", *block.split(), ""]).count(f" {p} ") for p in notices.BASE_PHRASES)
+        assert starts == sorted(starts) and len({m.first_word for m in found}) >= copies * 12
+        words = joined.split()
+        for label, first, count in places[:: max(1, len(places) // 50)]:
+            assert notices.BASE_PHRASES[" ".join(words[first:first + count])] == label
+        for m in found[:: max(1, len(found) // 50)]:
+            assert m.errors <= notices.MOST_ERRORS and m.words == len(words[m.first_word:m.first_word + m.words])
+    assert seconds[-1] < 8 * max(seconds[0], 0.2)
+
+
+def test_places_of_notices_equal_a_plain_scan():
+    """Exact phrases by splitting words; fuzzy ones by matching at every word."""
+    rng = random.Random(12)
+    finder = notices.NoticeFinder()
+    phrases = list(notices.NOTICES)
+    for _ in range(40):
+        words = []
+        for _ in range(rng.randrange(1, 12)):
+            words += [rng.choice(["cc", "by", "general", "x", "license"])] if rng.random() < 0.5 else rng.choice(phrases).split()
+        joined = f" {' '.join(words)} "
+        expected = sorted((i, label) for i in range(len(words)) for p, label in notices.BASE_PHRASES.items() if words[i:i + len(p.split())] == p.split())
+        places, _ = finder.base(joined)
+        assert sorted((first, label) for label, first, _ in places) == expected
+        exact = {(i, label) for i in range(len(words)) for p, label in notices.NOTICES.items() if words[i:i + len(p.split())] == p.split()}
+        assert {(m.first_word, m.label) for m in finder.fuzzy(joined) if m.errors == 0} == exact
+
+
+def test_notices_from_a_table(engine):
+    rows = [("Do What, You want", "wtfpl"), ("do what you want", "later"), (None, "x"), ("...", "y"), ("some licence text here", None)]
+    finder = notices.finder_of(engine.createDataFrame(rows, "phrase string, label string"))
+    docs = engine.createDataFrame([(1, "You may DO what you want!"), (2, "some licence text here")], "doc_id long, text string")
+    assert {r.doc_id: r.labels for r in notices.scan(docs, finder=finder).collect()} == {1: "later", 2: ""}
+    with pytest.raises(ValueError, match="more than 2"):
+        notices.finder_of(engine.createDataFrame(rows, "phrase string, label string"), most=2)
+
+
 def test_notices_with_errors():
     rng = random.Random(11)
     finder = notices.NoticeFinder()
