@@ -23,6 +23,11 @@ def fold(key: Column, folds: int) -> Column:
     return F.pmod(F.crc32(F.coalesce(key.cast("string"), F.lit("")).cast("binary")), F.lit(folds))
 
 
+def draw_of(*columns: str) -> Column:
+    """A number from 0 to 1 by the hash of a row's columns, to 53 bits."""
+    return F.shiftrightunsigned(F.xxhash64(*columns), 11).cast("double") / float(1 << 53)
+
+
 def blocks(
     batches: Iterable[pa.RecordBatch], column: str = "text", size: int = BLOCK_BYTES,
 ) -> Iterator[tuple[pa.RecordBatch, list[str]]]:

@@ -12,19 +12,23 @@ Repeated rows get repeated results; other columns are not touched.
 from __future__ import annotations
 
 import re
+import unicodedata
 from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass, field
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+import pyarrow.compute as pc
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tallyward.llm.common import blocks, record_batch, slices, with_columns
+from tallyward.llm.common import blocks, draw_of, record_batch, slices, with_columns
 
 UNKNOWN = "und"
-WORD = re.compile(r"[^\W\d_]+")
+MARKS = "".join(c for c in map(chr, range(0x300, 0x20000)) if unicodedata.category(c)[0] == "M")
+WORD = re.compile(rf"[^\W\d_]+(?:[{MARKS}]+[^\W\d_]*)*")
+"""Letters and the marks that follow them, without which many scripts' words fall to pieces."""
 LONGEST_GRAM = 5
 MEMO_ROWS = 50_000
 WORDS_AT_ONCE = 1000
@@ -94,25 +98,22 @@ class LanguageModel:
 
 
 def fit(
-    docs: DataFrame, *, text: str = "text", label: str = "lang", key: str = "doc_id",
-    rows_per_language: int = 2000, words_per_language: int = 30_000, grams_per_language: int = 20_000,
+    docs: DataFrame, *, text: str = "text", label: str = "lang", key: str = "doc_id", rows_per_language: int = 2000,
 ) -> LanguageModel:
     """Learn from rows with a label.
 
-    Two parameters bound the model, whatever the size of the corpus: about
+    One parameter bounds the model, whatever the size of the corpus: about
     ``rows_per_language`` labelled rows are read of each language, drawn by a hash
-    of ``key``; of each language the most frequent words and n-grams are kept.
+    of ``key`` and text. All words and n-grams of these rows count.
     """
     labelled = docs.select(
-        F.col(text).alias("text"), F.col(label).cast("string").alias("lang"), F.xxhash64(key).alias("draw"),
+        F.col(text).cast("string").alias("text"), F.col(label).cast("string").alias("lang"), F.col(key).alias("key"),
     ).where("text IS NOT NULL AND lang IS NOT NULL")
     sizes = {r["lang"]: r["n"] for r in labelled.groupBy("lang").agg(F.count("*").alias("n")).collect()}
     if not sizes:
         return LanguageModel([], [{}] * (LONGEST_GRAM + 1), [np.zeros((0, 0))] * (LONGEST_GRAM + 1))
-    share = F.create_map(*(
-        F.lit(x) for lang, n in sizes.items() for x in (lang, int(min(1.0, rows_per_language / n) * 1_000_000))
-    ))
-    drawn = labelled.where(F.pmod("draw", F.lit(1_000_000)) < share[F.col("lang")]).select("text", "lang")
+    share = F.create_map(*(F.lit(x) for lang, n in sizes.items() for x in (lang, min(1.0, rows_per_language / n))))
+    drawn = labelled.where(draw_of("key", "text") < share[F.col("lang")]).select("text", "lang")
     word_schema = pa.schema([("lang", pa.string()), ("gram", pa.string()), ("n", pa.int64())])
     gram_schema = pa.schema([("lang", pa.string()), ("gram_order", pa.int32()), ("gram", pa.string()), ("n", pa.int64())])
 
@@ -140,17 +141,16 @@ def fit(
         "lang", "gram").agg(F.sum("n").alias("n"))
     counts = words.mapInArrow(count_grams, "lang string, gram_order int, gram string, n long").groupBy(
         "lang", "gram_order", "gram").agg(F.sum("n").alias("n"))
-    first = F.row_number().over(Window.partitionBy("lang", "gram_order").orderBy(F.desc("n"), "gram"))
-    kept = counts.withColumn("place", first).where(
-        F.col("place") <= F.when(F.col("gram_order") == 0, words_per_language).otherwise(grams_per_language))
-    found = kept.select("lang", "gram_order", "gram", "n").toPandas()
+    found = counts.toArrow()
     languages = sorted(sizes)
     index, logs = [], []
     for order in range(LONGEST_GRAM + 1):
-        part = found[found["gram_order"] == order]
-        names = {g: i for i, g in enumerate(sorted(set(part["gram"])))}
+        part = found.filter(pc.equal(found["gram_order"], order))
+        grams_here, column = pc.unique(part["gram"]), pc.index_in(part["lang"], pa.array(languages))
+        grams_here = grams_here.take(pc.sort_indices(grams_here))
+        names = {g: i for i, g in enumerate(grams_here.to_pylist())}
         table = np.zeros((len(names), len(languages)))
-        table[[names[g] for g in part["gram"]], [languages.index(x) for x in part["lang"]]] = part["n"]
+        table[pc.index_in(part["gram"], grams_here).to_numpy(), column.to_numpy()] = part["n"].to_numpy()
         totals = table.sum(axis=0) + 0.5 * len(names)
         index.append(names)
         logs.append(np.log((table + 0.5) / np.maximum(totals, 1)).astype(np.float32))

@@ -30,7 +30,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tallyward.llm.common import blocks, with_columns
+from tallyward.llm.common import blocks, draw_of, with_columns
 from tallyward.sources.staging import stage
 
 TOKENS = re.compile(r"[^\W\d_]+").findall
@@ -206,14 +206,15 @@ def fit(
     """Learn from the documents that ``labels`` marks 0 or 1.
 
     ``rows_per_label`` bounds the labels drawn of each kind (about; by a hash of the
-    key), and with them the model and what is broadcast. Copies of a text are one
-    row, that with the least key.
+    key), and with them the model and what is broadcast. Repeated labels are one,
+    those without a key none. Copies of a text are one row, that with the least key.
     """
-    marked = labels.select(F.col(key).alias("key"), F.col(label).cast("int").alias("y")).where("y IN (0, 1)")
+    marked = labels.select(F.col(key).alias("key"), F.col(label).cast("int").alias("y")).where(
+        "y IN (0, 1) AND key IS NOT NULL").distinct()
     sizes = {r["y"]: r["n"] for r in marked.groupBy("y").agg(F.count("*").alias("n")).collect()}
     share = F.when(F.col("y") == 1, min(1.0, rows_per_label / max(1, sizes.get(1, 0)))).otherwise(
         min(1.0, rows_per_label / max(1, sizes.get(0, 0))))
-    drawn = marked.where(F.pmod(F.xxhash64("key"), F.lit(1_000_000)) < share * 1_000_000)
+    drawn = marked.where(draw_of("key") < share)
     texts = docs.select(F.col(key).alias("key"), F.col(text).cast("string").alias("text")).where("text IS NOT NULL")
     # the labels drawn have a bound, so they go to the texts; no text is shuffled
     hashed = texts.join(F.broadcast(drawn), "key").select("key", "y", F.xxhash64("text").alias("hash"))

@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
+import math
 import random
+from collections import Counter
 
 import pytest
 from hypothesis import given, settings, strategies as st
@@ -10,7 +12,7 @@ from pyspark.sql import functions as F
 
 import __spark_entry__ as driver
 from tallyward.llm import langid, toxicity
-from tallyward.llm.common import table
+from tallyward.llm.common import draw_of, table
 
 
 def test_languages_of_held_out_documents(engine, sf_check):
@@ -28,6 +30,81 @@ def test_unseen_words_back_off_to_shorter_grams(engine):
     assert model.predict("kirche")[1] > model.predict("kixxhe")[1]
 
 
+def plain_language(rows, text):
+    """The rule of the module, said once more: words, then the longest order with a known n-gram."""
+    langs = sorted({lang for _, lang in rows})
+    counts = [{} for _ in range(6)]
+    for value, lang in rows:
+        for word in langid.WORD.findall(value.lower()):
+            counts[0].setdefault(word, Counter())[lang] += 1
+            for order in range(1, 6):
+                marked = f"<{word}>"
+                for i in range(len(marked) - order + 1):
+                    counts[order].setdefault(marked[i:i + order], Counter())[lang] += 1
+    totals = [{g: sum(c[g] for c in table.values()) + 0.5 * len(table) for g in langs} for table in counts]
+
+    def log(order, gram, lang):
+        return math.log((counts[order][gram][lang] + 0.5) / max(totals[order][lang], 1))
+
+    words = langid.WORD.findall(text.lower())
+    votes = dict.fromkeys(langs, 0.0)
+    for word in words:
+        if word in counts[0]:
+            for lang in langs:
+                votes[lang] += log(0, word, lang)
+            continue
+        for order in range(5, 0, -1):
+            marked = f"<{word}>"
+            known = [g for i in range(len(marked) - order + 1) if (g := marked[i:i + order]) in counts[order]]
+            if known:
+                for lang in langs:
+                    votes[lang] += sum(log(order, g, lang) for g in known) / len(known)
+                break
+    evidence = min(len(words), langid.EVIDENCE) / len(words)
+    odds = {lang: math.exp((v - max(votes.values())) * evidence) for lang, v in votes.items()}
+    best = max(langs, key=lambda lang: (odds[lang], -langs.index(lang)))
+    return best, odds[best] / sum(odds.values())
+
+
+def test_predictions_equal_the_plain_rule(engine):
+    """All words and n-grams of the drawn rows count, however rare."""
+    rng = random.Random(9)
+    letters = {"aa": "abcdeéf", "bb": "cdefgh", "cc": "efghijक्ष"}
+    word = lambda lang: "".join(rng.choice(letters[lang]) for _ in range(rng.randrange(1, 9)))
+    rows = [(" ".join(word(lang) for _ in range(rng.randrange(1, 20))), lang) for lang in letters for _ in range(30)]
+    model = langid.fit(engine.createDataFrame([(i, *r) for i, r in enumerate(rows)], "doc_id long, text string, lang string"))
+    for _ in range(200):
+        text = " ".join(word(rng.choice(list(letters))) for _ in range(rng.randrange(1, 30)))
+        lang, score = plain_language(rows, text)
+        found = model.predict(text)
+        assert found[0] == lang and math.isclose(found[1], score, rel_tol=1e-3)
+
+
+def test_words_keep_their_marks():
+    decomposed = "de" + chr(0x301)
+    assert langid.WORD.findall(f"हिन्दी में, {decomposed}x _a1b") == ["हिन्दी", "में", f"{decomposed}x", "a", "b"]
+
+
+def test_rows_are_drawn_by_share_and_by_text(engine, monkeypatch):
+    """A share of 2000 in 3 billion still draws rows, and NULL or repeated keys do not go together."""
+    share = 2000 / 3_000_000_000
+    few = engine.range(20_000_000).where(draw_of("id") < share).count()
+    assert 1 <= few <= 40
+    letters = str.maketrans("0123456789", "abcdefghij")
+    rows = [(None if i % 2 else 7, f"word{i} text".translate(letters), "en") for i in range(400)]
+    monkeypatch.setattr(langid, "LONGEST_GRAM", 1)
+    model = langid.fit(engine.createDataFrame(rows, "doc_id long, text string, lang string"), rows_per_language=40)
+    assert 15 <= len(model.index[0]) - 1 <= 80
+
+
+def test_repeated_and_unkeyed_labels_are_one_or_none(engine):
+    docs = engine.createDataFrame([(i, f"insult{i % 3} you" if i % 2 else f"kind{i % 3} you") for i in range(40)], "doc_id long, text string")
+    labels = engine.createDataFrame([(i, i % 2) for i in range(40)], "doc_id long, toxic int")
+    many = labels.unionByName(labels).unionByName(engine.createDataFrame([(None, 1)] * 50, "doc_id long, toxic int"))
+    scores = [{r.doc_id: r.score for r in toxicity.score(docs, toxicity.fit(docs, x)).collect()} for x in (labels, many)]
+    assert scores[0] == scores[1]
+
+
 def test_languages_at_the_edges(edge_docs, no_docs):
     model = langid.fit(edge_docs)
     found = langid.identify(edge_docs, model).collect()
