@@ -171,19 +171,31 @@ def interval_join_lookback(spark, d):
     return intervals.preceded_within(signups, errors, "user_id", "ts", "error_at", 3).drop("ts")
 
 
-@query("""
+_LATEST = """
     WITH pair AS (SELECT dx.event_id AS signup_id, ec.event_id AS error_id, dx.user_id, ec.ts AS error_at
       FROM events dx JOIN events ec ON ec.user_id = dx.user_id
       WHERE dx.event_type = 'signup' AND ec.event_type = 'error'
         AND ec.ts BETWEEN dx.ts - INTERVAL 3 DAY AND dx.ts)
     SELECT p.* FROM pair p
-    WHERE p.error_at >= ALL (SELECT q.error_at FROM pair q WHERE q.user_id = p.user_id)""")
-def interval_join_latest(spark, d):
+    WHERE p.error_at >= ALL (SELECT q.error_at FROM pair q WHERE q.user_id = p.user_id)"""
+
+
+def _signups_and_errors(spark, d):
     events = table(spark, d, "events")
     signups = events.filter("event_type = 'signup'").select(F.col("event_id").alias("signup_id"), "user_id", "ts")
-    errors = events.filter("event_type = 'error'").select(
+    return signups, events.filter("event_type = 'error'").select(
         F.col("event_id").alias("error_id"), "user_id", F.col("ts").alias("error_at"))
-    return intervals.latest_preceding(signups, errors, "user_id", "ts", "error_at", 3).drop("ts")
+
+
+@query(_LATEST)
+def interval_join_latest(spark, d):
+    return intervals.latest_preceding(*_signups_and_errors(spark, d), "user_id", "ts", "error_at", 3).drop("ts")
+
+
+@query(_LATEST)
+def asof_latest(spark, d):
+    """The same by a merge in time order."""
+    return intervals.asof_latest(*_signups_and_errors(spark, d), "user_id", "ts", "error_at", 3).drop("ts")
 
 
 @query("""

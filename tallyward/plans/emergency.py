@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from tallyward.functions.predicates import between_closed, ci, not_sentinel
 from tallyward.functions.text import strip_dots
-from tallyward.operators.intervals import followed_within, latest_preceding, preceded_within
+from tallyward.operators.intervals import asof_latest, followed_within, preceded_within
 from tallyward.operators.joins import not_in, semi_code
 from tallyward.operators.projections import tag
 from tallyward.operators.setops import union_events
@@ -152,6 +152,6 @@ def dyads(dx: DataFrame, ec: DataFrame, days: int) -> DataFrame:
 def latest_dyads(dx: DataFrame, ec: DataFrame, days: int) -> DataFrame:
     """The dyads with each person's latest emergency event, ties kept."""
     dx, emergency = _as_dyad_sides(dx, ec)
-    return latest_preceding(
+    return asof_latest(
         dx, emergency, "PatientSSN", "DiagnosisEventDateTime", "ECEventDateTime", days
     ).distinct()

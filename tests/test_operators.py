@@ -194,8 +194,12 @@ def test_preceded_within_equals_brute_force(spark, seed, days):
     found = intervals.preceded_within(left, right, "k", "t", "u", days)
     assert values(found, "id", "other") == sorted(((i, o) for i, o, _, _ in pairs), key=repr)
     last = {k: max(u for _, _, k2, u in pairs if k2 == k) for _, _, k, _ in pairs}
-    latest = intervals.latest_preceding(left, right, "k", "t", "u", days)
-    assert values(latest, "id", "other") == sorted(((i, o) for i, o, k, u in pairs if u == last[k]), key=repr)
+    for latest in (intervals.latest_preceding, intervals.asof_latest):
+        assert values(latest(left, right, "k", "t", "u", days), "id", "other") == sorted(
+            ((i, o) for i, o, k, u in pairs if u == last[k]), key=repr)
+    twice = intervals.asof_latest(left.unionByName(left), right.unionByName(right), "k", "t", "u", days)
+    assert twice.columns == ["id", "k", "t", "other", "u"]
+    assert twice.count() == 4 * sum(u == last[k] for _, _, k, u in pairs), "repeated rows on either side count"
 
 
 def test_lookback_bounds_are_closed_and_keep_time_of_day(spark):
@@ -421,6 +425,7 @@ def test_spans_of_zero_and_less(spark, span):
     equal = 2 if span == 0 else 0
     assert intervals.followed_within(a, b, "k", "t", "u", span).count() == equal
     assert intervals.preceded_within(a, b, "k", "t", "u", span).count() == equal
+    assert intervals.asof_latest(a, b, "k", "t", "u", span).count() == intervals.latest_preceding(a, b, "k", "t", "u", span).count()
 
 
 def test_a_session_without_a_stage_folder_is_an_error():

@@ -12,10 +12,10 @@ from pyspark.sql import functions as F
 from tallyward.catalog import cohorts
 from tallyward.catalog.registry import table
 from tallyward.operators.firstlast import earliest_per_key, latest_per_key, ranked_first
-from tallyward.operators.intervals import followed_within, preceded_within
+from tallyward.operators.intervals import asof_latest, followed_within, latest_preceding, preceded_within
 from tallyward.operators.joins import inner_enrich
 from tallyward.plans.ascertain import diagnosis_events, index_events
-from tallyward.plans.emergency import ed_visits, emergency_from_candidates, inpatient_candidates
+from tallyward.plans.emergency import ed_visits, emergency_from_candidates, inpatient_candidates, latest_dyads
 from tallyward.plans import cohort, enrich
 from tallyward.plans.history import care_bounds, cohort_visits
 from tallyward.sources.staging import stage
@@ -95,6 +95,19 @@ def test_a_hot_key_is_split_when_its_first_rows_are_fetched(spark, split_joins):
     assert found.count() == 200_000
 
 
+def test_the_latest_event_before_is_merged_without_a_join(spark, study, split_joins):
+    """The line is dealt by person and bucket; only rows with the latest event go on."""
+    text = plan(latest_dyads(study.index, study.emergency, 30))
+    assert "Join" not in text
+    assert re.search(r"hashpartitioning\(_key#\d+, _bucket#\d+L", text) and "WindowGroupLimit" in text
+    days = F.timestamp_add("DAY", (F.col("id") % 1000).cast("int"), F.lit("2020-01-01").cast("timestamp_ntz"))
+    late = spark.range(0, 20_000, 1, 4).select(F.lit(7).alias("k"), F.col("id").alias("a"), days.alias("t"))
+    early = late.select("k", F.col("a").alias("b"), F.col("t").alias("u")).filter("b % 500 = 3")
+    merged = asof_latest(late, early, "k", "t", "u", 5)
+    assert sorted(merged.collect()) == sorted(latest_preceding(late, early, "k", "t", "u", 5).select(*merged.columns).collect())
+    assert merged.count() == 20 * 6 * 20
+
+
 def test_history_is_folded_before_the_shuffle(study):
     text = plan(care_bounds(study.sites, study.tables))
     assert "partial_max" in text and "partial_min" in text
