@@ -2,7 +2,7 @@
 
 from tallyward.catalog.registry import REGISTRY
 from tallyward.catalog import (  # noqa: F401  (importing registers the queries)
-    aggregates, cohorts, filters, joins, measures, scalars, scans, sets,
+    aggregates, cohorts, filters, joins, many, measures, scalars, scans, sets,
 )
 
 __all__ = ["REGISTRY"]

@@ -13,8 +13,8 @@ _STEPS: list[tuple[str, str]] = [
     ("bound", """
         SELECT TIMESTAMP '{start}' AS s0, TIMESTAMP '{start}' + INTERVAL 12 MONTH AS s1,
           TIMESTAMP '{start}' - INTERVAL 50 YEAR AS w0, TIMESTAMP '{start}' - INTERVAL 30 DAY AS e0"""),
-    ("hit10", "SELECT ICD10SID FROM dim_icd10 WHERE regexp_matches(ICD10Code, 'C18|C19|C20', 'i')"),
-    ("hit9", r"SELECT ICD9SID FROM dim_icd9 WHERE regexp_matches(ICD9Code, '^(153|154\.0|154\.1)', 'i')"),
+    ("hit10", "SELECT ICD10SID FROM dim_icd10 WHERE regexp_matches(ICD10Code, '{icd10}', 'i')"),
+    ("hit9", "SELECT ICD9SID FROM dim_icd9 WHERE regexp_matches(ICD9Code, '^({icd9})', 'i')"),
     ("dx", """
         SELECT PatientSSN, v.PatientSID, VisitSID AS DiagnosisEventSID, VisitDateTime AS DiagnosisEventDateTime,
           'ZZZ NOT CAPTURED' AS TypeOfCancer, 'ZZZ NOT CAPTURED' AS StageOfCancer,
@@ -33,7 +33,7 @@ _STEPS: list[tuple[str, str]] = [
           coalesce(Histologyicdo3X, '') || ' OF THE ' || coalesce(ICDOSite, ''), StageGroupingajcc,
           'REGISTRY ENTRY'
         FROM oncology_primary v JOIN spatient p ON p.PatientSID = v.PatientSID
-        WHERE regexp_matches(concat_ws('|', '', SitegpX, ICDOSite, PrimarysiteX), '\\|(COLO|RECT)', 'i')"""),
+        WHERE regexp_matches(concat_ws('|', '', SitegpX, ICDOSite, PrimarysiteX), '\\|({site})', 'i')"""),
     ("cases", "SELECT dx.* FROM dx, bound WHERE DiagnosisEventDateTime BETWEEN s0 AND s1"),
     ("prior", """
         SELECT dx.* FROM dx, bound WHERE DiagnosisEventDateTime BETWEEN w0 AND s0
@@ -100,6 +100,11 @@ _STEPS: list[tuple[str, str]] = [
             AND coalesce(two.StopCode, 0) NOT IN ({never}))"""),
 ]
 
+COLORECTAL = ("C18|C19|C20", r"153|154\.0|154\.1", "COLO|RECT")
+LUNG = ("C34", "162", "LUNG")
+PROSTATE = ("C61", "185", "PROSTATE")
+"""Patterns of each condition: ICD-10 anywhere, ICD-9 and registry sites at the beginning."""
+
 _PCP = "301, 322, 323, 348, 350, 531, 534, 539"
 _NEVER = "107, 115, 152, 311, 321, 328, 329, 333, 334, 430, 435, 474, 999"
 
@@ -156,7 +161,9 @@ _EC_JOINS = """
       LEFT JOIN dim_state et ON et.StateSID = es.StateSID"""
 
 
-def cohort_sql(select: str, *, roles: bool = True, start: str = "2000-01-01") -> str:
+def cohort_sql(
+    select: str, *, roles: bool = True, start: str = "2000-01-01", condition: tuple[str, str, str] = COLORECTAL,
+) -> str:
     """``select`` over the steps above.
 
     With ``roles`` the warehouse relations are derived from the star-schema
@@ -165,6 +172,8 @@ def cohort_sql(select: str, *, roles: bool = True, start: str = "2000-01-01") ->
     parts = [role_ctes()] if roles else []
     for name, body in _STEPS:
         body = body.replace("{start}", start).replace("{pcp}", _PCP).replace("{never}", _NEVER)
+        for name_, patterns in zip(("{icd10}", "{icd9}", "{site}"), condition, strict=True):
+            body = body.replace(name_, patterns)
         parts.append(f"{name} AS ({body})")
     dx_place = _PLACE.format(s="ds", t="dt")
     ec_columns = (

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -82,26 +84,27 @@ def index_event(cases: DataFrame) -> DataFrame:
     return earliest_per_key(cases, "PatientSSN", "DiagnosisEventDateTime").distinct()
 
 
-def index_events(events: DataFrame, windows: Windows) -> DataFrame:
+def index_events(events: DataFrame, windows: Windows, by: Sequence[str] = ()) -> DataFrame:
     """Washout, source precedence and earliest event from one staged event relation.
 
     Equal to composing the three operators, but decided by one aggregate per
     person (pre-combined per site) and fetched by one join on person, time and
-    source class.
+    source class. ``by`` names columns, such as study and condition, within whose
+    values all of this is decided; the windows may then be columns of the events.
     """
-    time, person = "DiagnosisEventDateTime", "PatientSSN"
+    time, person, by = "DiagnosisEventDateTime", "PatientSSN", list(by)
     in_search = between_closed(time, *windows.search)
     in_washout = between_closed(time, *windows.washout)
     is_registry = F.col("TypeOfEvent") == REGISTRY
     per_person = (
         events.filter(F.col(person).isNotNull())
-        .groupBy(person, "PatientSID")
+        .groupBy(*by, person, "PatientSID")
         .agg(
             (F.bool_or(in_search) & F.bool_or(in_washout)).alias("seen_before"),
             F.min(F.when(in_search & is_registry, F.col(time))).alias("registry_time"),
             F.min(F.when(in_search & ~is_registry, F.col(time))).alias("coded_time"),
         )
-        .groupBy(person)
+        .groupBy(*by, person)
         .agg(
             F.bool_or("seen_before").alias("seen_before"),
             F.min("registry_time").alias("registry_time"),
@@ -109,14 +112,25 @@ def index_events(events: DataFrame, windows: Windows) -> DataFrame:
         )
     )
     index = per_person.filter(~F.col("seen_before")).select(
-        person,
+        *by, person,
         F.coalesce("registry_time", "coded_time").alias(time),
         F.col("registry_time").isNotNull().alias("from_registry"),
     )
-    rejected = _coded_cases_rejected(events, per_person, in_search & is_registry)
-    index = index.filter(F.col("from_registry") | ~rejected)
+    if by:
+        voided = _voided_groups(events, per_person, in_search & is_registry, by)
+        index = index.join(voided, [*by, "from_registry"], "left_anti")
+    else:
+        rejected = _coded_cases_rejected(events, per_person, in_search & is_registry)
+        index = index.filter(F.col("from_registry") | ~rejected)
     cases = events.filter(in_search).withColumn("from_registry", is_registry)
-    return cases.join(index, [person, time, "from_registry"], "left_semi").select(*CASE_COLUMNS)
+    return cases.join(index, [*by, person, time, "from_registry"], "left_semi").select(*by, *CASE_COLUMNS)
+
+
+def _voided_groups(events: DataFrame, per_person: DataFrame, registry_case: Column, by: list[str]) -> DataFrame:
+    """The groups whose coded cases go: see :func:`_coded_cases_rejected`. One row a group at most."""
+    unknown = events.filter(registry_case & F.col("PatientSSN").isNull()).select(*by).distinct()
+    washed_out = per_person.filter("seen_before").select(*by).distinct()
+    return unknown.join(washed_out, by, "left_anti").withColumn("from_registry", F.lit(False))
 
 
 def _coded_cases_rejected(events: DataFrame, per_person: DataFrame, registry_case: Column) -> Column:

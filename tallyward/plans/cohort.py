@@ -49,6 +49,8 @@ class Study:
     params: StudyParams = StudyParams()
     condition: ConditionSpec = COLORECTAL
     stages: Stages = field(default_factory=Stages, compare=False)
+    given_index: DataFrame | None = None
+    """Index events that were found elsewhere, for several studies at once."""
 
     @cached_property
     def windows(self) -> Windows:
@@ -64,6 +66,8 @@ class Study:
     @cached_property
     @_held
     def index(self) -> DataFrame:
+        if self.given_index is not None:
+            return self.given_index
         return stage(index_events(self.events, self.windows), "index")
 
     @cached_property
