@@ -9,7 +9,7 @@ searches that find its two borders, and as a leaf. So the work is n log n. All
 intervals of a round, over a block of texts, are searched at once.
 
 Where both tokenizers are known to end tokens before a single space, a text is
-tokenized in units that begin there, and the ids of short units are remembered.
+tokenized in units that begin there, whose ids are remembered for a time.
 Links of tokens whose bytes overlap are counted over the corpus by Spark; the
 counts go back to the documents by a broadcast of checked size, and by a shuffle
 beyond it.
@@ -41,10 +41,11 @@ from tokenizers import Tokenizer
 from tallyward.llm.common import blocks
 from tallyward.sources.staging import stage
 
-MEMO_UNITS = 200_000
-"""Units that are remembered, twice over: the recent ones and those before."""
-MEMO_LENGTH = 48
-UNITS_PER_CALL = 200
+MEMO_WORDS = 400_000
+MEMO_IDS = 1 << 23
+ALIGNED_BYTES = 1 << 20
+"""Text that is aligned at once: its tokens' arrays stay within a processor's cache, or near it."""
+WORDS_PER_CALL = 200
 FEW = 8
 """So few intervals are searched on their own."""
 BROADCAST_PAIRS = 1 << 21
@@ -152,7 +153,8 @@ class Aligner:
         made = json.loads(self.a.to_str())
         first = made["pre_tokenizer"] or {}
         self.in_units = (
-            made["normalizer"] is None and first.get("type") == "ByteLevel" and first.get("use_regex", True)
+            made["normalizer"] is None and {bytes([b]) for b in range(256)} <= set(bytes_a.values())  # A loses nothing
+            and first.get("type") == "ByteLevel" and first.get("use_regex", True)
             and not first.get("add_prefix_space") and made["post_processor"] is None
             and not any(re.search(f"[^{MARK}]{MARK}", p) for p in pieces)
             and sentencepiece.SentencePieceNormalizer(model_file=path_b).normalize(PROBE) == MARK + PROBE.replace(" ", MARK))
@@ -164,35 +166,58 @@ class Aligner:
         self.shown = [
             np.array([b"%d%s" % (i, mark) for mark in (b",", last) for i in range(len(side))], dtype=object)
             for side, last in zip(self.sizes, (b"|", b";"), strict=True)]
-        self.recent: dict[str, tuple[bytes, bytes] | None] = {}
-        self.older: dict[str, tuple[bytes, bytes] | None] = {}
-
-    def units(self, text: str) -> list[str]:
-        whole = f" {text}"
+        # of each remembered word its number; of each number where its ids by A and by B lie, or that it is not spelled
+        self.number: dict[str, int] = {}
+        self.ids = [np.zeros(0, dtype=np.int64), np.zeros(0, dtype=np.int64)]
+        self.begins = [np.zeros(1, dtype=np.int64), np.zeros(1, dtype=np.int64)]
+        self.spelled = np.zeros(0, dtype=bool)
+
+    def words(self, text: str) -> list[str]:
+        """The units of a text, each without the space it begins with."""
         if not self.in_units:
-            return [whole]
+            return [text]
+        whole = f" {text}"
         if RUN_WITH_SPACE(whole):
-            return BEFORE_SPACE(whole)
-        return [f" {word}" for word in text.split(" ")]
+            return [unit[1:] for unit in BEFORE_SPACE(whole)]
+        return text.split(" ")
 
-    def _tokenized(self, units: list[str]) -> Iterator[tuple[bytes, bytes] | None]:
-        """Packed ids of each unit, which begins with the space that B adds; None if they do not spell it."""
-        data = [u.encode("utf-8", "surrogatepass") for u in units]
-        both = self._ids_a(units, data), self._flat(self.b.encode([u[1:] for u in units], num_threads=1))
+    def _learn(self, words: list[str]) -> None:
+        """Remember the ids of new words."""
+        data = [b" " + w.encode("utf-8", "surrogatepass") for w in words]
+        both = self._ids_a(words, data), self._flat(self.b.encode(words, num_threads=1))
         lengths = np.array([len(d) for d in data])
         whole = b"".join(data)
-        spelled = np.ones(len(units), dtype=bool)
-        packed = []
-        for (ids, bounds), sizes, table in zip(both, self.sizes, self.spellings, strict=True):
+        spelled = np.ones(len(words), dtype=bool)
+        for side, (ids, bounds) in enumerate(both):
+            sizes, table, sure = self.sizes[side], self.spellings[side], self.in_units and side == 0
             reached = np.append(0, np.cumsum(sizes[ids]))[bounds]
             alike = np.diff(reached) == lengths
-            if not alike.all() or b"".join(table[ids].tolist()) != whole:  # rare: unit by unit
+            if not alike.all() or not sure and b"".join(table[ids].tolist()) != whole:  # rare: word by word
                 each = zip(bounds.tolist(), bounds[1:].tolist(), data, strict=False)
                 alike = np.array([b"".join(table[ids[x:y]].tolist()) == d for x, y, d in each], dtype=bool)
             spelled &= alike
-            raw, edges = ids.astype(np.uint32).tobytes(), (4 * bounds).tolist()
-            packed.append([raw[x:y] for x, y in zip(edges, edges[1:], strict=False)])
-        return (ids if ok else None for *ids, ok in zip(*packed, spelled.tolist(), strict=True))
+            self.begins[side] = np.concatenate([self.begins[side], bounds[1:] + len(self.ids[side])])
+            self.ids[side] = np.concatenate([self.ids[side], ids])
+        self.spelled = np.concatenate([self.spelled, spelled])
+        count = len(self.number)
+        self.number.update(zip(words, range(count, count + len(words)), strict=True))
+
+    def _forget(self, wanted: set[str]) -> None:
+        """Keep what is in use."""
+        kept = [w for w in wanted if w in self.number]
+        which = np.array([self.number[w] for w in kept], dtype=np.int64)
+        for side in (0, 1):
+            ids, bounds = self._gathered(side, which)
+            self.ids[side], self.begins[side] = ids, bounds
+        self.spelled = self.spelled[which]
+        self.number = {w: i for i, w in enumerate(kept)}
+
+    def _gathered(self, side: int, which: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of the words of these numbers one after another, and the bounds of each."""
+        first = self.begins[side][which]
+        counts = self.begins[side][which + 1] - first
+        bounds = np.append(0, np.cumsum(counts))
+        return self.ids[side][np.repeat(first - bounds[:-1], counts) + np.arange(bounds[-1])], bounds
 
     @staticmethod
     def _flat(ids: list[list[int]]) -> tuple[np.ndarray, np.ndarray]:
@@ -200,49 +225,46 @@ class Aligner:
         bounds = np.cumsum([0, *map(len, ids)])
         return np.fromiter(chain.from_iterable(ids), dtype=np.int64, count=int(bounds[-1])), bounds
 
-    def _ids_a(self, units: list[str], data: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
-        """A's ids; many units without inner blanks make one call, told apart by their bytes."""
-        plain = [self.in_units and u[1:].split() == [u[1:]] for u in units]
+    def _ids_a(self, words: list[str], data: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+        """A's ids; words without blanks at their ends make one call by the hundred, told apart by their bytes."""
+        plain = [self.in_units and w != "" and not w[0].isspace() and not w[-1].isspace() for w in words]
         order = [i for i, p in enumerate(plain) if p]
-        calls = [order[i:i + UNITS_PER_CALL] for i in range(0, len(order), UNITS_PER_CALL)]
+        calls = [order[i:i + WORDS_PER_CALL] for i in range(0, len(order), WORDS_PER_CALL)]
         calls += [[i] for i, p in enumerate(plain) if not p]
-        found = self.a.encode_batch_fast(["".join([units[i] for i in call]) for call in calls], add_special_tokens=False)
+        texts = [" " + " ".join([words[i] for i in call]) for call in calls]
+        ids, _ = self._flat([e.ids for e in self.a.encode_batch_fast(texts, add_special_tokens=False)])
         places = [i for call in calls for i in call]
-        ids, _ = self._flat([e.ids for e in found])
         ends = np.cumsum(self.sizes[0][ids])
         bounds = np.append(0, np.searchsorted(ends, np.cumsum([len(data[i]) for i in places]), side="right"))
-        if places == list(range(len(units))):
+        if len(order) == len(words):
             return ids, bounds
-        counts = np.empty(len(units), dtype=np.int64)
-        counts[places] = np.diff(bounds)
-        begins = np.empty(len(units), dtype=np.int64)
-        begins[places] = bounds[:-1]
+        counts, begins = np.empty(len(words), dtype=np.int64), np.empty(len(words), dtype=np.int64)
+        counts[places], begins[places] = np.diff(bounds), bounds[:-1]
         upto = np.cumsum(counts)
         return ids[np.repeat(begins - (upto - counts), counts) + np.arange(len(ids))], np.append(0, upto)
 
-    def ids(self, texts: list[str]) -> tuple[list[bytes], list[bytes]]:
-        """Packed ids of each text by A and by B; both empty for a text without tokens."""
-        split = [self.units(t) if t else [] for t in texts]
+    def tokens(self, texts: list[str]) -> tuple[list[np.ndarray], list[np.ndarray]]:
+        """Ids of all texts by A and by B, and each text's number of them; none for a text without tokens."""
+        split = [self.words(t) if t else [] for t in texts]
         wanted = set().union(*split)
-        known = {u: self.recent[u] for u in wanted if u in self.recent}
-        for u in wanted.difference(known):
-            if u in self.older:
-                known[u] = self.older[u]
-        missing = list(wanted.difference(known))
+        missing = list(wanted.difference(self.number))
+        if len(self.number) + len(missing) > MEMO_WORDS or len(self.ids[0]) > MEMO_IDS:
+            self._forget(wanted)
         if missing:
-            known.update(zip(missing, self._tokenized(missing), strict=True))
-        if len(self.recent) + len(missing) > MEMO_UNITS:
-            self.older, self.recent = self.recent, {}
-        self.recent.update((u, ids) for u, ids in known.items() if len(u) <= MEMO_LENGTH)
-        bad = {u for u, ids in known.items() if ids is None}
-        spelled = [units if bad.isdisjoint(units) else [] for units in split]
-        sides = [{u: ids[side] for u, ids in known.items() if ids} for side in (0, 1)]
-        return tuple([b"".join(map(side.__getitem__, units)) for units in spelled] for side in sides)
+            self._learn(missing)
+        upto = np.cumsum([0, *map(len, split)])
+        which = np.fromiter(map(self.number.__getitem__, chain.from_iterable(split)), dtype=np.int64, count=int(upto[-1]))
+        unspelled = np.append(0, np.cumsum(~self.spelled[which]))
+        good = unspelled[upto[1:]] == unspelled[upto[:-1]]
+        if not good.all():
+            sizes = np.diff(upto)
+            which = which[np.repeat(good, sizes)]
+            upto = np.append(0, np.cumsum(sizes * good))
+        sides = [self._gathered(side, which) for side in (0, 1)]
+        return [ids for ids, _ in sides], [np.diff(bounds[upto]) for _, bounds in sides]
 
     def align(self, texts: list[str]) -> Aligned:
-        packed = self.ids(texts)
-        ids_a, ids_b = (np.frombuffer(b"".join(side), dtype=np.uint32).astype(np.int64) for side in packed)
-        counts = [np.array([len(x) // 4 for x in side], dtype=np.int64) for side in packed]
+        (ids_a, ids_b), counts = self.tokens(texts)
         upto = [np.cumsum(c) for c in counts]
         ends_a, ends_b = np.cumsum(self.sizes[0][ids_a]), np.cumsum(self.sizes[1][ids_b])
         some = counts[0] > 0
@@ -300,7 +322,7 @@ def align(
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         aligner = load(path_a, path_b)
-        for batch, texts in blocks(batches):
+        for batch, texts in blocks(batches, size=ALIGNED_BYTES):
             found = aligner.align(texts)
             pairs, times = zip(*(np.unique(x, return_counts=True) for x in found.links), strict=True)
             shown = [hashlib.sha256(g).hexdigest() if digest and g else g.decode() for g in found.groups]
