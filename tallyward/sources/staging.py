@@ -51,6 +51,13 @@ class Stages:
     def paths(self) -> list[str]:
         return [path for _, path in self._held]
 
+    def hand_over(self) -> None:
+        """Leave the stages to the handle that is open around, if any."""
+        outer = Stages._open.get()
+        if outer is not None:
+            outer._held += self._held
+        self._held = []
+
     def release(self) -> None:
         while self._held:
             delete_path(*self._held.pop())

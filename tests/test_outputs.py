@@ -44,6 +44,18 @@ def test_release_deletes_the_files_of_a_handle_and_no_others(spark):
     assert free.count() == 6
 
 
+def test_stages_are_handed_over(spark):
+    outer, inner = Stages(), Stages()
+    with outer.open():
+        with inner.open():
+            kept = stage(spark.range(3), "kept")
+        inner.hand_over()
+    inner.release()
+    assert kept.count() == 3 and len(outer.paths) == 1
+    outer.release()
+    inner.hand_over()
+
+
 def test_a_finished_stage_outlives_those_it_was_made_from(spark):
     made = []
 
