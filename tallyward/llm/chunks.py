@@ -1,13 +1,20 @@
 """Repeated passages by content-defined chunks.
 
 A gear rolling hash over a text's bytes sets the borders of chunks, only after
-white space, so that chunks hold whole words; where white space is missing for
-long, borders may fall between any characters. A border depends on the few bytes
-before it alone: an insertion moves the chunks around it and no others. Sequences
-of consecutive chunks that just reach ``least_words`` words are deduplicated by a
-rolling digest: of each, the first place (least document, then position) is kept,
-and chunks within a sequence that is kept elsewhere are removed. Common phrases
-stay, since chunks that repeat one by one make no repeated sequence.
+white space, so that chunks hold whole words, and after characters of scripts that
+are written without blanks, each of which counts as a word; where both are missing
+for long, borders may fall between any characters. A border depends on the few
+bytes before it alone: an insertion moves the chunks around it and no others.
+Sequences of consecutive chunks that just reach ``least_words`` words are
+deduplicated by a rolling digest: of each, the first place (least document, then
+position) is kept, and chunks within a sequence that is kept elsewhere are removed.
+Common phrases stay, since chunks that repeat one by one make no repeated sequence.
+
+All sequences are sorted once, by ranges of (digest, document, place): a digest
+that very many documents have spans several tasks. A task streams its range,
+keeps a digest's first place and passes on the later ones; what it cannot know,
+whether the digests at its borders began before, is settled by a table of two rows
+a task.
 
 Defined results: NULL texts stay NULL and have no chunks; empty texts have none
 either. Of repeated rows of a document the first place is the same, so nothing is
@@ -26,7 +33,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tallyward.llm.common import blocks, unused
-from tallyward.sources.staging import stage
+from tallyward.sources.staging import finished, stage
 
 WORD_BITS = 2
 """A border after one blank in 4, about. The two ends of a repeated passage lose a
@@ -53,15 +60,34 @@ def rolling(data: np.ndarray) -> np.ndarray:
     return hashes
 
 
+def characters(data: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """First bytes and ends of the characters of scripts written without blanks.
+
+    By their first bytes in UTF-8: Han and kana with their punctuation, Thai and
+    Lao, Burmese and Khmer.
+    """
+    none = np.zeros(0, dtype=np.int64)
+    if not len(data) or data.max() < 0xE0:
+        return none, none
+    second = np.append(data[1:], 0)
+    three = (data >= 0xE3) & (data <= 0xE9)
+    three |= (data == 0xE0) & (second >= 0xB8) & (second <= 0xBB)
+    three |= (data == 0xE1) & ((second >= 0x80) & (second <= 0x82) | (second >= 0x9E) & (second <= 0x9F))
+    four = (data == 0xF0) & (second >= 0xA0) & (second <= 0xB3)
+    starts = np.flatnonzero(three | four)
+    return starts, starts + np.where(four[starts], 4, 3)
+
+
 def borders(data: np.ndarray) -> np.ndarray:
     """Ends of the chunks of a text's bytes, the last one included."""
     if not len(data):
         return np.zeros(0, dtype=np.int64)
     hashes = rolling(data)
     space = SPACES[data]
-    after_space = space.copy()
-    after_space[:-1] &= ~space[1:]  # the last of a run of white space
-    ends = np.flatnonzero(after_space & ((hashes >> np.uint32(12)) & np.uint32((1 << WORD_BITS) - 1) == 0)) + 1
+    allowed = space.copy()
+    allowed[:-1] &= ~space[1:]  # the last of a run of white space
+    allowed[np.minimum(characters(data)[1], len(data)) - 1] = True
+    ends = np.flatnonzero(allowed & ((hashes >> np.uint32(12)) & np.uint32((1 << WORD_BITS) - 1) == 0)) + 1
     if not len(ends) or ends[-1] != len(data):
         ends = np.append(ends, len(data))
     gaps = np.diff(ends, prepend=0)
@@ -73,6 +99,23 @@ def borders(data: np.ndarray) -> np.ndarray:
     return ends
 
 
+def words_in(data: bytes, ends: np.ndarray) -> np.ndarray:
+    """Words of each chunk: runs between blanks, and each character of a script without blanks."""
+    if not len(ends):
+        return np.zeros(0, dtype=np.int64)
+    values = np.frombuffer(data, dtype=np.uint8)[:int(ends[-1])]
+    inside = ~SPACES[values]
+    begins = inside.copy()
+    begins[1:] &= ~inside[:-1]
+    own, upto = characters(values)
+    begins[own] = True
+    after = upto[upto < len(values)]
+    begins[after] |= inside[after]
+    first = np.append(0, ends[:-1])
+    begins[first] |= inside[first]
+    return np.add.reduceat(begins, first, dtype=np.int64)
+
+
 def cut(text: str) -> tuple[bytes, list[int]]:
     data = text.encode("utf-8", "surrogatepass")
     return data, borders(np.frombuffer(data, dtype=np.uint8)).tolist()
@@ -81,7 +124,7 @@ def cut(text: str) -> tuple[bytes, list[int]]:
 def windows(data: bytes, ends: list[int], least_words: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """First chunk, chunk after the last, and digest of the sequences that just reach ``least_words``, from either end."""
     borders = np.array([0, *ends])
-    words = np.cumsum([0, *(len(data[x:y].split()) for x, y in zip(borders[:-1].tolist(), ends, strict=True))])
+    words = np.append(0, np.cumsum(words_in(data, borders[1:])))
     count = len(ends)
     first = np.arange(count)
     after = np.searchsorted(words, words[:-1] + least_words)
@@ -114,21 +157,69 @@ def window_table(docs: DataFrame, *, text: str = "text", key: str = "doc_id", le
     return source.mapInArrow(run, "doc_id long, place int, after int, digest long")
 
 
+LATER, UNSURE, HEAD = 0, 1, 2
+
+
+def later_places(found: DataFrame) -> DataFrame:
+    """kind, digest, doc_id, place and after: LATER places; and, at the borders of ranges, UNSURE places and HEADs.
+
+    A digest's HEAD is its first place in a range, told of a range's first and last
+    digest; places that are first in the range but perhaps not in all are UNSURE.
+    """
+    order = ["digest", "doc_id", "place"]
+    dealt = found.repartitionByRange(*order).sortWithinPartitions(*order)
+    names = ["kind", "digest", "doc_id", "place", "after"]
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        head: tuple[int, int, int, int] | None = None  # digest, document, place and after of the digest at hand
+        opening = None
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            digest, doc, place, after = (batch.column(c).to_numpy() for c in names[1:])
+            fresh = np.append(True, digest[1:] != digest[:-1])
+            if head is not None and digest[0] == head[0]:
+                fresh[0] = False
+            else:
+                head = head or (int(digest[0]), int(doc[0]), int(place[0]), int(after[0]))
+            if opening is None:
+                opening = head
+                yield pa.RecordBatch.from_arrays([
+                    pa.array([HEAD], pa.int8()), *(pa.array([x], t) for x, t in zip(head, KINDS, strict=True))], names=names)
+            at = np.maximum.accumulate(np.where(fresh, np.arange(len(digest)), -1))
+            first_doc = np.where(at >= 0, doc[at], head[1])
+            first_after = np.where(at >= 0, after[at], head[3])
+            later = (doc != first_doc) | (place >= first_after)
+            unsure = ~later & (digest == opening[0])
+            told = np.flatnonzero(later | unsure)
+            yield pa.RecordBatch.from_arrays([
+                pa.array(np.where(later[told], LATER, UNSURE).astype(np.int8)), pa.array(digest[told]), pa.array(doc[told]),
+                pa.array(place[told]), pa.array(after[told])], names=names)
+            if at[-1] >= 0:
+                i = int(at[-1])
+                head = int(digest[i]), int(doc[i]), int(place[i]), int(after[i])
+        if head is not None and head[0] != opening[0]:
+            yield pa.RecordBatch.from_arrays([
+                pa.array([HEAD], pa.int8()), *(pa.array([x], t) for x, t in zip(head, KINDS, strict=True))], names=names)
+
+    return dealt.mapInArrow(run, "kind tinyint, digest long, doc_id long, place int, after int")
+
+
+KINDS = (pa.int64(), pa.int64(), pa.int32(), pa.int32())
+
+
 def repeated_places(docs: DataFrame, *, text: str = "text", key: str = "doc_id", least_words: int = LEAST_WORDS) -> DataFrame:
     """doc_id and its chunk places within sequences that are kept elsewhere, as a sorted list.
 
-    Sequences are counted before the shuffle, so that one that every document has
-    is a few rows; the list of a document is bounded by its own length. A sequence
-    that overlaps the kept one is no repeat of it.
+    The list of a document is bounded by its own length. A sequence that overlaps
+    the kept one is no repeat of it.
     """
-    found = window_table(docs, text=text, key=key, least_words=least_words)
-    first = F.min(F.struct("doc_id", "place", "after"))
-    shared = stage(found.groupBy("digest").agg(F.count("*").alias("n"), first.alias("kept")).where("n > 1").select(
-        "digest", F.col("kept.doc_id").alias("kept_doc"), F.col("kept.after").alias("kept_after"),
-        F.col("kept.place").alias("kept_place")), "chunks-shared")
-    # staged between: a hot digest's rows are split by the join, then dealt by document
-    later = stage(found.join(shared, "digest").where(
-        "doc_id <> kept_doc OR place >= kept_after").select("doc_id", "place", "after"), "chunks-later")
+    told = stage(later_places(window_table(docs, text=text, key=key, least_words=least_words)), "chunks-later")
+    first = F.min(F.struct("doc_id", "place", "after")).alias("first")
+    heads = told.where(F.col("kind") == HEAD).groupBy("digest").agg(first)  # two rows a task at most
+    unsure = told.where(F.col("kind") == UNSURE).join(heads, "digest").where(
+        "doc_id <> first.doc_id OR place >= first.after")
+    later = told.where(F.col("kind") == LATER).unionByName(unsure.drop("first"))
     spans = later.groupBy("doc_id", "place").agg(F.max("after").alias("after"))
     return spans.select("doc_id", F.explode(F.sequence("place", F.col("after") - 1)).alias("place")).groupBy("doc_id").agg(
         F.array_sort(F.collect_set("place")).alias("places"))
@@ -144,7 +235,7 @@ def remove_runs(text: str, places: list[int], least_words: int) -> tuple[str, li
             spans[-1][1] = ends[place]
         else:
             spans.append([starts[place], ends[place]])
-    gone = [(a, b) for a, b in spans if len(data[a:b].split()) >= least_words]
+    gone = [(a, b) for a, b in spans if int(words_in(data[a:b], np.array([b - a]))[0]) >= least_words]
     kept, at = [], 0
     for a, b in gone:
         kept.append(data[at:a])
@@ -162,7 +253,8 @@ def deduplicate(
     """
     columns = [c for c in docs.columns if c.lower() != removed.lower()]
     own, marks = unused(docs, "cut_doc"), unused(docs, "places")
-    places = repeated_places(docs, text=text, key=key, least_words=least_words).withColumnsRenamed({"doc_id": own, "places": marks})
+    places = finished(lambda: repeated_places(docs, text=text, key=key, least_words=least_words), "chunks-places")
+    places = places.withColumnsRenamed({"doc_id": own, "places": marks})
     joined = docs.select(*columns).join(places, docs[key].cast("long") == F.col(own), "left")
     at = {c: i for i, c in enumerate(columns)}
     spans = "array<struct<start:bigint,end:bigint>>"

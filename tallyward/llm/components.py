@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tallyward.sources.staging import stage
+from tallyward.sources.staging import Stages, stage
 
 
 def _both_ways(edges: DataFrame) -> DataFrame:
@@ -31,17 +31,23 @@ def components(edges: DataFrame, name: str = "components") -> DataFrame:
     """node and root, the least node of its component, for every node of an edge (u, v of type long).
 
     Each round is written to shared storage, so lineage stays short and a lost
-    executor repeats one round at most. The rounds end when the edges no longer
+    executor repeats one round at most; the round before is then released. The rounds end when the edges no longer
     change: they are then stars around the roots. Self-loops and NULL ends are
     dropped; an empty table gives an empty result.
     """
-    current = stage(edges.where("u <> v").select("u", "v").distinct(), name)
-    seen = None
+    held, seen = Stages(), None
+    with held.open():
+        current = stage(edges.where("u <> v").select("u", "v").distinct(), name)
     while True:
         mark = current.agg(F.count("*"), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)"))).first()
         if seen == mark:
             break
         seen = mark
-        current = stage(_small_star(_large_star(current)), name)
+        fresh = Stages()
+        with fresh.open():
+            current = stage(_small_star(_large_star(current)), name)
+        held.release()
+        held = fresh
+    held.hand_over()
     nodes = current.select(F.col("u").alias("node"), F.col("v").alias("root"))
     return nodes.unionByName(current.select(F.col("v").alias("node"), F.col("v").alias("root")).distinct())

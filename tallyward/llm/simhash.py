@@ -77,13 +77,14 @@ def hashed(parts: list[bytes], words: int) -> np.ndarray:
 def fingerprints(
     docs: DataFrame, *, text: str = "text", key: str = "doc_id", size: int = 4, words: int = 1, sets: bool = False,
 ) -> DataFrame:
-    """doc_id, fp (64 bits to a long) and node, a long that names the fingerprint, of each whole text.
+    """doc_id, text_hash, fp (64 bits to a long) and node, a long that names the fingerprint, of each whole text.
 
     The node of a one-word fingerprint is that word, of a wider one its hash. With
     ``sets``, each shingle of a text counts once, and the node names their set.
     """
-    source = docs.select(F.col(key).cast("long").alias("doc_id"), F.col(text).cast("string").alias("text"))
-    schema = pa.schema([("doc_id", pa.int64()), ("fp", pa.list_(pa.int64())), ("node", pa.int64())])
+    source = docs.select(
+        F.col(key).cast("long").alias("doc_id"), F.col(text).cast("string").alias("text"), text_hash(text).alias("text_hash"))
+    schema = pa.schema([("doc_id", pa.int64()), ("text_hash", pa.int64()), ("fp", pa.list_(pa.int64())), ("node", pa.int64())])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch, texts in blocks(batches):
@@ -93,14 +94,19 @@ def fingerprints(
                     parts = list(set(shingles(lower_bytes(t).split(), size)))
                     found.append(hashed(parts, words).view(np.int64))
                     nodes.append(set_node(parts))
-                yield record_batch(schema, [batch.column("doc_id"), found, np.array(nodes, dtype=np.int64)])
+                yield record_batch(schema, [batch.column("doc_id"), batch.column("text_hash"), found, np.array(nodes, dtype=np.int64)])
                 continue
             found = [fingerprint(t, size, words).view(np.int64) for t in texts]
             nodes = [f[0] for f in found] if words == 1 else [
                 np.uint64(xxhash.xxh3_64_intdigest(f.tobytes())).view(np.int64) for f in found]
-            yield record_batch(schema, [batch.column("doc_id"), found, np.array(nodes, dtype=np.int64)])
+            yield record_batch(schema, [batch.column("doc_id"), batch.column("text_hash"), found, np.array(nodes, dtype=np.int64)])
 
-    return source.mapInArrow(run, "doc_id long, fp array<long>, node long")
+    return source.mapInArrow(run, "doc_id long, text_hash long, fp array<long>, node long")
+
+
+def text_hash(text: str) -> Column:
+    """Tells apart the texts of rows with one id; NULL is its own."""
+    return F.xxhash64(F.col(text).cast("string"))
 
 
 def roots(a: np.ndarray, b: np.ndarray, root: np.ndarray) -> np.ndarray:
@@ -345,7 +351,7 @@ def near_duplicates(
     docs: DataFrame, *, text: str = "text", key: str = "doc_id", size: int = 4, radius: int = 4, words: int = 1,
     first_radius: int | None = None, similarity: float | None = None, tile: int = TILE,
 ) -> DataFrame:
-    """doc_id, fp, node and component_id, the least doc_id reachable over links, of each document."""
+    """doc_id, text_hash, fp, node and component_id, the least doc_id reachable over links, of each document."""
     exact = similarity is not None
     prints = stage(fingerprints(docs, text=text, key=key, size=size, words=words, sets=exact), "simhash-prints")
     distinct = stage(prints.groupBy("node").agg(F.min("fp").alias("fp"), F.min("doc_id").alias("least")), "simhash-distinct")
@@ -357,4 +363,19 @@ def near_duplicates(
         "node", "least", F.coalesce("root", "node").alias("root")), "simhash-roots")
     least = rooted.groupBy("root").agg(F.min("least").alias("component_id"))
     classes = stage(rooted.join(least, "root").select("node", "component_id"), "simhash-classes")
-    return prints.join(classes, "node").select("doc_id", "fp", "node", "component_id")
+    return prints.join(classes, "node").select("doc_id", "text_hash", "fp", "node", "component_id")
+
+
+def copies(found: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """doc_id and text_hash of the rows of :func:`near_duplicates` that go, and of those that stand there several times.
+
+    Of each component the row with the least id stays, and of several texts under
+    that id the one with the least hash. Rows with a NULL id, which nothing tells
+    apart, are in neither.
+    """
+    rows = found.where("doc_id IS NOT NULL").select("doc_id", "text_hash", "component_id")
+    first = rows.where("doc_id = component_id").groupBy("doc_id").agg(F.min("text_hash").alias("least"), F.max("text_hash").alias("most"))
+    others = rows.where("doc_id = component_id").join(first.where("least <> most"), "doc_id").where("text_hash <> least")
+    gone = rows.where("doc_id <> component_id").select("doc_id", "text_hash").unionByName(others.select("doc_id", "text_hash"))
+    again = rows.groupBy("doc_id", "text_hash").agg(F.count("*").alias("n")).where("n > 1").select("doc_id", "text_hash")
+    return gone.distinct(), again

@@ -159,3 +159,103 @@ def test_chunks_at_the_edges(edge_docs, no_docs):
     other = chunks.deduplicate(edge_docs, removed="cut_spans")
     assert set(other.columns) == {*edge_docs.columns, "cut_spans"}
     assert chunks.deduplicate(no_docs).count() == 0
+
+
+CHINESE = [chr(c) for c in range(0x4E00, 0x4E00 + 3000)]
+
+
+def test_shared_passages_of_scripts_without_blanks_go(engine):
+    rng = random.Random(3)
+    text = lambda n: "".join(rng.choice(CHINESE) for _ in range(n))
+    shared = text(300)
+    rows = [(1, text(200) + shared + text(200)), (2, text(150) + shared + text(100)), (3, text(400)), (4, text(1000))]
+    rows += [(5, rows[3][1]), (6, "สวัสดี" + text(50))]
+    found = {r.doc_id: r.text for r in chunks.deduplicate(engine.createDataFrame(rows, "doc_id long, text string")).collect()}
+    assert all(found[i] == t for i, t in rows if i in (1, 3, 4, 6))
+    assert shared[30:270] not in found[2] and len(found[2]) < 250 + 40
+    assert len(found[5]) < 40
+
+
+def brute_places(rows, least_words):
+    """Chunk places within repeated sequences, by comparing the sequences' bytes."""
+    first, spans = {}, []
+    for doc, text in sorted(rows):
+        data, ends = chunks.cut(text)
+        starts = [0, *ends[:-1]]
+        sizes = [int(chunks.words_in(data[a:b], np.array([b - a]))[0]) for a, b in zip(starts, ends)]
+        found = set()
+        for i in range(len(ends)):
+            for j in range(i + 1, len(ends) + 1):
+                # those that just reach the number of words from either end
+                if sum(sizes[i:j]) >= least_words and (sum(sizes[i + 1:j]) < least_words or sum(sizes[i:j - 1]) < least_words):
+                    found.add((i, j))
+        for i, j in sorted(found):
+            spans.append((tuple(data[a:b] for a, b in zip(starts[i:j], ends[i:j])), doc, i, j))
+    for key, doc, i, j in sorted(spans, key=lambda s: s[1:]):
+        first.setdefault(key, (doc, i, j))
+    places = {}
+    for key, doc, i, j in spans:
+        kept = first[key]
+        if doc != kept[0] or i >= kept[2]:
+            places.setdefault(doc, set()).update(range(i, j))
+    return {d: sorted(p) for d, p in places.items()}
+
+
+@pytest.mark.parametrize("partitions", [2, 40])
+def test_repeated_places_equal_brute_force(engine, partitions):
+    """Ranges of few and of many tasks, where digests span several."""
+    rng = random.Random(partitions)
+    vocabulary = [passage(rng, 1) for _ in range(40)] + ["漢字", "、"]
+    pieces = [" ".join(rng.choice(vocabulary) for _ in range(rng.randrange(3, 14))) for _ in range(12)]
+    rows = [(i, "\n".join(rng.choice(pieces) for _ in range(rng.randrange(1, 7)))) for i in range(40)]
+    rows += [(100 + i, pieces[0] + " " + pieces[1]) for i in range(60)]
+    docs = engine.createDataFrame(rows, "doc_id long, text string").repartition(4)
+    before = engine.conf.get("spark.sql.shuffle.partitions")
+    engine.conf.set("spark.sql.shuffle.partitions", partitions)
+    engine.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        found = {r.doc_id: r.places for r in chunks.repeated_places(docs, least_words=6).collect()}
+    finally:
+        engine.conf.set("spark.sql.shuffle.partitions", before)
+        engine.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "true")
+    assert found == brute_places(rows, 6) and found
+
+
+def test_substring_dedup_sorts_once(engine, sf_small):
+    """One exchange of the sequences, and no aggregate that sorts them."""
+    found = chunks.later_places(chunks.window_table(table(engine, sf_small, "documents")))
+    text = found._jdf.queryExecution().toString()
+    assert text.split("== Physical Plan ==")[1].count("Exchange") == 1 and "SortAggregate" not in text
+
+
+@pytest.mark.parametrize("words", [8, 12, 30, 120, 300])
+def test_recall_of_scattered_edits(engine, words):
+    """Pairs just above the similarity, edited at scattered places or at the end: nine in ten are found."""
+    rng = random.Random(words)
+    vocabulary = [passage(rng, 1) for _ in range(3000)]
+    rows, pairs = [], []
+    for n in range(60):
+        text = rng.choices(vocabulary, k=words)
+        other = text.copy()
+        order = rng.sample(range(words), words) if n % 2 else list(range(words - 1, -1, -1))
+        for at in order:
+            last = other.copy()
+            last[at] = "edited" + str(n)
+            if similarity(text, last) < 0.8:
+                break
+            other = last
+        if other != text:
+            rows += [(2 * n, " ".join(text)), (2 * n + 1, " ".join(other))]
+            pairs.append((2 * n, 2 * n + 1))
+    if not pairs:
+        pytest.skip("one edit falls below the similarity")
+    docs = engine.createDataFrame(rows, "doc_id long, text string")
+    found = {r.doc_id: r.component_id for r in simhash.near_duplicates(
+        docs, size=5, words=4, radius=56, first_radius=22, similarity=0.8).collect()}
+    assert sum(found[a] == found[b] for a, b in pairs) >= 0.9 * len(pairs)
+    assert len(set(found.values())) >= len(pairs)
+
+
+def similarity(a, b, size=5):
+    one, two = ({tuple(x[i:i + size]) for i in range(max(1, len(x) - size + 1))} for x in (a, b))
+    return len(one & two) / len(one | two)

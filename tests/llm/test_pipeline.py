@@ -3,13 +3,14 @@
 from __future__ import annotations
 
 import random
+from pathlib import Path
 
 import pytest
 from pyspark.sql import functions as F
 
 import __spark_entry__ as driver
 import corpus_pipeline
-from tallyward.sources.staging import stage
+from tallyward.sources.staging import stage, stage_root
 
 
 def prose(rng, n):
@@ -82,6 +83,31 @@ def test_stages_take_extra_columns_and_edges(engine, planted, edge_docs, no_docs
     assert {r.doc_id for r in kept} >= {0, 4, None} and not {1, 5, 8} & {r.doc_id for r in kept}
 
 
+def test_near_copies_are_told_apart_by_id_and_text(engine, planted):
+    """Of equal rows one stays; of texts under one id only the copy goes; rows without an id stay."""
+    rng = random.Random(5)
+    a, b, c = (prose(rng, 80) for _ in range(3))
+    rows = [(1, a), (2, b), (2, a), (3, c), (3, c), (3, c), (None, c), (None, c), (4, None), (4, None), (5, "")]
+    docs = engine.createDataFrame(rows, "doc_id long, text string").withColumn("n_chars", F.char_length("text"))
+    kept = sorted(((r.doc_id, r.text) for r in corpus_pipeline.near_dedup(engine, docs, planted[0]).collect()), key=str)
+    assert kept == sorted([(1, a), (2, b), (3, c), (None, c), (None, c), (4, None)], key=str)
+
+
+def test_stages_of_the_pipeline_are_released(engine, planted):
+    """After a stage, what it keeps are its decisions; after the run, the last result only."""
+    root = Path(stage_root(engine).removeprefix("file:"))
+    docs = engine.read.parquet(f"{planted[0]}/documents.parquet")
+    for function in (corpus_pipeline.near_dedup, corpus_pipeline.substring_dedup):
+        before = {p.name for p in root.iterdir()}
+        function(engine, docs, planted[0])
+        left = {p.name.rsplit("-", 1)[0] for p in root.iterdir() if p.name not in before}
+        assert left <= {"near-copies", "equal-rows", "chunks-places"}
+    before = {p.name for p in root.iterdir()}
+    found = corpus_pipeline.run(engine, planted[0])
+    assert found.count() > 0
+    assert {p.name.rsplit("-", 1)[0] for p in root.iterdir() if p.name not in before} == {"pipeline-packing"}
+
+
 def test_run_equals_the_stages(engine, sf_small):
     found = driver.queries()["pipeline"](engine, sf_small)
     assert found.columns == ["doc_id", "start", "length", "ids_crc32", "doc_tokens", "sequence_id", "offset", "ids"]
