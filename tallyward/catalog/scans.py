@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import uuid
-
+from datetime import datetime
 
 from pyspark.sql import functions as F
 
@@ -14,6 +14,7 @@ from tallyward.operators.joins import with_dims
 from tallyward.operators.projections import distinct_project, project, tag, with_star
 from tallyward.operators.setops import union_events
 from tallyward.params import StudyParams, params_df, windows
+from tallyward.sources.layout import YEAR, in_window, in_years, read_by_year, write_by_year
 from tallyward.sources.outputs import read_output, replace_output, write_output
 from tallyward.sources.staging import conform, finished, stage, stage_root
 from tallyward.sources.tables import code_set, cohort_slice, read_dim, read_source
@@ -111,6 +112,33 @@ def write_cohort(spark, d):
     return spark.read.schema(rows.schema).parquet(target)
 
 
+def _by_year(spark, rows, time):
+    target = f"{stage_root(spark)}/by-year-{uuid.uuid4().hex}"
+    write_by_year(rows, target, time)
+    return read_by_year(spark, target, rows)
+
+
+@query("""
+    SELECT l_orderkey, l_linenumber, l_shipdate FROM lineitem
+    WHERE l_shipdate BETWEEN TIMESTAMP '1999-12-02' AND TIMESTAMP '2001-01-01'""")
+def scan_facts_by_year(spark, d):
+    """A fact laid out by year, cut to a closed window."""
+    lines = _by_year(spark, read_source(spark, d, "lineitem", ["l_orderkey", "l_linenumber", "l_shipdate"]), "l_shipdate")
+    return in_window(lines, "l_shipdate", windows(StudyParams(search_start=datetime(2000, 1, 1))).emergency).drop(YEAR)
+
+
+@query("""
+    SELECT o_orderkey, o_orderdate FROM orders WHERE year(o_orderdate) IN (
+      SELECT DISTINCT year(ts) FROM events WHERE event_type = 'error'
+      UNION SELECT min(year(o_orderdate)) FROM orders)""")
+def scan_years_of_another_relation(spark, d):
+    """Years that only the run can tell: those of some events, and the first on record."""
+    orders = read_source(spark, d, "orders", ["o_orderkey", "o_orderdate"])
+    years = table(spark, d, "events").filter("event_type = 'error'").select(F.year("ts").alias(YEAR)).unionByName(
+        orders.agg(F.min(F.year("o_orderdate")).alias(YEAR)))
+    return in_years(_by_year(spark, orders, "o_orderdate"), years).drop(YEAR)
+
+
 @query("""
     SELECT c_custkey, c_name, c_mktsegment FROM customer WHERE c_mktsegment = 'BUILDING'
     UNION ALL SELECT c_custkey, c_name, c_mktsegment FROM customer""")

@@ -15,6 +15,7 @@ from tallyward.operators.projections import tag
 from tallyward.operators.setops import union_events
 from tallyward.params import Window, Windows
 from tallyward.plans.conditions import ConditionSpec, coded_hits
+from tallyward.sources.layout import in_window
 from tallyward.sources.tables import SourceTables
 
 # Event type tags and the placeholder of coded events.
@@ -39,7 +40,7 @@ def diagnosis_events(t: SourceTables, cond: ConditionSpec, window: Window) -> Da
     def coded(fact: DataFrame, bridge: DataFrame, event: str, time: str, kind: str) -> DataFrame:
         hits = coded_hits(bridge, event, t.dim_icd10, t.dim_icd9, cond)
         found = (
-            fact.filter(between_closed(time, *window))
+            in_window(fact, time, window)
             .select(event, "PatientSID", F.col(time).alias("DiagnosisEventDateTime"))
             .join(hits, event, "inner")
             .withColumnRenamed(event, "DiagnosisEventSID")
@@ -48,7 +49,7 @@ def diagnosis_events(t: SourceTables, cond: ConditionSpec, window: Window) -> Da
             found, TypeOfCancer=NOT_CAPTURED, StageOfCancer=NOT_CAPTURED, TypeOfEvent=kind
         )
 
-    registry = t.oncology_primary.filter(between_closed("DateDX", *window) & cond.site()).select(
+    registry = in_window(t.oncology_primary, "DateDX", window).filter(cond.site()).select(
         "PatientSID",
         F.col("OncologyPrimaryIEN").alias("DiagnosisEventSID"),
         F.col("DateDX").alias("DiagnosisEventDateTime"),

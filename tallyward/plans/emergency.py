@@ -5,13 +5,14 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tallyward.functions.predicates import between_closed, ci, not_sentinel
+from tallyward.functions.predicates import ci, not_sentinel
 from tallyward.functions.text import strip_dots
 from tallyward.operators.intervals import asof_latest, followed_within, preceded_within
 from tallyward.operators.joins import not_in, semi_code
 from tallyward.operators.projections import tag
 from tallyward.operators.setops import union_events
 from tallyward.params import Window
+from tallyward.sources.layout import in_window
 from tallyward.sources.tables import SourceTables, code_set
 
 # Emergency event tags and the admission span.
@@ -42,7 +43,7 @@ def _at_sites(events: DataFrame, sites: DataFrame, kind: str, *extra: str) -> Da
 
 
 def inpatient_candidates(t: SourceTables, sites: DataFrame, window: Window) -> DataFrame:
-    stays = t.inpat_inpatient.filter(between_closed("AdmitDateTime", *window)).select(
+    stays = in_window(t.inpat_inpatient, "AdmitDateTime", window).select(
         "PatientSID",
         F.col("InpatientSID").alias("ECEventSID"),
         F.col("AdmitDateTime").alias("ECEventDateTime"),
@@ -51,9 +52,7 @@ def inpatient_candidates(t: SourceTables, sites: DataFrame, window: Window) -> D
 
 
 def ed_visits(t: SourceTables, sites: DataFrame, window: Window) -> DataFrame:
-    visits = t.edis_edislog.filter(
-        between_closed("PatientArrivalDateTime", *window) & not_sentinel("VisitSID")
-    ).select(
+    visits = in_window(t.edis_edislog, "PatientArrivalDateTime", window).filter(not_sentinel("VisitSID")).select(
         "PatientSID",
         F.col("VisitSID").alias("ECEventSID"),
         F.col("PatientArrivalDateTime").alias("ECEventDateTime"),

@@ -18,7 +18,7 @@ from functools import cached_property
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tallyward.functions.predicates import between_closed, ci, fold
+from tallyward.functions.predicates import ci, fold
 from tallyward.functions.text import concat_null_empty
 from tallyward.operators.projections import tag
 from tallyward.operators.setops import union_events
@@ -28,6 +28,7 @@ from tallyward.plans.ascertain import (
 )
 from tallyward.plans.cohort import Study
 from tallyward.plans.conditions import SITE_COLUMNS, ConditionSpec
+from tallyward.sources.layout import in_window, years_of
 from tallyward.sources.staging import Stages, stage
 from tallyward.sources.tables import SourceTables
 
@@ -103,7 +104,7 @@ def diagnosis_events(t: SourceTables, conditions: Conditions, window: Window) ->
     def coded(fact: DataFrame, bridge: DataFrame, event: str, time: str, kind: str) -> DataFrame:
         hits = coded_hits(bridge, event, t.dim_icd10, t.dim_icd9, patterns, conditions)
         found = (
-            fact.filter(between_closed(time, *window))
+            in_window(fact, time, window)
             .select(event, "PatientSID", F.col(time).alias("DiagnosisEventDateTime"))
             .join(hits, event, "inner")
             .withColumnRenamed(event, "DiagnosisEventSID")
@@ -114,7 +115,7 @@ def diagnosis_events(t: SourceTables, conditions: Conditions, window: Window) ->
     pieces = F.array_distinct(F.flatten(F.array(*(beginnings(ci(c), lengths) for c in SITE_COLUMNS))))
     sites = patterns.filter(F.col("system") == SITE).select("condition", "pattern")
     registry = (
-        t.oncology_primary.filter(between_closed("DateDX", *window)).select(
+        in_window(t.oncology_primary, "DateDX", window).select(
             "PatientSID",
             F.col("OncologyPrimaryIEN").alias("DiagnosisEventSID"),
             F.col("DateDX").alias("DiagnosisEventDateTime"),
@@ -145,8 +146,7 @@ def in_windows(events: DataFrame, studies: DataFrame, time: str = "DiagnosisEven
     cover, an event meets those of its own year.
     """
     w = windows_of_row()
-    years = F.sequence(F.year(w.washout.start), F.year(w.search.end))
-    covered = studies.withColumn("_year", F.explode(years))
+    covered = studies.withColumn("_year", F.explode(years_of(w.washout.start, w.search.end)))
     met = events.withColumn("_year", F.year(time)).join(covered, "_year").drop("_year")
     return met.filter(F.col(time).between(w.washout.start, w.search.end))
 
