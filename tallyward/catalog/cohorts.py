@@ -214,6 +214,29 @@ def numerator_cohort(spark, d):
     return study(spark, d).numerator()
 
 
+@query(cohort_sql("""
+    , span AS (SELECT dx.* FROM dx, bound WHERE DiagnosisEventDateTime BETWEEN w0 AND s1),
+    sites AS (SELECT DISTINCT PatientSSN, PatientSID FROM spatient WHERE PatientSSN IN (SELECT PatientSSN FROM indexed))
+    SELECT 'events' AS stage, 'rows' AS metric, count(*) AS n FROM span
+    UNION ALL SELECT 'events', 'null_PatientSSN', count(*) - count(PatientSSN) FROM span
+    UNION ALL SELECT 'events', 'null_PatientSID', count(*) - count(PatientSID) FROM span
+    UNION ALL SELECT 'index', 'rows', count(*) FROM indexed
+    UNION ALL SELECT 'index', 'null_PatientSSN', count(*) - count(PatientSSN) FROM indexed
+    UNION ALL SELECT 'index', 'null_PatientSID', count(*) - count(PatientSID) FROM indexed
+    UNION ALL SELECT 'index', 'persons', count(DISTINCT PatientSSN) FROM indexed
+    UNION ALL SELECT 'sites', 'rows', count(*) FROM sites
+    UNION ALL SELECT 'sites', 'null_PatientSSN', count(*) - count(PatientSSN) FROM sites
+    UNION ALL SELECT 'sites', 'null_PatientSID', count(*) - count(PatientSID) FROM sites
+    UNION ALL SELECT 'emergency', 'rows', count(*) FROM emergency
+    UNION ALL SELECT 'emergency', 'null_PatientSSN', count(*) - count(PatientSSN) FROM emergency
+    UNION ALL SELECT 'emergency', 'null_PatientSID', count(*) - count(PatientSID) FROM emergency"""))
+def stage_counts(spark, d):
+    """What was counted of the stages while they were written."""
+    s = Study(role_views(spark, d), PARAMS, COLORECTAL)
+    s.emergency  # noqa: B018  (writes the stages)
+    return s.report()
+
+
 @query(cohort_sql("""
     SELECT 'denominator' AS cohort, count(DISTINCT PatientSSN) AS persons FROM den_output
     UNION ALL SELECT 'numerator', count(DISTINCT PatientSSN) FROM num_output"""))

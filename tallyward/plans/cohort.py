@@ -23,7 +23,7 @@ from tallyward.plans.emergency import (
 from tallyward.plans.enrich import enrich_denominator, enrich_numerator
 from tallyward.plans.history import active_only, bounds_of, care_flags, cohort_visits, event_visits
 from tallyward.sources.outputs import replace_output
-from tallyward.sources.staging import Stages, stage
+from tallyward.sources.staging import Stages, counted_stage, stage
 from tallyward.sources.tables import SourceTables
 
 
@@ -56,24 +56,38 @@ class Study:
     def windows(self) -> Windows:
         return windows(self.params)
 
+    @cached_property
+    def counts(self) -> dict[str, dict[str, int]]:
+        """By stage, what was counted while it was written: rows and NULL keys, and persons of the index."""
+        return {}
+
+    def _counted(self, df: DataFrame, name: str, *, persons: bool = False) -> DataFrame:
+        staged, self.counts[name] = counted_stage(df, name, "PatientSSN", ["PatientSID"], persons=persons)
+        return staged
+
+    def report(self) -> DataFrame:
+        """stage, metric and n of the stages written so far, without reading any of them."""
+        rows = [(name, metric, n) for name, found in self.counts.items() for metric, n in found.items()]
+        return self.tables.spatient.sparkSession.createDataFrame(rows, "stage string, metric string, n bigint")
+
     @cached_property
     @_held
     def events(self) -> DataFrame:
         """Events of the condition from the start of washout to the end of search."""
         span = Window(self.windows.washout.start, self.windows.search.end)
-        return stage(diagnosis_events(self.tables, self.condition, span), "events")
+        return self._counted(diagnosis_events(self.tables, self.condition, span), "events")
 
     @cached_property
     @_held
     def index(self) -> DataFrame:
         if self.given_index is not None:
             return self.given_index
-        return stage(index_events(self.events, self.windows), "index")
+        return self._counted(index_events(self.events, self.windows), "index", persons=True)
 
     @cached_property
     @_held
     def sites(self) -> DataFrame:
-        return stage(cohort_sites(self.index, self.tables.spatient), "sites")
+        return self._counted(cohort_sites(self.index, self.tables.spatient), "sites")
 
     @cached_property
     @_held
@@ -98,7 +112,7 @@ class Study:
     @cached_property
     @_held
     def emergency(self) -> DataFrame:
-        return stage(emergency_from_candidates(self.candidates, self.tables), "emergency")
+        return self._counted(emergency_from_candidates(self.candidates, self.tables), "emergency")
 
     @property
     def included(self) -> DataFrame:

@@ -3,11 +3,11 @@
 from __future__ import annotations
 
 import uuid
-from collections.abc import Callable, Iterator
+from collections.abc import Callable, Iterator, Sequence
 from contextlib import contextmanager
 from contextvars import ContextVar
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -80,6 +80,30 @@ def stage(df: DataFrame, name: str, folder: str | None = None) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def counted_stage(
+    df: DataFrame, name: str, person: str, keys: Sequence[str] = (), folder: str | None = None, *, persons: bool = False,
+) -> tuple[DataFrame, dict[str, int]]:
+    """A stage and what was counted while it was written, without a scan of its own.
+
+    ``rows``; ``null_<key>`` for the person and each of ``keys``; with ``persons``
+    also the distinct persons, for which the rows are dealt by person and sorted
+    before they are written (the first row of each is counted). Rows without a
+    person are spread by their hash then, and count as no person; those of a very
+    hot person meet in one task, so leave ``persons`` out where there may be one.
+    """
+    columns = dict.fromkeys([person, *keys])
+    measures = [F.count(F.lit(1)).alias("rows"), *(F.count_if(F.col(c).isNull()).alias(f"null_{c}") for c in columns)]
+    if persons:
+        known = F.col(person).isNotNull()
+        spread = F.when(known, F.xxhash64(person)).otherwise(F.xxhash64(*df.columns))
+        place = F.row_number().over(Window.partitionBy("_spread", person).orderBy(person))
+        df = df.withColumn("_spread", spread).withColumn("_first", known & (place == 1)).drop("_spread")
+        measures.append(F.count_if("_first").alias("persons"))
+    seen = Observation()
+    staged = stage(df.observe(seen, *measures).drop("_first"), name, folder)
+    return staged, dict(seen.get)
+
+
 def finished(build: Callable[[], DataFrame], name: str, folder: str | None = None) -> DataFrame:
     """The result of ``build`` as a stage; the stages that ``build`` wrote are released, also if it fails."""
     inner = Stages()

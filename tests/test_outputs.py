@@ -13,7 +13,7 @@ from tallyward.plans import cohort
 from tallyward.plans.cohort import Study, build_cohorts, write_cohorts
 from tallyward.sources import outputs
 from tallyward.sources.outputs import read_output, replace_output, replace_table
-from tallyward.sources.staging import Stages, finished, stage, stage_root
+from tallyward.sources.staging import Stages, counted_stage, finished, stage, stage_root
 from warehouse import START, random_warehouse, to_spark
 
 
@@ -138,3 +138,18 @@ def test_cohorts_are_written_and_every_stage_is_released(spark, tmp_path, monkey
     assert [spark_rows(read_output(spark, t)) for t in targets] == expected
     assert len(made) == 1 and made[0].stages.paths == []
     assert {p.name for p in root.iterdir()} <= before, "no files after release"
+
+
+def test_counts_are_taken_while_a_stage_is_written(spark):
+    rows = [("a", 1), ("a", 1), ("b", None), (None, 2), (None, 2), (None, None), ("c", 3)] + [("hot", i) for i in range(500)]
+    df = spark.createDataFrame(rows, "person string, site int").repartition(5)
+    jobs = spark.sparkContext.statusTracker()
+    staged, counts = counted_stage(df, "counted", "person", ["site"], persons=True)
+    before = len(jobs.getJobIdsForGroup(None))
+    assert counts == {"rows": 507, "null_person": 3, "null_site": 2, "persons": 4}
+    assert len(jobs.getJobIdsForGroup(None)) == before, "no scan of its own"
+    assert spark_rows(staged) == spark_rows(df)
+    staged, counts = counted_stage(df, "counted", "person")
+    assert counts == {"rows": 507, "null_person": 3} and staged.columns == df.columns
+    _, counts = counted_stage(df.limit(0), "counted", "person", persons=True)
+    assert counts == {"rows": 0, "null_person": 0, "persons": 0}
