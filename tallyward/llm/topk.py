@@ -15,7 +15,8 @@ are split, so that no task holds more than a block of either.
 Defined results: vectors that are NULL or hold NULL or non-finite components take
 no part, nor do NULL ids; repeated rows count once. A shorter vector counts as
 filled up with zeros. Ties go to the smaller id; fewer candidates give fewer rows.
-Scores are exact while they, and the squares of components, fit a long.
+Scores are exact; one that does not fit a long is the nearest long that is not the
+least, and so are components of that size. Such scores tie.
 """
 
 from __future__ import annotations
@@ -31,11 +32,14 @@ from pyspark.sql import functions as F
 from tallyward.sources.staging import stage
 
 PIVOTS = 16
+MOST_PIVOTS = 256
+"""Pivots grow with the square root of the vectors, between these bounds: cells then keep pruning as vectors grow."""
 ANNULI = 4
 BLOCK = 8192
 """Vectors, and queries, of a task, about."""
 STRIP = 512
 EXACT = 1 << 53
+MOST = (1 << 63) - 1
 
 
 def integral(vectors: DataFrame, *, key: str, vector: str, scale: float) -> DataFrame:
@@ -58,11 +62,16 @@ def matrix(column: pa.Array | pa.ChunkedArray, width: int) -> np.ndarray:
 
 
 def scores(a: np.ndarray, b: np.ndarray) -> np.ndarray:
-    """Inner products, by floating-point arithmetic where that is exact."""
-    most = int(np.abs(a).max(initial=0)) * int(np.abs(b).max(initial=0)) * max(1, a.shape[1])
+    """Inner products, by floating-point arithmetic where that is exact, and without bound where longs are too short."""
+    def largest(x: np.ndarray) -> int:
+        return max(-int(x.min(initial=0)), int(x.max(initial=0)))
+
+    most = largest(a) * largest(b) * max(1, a.shape[1])
     if most < EXACT:
         return (a.astype(np.float64) @ b.astype(np.float64).T).astype(np.int64)
-    return a @ b.T
+    if most <= MOST:
+        return a @ b.T
+    return np.clip(a.astype(object) @ b.T.astype(object), -MOST, MOST).astype(np.int64)
 
 
 class Index:
@@ -100,7 +109,7 @@ def best(
     queries' distances to it; ``near`` and ``far`` give |q|^2 + M and the slack.
     """
     count = len(queries)
-    kept_score = np.full((count, k), -(1 << 62))
+    kept_score = np.full((count, k), -MOST)
     kept_row = np.full((count, k), -1)
     least_id = np.array([c[0] for c in candidates])
     starts = list(range(0, len(points), STRIP))
@@ -108,7 +117,7 @@ def best(
     for strip in np.argsort(np.abs(middle - np.median(reach))) if starts else []:
         lo, hi = starts[strip], min(starts[strip] + STRIP, len(points))
         bound = np.maximum(floor, kept_score[:, -1])
-        ball = np.sqrt(np.maximum(near - 2.0 * np.maximum(bound, -(1 << 60)), 0)) + far
+        ball = np.sqrt(np.maximum(near - 2.0 * bound.astype(np.float64), 0)) + far
         gap = np.maximum(np.maximum(radius[lo] - reach, reach - radius[hi - 1]), 0)
         go = np.flatnonzero(gap <= ball)
         if not len(go):
@@ -135,12 +144,13 @@ def build(vectors: DataFrame, k: int) -> tuple[DataFrame, Index | None]:
     # of equal vectors the k least ids are enough; the window drops the rest before the shuffle
     distinct = stage(vectors.withColumn("place", F.row_number().over(each)).where(F.col("place") <= k).groupBy("v").agg(
         F.array_sort(F.collect_list("vec_id")).alias("ids")), "topk-distinct")
-    square = F.aggregate("v", F.lit(0).cast("long"), lambda a, x: a + x * x)
-    size = distinct.agg(F.max(square).alias("most"), F.max(F.size("v")).alias("width")).first()
+    square = F.aggregate("v", F.lit(0.0), lambda a, x: a + x.cast("double") * x.cast("double"))
+    size = distinct.agg(F.max(square).alias("most"), F.max(F.size("v")).alias("width"), F.count("*").alias("n")).first()
     if size["most"] is None:
         return distinct, None
     width = max(1, size["width"])
-    chosen = [r["v"] for r in distinct.orderBy(F.xxhash64("v"), "v").limit(PIVOTS).select("v").collect()]
+    pivots = min(MOST_PIVOTS, max(PIVOTS, math.isqrt(size["n"]) // PIVOTS))
+    chosen = [r["v"] for r in distinct.orderBy(F.xxhash64("v"), "v").limit(pivots).select("v").collect()]
     index = Index(np.zeros((1, width + 1)), size["most"], np.zeros((len(chosen), 0)))
     index.pivots = index.lifted(np.array([c + [0] * (width - len(c)) for c in chosen], dtype=np.int64))
 
@@ -203,7 +213,7 @@ def search(queries: DataFrame, vectors: DataFrame, k: int) -> DataFrame:
                 if first:
                     go = np.zeros(gap.shape, dtype=bool)
                     go[np.arange(len(q)), home] = True
-                    floor = np.full(len(q), -(1 << 62))
+                    floor = np.full(len(q), -MOST)
                 else:
                     floor = batch.column("floor").to_numpy()
                     square = (q.astype(np.float64)**2).sum(axis=1) + index.most
@@ -223,10 +233,7 @@ def search(queries: DataFrame, vectors: DataFrame, k: int) -> DataFrame:
         return run
 
     columns = "cell int, part int, qpart int, key long, v array<long>, floor long"
-    # a block of vectors meets each block of queries
-    stored = table.select(
-        (F.col("pivot") * ANNULI + F.col("annulus")).alias("cell"), "part",
-        F.explode(F.sequence(F.lit(0), F.lit(groups - 1))).alias("qpart"), "v", "ids", "distance")
+    stored = table.select((F.col("pivot") * ANNULI + F.col("annulus")).alias("cell"), "part", "v", "ids", "distance")
 
     def look(left: pa.Table, right: pa.Table) -> pa.Table:
         result = []
@@ -243,13 +250,16 @@ def search(queries: DataFrame, vectors: DataFrame, k: int) -> DataFrame:
         return pa.table([pa.array(c, pa.int64()) for c in columns], names=["key", "vec_id", "score"])
 
     def round_of(asking: DataFrame) -> DataFrame:
+        # a block of vectors goes to those blocks of queries that visit it
         by = ["cell", "part", "qpart"]
-        return asking.groupBy(*by).cogroup(stored.groupBy(*by)).applyInArrow(look, out)
+        asking = stage(asking, "topk-visits")
+        visited = stored.join(asking.select(*(F.col(c).alias(c) for c in by)).distinct(), ["cell", "part"])
+        return asking.groupBy(*by).cogroup(visited.groupBy(*by)).applyInArrow(look, out)
 
     first = stage(round_of(unique.mapInArrow(visits(True), columns)), "topk-first")
     place = F.row_number().over(Window.partitionBy("key").orderBy(F.desc("score"), "vec_id"))
     floors = first.withColumn("place", place).where(F.col("place") == more).select("key", F.col("score").alias("floor"))
-    bounded = unique.join(floors, "key", "left").withColumn("floor", F.coalesce("floor", F.lit(-(1 << 62))))
+    bounded = unique.join(floors, "key", "left").withColumn("floor", F.coalesce("floor", F.lit(-MOST)))
     second = round_of(bounded.mapInArrow(visits(False), columns))
     kept = stage(first.unionByName(second).withColumn("place", place).where(F.col("place") <= more).drop("place"), "topk-kept")
     own = asked.join(unique, "v").select(F.col("vec_id").alias("query_id"), "key")

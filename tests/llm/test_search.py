@@ -60,6 +60,45 @@ def test_top_k_at_the_edges(engine):
     assert topk.search(large.where("vec_id = 0"), large, 1).first().score == (1 << 30) * ((1 << 30) + 4) + (1 << 58)
 
 
+@pytest.mark.parametrize("size", [4e7, 6e7, 1e8, 1e12, 1e17, 1e300])
+def test_large_components_end_no_query(engine, size):
+    """Exact scores while they fit a long, and the nearest long beyond."""
+    rng = random.Random(7)
+    rows = [(i, [rng.choice([-1, 1]) * size * rng.random(), rng.random(), rng.uniform(-9, 9)]) for i in range(60)]
+    df = engine.createDataFrame(rows, "vec_id long, embedding array<double>")
+    vectors = topk.integral(df, key="vec_id", vector="embedding", scale=64)
+    of = {r.vec_id: r.v for r in vectors.collect()}
+    found = topk.search(vectors.where("vec_id % 20 = 0"), vectors, 5).collect()
+    most = (1 << 63) - 1
+    for q in (0, 20, 40):
+        exact = {i: max(-most, min(most, sum(a * b for a, b in zip(of[q], v)))) for i, v in of.items() if i != q}
+        want = sorted(exact.items(), key=lambda x: (-x[1], x[0]))[:5]
+        assert [(r.vec_id, r.score) for r in sorted((r for r in found if r.query_id == q), key=lambda r: r["rank"])] == want
+
+
+def test_vectors_go_to_the_query_blocks_that_visit_them(engine, monkeypatch):
+    """Fewer rows meet the queries than vectors times blocks of queries."""
+    monkeypatch.setattr(topk, "BLOCK", 64)
+    rng = np.random.default_rng(2)
+    centres = rng.normal(size=(8, 6)) * 40
+    rows = [(i, (centres[i % 8] + rng.normal(size=6)).tolist()) for i in range(1600)]
+    df = engine.createDataFrame(rows, "vec_id long, embedding array<double>")
+    vectors = topk.integral(df, key="vec_id", vector="embedding", scale=64)
+    copied = []
+    original = topk.stage
+
+    def recorded(staged, name):
+        result = original(staged, name)
+        if name == "topk-visits":
+            copied.append(result.select("cell", "part", "qpart").distinct().count())
+        return result
+
+    monkeypatch.setattr(topk, "stage", recorded)
+    assert topk.search(vectors.where("vec_id % 4 = 0"), vectors, 5).count() == 2000
+    blocks = -(-400 // 64)
+    assert len(copied) == 2 and sum(copied) * 64 < 2 * 1600 * blocks
+
+
 @settings(max_examples=100, deadline=None)
 @given(st.lists(st.integers(0, 1 << 40), min_size=1, max_size=200), st.lists(st.integers(0, 1 << 41), min_size=1, max_size=30))
 def test_elias_fano(values, asked):
