@@ -8,6 +8,8 @@ storage. What follows works on stages.
 from __future__ import annotations
 
 from collections.abc import Callable
+from concurrent.futures import ThreadPoolExecutor
+from contextvars import copy_context
 from dataclasses import dataclass, field
 from functools import cached_property, wraps
 
@@ -137,8 +139,17 @@ class Study:
     def denominator(self) -> DataFrame:
         return enrich_denominator(stage(self.active(self.included), "active"), self.tables, event_visits(self.visits))
 
+    def _together(self, *steps: str) -> None:
+        """Write steps that need nothing of each other at once; their jobs share the cluster."""
+        with ThreadPoolExecutor(len(steps)) as pool:
+            waiting = [pool.submit(copy_context().run, getattr, self, step) for step in steps]
+        for step in waiting:
+            step.result()
+
     @_held
     def numerator(self) -> DataFrame:
+        self.sites  # noqa: B018  (both steps start from it)
+        self._together("visits", "emergency")
         active = stage(self.active(self.included_emergency), "active_emergency")
         return enrich_numerator(active, self.tables, event_visits(self.visits))
 

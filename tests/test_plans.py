@@ -18,6 +18,7 @@ from tallyward.plans.ascertain import diagnosis_events, index_events
 from tallyward.plans.emergency import ed_visits, emergency_from_candidates, inpatient_candidates, latest_dyads
 from tallyward.plans import cohort, enrich
 from tallyward.plans.history import care_bounds, cohort_visits
+from tallyward.sources import staging
 from tallyward.sources.staging import stage
 from tallyward.params import Window
 from test_queries import plan
@@ -192,6 +193,7 @@ def test_plans_behind_the_stages(study, monkeypatch):
         plans.append(plan(df))
         return stage(df, name, folder)
 
+    monkeypatch.setattr(staging, "stage", recorded)  # behind the counted stages
     monkeypatch.setattr(cohort, "stage", recorded)
     monkeypatch.setattr(enrich, "stage", recorded)
     visits = stage(study.tables.outpat_workload, "seen-visits")
