@@ -4,7 +4,8 @@ Conditions are a relation of patterns, (condition, system, pattern). A code is c
 into the pieces a pattern could be, its beginnings or all its runs of the lengths
 that patterns have, and pieces meet patterns by equality: one join on each code
 dimension for any number of conditions, and none of the facts is read per
-condition. Studies are parameter rows; the events meet them by the years that
+condition. Patterns are the side that is broadcast: they come from the driver, while
+Spark takes pieces, many from each code, for no larger than the file they are cut from. Studies are parameter rows; the events meet them by the years that
 their windows cover, and the index events of all studies and conditions are
 decided together.
 """
@@ -76,7 +77,7 @@ def matching_codes(
     cut = runs if system == ICD10 else beginnings
     pieces = dim.select(F.col(key).alias("sid"), F.explode(cut(ci(code), _lengths(conditions, system))).alias("pattern"))
     wanted = patterns.filter(F.col("system") == system).select("condition", "pattern")
-    return pieces.join(wanted, "pattern").select("sid", "condition").distinct()
+    return pieces.join(F.broadcast(wanted), "pattern").select("sid", "condition").distinct()
 
 
 def coded_hits(
@@ -123,7 +124,7 @@ def diagnosis_events(t: SourceTables, conditions: Conditions, window: Window) ->
             F.col("StageGroupingajcc").alias("StageOfCancer"),
             F.explode(pieces).alias("pattern"),
         )
-        .join(sites, "pattern").drop("pattern")
+        .join(F.broadcast(sites), "pattern").drop("pattern")
     )
     found = union_events(
         coded(t.outpat_workload, t.outpat_workload_vdiagnosis, "VisitSID", "VisitDateTime", OUTPATIENT),

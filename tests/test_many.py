@@ -51,6 +51,19 @@ def test_pieces_meet_the_patterns_they_would_match(spark):
     assert spark.range(1).select(F.size(many.beginnings(ci(F.lit("ab")), []))).first()[0] == 0
 
 
+def test_pieces_are_never_broadcast(spark, case):
+    """Spark takes them for no larger than their file; the patterns, which the driver made, are sent instead."""
+    dim = stage(spark.range(2000).select(F.col("id").alias("sid"), F.lit("large ring").alias("code")), "dim")
+    patterns = many.pattern_relation(spark, CONDITIONS)
+    span = Window(F.lit("1950-01-01").cast("timestamp_ntz"), F.lit("2001-01-01").cast("timestamp_ntz"))
+    for df in (
+        *(many.matching_codes(dim, "sid", "code", patterns, CONDITIONS, system) for system in (many.ICD10, many.ICD9)),
+        many.diagnosis_events(case[0], CONDITIONS, span),
+    ):
+        found = re.findall(r"\((\d+)\) BroadcastHashJoin.*\nLeft keys \[1\]: \[pattern#", plan(df))
+        assert found and all(f"BroadcastHashJoin Inner BuildRight ({n})" in plan(df) for n in found)
+
+
 def test_ascertainment_of_each_condition_in_one_pass(case):
     tables, con = case
     span = Window(F.lit("1950-01-01").cast("timestamp_ntz"), F.lit("2001-01-01").cast("timestamp_ntz"))
