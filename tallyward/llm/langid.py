@@ -7,6 +7,9 @@ n-gram is known decides, with the mean of the known ones.
 Defined results: NULL, empty and letterless texts are ``und`` with score 0; with
 nothing to learn from, every text is. Ties go to the language that sorts first.
 Repeated rows get repeated results; other columns are not touched.
+
+Every Python worker holds the model: its words and n-grams are arrays of hashes and
+of text, and only the words met lately are Python objects.
 """
 
 from __future__ import annotations
@@ -16,10 +19,12 @@ import unicodedata
 from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass, field
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
+import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -30,7 +35,7 @@ MARKS = "".join(c for c in map(chr, range(0x300, 0x20000)) if unicodedata.catego
 WORD = re.compile(rf"[^\W\d_]+(?:[{MARKS}]+[^\W\d_]*)*")
 """Letters and the marks that follow them, without which many scripts' words fall to pieces."""
 LONGEST_GRAM = 5
-MEMO_ROWS = 50_000
+MEMO_ROWS = 100_000
 WORDS_AT_ONCE = 1000
 """Distinct words whose n-grams are counted together in a task."""
 EVIDENCE = 20
@@ -42,12 +47,57 @@ def grams(word: str, order: int) -> list[str]:
     return [marked[i:i + order] for i in range(len(marked) - order + 1)]
 
 
+@dataclass
+class Names:
+    """Distinct texts by their hashes, in a few arrays; a hit is compared in full."""
+
+    hashes: np.ndarray
+    starts: np.ndarray
+    data: bytes
+
+    @classmethod
+    def of(cls, names: list[str]) -> tuple[Names, np.ndarray]:
+        """The names, and the places in ``names`` of those numbered 0, 1, ..."""
+        raw = [n.encode("utf-8", "surrogatepass") for n in names]
+        hashes = cls._digests(raw)
+        order = np.argsort(hashes, kind="stable")
+        lengths = np.fromiter((len(raw[i]) for i in order), dtype=np.int64, count=len(raw))
+        return cls(hashes[order], np.append(0, np.cumsum(lengths)), b"".join(raw[i] for i in order)), order
+
+    @staticmethod
+    def _digests(raw: list[bytes]) -> np.ndarray:
+        return np.fromiter(map(xxhash.xxh3_64_intdigest, raw), dtype=np.uint64, count=len(raw))
+
+    def __len__(self) -> int:
+        return len(self.hashes)
+
+    def find(self, names: list[str]) -> np.ndarray:
+        """The number of each name, -1 where absent."""
+        raw = [n.encode("utf-8", "surrogatepass") for n in names]
+        found = np.full(len(raw), -1, dtype=np.int64)
+        if not len(self):
+            return found
+        hashes = self._digests(raw)
+        first = np.searchsorted(self.hashes, hashes)
+        hits = np.flatnonzero(self.hashes[np.minimum(first, len(self) - 1)] == hashes)
+        first = first[hits]
+        for i, at, lo, hi in zip(*(x.tolist() for x in (hits, first, self.starts[first], self.starts[first + 1])), strict=True):
+            while self.data[lo:hi] != raw[i]:  # another name of the same hash
+                at += 1
+                if at == len(self) or self.hashes[at] != hashes[i]:
+                    at = -1
+                    break
+                lo, hi = int(self.starts[at]), int(self.starts[at + 1])
+            found[i] = at
+        return found
+
+
 @dataclass
 class LanguageModel:
     """Log frequencies per language of words (order 0) and of n-grams by order."""
 
     languages: list[str]
-    index: list[dict[str, int]]
+    index: list[Names]
     logs: list[np.ndarray]
     _memo: dict[str, int] = field(default_factory=dict, repr=False)
     _rows: np.ndarray | None = field(default=None, repr=False)
@@ -55,24 +105,37 @@ class LanguageModel:
     def __getstate__(self) -> dict:
         return {**self.__dict__, "_memo": {}, "_rows": None}
 
-    def _back_off(self, word: str) -> np.ndarray:
+    def _back_off(self, words: list[str]) -> np.ndarray:
+        """Rows of unseen words, each by the longest order that knows any of its n-grams."""
+        rows = np.zeros((len(words), len(self.languages)), dtype=np.float32)
+        left = np.arange(len(words))
         for order in range(LONGEST_GRAM, 0, -1):
-            known = [i for g in grams(word, order) if (i := self.index[order].get(g)) is not None]
-            if known:
-                return self.logs[order][known].mean(axis=0)
-        return np.zeros(len(self.languages))
-
-    def _row(self, word: str) -> int:
-        """The row of an unseen word; the memo starts anew when full."""
-        known = len(self.index[0])
-        if self._rows is None or len(self._memo) - known >= MEMO_ROWS:
-            self._memo = dict(self.index[0])
-            self._rows = np.zeros((known + MEMO_ROWS, len(self.languages)), dtype=np.float32)
-            self._rows[:known] = self.logs[0]
-        row = len(self._memo)
-        self._rows[row] = self._back_off(word)
-        self._memo[word] = row
-        return row
+            parts = [grams(words[i], order) for i in left.tolist()]
+            of = np.repeat(left, [len(part) for part in parts])
+            found = self.index[order].find(list(chain.from_iterable(parts)))
+            known = found >= 0
+            np.add.at(rows, of[known], self.logs[order][found[known]])
+            n = np.bincount(of[known], minlength=len(words))[left]
+            rows[left] /= np.maximum(n, 1)[:, None].astype(np.float32)
+            left = left[n == 0]
+            if not len(left):
+                break
+        return rows
+
+    def _remember(self, words: list[str]) -> None:
+        """Rows for the words that have none; the memo starts anew when full."""
+        new = [w for w in words if w not in self._memo]
+        if self._rows is None or len(self._memo) + len(new) > MEMO_ROWS:
+            self._memo, new = {}, words
+            self._rows = np.zeros((MEMO_ROWS, len(self.languages)), dtype=np.float32)
+        if not new:
+            return
+        start, found = len(self._memo), self.index[0].find(new)
+        known, unseen = np.flatnonzero(found >= 0), np.flatnonzero(found < 0)
+        self._rows[start + known] = self.logs[0][found[known]]
+        if len(unseen):
+            self._rows[start + unseen] = self._back_off([new[i] for i in unseen.tolist()])
+        self._memo.update(zip(new, range(start, start + len(new)), strict=True))
 
     def predict(self, text: str) -> tuple[str, float]:
         words = WORD.findall(text.lower())
@@ -83,12 +146,8 @@ class LanguageModel:
         distinct = list(counts)
         for lo in range(0, len(distinct), MEMO_ROWS // 2):
             part = distinct[lo:lo + MEMO_ROWS // 2]
-            if self._rows is None or len(self._memo) + len(part) > len(self._rows):
-                self._memo = {}
-                self._rows = None
-                self._row("")
-            memo = self._memo
-            rows = [memo[w] if w in memo else self._row(w) for w in part]
+            self._remember(part)
+            rows = [self._memo[w] for w in part]
             weights = np.fromiter((counts[w] for w in part), dtype=np.float64, count=len(part))
             total += weights @ self._rows[rows]
         mean = total / len(words) * min(len(words), EVIDENCE)
@@ -111,7 +170,7 @@ def fit(
     ).where("text IS NOT NULL AND lang IS NOT NULL")
     sizes = {r["lang"]: r["n"] for r in labelled.groupBy("lang").agg(F.count("*").alias("n")).collect()}
     if not sizes:
-        return LanguageModel([], [{}] * (LONGEST_GRAM + 1), [np.zeros((0, 0))] * (LONGEST_GRAM + 1))
+        return LanguageModel([], [Names.of([])[0]] * (LONGEST_GRAM + 1), [np.zeros((0, 0))] * (LONGEST_GRAM + 1))
     share = F.create_map(*(F.lit(x) for lang, n in sizes.items() for x in (lang, min(1.0, rows_per_language / n))))
     drawn = labelled.where(draw_of("key", "text") < share[F.col("lang")]).select("text", "lang")
     word_schema = pa.schema([("lang", pa.string()), ("gram", pa.string()), ("n", pa.int64())])
@@ -148,12 +207,12 @@ def fit(
         part = found.filter(pc.equal(found["gram_order"], order))
         grams_here, column = pc.unique(part["gram"]), pc.index_in(part["lang"], pa.array(languages))
         grams_here = grams_here.take(pc.sort_indices(grams_here))
-        names = {g: i for i, g in enumerate(grams_here.to_pylist())}
+        names, places = Names.of(grams_here.to_pylist())
         table = np.zeros((len(names), len(languages)))
         table[pc.index_in(part["gram"], grams_here).to_numpy(), column.to_numpy()] = part["n"].to_numpy()
         totals = table.sum(axis=0) + 0.5 * len(names)
         index.append(names)
-        logs.append(np.log((table + 0.5) / np.maximum(totals, 1)).astype(np.float32))
+        logs.append(np.log((table + 0.5) / np.maximum(totals, 1)).astype(np.float32)[places])
     return LanguageModel(languages, index, logs)
 
 

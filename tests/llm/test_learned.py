@@ -3,9 +3,12 @@
 from __future__ import annotations
 
 import math
+import pickle
 import random
+import tracemalloc
 from collections import Counter
 
+import numpy as np
 import pytest
 from hypothesis import given, settings, strategies as st
 from pyspark.sql import functions as F
@@ -80,6 +83,39 @@ def test_predictions_equal_the_plain_rule(engine):
         assert found[0] == lang and math.isclose(found[1], score, rel_tol=1e-3)
 
 
+def test_a_model_takes_little_more_memory_than_it_is_sent_in(engine):
+    rng = random.Random(3)
+    word = lambda: "".join(rng.choice("abcdefghijklmnop") for _ in range(12))
+    rows = [(i, " ".join(word() for _ in range(200)), "en" if i % 2 else "de") for i in range(100)]
+    sent = pickle.dumps(langid.fit(engine.createDataFrame(rows, "doc_id long, text string, lang string")))
+    tracemalloc.start()
+    try:
+        model = pickle.loads(sent)
+        model.predict("one unseen word")
+        held = tracemalloc.get_traced_memory()[0]
+    finally:
+        tracemalloc.stop()
+    assert len(model.index[0]) == 20_000 and held < 2 * len(sent)
+
+
+def test_names_of_one_hash_stay_apart(monkeypatch):
+    monkeypatch.setattr(langid.xxhash, "xxh3_64_intdigest", lambda raw: len(raw) % 2)
+    names = ["a", "bb", "ccc", "é", "", "ddd"]
+    found, order = langid.Names.of(names)
+    assert found.find(names + ["x", "yy", "zzz"]).tolist() == [*np.argsort(order).tolist(), -1, -1, -1]
+    assert langid.Names.of([])[0].find(["a"]).tolist() == [-1]
+
+
+def test_predictions_stay_the_same_when_the_memo_starts_anew(engine, monkeypatch):
+    rows = [(1, "strasse kirche haus", "de"), (2, "iglesia calle casa", "es")]
+    model = langid.fit(engine.createDataFrame(rows, "doc_id long, text string, lang string"))
+    texts = ["kirchen calle xx haus", "casa iglesia hausen", "", "kirche " * 9 + "call callejon"]
+    expected = [model.predict(t) for t in texts]
+    monkeypatch.setattr(langid, "MEMO_ROWS", 8)
+    small = pickle.loads(pickle.dumps(model))
+    assert [small.predict(t) for t in texts * 3] == expected * 3
+
+
 def test_words_keep_their_marks():
     decomposed = "de" + chr(0x301)
     assert langid.WORD.findall(f"हिन्दी में, {decomposed}x _a1b") == ["हिन्दी", "में", f"{decomposed}x", "a", "b"]
