@@ -124,8 +124,9 @@ class LanguageModel:
 
     def _remember(self, words: list[str]) -> None:
         """Rows for the words that have none; the memo starts anew when full."""
-        new = [w for w in words if w not in self._memo]
-        if self._rows is None or len(self._memo) + len(new) > MEMO_ROWS:
+        memo = self._memo
+        new = [w for w in words if w not in memo]
+        if self._rows is None or len(memo) + len(new) > MEMO_ROWS:
             self._memo, new = {}, words
             self._rows = np.zeros((MEMO_ROWS, len(self.languages)), dtype=np.float32)
         if not new:
@@ -147,7 +148,7 @@ class LanguageModel:
         for lo in range(0, len(distinct), MEMO_ROWS // 2):
             part = distinct[lo:lo + MEMO_ROWS // 2]
             self._remember(part)
-            rows = [self._memo[w] for w in part]
+            rows = list(map(self._memo.__getitem__, part))
             weights = np.fromiter((counts[w] for w in part), dtype=np.float64, count=len(part))
             total += weights @ self._rows[rows]
         mean = total / len(words) * min(len(words), EVIDENCE)
