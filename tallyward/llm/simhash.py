@@ -3,8 +3,10 @@
 A fingerprint sums the bits of the 64-bit hashes of a text's word shingles; wider
 ones take several hashes of each shingle. Distinct fingerprints are laid in tiles
 by the bit counts of the two halves of their first word; fingerprints whose counts
-differ by more than the radius cannot be near, so only tiles within it meet. Two
-tiles are compared whole, by exclusive-or and bit counts, and give a forest of
+differ by more than the radius cannot be near, so only tiles within it meet. Tiles
+are packed into bytes and sent by groups: a task takes the tiles of two groups and
+compares the pairs between them, so a tile travels once for each group and not for
+each tile. Two tiles are compared whole, by exclusive-or and bit counts, and give a forest of
 their nearest links instead of all pairs: copies by the thousand cost no more rows
 than fingerprints. Components join the forests.
 
@@ -37,6 +39,8 @@ from tallyward.sources.staging import stage
 SEED = 42
 TILE = 8192
 """Fingerprints in a tile, about: 64 kB, and 0.1 s to compare two of them."""
+GROUP, LEAST_GROUPS = 16, 8
+"""Tiles in a group at most, about 6 MB at 256 bits; and groups to make, if there are tiles enough."""
 ROWS_AT_ONCE = 128
 MOST_LINKS = 1 << 20
 
@@ -162,7 +166,7 @@ def forest(
     """
     other, shift = (left, 0) if right is None else (right, len(left))
     count = len(left) + (0 if right is None else len(right))
-    a, b, d = (np.zeros(0, dtype=np.int64) for _ in range(3))
+    a, b, d = (np.zeros(0, dtype=kind) for kind in (np.int32, np.int32, np.int16))
     held: list[tuple] = []
     for start in range(0, len(left), ROWS_AT_ONCE):
         rows = left[start:start + ROWS_AT_ONCE]
@@ -181,7 +185,7 @@ def forest(
             keys = i * count + j
             open_ = refused[np.minimum(np.searchsorted(refused, keys), len(refused) - 1)] != keys
             i, j, apart = i[open_], j[open_], apart[open_]
-        held.append((i, j, apart))
+        held.append((i.astype(np.int32), j.astype(np.int32), apart.astype(np.int16)))
         if sum(len(h[0]) for h in held) > MOST_LINKS or start + ROWS_AT_ONCE >= len(left):
             a, b, d = (np.concatenate([x, *(h[k] for h in held)]) for k, x in enumerate((a, b, d)))
             rest, kept = np.arange(len(a)), []
@@ -197,12 +201,12 @@ def forest(
 
 def links(distinct: DataFrame, radius: int, first_radius: int | None = None, tile: int = TILE) -> DataFrame:
     """u and v: links among distinct fingerprints (fp, node) that span their components."""
-    members, pairs = tiled(distinct, radius, first_radius, tile)
-    return compared(members, pairs, radius, first_radius).select("u", "v")
+    members, pairs, count = tiled(distinct, radius, first_radius, tile)
+    return compared(members, pairs, count, radius, first_radius).select("u", "v")
 
 
-def tiled(distinct: DataFrame, radius: int, first_radius: int | None, tile: int) -> tuple[DataFrame, DataFrame]:
-    """The tile of each fingerprint, and the pairs of tiles (a, b) that may hold near ones."""
+def tiled(distinct: DataFrame, radius: int, first_radius: int | None, tile: int) -> tuple[DataFrame, DataFrame, int]:
+    """The tile of each fingerprint, the pairs of tiles (a, b) that may hold near ones, and the number of tiles."""
     spark = distinct.sparkSession
     reach = radius if first_radius is None else first_radius
     # cells of the counts of both halves; wide radii take wide cells, or all would meet all
@@ -213,13 +217,13 @@ def tiled(distinct: DataFrame, radius: int, first_radius: int | None, tile: int)
     placed = distinct.select(
         "fp", "node", F.floor(high / step).cast("int").alias("hi"), F.floor(low / step).cast("int").alias("lo"))
     # at most 33 x 33 cells, whatever the number of fingerprints
-    cells = placed.groupBy("hi", "lo").agg(F.count("*").alias("n")).collect()
+    cells = sorted((r["hi"], r["lo"], -(-r["n"] // tile)) for r in placed.groupBy("hi", "lo").agg(F.count("*").alias("n")).collect())
+    ends = np.cumsum([0, *(tiles for _, _, tiles in cells)]).tolist()
     sizes = spark.createDataFrame(
-        [(r["hi"], r["lo"], -(-r["n"] // tile)) for r in cells], "hi int, lo int, tiles int")
-    numbered = placed.join(F.broadcast(sizes), ["hi", "lo"]).withColumn(
-        "part", F.pmod(F.xxhash64("node"), F.col("tiles")).cast("int"))
+        [(hi, lo, first, tiles) for (hi, lo, tiles), first in zip(cells, ends, strict=False)], "hi int, lo int, first long, tiles int")
+    numbered = placed.join(F.broadcast(sizes), ["hi", "lo"])
     members = stage(numbered.select(
-        "node", "fp", "hi", "lo", tile_id(F.col("hi"), F.col("lo"), F.col("part")).alias("tile")), "simhash-members")
+        "node", "fp", "hi", "lo", (F.col("first") + F.pmod(F.xxhash64("node"), F.col("tiles"))).alias("tile")), "simhash-members")
     tiles = members.select("tile", "hi", "lo").distinct()
 
     def least(cells_apart: int) -> int:
@@ -231,67 +235,91 @@ def tiled(distinct: DataFrame, radius: int, first_radius: int | None, tile: int)
     around = tiles.select(F.col("tile").alias("a"), "hi", "lo", near.alias("step")).select(
         "a", (F.col("hi") + F.col("step.dh")).alias("hi"), (F.col("lo") + F.col("step.dl")).alias("lo"))
     pairs = around.join(F.broadcast(sizes), ["hi", "lo"]).select(
-        "a", "hi", "lo", F.explode(F.sequence(F.lit(0), F.col("tiles") - 1)).alias("part")).select(
-        "a", tile_id(F.col("hi"), F.col("lo"), F.col("part")).alias("b")).where("a <= b")
-    return members.select("tile", "node", "fp"), pairs
+        "a", F.explode(F.sequence("first", F.col("first") + F.col("tiles") - 1)).alias("b")).where("a <= b")
+    return members.select("tile", "node", "fp"), pairs, ends[-1]
+
+
+def packed_tiles(members: DataFrame) -> DataFrame:
+    """tile, nodes, fps and roots: a row of bytes for each tile, from rows of tile, node, fp and root."""
+    schema = pa.schema([("tile", pa.int64()), ("nodes", pa.binary()), ("fps", pa.binary()), ("roots", pa.binary())])
+
+    def pack(rows: pa.Table) -> pa.Table:
+        whole = rows.combine_chunks()
+        columns = [whole.column("node"), whole.column("fp").combine_chunks().flatten(), whole.column("root")]
+        return pa.table([[whole.column("tile")[0].as_py()], *([c.to_numpy().tobytes()] for c in columns)], schema=schema)
+
+    return members.select("tile", "node", "fp", "root").groupBy("tile").applyInArrow(
+        pack, "tile long, nodes binary, fps binary, roots binary")
+
+
+def dealt(tiles: DataFrame, pairs: DataFrame, count: int) -> DataFrame:
+    """The rows that tasks compare, by ``cell``, a pair of groups: first its tiles (kind 0), then its pairs (kind 1).
+
+    ``pairs``: a, b, and ``gone``, links (u, v) between the two that count no more.
+    """
+    size = max(1, min(GROUP, -(-count // LEAST_GROUPS)))
+    groups = -(-count // size)
+    asked = pairs.withColumn("cell", F.floor(F.col("a") / size) * max(1, groups) + F.floor(F.col("b") / size))
+    wanted = asked.select("cell", F.col("a").alias("tile")).unionByName(asked.select("cell", F.col("b").alias("tile"))).distinct()
+    zero, none = F.lit(0).cast("long"), F.lit(None)
+    first = wanted.join(tiles, "tile").select(
+        "cell", F.lit(0).alias("kind"), F.col("tile").alias("a"), zero.alias("b"), "nodes", "fps", "roots",
+        none.cast(pairs.schema["gone"].dataType).alias("gone"))
+    then = asked.select("cell", F.lit(1).alias("kind"), "a", "b", *(none.cast("binary").alias(c) for c in ("nodes", "fps", "roots")), "gone")
+    return first.unionByName(then).repartition(max(1, groups * (groups + 1) // 2), "cell").sortWithinPartitions("cell", "kind", "a", "b")
 
 
 def compared(
-    members: DataFrame, pairs: DataFrame, radius: int, first_radius: int | None = None, roots: DataFrame | None = None,
+    members: DataFrame, pairs: DataFrame, count: int, radius: int, first_radius: int | None = None, roots: DataFrame | None = None,
     refused: DataFrame | None = None, forests: int = 1,
 ) -> DataFrame:
     """a, b, u and v: the tiles and nodes of links that span what is near and not yet together.
 
-    ``roots``: node and root of those that are together with others; ``refused``: u
-    and v of links that count no more.
+    ``roots``: node and root of those that are together with others; ``refused``: a,
+    b, u and v of links that count no more. ``count``: the number of tiles.
     """
     reach = radius if first_radius is None else first_radius
-    root, gone = F.col("node"), F.array().cast("array<long>")
+    root, gone = F.col("node"), F.lit(None).cast("array<struct<u:long,v:long>>").alias("gone")
     if roots is not None:
         members, root = members.join(roots, "node", "left"), F.coalesce("root", "node")
     if refused is not None:
-        lists = refused.groupBy(F.col("u").alias("node")).agg(F.collect_set("v").alias("gone"))
-        members, gone = members.join(lists, "node", "left"), F.coalesce("gone", gone)
-    row = F.struct("node", "fp", root.alias("root"), gone.alias("gone"))
-    tiles = stage(members.groupBy("tile").agg(F.collect_list(row).alias("rows")), "simhash-tiles")
-    met = pairs.join(tiles.select(F.col("tile").alias("a"), F.col("rows").alias("left_rows")), "a").join(
-        tiles.select(F.col("tile").alias("b"), F.col("rows").alias("right_rows")), "b").select(
-        "a", "b", "left_rows", "right_rows")
-
-    def words(rows: pa.StructScalar) -> tuple[np.ndarray, ...]:
-        nodes, fps = rows.values.field("node").to_numpy(), rows.values.field("fp").flatten().to_numpy()
-        gone = rows.values.field("gone")
-        sizes = np.array([len(g) for g in gone.to_pylist()] if gone.flatten().__len__() else np.zeros(len(nodes)), dtype=np.int64)
-        return nodes, fps.view(np.uint64).reshape(len(nodes), -1), rows.values.field("root").to_numpy(), \
-            np.repeat(nodes, sizes), gone.flatten().to_numpy()
+        lists = refused.groupBy("a", "b").agg(F.collect_list(F.struct("u", "v")).alias("gone"))
+        pairs, gone = pairs.join(lists, ["a", "b"], "left"), F.col("gone")
+    tiles = stage(packed_tiles(members.withColumn("root", root)), "simhash-tiles")
+
+    def links_of(tile: tuple, other: tuple | None, gone: pa.ListScalar) -> tuple[np.ndarray, np.ndarray]:
+        nodes, left, root = tile
+        right = None
+        if other is not None:
+            nodes, right, root = np.concatenate([nodes, other[0]]), other[1], np.concatenate([root, other[2]])
+        _, at, of = np.unique(root, return_index=True, return_inverse=True)
+        least = np.full(len(at), len(nodes))
+        np.minimum.at(least, of, np.arange(len(nodes)))
+        bars = None
+        if gone.is_valid:
+            order = np.argsort(nodes)
+            x, y = (order[np.searchsorted(nodes, gone.values.field(z).to_numpy(), sorter=order)] for z in ("u", "v"))
+            bars = np.unique(np.minimum(x, y) * len(nodes) + np.maximum(x, y))
+        a, b = forest(left, right, radius, reach, least[of], bars, forests)
+        return nodes[a], nodes[b]
 
     def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        now, held = None, {}
         for batch in batches:
-            ends = zip(batch.column("a").to_pylist(), batch.column("b").to_pylist(), strict=True)
-            for i, (first, second) in enumerate(ends):
-                nodes, left, root, u, v = words(batch.column("left_rows")[i])
-                right = None
-                if first != second:
-                    theirs, right, other, u2, v2 = words(batch.column("right_rows")[i])
-                    nodes, root, u, v = (np.concatenate(x) for x in ((nodes, theirs), (root, other), (u, u2), (v, v2)))
-                _, at, of = np.unique(root, return_index=True, return_inverse=True)
-                least = np.full(len(at), len(nodes))
-                np.minimum.at(least, of, np.arange(len(nodes)))
-                order = np.argsort(nodes)
-                known = np.isin(v, nodes)
-                x, y = (order[np.searchsorted(nodes, z[known], sorter=order)] for z in (u, v))
-                bars = np.unique(np.minimum(x, y) * len(nodes) + np.maximum(x, y))
-                a, b = forest(left, right, radius, reach, least[of], bars, forests)
-                if len(a):
-                    yield pa.RecordBatch.from_arrays([
-                        pa.array(np.full(len(a), first)), pa.array(np.full(len(a), second)), pa.array(nodes[a]),
-                        pa.array(nodes[b])], names=["a", "b", "u", "v"])
-
-    return met.mapInArrow(compare, "a long, b long, u long, v long")
-
-
-def tile_id(hi: Column, lo: Column, part: Column) -> Column:
-    return (hi * 33 + lo).cast("long") * F.lit(1 << 32) + part
+            rows = zip(*(batch.column(c).to_pylist() for c in ("cell", "kind", "a", "b")), strict=True)
+            for i, (cell, kind, first, second) in enumerate(rows):
+                if cell != now:
+                    now, held = cell, {}
+                if kind == 0:
+                    nodes, fps, root = (np.frombuffer(batch.column(c)[i].as_py(), dtype=np.int64) for c in ("nodes", "fps", "roots"))
+                    held[first] = nodes, fps.view(np.uint64).reshape(len(nodes), -1), root
+                elif first in held and second in held:  # tiles may be empty
+                    u, v = links_of(held[first], held[second] if first != second else None, batch.column("gone")[i])
+                    if len(u):
+                        ends = [pa.array(np.full(len(u), x)) for x in (first, second)]
+                        yield pa.RecordBatch.from_arrays([*ends, pa.array(u), pa.array(v)], names=["a", "b", "u", "v"])
+
+    return dealt(tiles, pairs.select("a", "b", gone), count).mapInArrow(compare, "a long, b long, u long, v long")
 
 
 def verified(found: DataFrame, distinct: DataFrame, docs: DataFrame, similarity: float, size: int, text: str, key: str) -> DataFrame:
@@ -331,15 +359,15 @@ def verified_components(
     between two components. Each round takes four times as many forests as the last,
     so that many refused links are few rounds.
     """
-    members, pairs = tiled(distinct, radius, first_radius, tile)
+    members, pairs, count = tiled(distinct, radius, first_radius, tile)
     passed, joined, refused, forests = None, None, None, 1
     while True:
-        found = stage(compared(members, pairs, radius, first_radius, joined, refused, forests), "simhash-links")
+        found = stage(compared(members, pairs, count, radius, first_radius, joined, refused, forests), "simhash-links")
         if found.isEmpty():
             break
         asked = found.select("u", "v").distinct()
         good = stage(verified(asked, distinct, docs, similarity, size, text, key), "simhash-verified")
-        failed = asked.join(good, ["u", "v"], "left_anti")
+        failed = found.join(good, ["u", "v"], "left_anti").select("a", "b", "u", "v")
         refused = stage(failed if refused is None else refused.unionByName(failed), "simhash-refused")
         passed = good if passed is None else passed.unionByName(good)
         joined = stage(components(passed, "simhash-components"), "simhash-joined")

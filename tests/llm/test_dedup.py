@@ -98,6 +98,43 @@ def test_verified_links_are_as_similar_as_asked(engine):
     assert {r.doc_id: r.component_id for r in found.collect()} == {5: 3, 3: 3, 9: 9, 1: 1}
 
 
+def test_a_tile_travels_by_groups_and_not_by_pairs(engine):
+    rng = np.random.default_rng(6)
+    prints = np.unique(rng.integers(-2**63, 2**63 - 1, (600, 4)), axis=0)
+    df = engine.createDataFrame([(p.tolist(), i) for i, p in enumerate(prints)], "fp array<long>, node long")
+    members, pairs, count = simhash.tiled(df, 56, 22, 8)
+    tiles = simhash.packed_tiles(members.withColumn("root", members.node))
+    rows = simhash.dealt(tiles, pairs.selectExpr("a", "b", "cast(null as array<struct<u:long,v:long>>) as gone"), count)
+    sent = rows.where("kind = 0").groupBy("a").count().collect()
+    assert sum(r["count"] for r in sent) * 4 < 2 * pairs.count() and max(r["count"] for r in sent) <= -(-count // simhash.GROUP) + simhash.LEAST_GROUPS
+    largest = rows.selectExpr("max(length(nodes) + length(fps) + length(roots)) as n").first().n
+    assert largest <= 48 * members.groupBy("tile").count().agg({"count": "max"}).first()[0]
+    assert {(r.a, r.b) for r in rows.where("kind = 1").collect()} == {(r.a, r.b) for r in pairs.collect()}
+
+
+@pytest.mark.parametrize("tile", [5, 8192])
+def test_rounds_of_verified_links_against_brute_force(engine, tile):
+    """Pairs on both sides of the similarity, in chains, so that refused links must give way to others."""
+    rng = random.Random(tile)
+    rows, n = [], 0
+    for _ in range(6):
+        base = rng.choices([f"w{i}" for i in range(500)], k=120)
+        for _ in range(14):
+            words = base.copy()
+            for at in rng.sample(range(120), rng.randint(0, 5)):
+                words[at] = f"x{rng.randrange(10**6)}"
+            rows.append((n, " ".join(words)))
+            n += 1
+    sets = {i: set(simhash.shingles(t.encode().split(), 5)) for i, t in rows}
+    prints = {i: simhash.hashed(list(s), 4) for i, s in sets.items()}
+    near = [
+        (i, j) for i in range(n) for j in range(i + 1, n) if len(sets[i] & sets[j]) >= 0.8 * len(sets[i] | sets[j])
+        and np.bitwise_count(prints[i] ^ prints[j]).sum() <= 56 and np.bitwise_count(prints[i][0] ^ prints[j][0]) <= 22]
+    docs = engine.createDataFrame(rows, "doc_id long, text string")
+    found = simhash.near_duplicates(docs, size=5, words=4, radius=56, first_radius=22, similarity=0.8, tile=tile)
+    assert {r.doc_id: r.component_id for r in found.collect()} == classes(range(n), near)
+
+
 def test_simhash_at_the_edges(edge_docs, no_docs):
     found = {(r.doc_id, r.component_id) for r in simhash.near_duplicates(edge_docs).collect()}
     assert {(0, 0), (1, 0), (2, 0), (4, 4), (5, 4), (None, 4), (8, 7)} <= found
