@@ -11,10 +11,15 @@ their nearest links instead of all pairs: copies by the thousand cost no more ro
 than fingerprints. Components join the forests.
 
 With ``similarity``, fingerprints are of shingle sets, and equal sets, not equal
-fingerprints, are one. Links are verified by the Jaccard similarity of the sets
-before they join anything, round after round until none between two components is
-left. Pairs beyond the radius are never seen: sets of a few shingles may differ in
-more bits than the radius at the similarity.
+fingerprints, are one. Not all tiles meet then. Sets as similar as asked share one
+of their first shingles, in any order that is the same for all; how many are first
+follows from the similarity. So only the fingerprints of sets that meet at a first
+shingle are compared. The order is by hash, but shingles at which many meet stand
+last, and sets that meet at none but these are laid in tiles. No pair is lost by it.
+Links are verified by the Jaccard similarity of the sets before they join anything,
+those of tiles round after round until none between two components is left. Pairs
+beyond the radius are never seen: sets of a few shingles may differ in more bits
+than the radius at the similarity.
 
 Defined results: NULL, empty and blank texts have fingerprint zero and are linked
 like others; texts with fewer words than a shingle hash their whole sequence.
@@ -24,7 +29,10 @@ the least id that is not NULL, or NULL.
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator
+from dataclasses import dataclass
+from itertools import chain, pairwise, repeat
 
 import numpy as np
 import pyarrow as pa
@@ -32,7 +40,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tallyward.llm.common import blocks, lower_bytes, record_batch
+from tallyward.llm.common import blocks, lower_bytes, record_batch, slices
 from tallyward.llm.components import components
 from tallyward.sources.staging import stage
 
@@ -43,6 +51,13 @@ GROUP, LEAST_GROUPS = 16, 8
 """Tiles in a group at most, about 6 MB at 256 bits; and groups to make, if there are tiles enough."""
 ROWS_AT_ONCE = 128
 MOST_LINKS = 1 << 20
+MOST_MEET = 64
+"""Sets that are compared at one shingle at most; it stands last if more meet there. Each pass takes twice as many."""
+RANGE_ENTRIES = 1 << 19
+"""First shingles that a task holds at once, about."""
+ENTRIES_AT_ONCE, SETS_AT_ONCE = 1 << 15, 1024
+ENTRY = np.dtype([("hash", np.uint64), ("node", np.uint64), ("word", np.uint64), ("previous", np.uint32)])
+ODD = np.uint64(0x9E3779B97F4A7C15)
 
 
 def shingles(words: list[bytes], size: int) -> list[bytes]:
@@ -55,10 +70,47 @@ def shingles(words: list[bytes], size: int) -> list[bytes]:
     return [joined[a:b] for a, b in zip(starts, (ends[size - 1:] - 1).tolist() or [len(joined)], strict=False)]
 
 
-def set_node(parts: list[bytes]) -> np.int64:
-    """The hash that names a set of shingles."""
-    hashes = np.unique(np.array([xxhash.xxh3_64_intdigest(p) for p in parts], dtype=np.uint64))
-    return np.uint64(xxhash.xxh3_64_intdigest(hashes.tobytes())).view(np.int64)
+def shingle_sets(texts: list[str], size: int) -> tuple[np.ndarray, np.ndarray]:
+    """Text and hash of each distinct shingle of each text, in the order of both."""
+    words, ends, short = [], [], []
+    for i, text in enumerate(texts):
+        own = lower_bytes(text).split()
+        if 0 < len(own) < size:
+            short.append((i, xxhash.xxh3_64_intdigest(b" ".join(own))))
+            own = []
+        words += own
+        ends.append(len(words))
+    number: dict[bytes, int] = dict.fromkeys(words)
+    for i, w in enumerate(number):
+        number[w] = i
+    digests = np.fromiter(map(xxhash.xxh3_64_intdigest, number), dtype=np.uint64, count=len(number))
+    tokens = digests[np.fromiter(map(number.__getitem__, words), dtype=np.int64, count=len(words))]
+    lengths = np.diff(np.array(ends, dtype=np.int64), prepend=0)
+    starts = max(0, len(tokens) - size + 1)
+    hashes = np.zeros(starts, dtype=np.uint64)
+    for k in range(size):
+        hashes = hashes * ODD + tokens[k:k + starts]
+    for shift in (30, 27, 31):
+        hashes = (hashes ^ (hashes >> np.uint64(shift))) * ODD
+    of = np.repeat(np.arange(len(texts)), lengths)
+    whole = of[:starts] == of[size - 1:]
+    of, hashes = of[:starts][whole], hashes[whole]
+    if short:
+        at = np.searchsorted(of, [i for i, _ in short])
+        of, hashes = np.insert(of, at, [i for i, _ in short]), np.insert(hashes, at, np.array([h for _, h in short], dtype=np.uint64))
+    ends = np.searchsorted(of, np.arange(len(texts) + 1)).tolist()
+    for lo, hi in pairwise(ends):
+        hashes[lo:hi].sort()
+    new = np.append(True, (of[1:] != of[:-1]) | (hashes[1:] != hashes[:-1]))[:len(of)]
+    return of[new], hashes[new]
+
+
+def set_nodes(count: int, of: np.ndarray, hashes: np.ndarray) -> np.ndarray:
+    """The hash that names each of ``count`` sets of :func:`shingle_sets`."""
+    ends = np.searchsorted(of, np.arange(count + 1)).tolist()
+    raw = hashes.tobytes()
+    digest = xxhash.xxh3_64_intdigest
+    return np.array([digest(raw[8 * lo:8 * hi]) for lo, hi in pairwise(ends)], dtype=np.uint64).view(np.int64)
 
 
 def fingerprint(text: str, size: int, words: int = 1) -> np.ndarray:
@@ -69,43 +121,49 @@ def fingerprint(text: str, size: int, words: int = 1) -> np.ndarray:
 def hashed(parts: list[bytes], words: int) -> np.ndarray:
     if not parts:
         return np.zeros(words, dtype=np.uint64)
-    digest = xxhash.xxh64_intdigest
     found = []
     for seed in range(SEED, SEED + words):
-        hashes = np.array([digest(p, seed) for p in parts], dtype="<u8")
-        counts = np.unpackbits(hashes.view(np.uint8).reshape(-1, 8), axis=1, bitorder="little").sum(axis=0, dtype=np.int64)
-        found.append(np.packbits(2 * counts > len(parts), bitorder="little").view("<u8")[0])
+        digests = np.frombuffer(b"".join(map(xxhash.xxh64_digest, parts, repeat(seed))), dtype=np.uint8)
+        # bytes are added up as bytes, 255 bits at most
+        some = np.add.reduceat(np.unpackbits(digests.reshape(-1, 8), axis=1), np.arange(0, len(parts), 255), axis=0, dtype=np.uint8)
+        found.append(np.packbits(2 * some.sum(axis=0, dtype=np.int64) > len(parts)).view(">u8")[0])
     return np.array(found, dtype=np.uint64)
 
 
 def fingerprints(
     docs: DataFrame, *, text: str = "text", key: str = "doc_id", size: int = 4, words: int = 1, sets: bool = False,
+    similarity: float = 0.0,
 ) -> DataFrame:
     """doc_id, text_hash, fp (64 bits to a long) and node, a long that names the fingerprint, of each whole text.
 
     The node of a one-word fingerprint is that word, of a wider one its hash. With
-    ``sets``, each shingle of a text counts once, and the node names their set.
+    ``sets``, each shingle of a text counts once, the node names their set, n is their
+    number and first holds the least of their hashes, as :func:`leading` has them for
+    ``similarity``.
     """
     source = docs.select(
         F.col(key).cast("long").alias("doc_id"), F.col(text).cast("string").alias("text"), text_hash(text).alias("text_hash"))
+    types = "doc_id long, text_hash long, fp array<long>, node long"
     schema = pa.schema([("doc_id", pa.int64()), ("text_hash", pa.int64()), ("fp", pa.list_(pa.int64())), ("node", pa.int64())])
+    if sets:
+        types, schema = f"{types}, n long, first binary", schema.append(pa.field("n", pa.int64())).append(pa.field("first", pa.binary()))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch, texts in blocks(batches):
             if sets:
-                found, nodes = [], []
-                for t in texts:
-                    parts = list(set(shingles(lower_bytes(t).split(), size)))
-                    found.append(hashed(parts, words).view(np.int64))
-                    nodes.append(set_node(parts))
-                yield record_batch(schema, [batch.column("doc_id"), batch.column("text_hash"), found, np.array(nodes, dtype=np.int64)])
+                of, hashes = shingle_sets(texts, size)
+                found = [hashed(list(set(shingles(lower_bytes(t).split(), size))), words).view(np.int64) for t in texts]
+                n = np.bincount(of, minlength=len(texts))
+                yield record_batch(schema, [
+                    batch.column("doc_id"), batch.column("text_hash"), found, set_nodes(len(texts), of, hashes), n,
+                    leading(of, hashes, n, similarity)])
                 continue
             found = [fingerprint(t, size, words).view(np.int64) for t in texts]
             nodes = [f[0] for f in found] if words == 1 else [
                 np.uint64(xxhash.xxh3_64_intdigest(f.tobytes())).view(np.int64) for f in found]
             yield record_batch(schema, [batch.column("doc_id"), batch.column("text_hash"), found, np.array(nodes, dtype=np.int64)])
 
-    return source.mapInArrow(run, "doc_id long, text_hash long, fp array<long>, node long")
+    return source.mapInArrow(run, types)
 
 
 def text_hash(text: str) -> Column:
@@ -322,57 +380,303 @@ def compared(
     return dealt(tiles, pairs.select("a", "b", gone), count).mapInArrow(compare, "a long, b long, u long, v long")
 
 
-def verified(found: DataFrame, distinct: DataFrame, docs: DataFrame, similarity: float, size: int, text: str, key: str) -> DataFrame:
-    """The links whose documents' shingle sets are as similar as asked."""
-    ends = found.select(F.col("u").alias("node")).unionByName(found.select(F.col("v").alias("node"))).distinct()
-    wanted = distinct.join(ends, "node").select("node", F.col("least").alias("doc_id"))
-    texts = docs.select(F.col(key).cast("long").alias("doc_id"), F.col(text).cast("string").alias("text")).join(wanted, "doc_id")
+def texts_of(nodes: DataFrame, distinct: DataFrame, docs: DataFrame, text: str, key: str) -> DataFrame:
+    """node and text of the documents that may be what the nodes name: others with their ids may be among them."""
+    wanted = distinct.join(nodes, "node", "left_semi").select("node", F.col("least").alias("doc_id"))
+    source = docs.select(F.col(key).cast("long").alias("doc_id"), F.col(text).cast("string").alias("text"))
+    return source.join(wanted, "doc_id").select("node", "text")
+
+
+def node_sets(nodes: DataFrame, distinct: DataFrame, docs: DataFrame, size: int, text: str, key: str) -> DataFrame:
+    """node and set, 32 bits of the hash of each shingle."""
     schema = pa.schema([("node", pa.int64()), ("set", pa.list_(pa.int32())), ("own", pa.int64())])
 
     def sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        digest = xxhash.xxh3_64_intdigest
         for batch, values in blocks(batches):
-            parts = [shingles(lower_bytes(t).split(), size) for t in values]
+            of, hashes = shingle_sets(values, size)
+            own = set_nodes(len(values), of, hashes)
             # 32 bits of hash: in sets of thousands, collisions change no similarity to speak of
-            rows = [np.unique(np.array([digest(p) for p in x], dtype=np.uint64).astype(np.uint32)) for x in parts]
-            own = np.array([set_node(x) for x in parts], dtype=np.int64)
-            yield record_batch(schema, [batch.column("node"), [r.view(np.int32) for r in rows], own])
+            parts = np.split(hashes.astype(np.uint32), np.searchsorted(of, np.arange(1, len(values))))
+            yield record_batch(schema, [batch.column("node"), [np.unique(x).view(np.int32) for x in parts], own])
 
     # of several texts with one id, only those that the node names
-    by_node = stage(texts.select("node", "text").mapInArrow(sets, "node long, set array<int>, own long").where(
-        "node = own").drop("own").dropDuplicates(["node"]), "simhash-sets")
-    both = found.join(by_node.withColumnsRenamed({"node": "u", "set": "one"}), "u").join(
-        by_node.withColumnsRenamed({"node": "v", "set": "two"}), "v")
+    found = texts_of(nodes, distinct, docs, text, key).mapInArrow(sets, "node long, set array<int>, own long")
+    return stage(found.where("node = own").drop("own").dropDuplicates(["node"]), "simhash-sets")
+
+
+def verified(found: DataFrame, sets: DataFrame, similarity: float) -> DataFrame:
+    """The links whose nodes' sets are as similar as asked."""
+    both = found.join(sets.withColumnsRenamed({"node": "u", "set": "one"}), "u").join(
+        sets.withColumnsRenamed({"node": "v", "set": "two"}), "v")
     common = F.size(F.array_intersect("one", "two"))
     union = F.size("one") + F.size("two") - common
     return both.where((union == 0) | (common >= F.lit(similarity) * union)).select("u", "v")
 
 
+def first_count(sizes: np.ndarray, similarity: float) -> np.ndarray:
+    """How many shingles of a set are first: one more than may be missing from a set as similar as asked."""
+    return np.where(sizes > 0, sizes - np.ceil(similarity * sizes - 1e-9).astype(np.int64) + 1, 0)
+
+
+def leading(of: np.ndarray, hashes: np.ndarray, sizes: np.ndarray, similarity: float) -> list[bytes]:
+    """The first shingles of each set by hash, and a quarter more, should some of them go last."""
+    ends = np.cumsum(sizes)
+    take = first_count(sizes, similarity)
+    raw = hashes.tobytes()
+    return [raw[8 * lo:8 * hi] for lo, hi in zip(
+        (ends - sizes).tolist(), np.minimum(ends, ends - sizes + take + take // 4 + 4).tolist(), strict=True)]
+
+
+@dataclass
+class Leads:
+    """The least hashes of some sets, of each set in order, when those of ``last`` (sorted) stand last."""
+
+    of: np.ndarray
+    hashes: np.ndarray
+    sizes: np.ndarray
+    take: np.ndarray
+    last: np.ndarray
+
+    @classmethod
+    def read(cls, batch: pa.RecordBatch, similarity: float, last: np.ndarray) -> Leads:
+        sizes, raw = batch.column("n").to_numpy(), batch.column("first").to_pylist()
+        of = np.repeat(np.arange(len(raw)), [len(x) // 8 for x in raw])
+        return cls(of, np.frombuffer(b"".join(raw), dtype=np.uint64), sizes, first_count(sizes, similarity), last)
+
+    def __post_init__(self) -> None:
+        self.free = ~within(self.last, self.hashes)
+        self.n_free = np.bincount(self.of[self.free], minlength=len(self.sizes))
+        counts = np.bincount(self.of, minlength=len(self.sizes))
+        before = np.cumsum(self.free) - self.free
+        starts = np.cumsum(counts) - counts
+        if len(self.of):
+            before -= before[np.minimum(starts, len(self.of) - 1)][self.of]
+        self.first = self.free & (before < self.take[self.of])
+        self.whole = counts == self.sizes
+        self.told = self.whole | (self.n_free >= self.take)
+        """Of these sets, all first shingles are known."""
+
+
+def within(sorted_values: np.ndarray, values: np.ndarray) -> np.ndarray:
+    if not len(sorted_values):
+        return np.zeros(len(values), dtype=bool)
+    return sorted_values[np.minimum(np.searchsorted(sorted_values, values), len(sorted_values) - 1)] == values
+
+
+def meetings(
+    leads: DataFrame, *, similarity: float, reach: int, ranges: int, most: int, last: np.ndarray, before: np.ndarray | None,
+) -> DataFrame:
+    """kind, u and v: what comes of sets that meet at their first shingles, from rows of node, word, n and first.
+
+    Kind 0 are links u-v of sets whose first words differ in ``reach`` bits at most,
+    kind 1 shingles u at which more than ``most`` meet, and kind 2 sets u that have
+    one of ``last`` among their first. ``last`` are the shingles known to be met by
+    many, which stand last in the order and are not met at; ``before`` were those of
+    the pass before, if any: sets that none of ``last`` was first in are done. Rows
+    that do not tell the first shingles are passed over.
+    """
+    shared = leads.sparkSession.sparkContext.broadcast((last, before))
+    names = ["range", "entries", "many", "open"]
+
+    def in_ranges(values: np.ndarray, key: np.ndarray) -> dict[int, bytes]:
+        part = ((key & np.uint64(0xFFFFFFFF)) * np.uint64(ranges) >> np.uint64(32)).astype(np.int64)
+        order = np.argsort(part, kind="stable")
+        values, starts = values[order], np.flatnonzero(np.diff(part[order], prepend=-1)).tolist()
+        return {int(part[order[lo]]): values[lo:hi].tobytes() for lo, hi in pairwise([*starts, len(order)])}
+
+    def send(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        last, before = shared.value
+        for batch in slices(batches, SETS_AT_ONCE):
+            now = Leads.read(batch, similarity, last)
+            nodes, words = (batch.column(c).to_numpy().view(np.uint64) for c in ("node", "word"))
+            # of texts with one set, one is sent
+            chosen, told = np.zeros(len(nodes), dtype=bool), np.flatnonzero(now.told)
+            chosen[told[np.unique(nodes[told], return_index=True)[1]]] = True
+            page = np.zeros(len(nodes), dtype=bool)
+            if before is not None:
+                was = Leads(now.of, now.hashes, now.sizes, now.take, before)
+                kept = np.bincount(now.of[was.first & now.free], minlength=len(nodes))
+                chosen &= kept < now.take
+                # what is mostly a page that many have shows all its shingles, or each pass would find a few
+                page = now.whole & (2 * kept < now.take)
+            rows = (now.first | (page[now.of] & now.free)) & chosen[now.of]
+            of, hashes = now.of[rows], now.hashes[rows]
+            waiting = nodes[chosen & (now.n_free < now.take)]
+            previous = np.where(np.diff(of, prepend=-1) == 0, np.roll(hashes, 1), np.uint64(0))
+            found, at, n = np.unique(hashes, return_inverse=True, return_counts=True)
+            many, few = found[n > most], (n <= most)[at]
+            entries = np.empty(int(few.sum()), dtype=ENTRY)
+            for name, column in (("hash", hashes), ("node", nodes[of]), ("word", words[of]), ("previous", previous.astype(np.uint32))):
+                entries[name] = column[few]
+            parts = in_ranges(entries, entries["hash"]), in_ranges(many, many), in_ranges(waiting, waiting)
+            keys = sorted(set().union(*parts))
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(keys, pa.int32()), *(pa.array([d.get(k) for k in keys], pa.binary()) for d in parts)], names=names)
+
+    def merged(entries: list[np.ndarray], many: list[np.ndarray], least: int = 1) -> tuple[list[np.ndarray], list[np.ndarray]]:
+        """Entries by shingle and node, each once, and the shingles that too many meet at, without their entries.
+
+        Shingles of fewer entries than ``least`` are left out.
+        """
+        rows = np.concatenate([np.zeros(0, dtype=ENTRY), *entries])
+        hashes = rows["hash"]
+        order = np.argsort(hashes)
+        lengths = np.diff(np.append(np.flatnonzero(np.diff(hashes[order], prepend=~hashes[order[:1]])), len(order)))
+        rows = rows[order[np.repeat(lengths >= least, lengths)]]
+        gone = np.unique(np.concatenate([np.zeros(0, dtype=np.uint64), *many]))
+        rows = rows[~within(gone, rows["hash"])]
+        rows = rows[np.lexsort((rows["node"], rows["hash"]))]
+        rows = rows[np.append(True, (rows["hash"][1:] != rows["hash"][:-1]) | (rows["node"][1:] != rows["node"][:-1]))[:len(rows)]]
+        found, at, n = np.unique(rows["hash"], return_inverse=True, return_counts=True)
+        return [rows[(n <= most)[at]]], [np.concatenate([gone, found[n > most]])]
+
+    def links_of(rows: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Nodes u < v that are near by their first words and did not meet at the shingle before already."""
+        hashes, nodes, words, previous = (np.ascontiguousarray(rows[c]) for c in ENTRY.names)
+        ends = np.searchsorted(hashes, hashes, side="right")
+        at, held = np.arange(len(rows)), [np.zeros((0, 2), dtype=np.int64)]
+        for gap in range(1, most):
+            at = at[at + gap < ends[at]]
+            if not len(at):
+                break
+            near = at[np.bitwise_count(words[at] ^ words[at + gap]) <= reach]
+            near = near[(previous[near] != previous[near + gap]) | (previous[near] == 0)]
+            held.append(np.stack([nodes[near], nodes[near + gap]], axis=1).view(np.int64))
+        pairs = np.unique(np.sort(np.concatenate(held), axis=1), axis=0)
+        return pairs[:, 0], pairs[:, 1]
+
+    def done(entries: list[np.ndarray], many: list[np.ndarray], waiting: list[np.ndarray]) -> Iterator[pa.RecordBatch]:
+        (rows,), (many,) = merged(entries, many, 2)
+        waiting = np.unique(np.concatenate([many[:0], *waiting]))
+        found = [(1, many.view(np.int64), np.zeros(len(many), dtype=np.int64)), (2, waiting.view(np.int64), np.zeros(len(waiting), dtype=np.int64))]
+        # at most so many entries at once, whole shingles
+        part = np.searchsorted(rows["hash"], rows["hash"]) // ENTRIES_AT_ONCE
+        cuts = np.flatnonzero(np.diff(part)) + 1
+        for kind, u, v in chain(found, ((0, *links_of(x)) for x in np.split(rows, cuts))):
+            yield pa.RecordBatch.from_arrays([
+                pa.array(np.full(len(u), kind, dtype=np.int8)), pa.array(np.ascontiguousarray(u)), pa.array(np.ascontiguousarray(v))],
+                names=["kind", "u", "v"])
+
+    def meet(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        now, held, fresh = None, ([], [], []), 0
+        for batch in batches:
+            keys = batch.column("range").to_pylist()
+            for i, key in enumerate(keys):
+                if key != now:
+                    if now is not None:
+                        yield from done(*held)
+                    now, held, fresh = key, ([], [], []), 0
+                for values, name in zip(held, names[1:], strict=True):
+                    if batch.column(name)[i].is_valid:
+                        values.append(np.frombuffer(batch.column(name)[i].as_py(), dtype=ENTRY if name == "entries" else np.uint64))
+                        fresh += len(values[-1])
+                if fresh > 2 * RANGE_ENTRIES:
+                    entries, many = merged(held[0], held[1])
+                    held, fresh = (entries, many, held[2]), 0
+        if now is not None:
+            yield from done(*held)
+
+    sent = leads.mapInArrow(send, "range int, entries binary, many binary, open binary")
+    return sent.repartition(ranges, "range").sortWithinPartitions("range").mapInArrow(meet, "kind tinyint, u long, v long")
+
+
+def whole_leads(
+    leads: DataFrame, distinct: DataFrame, docs: DataFrame, similarity: float, size: int, text: str, key: str, last: np.ndarray,
+) -> DataFrame:
+    """The rows of ``leads`` that do not tell the first shingles of their sets, with all shingles, from the texts."""
+    shared = leads.sparkSession.sparkContext.broadcast(last)
+
+    def untold(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in slices(batches, SETS_AT_ONCE):
+            told = Leads.read(batch, similarity, shared.value).told
+            yield pa.RecordBatch.from_arrays([batch.column("node").filter(pa.array(~told))], names=["node"])
+
+    def sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch, values in blocks(batches):
+            of, hashes = shingle_sets(values, size)
+            ends = (8 * np.searchsorted(of, np.arange(len(values) + 1))).tolist()
+            own, raw = set_nodes(len(values), of, hashes), hashes.tobytes()
+            yield pa.RecordBatch.from_arrays([
+                batch.column("node"), pa.array(np.bincount(of, minlength=len(values))),
+                pa.array([raw[lo:hi] for lo, hi in pairwise(ends)], pa.binary()), pa.array(own)], names=["node", "n", "first", "own"])
+
+    nodes = leads.mapInArrow(untold, "node long").distinct()
+    found = texts_of(nodes, distinct, docs, text, key).mapInArrow(sets, "node long, n long, first binary, own long").where("node = own")
+    words = distinct.select("node", F.element_at("fp", 1).alias("word"))
+    return stage(found.join(words, "node").select("node", "word", "n", "first"), "simhash-whole")
+
+
+def met(
+    prints: DataFrame, distinct: DataFrame, docs: DataFrame, similarity: float, size: int, text: str, key: str, reach: int,
+) -> tuple[DataFrame, DataFrame]:
+    """u and v: links of sets that share a first shingle; and node: the sets that may have others, among themselves.
+
+    In passes: shingles that too many meet at go last, and the sets that had them
+    first meet again, until there is no such shingle. They are held by the driver and
+    each task: at most one for ``MOST_MEET`` first shingles, and few in prose.
+    """
+    total = distinct.agg(F.sum("n").alias("all"), F.count("*").alias("sets")).first()
+    ranges = max(1, math.ceil(((total["all"] or 0) * (1 - similarity) + total["sets"]) / RANGE_ENTRIES))
+    leads = prints.select("node", F.element_at("fp", 1).alias("word"), "n", "first")
+    asked, found, most, before, last = leads, None, MOST_MEET, None, np.zeros(0, dtype=np.uint64)
+    while True:
+        rows = stage(meetings(
+            asked, similarity=similarity, reach=reach, ranges=ranges, most=most, last=last, before=before), "simhash-met")
+        links = rows.where("kind = 0").select("u", "v")
+        found = links if found is None else found.unionByName(links)
+        many = rows.where("kind = 1").select("u").toPandas()["u"].to_numpy(dtype=np.int64).view(np.uint64)
+        if not len(many):
+            return found.distinct(), rows.where("kind = 2").select(F.col("u").alias("node")).distinct()
+        before, last, most = last, np.union1d(last, many), 2 * most
+        asked = leads.unionByName(whole_leads(leads, distinct, docs, similarity, size, text, key, last))
+
+
+def within_radius(found: DataFrame, distinct: DataFrame, radius: int, reach: int) -> DataFrame:
+    """The links whose fingerprints are near."""
+    fps = distinct.select("node", "fp")
+    both = found.join(fps.withColumnsRenamed({"node": "u", "fp": "one"}), "u").join(
+        fps.withColumnsRenamed({"node": "v", "fp": "two"}), "v")
+    apart = F.zip_with("one", "two", lambda x, y: F.bit_count(x.bitwiseXOR(y)).cast("int"))
+    near = (F.element_at(apart, 1) <= reach) & (F.aggregate(apart, F.lit(0), lambda n, x: n + x) <= radius)
+    return both.where(near).select("u", "v")
+
+
 def verified_components(
-    distinct: DataFrame, docs: DataFrame, similarity: float, size: int, text: str, key: str, radius: int,
+    prints: DataFrame, distinct: DataFrame, docs: DataFrame, similarity: float, size: int, text: str, key: str, radius: int,
     first_radius: int | None, tile: int,
 ) -> DataFrame:
     """node and root over the links that are near and as similar as asked.
 
-    In rounds: the links of forests are verified, what passes is joined, what fails
-    is refused, and tiles that gave links are compared again, until no link is left
-    between two components. Each round takes four times as many forests as the last,
-    so that many refused links are few rounds.
+    All links of sets that meet at a first shingle are verified. Those of sets that
+    only meet where many do are found in tiles, in rounds: the links of forests are
+    verified, what passes is joined, what fails is refused, and tiles that gave links
+    are compared again, until no link is left between two components. Each round
+    takes four times as many forests as the last, so that many refused links are few
+    rounds.
     """
-    members, pairs, count = tiled(distinct, radius, first_radius, tile)
-    passed, joined, refused, forests = None, None, None, 1
+    reach = radius if first_radius is None else first_radius
+    found, rest = met(prints, distinct, docs, similarity, size, text, key, reach)
+    near = stage(within_radius(found, distinct, radius, reach), "simhash-near")
+    ends = near.select(F.col("u").alias("node")).unionByName(near.select(F.col("v").alias("node"))).distinct()
+    passed = stage(verified(near, node_sets(ends, distinct, docs, size, text, key), similarity), "simhash-verified")
+    joined = stage(components(passed, "simhash-components"), "simhash-joined")
+    rest = stage(distinct.join(rest, "node", "left_semi"), "simhash-rest")
+    if rest.isEmpty():
+        return joined
+    sets = node_sets(rest.select("node"), rest, docs, size, text, key)
+    members, pairs, count = tiled(rest, radius, first_radius, tile)
+    refused, forests = None, 1
     while True:
         found = stage(compared(members, pairs, count, radius, first_radius, joined, refused, forests), "simhash-links")
         if found.isEmpty():
-            break
+            return joined
         asked = found.select("u", "v").distinct()
-        good = stage(verified(asked, distinct, docs, similarity, size, text, key), "simhash-verified")
+        good = stage(verified(asked, sets, similarity), "simhash-verified")
         failed = found.join(good, ["u", "v"], "left_anti").select("a", "b", "u", "v")
         refused = stage(failed if refused is None else refused.unionByName(failed), "simhash-refused")
-        passed = good if passed is None else passed.unionByName(good)
+        passed = passed.unionByName(good)
         joined = stage(components(passed, "simhash-components"), "simhash-joined")
         pairs, forests = found.select("a", "b").distinct(), forests * 4
-    return joined if joined is not None else components(found.select("u", "v"), "simhash-components")
 
 
 def near_duplicates(
@@ -381,12 +685,13 @@ def near_duplicates(
 ) -> DataFrame:
     """doc_id, text_hash, fp, node and component_id, the least doc_id reachable over links, of each document."""
     exact = similarity is not None
-    prints = stage(fingerprints(docs, text=text, key=key, size=size, words=words, sets=exact), "simhash-prints")
-    distinct = stage(prints.groupBy("node").agg(F.min("fp").alias("fp"), F.min("doc_id").alias("least")), "simhash-distinct")
+    prints = stage(fingerprints(docs, text=text, key=key, size=size, words=words, sets=exact, similarity=similarity or 0.0), "simhash-prints")
+    sizes = [F.max("n").alias("n")] if exact else []
+    distinct = stage(prints.groupBy("node").agg(F.min("fp").alias("fp"), F.min("doc_id").alias("least"), *sizes), "simhash-distinct")
     if not exact:
         joined = components(links(distinct, radius, first_radius, tile), "simhash-components")
     else:
-        joined = verified_components(distinct, docs, similarity, size, text, key, radius, first_radius, tile)
+        joined = verified_components(prints, distinct, docs, similarity, size, text, key, radius, first_radius, tile)
     rooted = stage(distinct.join(joined, "node", "left").select(
         "node", "least", F.coalesce("root", "node").alias("root")), "simhash-roots")
     least = rooted.groupBy("root").agg(F.min("least").alias("component_id"))

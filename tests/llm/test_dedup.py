@@ -135,6 +135,68 @@ def test_rounds_of_verified_links_against_brute_force(engine, tile):
     assert {r.doc_id: r.component_id for r in found.collect()} == classes(range(n), near)
 
 
+def test_sets_of_shingles_are_those_of_the_words():
+    texts = ["", "one", "one two", "A b c d e", "a b c d e f a b c d e", "b c d e f", " \n", "a b  c\td E"]
+    of, hashes = simhash.shingle_sets(texts, 5)
+    named = {}
+    for i, text in enumerate(texts):
+        parts = set(simhash.shingles(text.lower().encode().split(), 5))
+        own = hashes[of == i]
+        assert len(own) == len(parts) and (np.diff(own.astype(object)) > 0).all()
+        assert named.setdefault(frozenset(parts), own.tobytes()) == own.tobytes()
+    assert len({*named.values()}) == len(named)
+    nodes = simhash.set_nodes(len(texts), of, hashes)
+    assert nodes[3] == nodes[7] and nodes[0] == nodes[6] and len(set(nodes.tolist())) == len(named)
+
+
+@pytest.mark.parametrize("most", [2, 5, 64])
+def test_first_shingles_lose_no_link(engine, monkeypatch, most):
+    """Groups that share passages, some larger than may meet at one shingle: passes and tiles come after each other."""
+    rng = random.Random(most)
+    words = [f"w{i}" for i in range(60)]
+    common = rng.choices(words, k=40)
+    rows, n = [], 0
+    for size in (1, 2, 3, 7, 30):
+        for _ in range(3):
+            base = rng.choices(words, k=rng.choice([20, 60, 160]))
+            base[:0] = common[:rng.choice([0, 10, 40])]
+            for _ in range(size):
+                own = base.copy()
+                for at in rng.sample(range(len(own)), rng.randint(0, len(own) // 30)):
+                    own[at] = rng.choice(words)
+                rows.append((n, " ".join(own)))
+                n += 1
+    rows += [(n, None), (n + 1, ""), (n + 2, "w1"), (n + 3, "w1"), (n + 4, "w1 w2")]
+    n += 5
+    sets = {i: set(simhash.shingles((t or "").encode().split(), 5)) for i, t in rows}
+    prints = {i: simhash.hashed(list(s), 4) for i, s in sets.items()}
+    near = [
+        (i, j) for i in range(n) for j in range(i + 1, n) if len(sets[i] & sets[j]) >= 0.8 * len(sets[i] | sets[j])
+        and np.bitwise_count(prints[i] ^ prints[j]).sum() <= 56 and np.bitwise_count(prints[i][0] ^ prints[j][0]) <= 22]
+    monkeypatch.setattr(simhash, "MOST_MEET", most)
+    docs = engine.createDataFrame(rows, "doc_id long, text string")
+    found = simhash.near_duplicates(docs, size=5, words=4, radius=56, first_radius=22, similarity=0.8)
+    assert {r.doc_id: r.component_id for r in found.collect()} == classes(range(n), near)
+
+
+def test_only_sets_that_meet_where_many_do_are_laid_in_tiles(engine, monkeypatch):
+    """All tiles against all others is work by the square of the corpus: unrelated texts, and pairs, must not get there."""
+    rng = random.Random(8)
+    words = [f"w{i}" for i in range(3000)]
+    rows = [(i, " ".join(rng.choices(words, k=120))) for i in range(150)]
+    rows += [(150 + i, text + " and more") for i, text in rows[:50]]
+    page = rng.choices(words, k=200)
+    rows += [(200 + i, " ".join([*page, f"page{i}"])) for i in range(100)]
+    monkeypatch.setattr(simhash, "MOST_MEET", 20)
+    laid, tiled = [], simhash.tiled
+    monkeypatch.setattr(simhash, "tiled", lambda distinct, *rest: laid.append(distinct.count()) or tiled(distinct, *rest))
+    docs = engine.createDataFrame(rows, "doc_id long, text string")
+    found = simhash.near_duplicates(docs, size=5, words=4, radius=56, first_radius=22, similarity=0.8)
+    groups = {r.doc_id: r.component_id for r in found.collect()}
+    assert groups == {**{i: i for i in range(150)}, **{150 + i: i for i in range(50)}, **dict.fromkeys(range(200, 300), 200)}
+    assert sum(laid) == 100
+
+
 def test_simhash_at_the_edges(edge_docs, no_docs):
     found = {(r.doc_id, r.component_id) for r in simhash.near_duplicates(edge_docs).collect()}
     assert {(0, 0), (1, 0), (2, 0), (4, 4), (5, 4), (None, 4), (8, 7)} <= found
